@@ -21,6 +21,13 @@ def tokens(text: Column | str) -> Column:
     return F.filter(F.split(col, WORD_DELIMITERS), lambda w: w != F.lit(""))
 
 
+def words(df, text: str, alias: str = "w", keep: tuple = ()):
+    """One row per non-empty token of ``text`` (Generate + codegen'd filter;
+    no per-row lambda)."""
+    return (df.select(*keep, F.explode(F.split(F.col(text), WORD_DELIMITERS)).alias(alias))
+            .where(F.col(alias) != F.lit("")))
+
+
 def first_letter(word: Column) -> Column:
     """Lower-cased first character of ``word`` when it is a letter, else NULL."""
     return F.when(word.rlike(LETTER_START), F.lower(F.substring(word, 1, 1)))

@@ -26,10 +26,15 @@ def attr_map(line: Column) -> Column:
     duplicate names wins; a line without attributes gives an empty map."""
     names = F.regexp_extract_all(line, F.lit(ATTRIBUTE), 1)
     values = F.regexp_extract_all(line, F.lit(ATTRIBUTE), 2)
-    pairs = F.arrays_zip(names.alias("k"), values.alias("v"))
-    # keep an entry only when its name does not occur again later in the line
-    last = F.filter(pairs, lambda e, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), e["k"]))
-    return F.map_from_entries(last)
+
+    def build(nv):
+        n = nv["k"]
+        pairs = F.arrays_zip(n.alias("k"), nv["v"].alias("v"))
+        # keep an entry only when its name does not occur again later in the line
+        return F.map_from_entries(F.filter(pairs, lambda e, i: ~F.array_contains(F.slice(n, i + 2, F.size(n)), e["k"])))
+
+    # the one-element array binds both regex results once per row for the lambda
+    return F.transform(F.array(F.struct(names.alias("k"), values.alias("v"))), build)[0]
 
 
 def attr(line_or_map: Column, name: str) -> Column:
@@ -41,7 +46,8 @@ def attr_value(line: Column, name: str) -> Column:
     """One attribute read straight from the line without building the map;
     NULL when absent. Cheaper than ``attr(attr_map(line), name)``."""
     pattern = f'(?:^|\\s){name}\\s*=\\s*"([^"]*)"'
-    return F.when(line.rlike(pattern), F.regexp_extract(line, pattern, 1))
+    # one regex pass; the last of duplicate names wins, as in ``attr_map``
+    return F.try_element_at(F.regexp_extract_all(line, F.lit(pattern), 1), F.lit(-1))
 
 
 def xml_escape(text: Column) -> Column:
@@ -59,6 +65,6 @@ def creation_year(text: Column) -> Column:
 
     No lenient roll-over: month 13 or day 32 give NULL, i.e. the row is dropped.
     """
-    cut = F.regexp_extract(text, DATE_PREFIX, 0)
-    ts = F.try_to_timestamp(F.when(cut != "", cut), F.lit(DATE_FORMAT))
+    cut = F.regexp_extract(text, DATE_PREFIX, 0)  # '' when there is no such prefix
+    ts = F.try_to_timestamp(cut, F.lit(DATE_FORMAT))
     return F.year(ts)

@@ -12,12 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linebeam.functions.text import tokens
+from linebeam.functions.text import words
 
 
 def word_file_pairs(lines: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
     """(word, file) per token occurrence, word lower-cased."""
-    pairs = lines.select(F.explode(tokens(text)).alias("word"), F.col(file).alias("file"))
+    pairs = words(lines.select(F.col(text), F.col(file).alias("file")), text, "word", keep=("file",))
     return pairs.select(F.lower("word").alias("word"), "file")
 
 

@@ -10,14 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linebeam.functions.text import first_letter, tokens
+from linebeam.functions.text import first_letter, words
 
 
 def first_char_count(lines: DataFrame, text: str = "value") -> DataFrame:
     """(letter string, n bigint): words per lower-cased initial letter;
     words that do not start with a letter are skipped."""
-    words = lines.select(F.explode(tokens(text)).alias("w"))
-    return (words.select(first_letter(F.col("w")).alias("letter"))
+    return (words(lines, text).select(first_letter(F.col("w")).alias("letter"))
             .where(F.col("letter").isNotNull())
             .groupBy("letter").agg(F.count(F.lit(1)).alias("n")))
 
@@ -29,7 +28,7 @@ def word_count(lines: DataFrame, text: str = "value", case: str = "lower") -> Da
     """
     if case not in ("lower", "keep"):
         raise ValueError(f"case must be 'lower' or 'keep', not {case!r}")
-    words = lines.select(F.explode(tokens(text)).alias("word"))
+    w = words(lines, text, "word")
     if case == "lower":
-        words = words.select(F.lower("word").alias("word"))
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        w = w.select(F.lower("word").alias("word"))
+    return w.groupBy("word").agg(F.count(F.lit(1)).alias("n"))

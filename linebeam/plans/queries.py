@@ -52,12 +52,12 @@ def q_posting_counts(spark, d):
 
 
 def q_hotlist_filter(spark, d):
-    docs = T.table(spark, d, "documents").select("doc_id", "text")
+    docs = T.table(spark, d, "documents", "doc_id", "text")
     return hotlist.hotlist_filter(docs, "doc_id", "text", T.hot_list(spark, d))
 
 
 def q_hotlist_filter_bloom(spark, d):
-    docs = T.table(spark, d, "documents").select("doc_id", "text")
+    docs = T.table(spark, d, "documents", "doc_id", "text")
     bf = hotlist.hotlist_bloom(T.hot_list(spark, d), p=T.BLOOM_P)
     return hotlist.hotlist_filter_bloom(docs, "text", bf)
 
@@ -181,7 +181,7 @@ def q_src_text_lines(spark, d):
 
 def q_src_multi_path(spark, d):
     root = scratch_dir(spark, "multi")
-    docs = T.table(spark, d, "documents").select(F.col("text").alias("value"), "lang")
+    docs = T.table(spark, d, "documents", "text", "lang").select(F.col("text").alias("value"), "lang")
     docs.write.partitionBy("lang").text(root)
     langs = [r["lang"] for r in docs.select("lang").distinct().collect()]  # a handful of language codes
     return src_text.read_lines(spark, [f"{root}/lang={lang}" for lang in langs])

@@ -6,6 +6,8 @@ capped or subset by id.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +27,31 @@ LINE_WIDTH = 8                # numbers per blank-separated line
 DATE_OUT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
+    """The parquet table ``name`` (only ``cols`` when given), spread over the
+    cluster's cores if the scan is too coarse (see ``spread``)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df.select(*cols) if cols else df, name)
+
+
+def spread(df: DataFrame, name: str = "input") -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan yields
+    fewer splits than cores (a file of one row group is one task).
+
+    The input row count is recorded as an observed metric; the metric node
+    also keeps the per-row filters of the query above the exchange, so they
+    run on every core instead of in the single scan task. At scale the input
+    has far more splits than cores and the DataFrame is returned unchanged
+    (scan filters and column pruning untouched)."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want).observe(f"rows_{name}_{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("rows"))
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id string, raw string, reputation int)."""
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
     return (c.where(F.col("c_nationkey") < USER_NATION_BELOW)
             .select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("raw"),
                     F.floor("c_acctbal").cast("int").alias("reputation")))
@@ -44,14 +64,14 @@ def reputable(users_df: DataFrame) -> DataFrame:
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id string or NULL, raw string)."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", "event_type", "user_id", "event_id")
     return e.select(F.when(F.col("event_type") != SIGNUP_EVENT, F.col("user_id").cast("string")).alias("user_id"),
                     F.col("event_id").cast("string").alias("raw"))
 
 
 def comment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value string): one ``<row .../>`` line per event."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", "event_id", "event_type", "props", "ts", "user_id")
     user = F.when(F.col("event_type") != SIGNUP_EVENT,
                   F.concat(F.lit(' UserId="'), F.col("user_id").cast("string"), F.lit('"'))).otherwise(F.lit(""))
     line = F.concat(F.lit('  <row Id="'), F.col("event_id").cast("string"),
@@ -63,7 +83,7 @@ def comment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value string): one ``<row .../>`` line per order, dated by the order date."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_custkey")
     line = F.concat(F.lit('  <row Id="'), F.col("o_orderkey").cast("string"),
                     F.lit('" CreationDate="'), F.date_format("o_orderdate", DATE_OUT),
                     F.lit('" OwnerId="'), F.col("o_custkey").cast("string"), F.lit('" />'))
@@ -72,14 +92,14 @@ def user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id bigint, value string, file string): documents as word files."""
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return d.select("doc_id", F.col("text").alias("value"), F.col("source").alias("file"))
 
 
 def hot_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(key string): the distinct alphabetic words of the benchmark passages."""
     from linebeam.functions.text import tokens
-    b = table(spark, sf_dir, "benchmark")
+    b = table(spark, sf_dir, "benchmark", "text")
     return (b.select(F.explode(tokens("text")).alias("key"))
             .where(F.col("key").rlike("^[A-Za-z]+$")).distinct())
 
@@ -88,7 +108,7 @@ def space_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(orderkey bigint, chunk bigint, value string): the quantities of an
     order, blank separated, at most ``LINE_WIDTH`` per line (so no line grows
     with the size of one order)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
     chunk = F.floor((F.col("l_linenumber") - 1) / LINE_WIDTH)
     return (li.groupBy(F.col("l_orderkey").alias("orderkey"), chunk.alias("chunk"))
             .agg(F.concat_ws(" ", F.collect_list(F.col("l_quantity").cast("int").cast("string"))).alias("value")))
@@ -97,7 +117,7 @@ def space_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value string): ``event_id#user_id#floor(value)`` per event; the second
     field is empty for errors, clicks end with an extra separator."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events", "event_id", "event_type", "user_id", "value")
     second = F.when(F.col("event_type") == ERROR_EVENT, F.lit("")).otherwise(F.col("user_id").cast("string"))
     tail = F.when(F.col("event_type") == CLICK_EVENT, F.lit("#")).otherwise(F.lit(""))
     line = F.concat(F.col("event_id").cast("string"), F.lit("#"), second, F.lit("#"),
@@ -107,6 +127,6 @@ def hash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(x double, y double): the first two embedding components."""
-    em = table(spark, sf_dir, "embeddings")
+    em = table(spark, sf_dir, "embeddings", "embedding")
     return em.select(F.col("embedding")[0].cast("double").alias("x"),
                      F.col("embedding")[1].cast("double").alias("y"))
