@@ -92,11 +92,21 @@ def might_contain(bf: BloomFilter, key: Column, bits: str = BITS_COL) -> Column:
                       F.lit(False))
 
 
-def might_contain_any(bf: BloomFilter, keys: Column, bits: str = BITS_COL) -> Column:
-    """True when any element of the array ``keys`` may be in the filter
-    (stops at the first hit). Each element is hashed once."""
-    hashed = F.transform(keys, lambda t: hash_pair(t))
-    return F.coalesce(F.exists(hashed, lambda h: _all_bits_set(F.col(bits), h, bf.m, bf.k)), F.lit(False))
+def might_contain_any(bf: BloomFilter, keys: Column, prepare=None, bits: str = BITS_COL) -> Column:
+    """True when any element of the array ``keys`` may be in the filter.
+
+    Evaluation is lazy and stops at the first hit: each element is prepared
+    (``prepare(element) -> key``; an empty or NULL key is skipped), hashed
+    once and tested only when reached.
+    """
+    def test(key):
+        return F.exists(F.array(hash_pair(key)), lambda h: _all_bits_set(F.col(bits), h, bf.m, bf.k))
+
+    if prepare is None:
+        hit = F.exists(keys, test)
+    else:
+        hit = F.exists(keys, lambda t: F.exists(F.array(prepare(t)), lambda c: (F.length(c) > 0) & test(c)))
+    return F.coalesce(hit, F.lit(False))
 
 
 def bloom_build(keys: DataFrame, key: str, n: int | None = None, p: float = 0.01,

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linebeam.functions.text import hot_token, tokens
+from linebeam.functions.text import WORD_DELIMITERS, hot_token, tokens
 from linebeam.operators.bloom import BITS_COL, DEFAULT_MAX_BITS, BloomFilter, bloom_build, might_contain_any
 
 
@@ -49,7 +49,9 @@ def hotlist_filter_bloom(records: DataFrame, text: str, bf: BloomFilter, strip:
                          hot: DataFrame | None = None, hot_key: str = "key") -> DataFrame:
     """Map-only Bloom form; with ``verify`` (needs ``id_col`` and ``hot``) the
     candidates are checked exactly."""
-    cand = bf.attach(records).where(might_contain_any(bf, cleaned_tokens(text, strip, lower))).drop(BITS_COL)
+    raw = F.split(F.col(text), WORD_DELIMITERS)
+    hit = might_contain_any(bf, raw, prepare=lambda w: hot_token(w, strip, lower))
+    cand = bf.attach(records).where(hit).drop(BITS_COL)
     if not verify:
         return cand
     if id_col is None or hot is None:
