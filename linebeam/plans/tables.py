@@ -27,11 +27,17 @@ LINE_WIDTH = 8                # numbers per blank-separated line
 DATE_OUT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
+# Tables whose rows carry heavy per-row work (tokenizing, rendering, regex)
+# before the first shuffle of any query that reads them.
+HEAVY_ROWS = ("documents", "events", "orders")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """The parquet table ``name`` (only ``cols`` when given), spread over the
-    cluster's cores if the scan is too coarse (see ``spread``)."""
+    """The parquet table ``name`` (only ``cols`` when given); a heavy table is
+    spread over the cluster's cores if its scan is too coarse (``spread``)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df.select(*cols) if cols else df, name)
+    df = df.select(*cols) if cols else df
+    return spread(df, name) if name in HEAVY_ROWS else df
 
 
 def spread(df: DataFrame, name: str = "input") -> DataFrame:
