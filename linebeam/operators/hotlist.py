@@ -30,8 +30,14 @@ def hot_keys(hot: DataFrame, key: str = "key") -> DataFrame:
 
 
 def hotlist_filter(records: DataFrame, id_col: str, text: str, hot: DataFrame, hot_key: str = "key",
-                   strip: bool = False, lower: bool = False) -> DataFrame:
-    """Records (all columns) with at least one cleaned token in ``hot``."""
+                   strip: bool = False, lower: bool = False, approximate: bool = False,
+                   p: float = 0.01) -> DataFrame:
+    """Records (all columns) with at least one cleaned token in ``hot``.
+
+    ``approximate=True`` is the map-only Bloom form (false positives at rate
+    about ``p`` per token; no record that matches is ever lost)."""
+    if approximate:
+        return hotlist_filter_bloom(records, text, hotlist_bloom(hot, hot_key, p), strip, lower)
     keys = hot_keys(hot, hot_key)
     toks = records.select(F.col(id_col).alias("_id"), F.explode(cleaned_tokens(text, strip, lower)).alias("_t"))
     hits = toks.join(keys, toks["_t"] == keys["key"], "left_semi").select("_id").distinct()

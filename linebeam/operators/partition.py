@@ -26,3 +26,25 @@ def year_range(by_year: DataFrame, min_year: int, num_years: int) -> DataFrame:
     ``part`` = year - min_year is the output partition number."""
     return (by_year.where(F.col("year").between(min_year, min_year + num_years - 1))
             .select("year", (F.col("year") - F.lit(min_year)).alias("part"), "raw"))
+
+
+def by_year(rows: DataFrame, text: str = "value", min_year: int | None = None,
+            num_years: int | None = None, date_attr: str = "CreationDate") -> DataFrame:
+    """``users_by_year``, limited to ``min_year .. min_year+num_years-1`` (with
+    the partition number ``part``) when both are given."""
+    out = users_by_year(rows, text, date_attr)
+    if min_year is None and num_years is None:
+        return out
+    if min_year is None or num_years is None or num_years < 1:
+        raise ValueError("min_year and num_years go together (num_years >= 1)")
+    return year_range(out, min_year, num_years)
+
+
+def cluster_by(df: DataFrame, key: str, salts: int | None = None) -> DataFrame:
+    """Rows of equal ``key`` brought to the same partition and sorted by key
+    inside it (grouping without reduction). ``salts`` spreads each key over
+    that many partitions, so a key holding a third of all rows is not one task."""
+    if salts:
+        salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+        return df.repartition(F.col(key), salt).sortWithinPartitions(key)
+    return df.repartition(key).sortWithinPartitions(key)

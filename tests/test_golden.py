@@ -187,3 +187,35 @@ def test_users_by_year_and_range(spark, stage):
     assert rows(back, "year", "value") == rows(by.withColumnRenamed("raw", "value"), "year", "value")
     with pytest.raises(Exception):
         sinks.write_by_year(by, path)  # errorifexists by default
+
+
+def test_by_year_and_cluster(spark):
+    lines = spark.createDataFrame([
+        ('<row Id="1" CreationDate="2008-01-01T00:00:00.000" />',),
+        ('<row Id="2" CreationDate="2009-01-01T00:00:00.000" />',),
+        ('<row Id="3" CreationDate="2009-06-01T00:00:00.000" />',)], "value string")
+    assert partition.by_year(lines).count() == 3
+    assert rows(partition.by_year(lines, min_year=2009, num_years=1), "year", "part") == [(2009, 0), (2009, 0)]
+    with pytest.raises(ValueError):
+        partition.by_year(lines, min_year=2009)
+    for salts in (None, 4):
+        c = partition.cluster_by(partition.by_year(lines), "year", salts=salts)
+        assert sorted(r["raw"] for r in c.collect()) == sorted(r["value"] for r in lines.collect())
+
+
+def test_hotlist_exact_and_approximate(spark):
+    from linebeam.operators import hotlist
+    recs = spark.createDataFrame([(1, "alpha. x"), (2, "it's alpha"), (3, "Beta"), (4, "none here")],
+                                 "id long, text string")
+    hot = spark.createDataFrame([("alpha",), ("beta",)], "key string")
+    assert sorted(r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot).collect()) == [2]
+    assert sorted(r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot, strip=True, lower=True).collect()) == [1, 2, 3]
+    approx = {r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot, approximate=True).collect()}
+    assert 2 in approx
+
+
+def test_observed_malformed_counter(spark):
+    lines = spark.createDataFrame([("1#2",), ("3##4",), ("x",)], "value string")
+    parsed, obs = stats.observe_malformed(stats.hash_numbers(lines))
+    assert parsed.where("not bad").count() == 1
+    assert obs.get["malformed"] == 2
