@@ -27,11 +27,22 @@ def posting_counts(lines: DataFrame, text: str = "value", file: str = "file") ->
             .groupBy("word", "file").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def inverted_index(lines: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
+def inverted_index(lines: DataFrame, text: str = "value", file: str = "file", buckets: int = 1) -> DataFrame:
     """(word string, files string): the distinct files of each word, in
-    ascending byte order, joined by one blank."""
+    ascending byte order, joined by one blank.
+
+    ``buckets > 1`` splits the file set of every word over up to that many
+    rows by a hash of the file name (adds ``bucket int``): a word found in
+    every file is then assembled by ``buckets`` tasks instead of one, and no
+    row grows beyond about files/buckets names. Every file is still listed
+    (each row sorted); ``buckets=1`` is one row per word.
+    """
     pairs = word_file_pairs(lines, text, file).distinct()
-    return (pairs.groupBy("word")
+    keys = ["word"]
+    if buckets > 1:
+        pairs = pairs.withColumn("bucket", F.pmod(F.xxhash64("file"), F.lit(buckets)).cast("int"))
+        keys.append("bucket")
+    return (pairs.groupBy(*keys)
             .agg(F.array_join(F.sort_array(F.collect_list("file")), " ").alias("files")))
 
 

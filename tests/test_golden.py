@@ -219,3 +219,14 @@ def test_observed_malformed_counter(spark):
     parsed, obs = stats.observe_malformed(stats.hash_numbers(lines))
     assert parsed.where("not bad").count() == 1
     assert obs.get["malformed"] == 2
+
+
+def test_inverted_index_buckets_keep_every_file(spark):
+    lines = spark.createDataFrame([(f"common w{i % 3}", f"f{i:03d}") for i in range(200)], "value string, file string")
+    whole = dict(rows(index.inverted_index(lines), "word", "files"))
+    split = index.inverted_index(lines, buckets=8)
+    got = {}
+    for r in split.collect():
+        got.setdefault(r["word"], []).extend(r["files"].split(" "))
+    assert {w: " ".join(sorted(v)) for w, v in got.items()} == whole
+    assert split.where("word = 'common'").count() > 1
