@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linebeam.operators.bloom import DEFAULT_MAX_BITS, BloomFilter, bloom_build, bloom_semi_filter, bloom_size
-from linebeam.operators.joins import join_type, record_join
+from linebeam.operators.joins import join_type, record_join, unmatched
 
 _EXACT_FORM = {"inner": "inner", "leftouter": "leftouter", "rightouter": "inner",
                "fullouter": "leftouter", "anti": "anti_a"}
@@ -51,13 +51,6 @@ def bloom_join(a: DataFrame, b: DataFrame, a_key: str, b_key: str, how: str = "i
         return record_join(a, b_pre, a_key, b_key, how, a_record, b_record, out_a, out_b)
     form = _EXACT_FORM[how]
     if form == "anti_a":
-        return _only_a(a, b_pre, a_key, b_key, a_record, out_a, out_b)
+        return unmatched(a, b_pre, a_key, b_key, a_record, out_a, out_b)
     return record_join(a, b_pre, a_key, b_key, form, a_record, b_record, out_a, out_b)
 
-
-def _only_a(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_record: str, out_a: str, out_b: str) -> DataFrame:
-    left = a.select(F.col(a_key).cast("string").alias("_ka"), F.col(a_record).cast("string").alias("_ra")) \
-            .where(F.col("_ka").isNotNull())
-    keys_b = b.select(F.col(b_key).cast("string").alias("_kb")).where(F.col("_kb").isNotNull()).distinct()
-    return left.join(keys_b, left["_ka"] == keys_b["_kb"], "left_anti").select(
-        F.col("_ra").alias(out_a), F.lit("").alias(out_b))

@@ -82,6 +82,16 @@ def record_join(a: DataFrame, b: DataFrame, a_key: str, b_key: str, how: str = "
     return out
 
 
+def unmatched(a: DataFrame, b: DataFrame, a_key: str, b_key: str, a_record: str = "raw",
+              out_a: str = "user_raw", out_b: str = "comment_raw") -> DataFrame:
+    """(out_a, out_b='') for the rows of ``a`` whose key occurs in no row of
+    ``b`` (NULL keys dropped): a left-anti join against ``b``'s distinct keys."""
+    left = keyed(a, a_key, a_record, "_ka", "_ra")
+    keys_b = _distinct_keys(b.select(F.col(b_key).cast("string").alias("_kb")).where(F.col("_kb").isNotNull()), "_kb")
+    return left.join(keys_b, left["_ka"] == keys_b["_kb"], "left_anti").select(
+        F.col("_ra").alias(out_a), F.lit("").alias(out_b))
+
+
 def tagged_union(a: DataFrame, b: DataFrame, a_key: str, b_key: str,
                  a_record: str = "raw", b_record: str = "raw",
                  a_tag: str = "A", b_tag: str = "B") -> DataFrame:

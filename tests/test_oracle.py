@@ -22,7 +22,7 @@ def con():
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9))
+        return "nan" if math.isnan(v) else repr(v)
     return repr(v)
 
 
