@@ -1,8 +1,13 @@
 """Hot-list record filter: keep a record (once) when any of its cleaned
 tokens is in a list of hot keys.
 
-Exact form: tokens -> semi-join with the distinct hot keys (AQE broadcasts a
-small list) -> distinct matching ids -> semi-join of the records on id.
+Exact form, short list (at most ``max_inline_keys`` keys, checked by a
+count): the key array reaches every task as a scalar subquery and each record
+is tested with ``arrays_overlap`` (a hash set of the smaller array, probe with
+the other, stop at the first hit) -- map-only, the record text is never
+shuffled. Long list: tokens -> semi-join with the distinct hot keys (AQE
+broadcasts it when measured small) -> distinct matching ids -> semi-join of
+the records on id.
 Bloom form: map-only; each record's tokens are tested against a Bloom filter
 of the hot keys shipped to every task; the result is a superset of the exact
 one (``verify=True`` removes the false positives with the exact form, run on
@@ -29,9 +34,13 @@ def hot_keys(hot: DataFrame, key: str = "key") -> DataFrame:
     return hot.select(F.col(key).cast("string").alias("key")).where(F.col("key").isNotNull()).distinct()
 
 
+DEFAULT_MAX_INLINE_KEYS = 1024
+_HOT_COL = "_hot_keys"
+
+
 def hotlist_filter(records: DataFrame, id_col: str, text: str, hot: DataFrame, hot_key: str = "key",
                    strip: bool = False, lower: bool = False, approximate: bool = False,
-                   p: float = 0.01) -> DataFrame:
+                   p: float = 0.01, max_inline_keys: int = DEFAULT_MAX_INLINE_KEYS) -> DataFrame:
     """Records (all columns) with at least one cleaned token in ``hot``.
 
     ``approximate=True`` is the map-only Bloom form (false positives at rate
@@ -39,6 +48,17 @@ def hotlist_filter(records: DataFrame, id_col: str, text: str, hot: DataFrame, h
     if approximate:
         return hotlist_filter_bloom(records, text, hotlist_bloom(hot, hot_key, p), strip, lower)
     keys = hot_keys(hot, hot_key)
+    if keys.count() <= max_inline_keys:
+        arr = keys.agg(F.collect_list("key").alias("keys")).select("keys").scalar()
+        return (records.withColumn(_HOT_COL, arr)
+                .where(F.coalesce(F.arrays_overlap(cleaned_tokens(text, strip, lower), F.col(_HOT_COL)), F.lit(False)))
+                .drop(_HOT_COL))
+    return semi_join_filter(records, id_col, text, keys, strip, lower)
+
+
+def semi_join_filter(records: DataFrame, id_col: str, text: str, keys: DataFrame,
+                     strip: bool = False, lower: bool = False) -> DataFrame:
+    """Exact hot-list filter for a list of any length (distinct ``keys(key)``)."""
     toks = records.select(F.col(id_col).alias("_id"), F.explode(cleaned_tokens(text, strip, lower)).alias("_t"))
     hits = toks.join(keys, toks["_t"] == keys["key"], "left_semi").select("_id").distinct()
     return records.join(hits, records[id_col] == hits["_id"], "left_semi")
@@ -62,4 +82,4 @@ def hotlist_filter_bloom(records: DataFrame, text: str, bf: BloomFilter, strip:
         return cand
     if id_col is None or hot is None:
         raise ValueError("verify=True needs id_col and hot")
-    return hotlist_filter(cand, id_col, text, hot, hot_key, strip, lower)
+    return semi_join_filter(cand, id_col, text, hot_keys(hot, hot_key), strip, lower)

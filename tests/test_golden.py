@@ -208,8 +208,11 @@ def test_hotlist_exact_and_approximate(spark):
     recs = spark.createDataFrame([(1, "alpha. x"), (2, "it's alpha"), (3, "Beta"), (4, "none here")],
                                  "id long, text string")
     hot = spark.createDataFrame([("alpha",), ("beta",)], "key string")
-    assert sorted(r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot).collect()) == [2]
-    assert sorted(r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot, strip=True, lower=True).collect()) == [1, 2, 3]
+    for inline in (1024, 0):  # map-only key array, and the semi-join path
+        def ids(**kw):
+            return sorted(r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot, max_inline_keys=inline, **kw).collect())
+        assert ids() == [2]
+        assert ids(strip=True, lower=True) == [1, 2, 3]
     approx = {r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot, approximate=True).collect()}
     assert 2 in approx
 

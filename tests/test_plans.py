@@ -57,3 +57,12 @@ def test_bloom_semi_filter_is_map_only(spark):
     out = bl.bloom_semi_filter(ev, "k", bf)
     assert "Exchange" not in main_plan(out)
     assert "NestedLoopJoin" not in plan(out)
+
+
+def test_short_hot_list_exact_filter_is_map_only(spark):
+    docs = spark.read.parquet(DOCS).select("doc_id", "text")
+    hot = spark.createDataFrame([("alpha",), ("beta",)], "key string")
+    out = hotlist.hotlist_filter(docs, "doc_id", "text", hot)
+    assert "Exchange" not in main_plan(out)
+    long_form = hotlist.hotlist_filter(docs, "doc_id", "text", hot, max_inline_keys=1)
+    assert "Exchange" in main_plan(long_form) or "BroadcastExchange" in plan(long_form)
