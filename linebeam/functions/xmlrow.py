@@ -68,3 +68,15 @@ def creation_year(text: Column) -> Column:
     cut = F.regexp_extract(text, DATE_PREFIX, 0)  # '' when there is no such prefix
     ts = F.try_to_timestamp(cut, F.lit(DATE_FORMAT))
     return F.year(ts)
+
+
+def typed_attrs(line: Column, fields: dict[str, str]) -> Column:
+    """struct of the named attributes with Spark types (``{"Id": "string",
+    "Reputation": "int"}``), parsed with ``from_xml``: entities are unescaped,
+    an absent attribute or a value that does not fit its type is NULL, a
+    broken line gives all NULLs."""
+    ddl = ", ".join(f"`{name}` string" for name in fields)
+    parsed = F.from_xml(F.ltrim(line), ddl, {"attributePrefix": ""})
+    # the one-element array binds the parse once for the per-field casts
+    return F.transform(F.array(parsed), lambda s: F.struct(
+        *[s[name].try_cast(typ).alias(name) for name, typ in fields.items()]))[0]

@@ -178,6 +178,8 @@ SQL: dict[str, str] = {
                      f"unnest(regexp_extract_all(value, '{ATTR}', 2)) AS value FROM ({COMMENT_ROWS})"),
     "xml_attr_project": (f"SELECT id, user_id FROM (SELECT {_attr('Id')} AS id, {_attr('UserId')} AS user_id "
                          f"FROM ({COMMENT_ROWS})) WHERE user_id IS NOT NULL"),
+    "xml_attr_typed": ("SELECT event_id AS id, CASE WHEN event_type <> 'signup' THEN user_id END AS user_id, "
+                       "concat_ws(' ', event_type, props) AS text FROM events"),
     "users_by_year": BY_YEAR,
     "users_by_year_range": (f"SELECT year, year - 1995 AS part, raw FROM ({BY_YEAR}) "
                             "WHERE year BETWEEN 1995 AND 2000"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linebeam import sinks
-from linebeam.functions.xmlrow import attr, attr_map, attr_value
+from linebeam.functions.xmlrow import attr, attr_map, attr_value, typed_attrs
 from linebeam.operators import bloom as bl
 from linebeam.operators import bloomjoin, hotlist, index, joins, partition, stats, wordcount
 from linebeam.plans import tables as T
@@ -163,6 +163,12 @@ def q_xml_attr_project(spark, d):
             .where(F.col("user_id").isNotNull()))
 
 
+def q_xml_attr_typed(spark, d):
+    rows = T.comment_rows(spark, d)
+    t = rows.select(typed_attrs(F.col("value"), {"Id": "bigint", "UserId": "bigint", "Text": "string"}).alias("t"))
+    return t.select(F.col("t.Id").alias("id"), F.col("t.UserId").alias("user_id"), F.col("t.Text").alias("text"))
+
+
 def q_users_by_year(spark, d):
     return partition.users_by_year(T.user_rows(spark, d))
 
@@ -301,6 +307,7 @@ QUERIES: dict[str, Query] = {
     "minmax_report": q_minmax_report,
     "xml_attr_map": q_xml_attr_map,
     "xml_attr_project": q_xml_attr_project,
+    "xml_attr_typed": q_xml_attr_typed,
     "users_by_year": q_users_by_year,
     "users_by_year_range": q_users_by_year_range,
     "src_text_lines": q_src_text_lines,

@@ -233,3 +233,14 @@ def test_inverted_index_buckets_keep_every_file(spark):
         got.setdefault(r["word"], []).extend(r["files"].split(" "))
     assert {w: " ".join(sorted(v)) for w, v in got.items()} == whole
     assert split.where("word = 'common'").count() > 1
+
+
+def test_typed_attrs_unescape_and_types(spark):
+    from linebeam.functions.xmlrow import typed_attrs
+    df = spark.createDataFrame([('  <row Id="1" Reputation="1600" Text="a &amp; b" />',),
+                                ('<row Id="2" Reputation="x" />',), ("<row broken",)], "v string")
+    got = [r["s"] for r in df.select(typed_attrs(F.col("v"), {"Id": "string", "Reputation": "int", "Text": "string"})
+                                     .alias("s")).collect()]
+    assert (got[0]["Id"], got[0]["Reputation"], got[0]["Text"]) == ("1", 1600, "a & b")
+    assert (got[1]["Id"], got[1]["Reputation"]) == ("2", None)
+    assert got[2]["Id"] is None
