@@ -14,6 +14,11 @@ WORD_DELIMITERS = "[ \\t\\n\\r\\f]+"
 # character is a Unicode letter.
 LETTER_START = "^\\p{L}"
 
+# Hot-list token cleaning -- apostrophes are removed, then every
+# character outside A-Z and a-z becomes one blank.
+HOT_DROP = "'"
+HOT_BLANK = "[^a-zA-Z]"
+
 
 def tokens(text: Column | str) -> Column:
     """array<string> of the non-empty tokens of ``text``."""
@@ -39,7 +44,7 @@ def hot_token(word: Column, strip: bool = False, lower: bool = False) -> Column:
     Apostrophes vanish and every other non-ASCII-letter becomes a blank, so
     ``word.`` is looked up as ``word `` (and misses) unless ``strip`` is set.
     """
-    out = F.regexp_replace(F.regexp_replace(word, "'", ""), "[^a-zA-Z]", " ")
+    out = F.regexp_replace(F.regexp_replace(word, HOT_DROP, ""), HOT_BLANK, " ")
     if strip:
         out = F.trim(out)
     if lower:

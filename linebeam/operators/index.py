@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from linebeam.functions.text import words
 
+# A printed posting list is "{ " + names joined by " " + " }".
+LIST_OPEN = "{ "
+LIST_CLOSE = " }"
+
 
 def word_file_pairs(lines: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
     """(word, file) per token occurrence, word lower-cased."""
@@ -48,7 +52,7 @@ def inverted_index(lines: DataFrame, text: str = "value", file: str = "file", bu
 
 def inverted_index_report(index: DataFrame) -> DataFrame:
     """(word, files) with the posting list printed as ``{ f0 f1 }``."""
-    return index.select("word", F.concat(F.lit("{ "), F.col("files"), F.lit(" }")).alias("files"))
+    return index.select("word", F.concat(F.lit(LIST_OPEN), F.col("files"), F.lit(LIST_CLOSE)).alias("files"))
 
 
 def sort_by_key(df: DataFrame, key: str = "word") -> DataFrame:

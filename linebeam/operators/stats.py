@@ -14,6 +14,11 @@ from linebeam.functions.numbers import array_sum, drop_trailing, int_list, int_l
 
 _ON_BAD = ("fail", "skip")
 
+# The min/max report line and the two point labels.
+REPORT_FORMAT = "Minimum: %s\tMaximum: %s\tmalformed: %s"
+INSIDE = "Inside"
+OUTSIDE = "Outside"
+
 
 def space_numbers(lines: DataFrame, text: str = "value", on_bad: str = "fail",
                   keep: tuple[str, ...] = ()) -> DataFrame:
@@ -110,7 +115,7 @@ def observe_malformed(parsed: DataFrame, name: str = "malformed") -> tuple[DataF
 
 def minmax_report(stats: DataFrame) -> DataFrame:
     """(report string): ``Minimum: a<TAB>Maximum: b<TAB>malformed: c``."""
-    return stats.select(F.format_string("Minimum: %s\tMaximum: %s\tmalformed: %s",
+    return stats.select(F.format_string(REPORT_FORMAT,
                                         F.coalesce(F.col("min").cast("string"), F.lit("null")),
                                         F.coalesce(F.col("max").cast("string"), F.lit("null")),
                                         F.col("malformed")).alias("report"))
@@ -123,7 +128,7 @@ def inside_circle(x: str, y: str, r: float):
 
 def circle_label_count(points: DataFrame, r: float, x: str = "x", y: str = "y") -> DataFrame:
     """(label string, n bigint) with labels ``Inside`` and ``Outside``."""
-    label = F.when(inside_circle(x, y, r), F.lit("Inside")).otherwise(F.lit("Outside"))
+    label = F.when(inside_circle(x, y, r), F.lit(INSIDE)).otherwise(F.lit(OUTSIDE))
     return points.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
