@@ -79,7 +79,7 @@ def main():
     spark = build_session()
     out = ["# Executed plans", "",
            f"Generated by `tools/plan_summary.py` at `{sf}` on local[8]: counts of plan nodes in each",
-           "query's AQE-final physical plan (subquery plans included). RoundRobin exchanges are the",
+           "query's AQE-final physical plan. RoundRobin exchanges are the",
            "`spread` of single-row-group test files and vanish on inputs with enough splits. Counts",
            "are for the main plan; a scalar subquery (Bloom bits, short hot-key list) runs once per",
            "query as its own small job.", "",
