@@ -244,3 +244,17 @@ def test_typed_attrs_unescape_and_types(spark):
     assert (got[0]["Id"], got[0]["Reputation"], got[0]["Text"]) == ("1", 1600, "a & b")
     assert (got[1]["Id"], got[1]["Reputation"]) == ("2", None)
     assert got[2]["Id"] is None
+
+
+def test_q20_first_letter_by_code_point(spark):
+    lines = spark.createDataFrame([("\U0001D49Cbc xyz 1a",)], "value string")
+    assert dict(rows(wordcount.first_char_count(lines), "letter", "n")) == {"\U0001D49C": 1, "x": 1}
+
+
+def test_q22_duplicate_training_keys(spark):
+    from linebeam.operators import bloom as bl
+    keys = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "key string")
+    bf = bl.bloom_build(keys, "key")
+    assert bf.n == 2
+    once = bl.bloom_build(keys.distinct(), "key")
+    assert bf.table.first()["bits"] == once.table.first()["bits"]
