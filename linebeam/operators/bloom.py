@@ -16,9 +16,12 @@ used to size the filter) and, at use, the bounded bit array.
 
 Use: the bit array reaches every task as a scalar subquery -- the same way
 Spark's own runtime Bloom-filter join ships its filter -- and is tested with k
-``getbit`` calls, so the filtering side stays map-only (no Exchange). The size
-is bounded by ``max_bits`` (default 64 Mbit = 8 MB); above it callers take the
-exact path (a semi-join) instead.
+``getbit`` calls, so the filtering side stays map-only (no Exchange). The
+subquery runs once per query; its value travels inside the stage's task
+binary, which Spark broadcasts once per executor per stage (not per task).
+The size is bounded by ``max_bits`` (default 64 Mbit = 8 MB, the cap Spark
+uses for its own runtime filters); above it callers take the exact path (a
+semi-join) instead.
 """
 
 from __future__ import annotations
