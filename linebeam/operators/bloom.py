@@ -95,15 +95,18 @@ def might_contain(bf: BloomFilter, key: Column, bits: str = BITS_COL) -> Column:
                       F.lit(False))
 
 
-def might_contain_any(bf: BloomFilter, keys: Column, prepare=None, bits: str = BITS_COL) -> Column:
+def might_contain_any(bf: BloomFilter, keys: Column, prepare=None, confirm=None, bits: str = BITS_COL) -> Column:
     """True when any element of the array ``keys`` may be in the filter.
 
     Evaluation is lazy and stops at the first hit: each element is prepared
     (``prepare(element) -> key``; an empty or NULL key is skipped), hashed
-    once and tested only when reached.
+    once and tested only when reached. ``confirm(key) -> Column``, when
+    given, is evaluated only for keys that pass the filter, turning the test
+    exact at the cost of the rare false positive.
     """
     def test(key):
-        return F.exists(F.array(hash_pair(key)), lambda h: _all_bits_set(F.col(bits), h, bf.m, bf.k))
+        hit = F.exists(F.array(hash_pair(key)), lambda h: _all_bits_set(F.col(bits), h, bf.m, bf.k))
+        return hit if confirm is None else hit & confirm(key)
 
     if prepare is None:
         hit = F.exists(keys, test)
@@ -119,7 +122,6 @@ def bloom_build(keys: DataFrame, key: str, n: int | None = None, p: float = 0.01
     ``n`` defaults to the number of distinct keys (one count job); duplicates
     are harmless. Raises ``ValueError`` when the filter would exceed ``max_bits``.
     """
-    spark = keys.sparkSession
     members = keys.select(F.col(key).cast("string").alias("key")).where(F.col("key").isNotNull())
     if n is None:
         n = members.distinct().count()

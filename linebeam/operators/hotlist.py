@@ -2,10 +2,11 @@
 tokens is in a list of hot keys.
 
 Exact form, short list (at most ``max_inline_keys`` keys, checked by a
-count): the key array reaches every task as a scalar subquery and each record
-is tested with ``arrays_overlap`` (a hash set of the smaller array, probe with
-the other, stop at the first hit) -- map-only, the record text is never
-shuffled. Long list: tokens -> semi-join with the distinct hot keys (AQE
+count): the key array and a Bloom filter of it reach every task as scalar
+subqueries; a record's tokens are cleaned, hashed and Bloom-tested lazily,
+and only a token that passes is confirmed against the key array, stopping at
+the first confirmed hit -- map-only, the record text is never shuffled, and
+a token costs one hash and a few bit probes. Long list: tokens -> semi-join with the distinct hot keys (AQE
 broadcasts it when measured small) -> distinct matching ids -> semi-join of
 the records on id.
 Bloom form: map-only; each record's tokens are tested against a Bloom filter
@@ -34,7 +35,7 @@ def hot_keys(hot: DataFrame, key: str = "key") -> DataFrame:
     return hot.select(F.col(key).cast("string").alias("key")).where(F.col("key").isNotNull()).distinct()
 
 
-DEFAULT_MAX_INLINE_KEYS = 1024
+DEFAULT_MAX_INLINE_KEYS = 65536  # ~1 MB of keys; a confirmation scans them once
 _HOT_COL = "_hot_keys"
 
 
@@ -48,11 +49,14 @@ def hotlist_filter(records: DataFrame, id_col: str, text: str, hot: DataFrame, h
     if approximate:
         return hotlist_filter_bloom(records, text, hotlist_bloom(hot, hot_key, p), strip, lower)
     keys = hot_keys(hot, hot_key)
-    if keys.count() <= max_inline_keys:
+    n = keys.count()
+    if n <= max_inline_keys:
+        bf = bloom_build(keys, "key", n=n, p=p)
         arr = keys.agg(F.collect_list("key").alias("keys")).select("keys").scalar()
-        return (records.withColumn(_HOT_COL, arr)
-                .where(F.coalesce(F.arrays_overlap(cleaned_tokens(text, strip, lower), F.col(_HOT_COL)), F.lit(False)))
-                .drop(_HOT_COL))
+        hit = might_contain_any(bf, F.split(F.col(text), WORD_DELIMITERS),
+                                prepare=lambda w: hot_token(w, strip, lower),
+                                confirm=lambda c: F.array_contains(F.col(_HOT_COL), c))
+        return bf.attach(records.withColumn(_HOT_COL, arr)).where(hit).drop(_HOT_COL, BITS_COL)
     return semi_join_filter(records, id_col, text, keys, strip, lower)
 
 
