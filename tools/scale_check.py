@@ -1,28 +1,50 @@
 """Scaling check: run key queries with the big tables (documents, events)
 replicated FACTOR times by unionByName, to see that time grows at most
-linearly. usage: python tools/scale_check.py FACTOR [sf_dir]
+linearly.
+
+usage: python tools/scale_check.py FACTOR [sf_dir]
 """
-import functools, json, sys, time
-sys.path.insert(0, __import__("os").path.dirname(__import__("os").path.dirname(__import__("os").path.abspath(__file__))))
-from linebeam.session import build_session
-from linebeam.plans import tables as T
-from linebeam.plans.queries import QUERIES
-
-factor = int(sys.argv[1])
-orig = T.table
-def scaled(spark, sf_dir, name, *cols):
-    df = orig(spark, sf_dir, name, *cols)
-    if name in ("documents", "events") and factor > 1:
-        df = functools.reduce(lambda a, b: a.unionByName(b), [df] * factor)
-    return df
-T.table = scaled
-spark = build_session()
-d = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.1"
-out = {}
-for q in ["first_char_count", "inverted_index", "posting_counts", "hotlist_filter", "hotlist_filter_bloom",
-          "xml_word_count", "join_fullouter", "bloom_join_leftouter", "min_max"]:
-    ts = []
-    for i in range(2):
-        t = time.time(); QUERIES[q](spark, d).write.format("noop").mode("overwrite").save(); ts.append(time.time() - t)
-    out[q] = round(ts[-1], 2)
-print(json.dumps({"factor": factor, "seconds": out}))
+
+from __future__ import annotations
+
+import functools
+import json
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from linebeam.plans import tables as T  # noqa: E402
+from linebeam.plans.queries import QUERIES  # noqa: E402
+from linebeam.session import build_session  # noqa: E402
+
+QUERY_NAMES = ["first_char_count", "inverted_index", "posting_counts", "hotlist_filter", "hotlist_filter_bloom",
+               "xml_word_count", "join_fullouter", "bloom_join_leftouter", "min_max"]
+BIG = ("documents", "events")
+
+
+def main():
+    factor = int(sys.argv[1])
+    sf_dir = sys.argv[2] if len(sys.argv) > 2 else "/root/testdata/sf0.1"
+    plain = T.table
+
+    def replicated(spark, d, name, *cols):
+        df = plain(spark, d, name, *cols)
+        if name in BIG and factor > 1:
+            df = functools.reduce(lambda a, b: a.unionByName(b), [df] * factor)
+        return df
+
+    T.table = replicated
+    spark = build_session()
+    out = {}
+    for q in QUERY_NAMES:
+        for _ in range(2):  # the second, warm run is reported
+            t0 = time.time()
+            QUERIES[q](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            out[q] = round(time.time() - t0, 2)
+    print(json.dumps({"factor": factor, "seconds": out}))
+
+
+if __name__ == "__main__":
+    main()
