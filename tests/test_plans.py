@@ -66,3 +66,24 @@ def test_short_hot_list_exact_filter_is_map_only(spark):
     assert "Exchange" not in main_plan(out)
     long_form = hotlist.hotlist_filter(docs, "doc_id", "text", hot, max_inline_keys=1)
     assert "Exchange" in main_plan(long_form) or "BroadcastExchange" in plan(long_form)
+
+
+def test_outer_join_shuffles_each_side_once(spark):
+    """Without broadcast, the full outer decomposition reuses the shuffle of
+    each side's rows across its branches (only the distinct-key sides add)."""
+    from linebeam.operators import joins
+    from linebeam.plans import tables as T
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")
+    try:
+        d = "/root/testdata/sf0.001"
+        df = joins.record_join(T.users(spark, d), T.comments(spark, d), "id", "user_id", "fullouter")
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().executedPlan().toString()
+        assert final.count("SortMergeJoin") == 3
+        assert final.count("ReusedExchange") == 2
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
