@@ -73,8 +73,8 @@ def test_outer_join_shuffles_each_side_once(spark):
     each side's rows across its branches (only the distinct-key sides add)."""
     from linebeam.operators import joins
     from linebeam.plans import tables as T
-    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
-                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                                "spark.sql.adaptive.autoBroadcastJoinThreshold")}
     for k in old:
         spark.conf.set(k, "-1")
     try:
@@ -86,4 +86,7 @@ def test_outer_join_shuffles_each_side_once(spark):
         assert final.count("ReusedExchange") == 2
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
