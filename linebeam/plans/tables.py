@@ -6,12 +6,12 @@ capped or subset by id.
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linebeam.functions.xmlrow import xml_escape
+from linebeam.sources.text import spread
 
 # Fixed values of the bindings.
 USER_NATION_BELOW = 10        # users: customers of nations 0..9 (leaves unmatched keys on both sides)
@@ -40,21 +40,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return spread(df, name) if name in HEAVY_ROWS else df
 
 
-def spread(df: DataFrame, name: str = "input") -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan yields
-    fewer splits than cores (a file of one row group is one task).
-
-    The input row count is recorded as an observed metric; the metric node
-    also keeps the per-row filters of the query above the exchange, so they
-    run on every core instead of in the single scan task. At scale the input
-    has far more splits than cores and the DataFrame is returned unchanged
-    (scan filters and column pruning untouched)."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want).observe(f"rows_{name}_{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("rows"))
-
-
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id string, raw string, reputation int)."""
     c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
