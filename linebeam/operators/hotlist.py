@@ -41,17 +41,20 @@ _HOT_COL = "_hot_keys"
 
 def hotlist_filter(records: DataFrame, id_col: str, text: str, hot: DataFrame, hot_key: str = "key",
                    strip: bool = False, lower: bool = False, approximate: bool = False,
-                   p: float = 0.01, max_inline_keys: int = DEFAULT_MAX_INLINE_KEYS) -> DataFrame:
+                   p: float = 0.01, max_inline_keys: int = DEFAULT_MAX_INLINE_KEYS,
+                   bf: BloomFilter | None = None) -> DataFrame:
     """Records (all columns) with at least one cleaned token in ``hot``.
 
     ``approximate=True`` is the map-only Bloom form (false positives at rate
-    about ``p`` per token; no record that matches is ever lost)."""
+    about ``p`` per token; no record that matches is ever lost). ``bf`` reuses
+    a filter already built on the same keys."""
     if approximate:
-        return hotlist_filter_bloom(records, text, hotlist_bloom(hot, hot_key, p), strip, lower)
+        return hotlist_filter_bloom(records, text, bf or hotlist_bloom(hot, hot_key, p), strip, lower)
     keys = hot_keys(hot, hot_key)
-    n = keys.count()
+    n = bf.n if bf is not None else keys.count()
     if n <= max_inline_keys:
-        bf = bloom_build(keys, "key", n=n, p=p)
+        if bf is None:
+            bf = bloom_build(keys, "key", n=n, p=p)
         arr = keys.agg(F.collect_list("key").alias("keys")).select("keys").scalar()
         hit = might_contain_any(bf, F.split(F.col(text), WORD_DELIMITERS),
                                 prepare=lambda w: hot_token(w, strip, lower),
@@ -77,13 +80,12 @@ def hotlist_bloom(hot: DataFrame, hot_key: str = "key", p: float = 0.01,
 def hotlist_filter_bloom(records: DataFrame, text: str, bf: BloomFilter, strip: bool = False,
                          lower: bool = False, verify: bool = False, id_col: str | None = None,
                          hot: DataFrame | None = None, hot_key: str = "key") -> DataFrame:
-    """Map-only Bloom form; with ``verify`` (needs ``id_col`` and ``hot``) the
-    candidates are checked exactly."""
+    """Map-only Bloom form; with ``verify`` (needs ``id_col`` and ``hot``) every
+    hit is confirmed against the hot keys (the exact ``hotlist_filter``)."""
+    if verify:
+        if id_col is None or hot is None:
+            raise ValueError("verify=True needs id_col and hot")
+        return hotlist_filter(records, id_col, text, hot, hot_key, strip, lower, bf=bf)
     raw = F.split(F.col(text), WORD_DELIMITERS)
     hit = might_contain_any(bf, raw, prepare=lambda w: hot_token(w, strip, lower))
-    cand = bf.attach(records).where(hit).drop(BITS_COL)
-    if not verify:
-        return cand
-    if id_col is None or hot is None:
-        raise ValueError("verify=True needs id_col and hot")
-    return semi_join_filter(cand, id_col, text, hot_keys(hot, hot_key), strip, lower)
+    return bf.attach(records).where(hit).drop(BITS_COL)

@@ -258,3 +258,18 @@ def test_q22_duplicate_training_keys(spark):
     assert bf.n == 2
     once = bl.bloom_build(keys.distinct(), "key")
     assert bf.table.first()["bits"] == once.table.first()["bits"]
+
+
+def test_bloom_hotlist_verify_is_exact(spark):
+    from linebeam.operators import hotlist
+    def word(i):  # alphabetic, since the hot-token cleaning blanks digits
+        return "w" + chr(97 + i % 26) + chr(97 + i // 26)
+    recs = spark.createDataFrame([(i, f"{word(i)} x") for i in range(300)], "id long, text string")
+    hot = spark.createDataFrame([(word(i),) for i in range(0, 300, 3)], "key string")
+    bf = hotlist.hotlist_bloom(hot, p=0.2)
+    exact = sorted(r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot, max_inline_keys=0).collect())
+    assert exact == list(range(0, 300, 3))
+    verified = hotlist.hotlist_filter_bloom(recs, "text", bf, verify=True, id_col="id", hot=hot)
+    assert sorted(r["id"] for r in verified.collect()) == exact
+    loose = {r["id"] for r in hotlist.hotlist_filter_bloom(recs, "text", bf).collect()}
+    assert set(exact) <= loose
