@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linebeam.functions.rows import keep_where
 from linebeam.functions.xmlrow import attr_value, creation_year, is_row_line
 
 
@@ -17,8 +18,7 @@ def users_by_year(rows: DataFrame, text: str = "value", date_attr: str = "Creati
     rows without the attribute or with an unparsable date are dropped."""
     lines = rows.where(is_row_line(F.col(text)))
     year = creation_year(attr_value(F.col(text), date_attr))
-    return (lines.select(year.alias("year"), F.col(text).alias("raw"))
-            .where(F.col("year").isNotNull()))
+    return keep_where(lines, {"year": year, "raw": F.col(text)}, lambda r: r["year"].isNotNull())
 
 
 def year_range(by_year: DataFrame, min_year: int, num_years: int) -> DataFrame:

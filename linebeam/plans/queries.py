@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linebeam import sinks
+from linebeam.functions.rows import keep_where
 from linebeam.functions.xmlrow import attr, attr_map, attr_value, typed_attrs
 from linebeam.operators import bloom as bl
 from linebeam.operators import bloomjoin, hotlist, index, joins, partition, stats, wordcount
@@ -31,7 +32,9 @@ def q_first_char_count(spark, d):
 
 def q_xml_word_count(spark, d):
     rows = T.comment_rows(spark, d)
-    text = rows.select(attr_value(F.col("value"), "Text").alias("value")).where(F.col("value").isNotNull())
+    # rows without Text give no tokens; no separate NULL filter, which Catalyst
+    # would push below the projection and so evaluate the extraction twice
+    text = rows.select(attr_value(F.col("value"), "Text").alias("value"))
     return wordcount.word_count(text, case="lower")
 
 
@@ -158,9 +161,10 @@ def q_xml_attr_map(spark, d):
 
 
 def q_xml_attr_project(spark, d):
-    m = T.comment_rows(spark, d).select(attr_map(F.col("value")).alias("attrs"))
-    return (m.select(attr(F.col("attrs"), "Id").alias("id"), attr(F.col("attrs"), "UserId").alias("user_id"))
-            .where(F.col("user_id").isNotNull()))
+    m = F.col("attrs")
+    parsed = T.comment_rows(spark, d).select(attr_map(F.col("value")).alias("attrs"))
+    return keep_where(parsed, {"id": attr(m, "Id"), "user_id": attr(m, "UserId")},
+                      lambda r: r["user_id"].isNotNull())
 
 
 def q_xml_attr_typed(spark, d):
