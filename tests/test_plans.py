@@ -90,3 +90,12 @@ def test_outer_join_shuffles_each_side_once(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_year_expression_evaluated_once(spark):
+    """The year of a row is computed once: no Filter repeats the date parse."""
+    from linebeam.operators import partition
+    lines = spark.createDataFrame([('<row Id="1" CreationDate="2010-01-01T00:00:00.000" />',)], "value string")
+    p = main_plan(partition.users_by_year(lines))
+    assert p.count("try_to_timestamp") == 1
+    assert "Generate" in p
