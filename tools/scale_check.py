@@ -1,4 +1,4 @@
-"""Scaling check: run key queries with the big tables (documents, events)
+"""Scaling check: run key queries with the big tables (documents, events, orders)
 replicated FACTOR times by unionByName, to see that time grows at most
 linearly.
 
@@ -20,8 +20,8 @@ from linebeam.plans.queries import QUERIES  # noqa: E402
 from linebeam.session import build_session  # noqa: E402
 
 QUERY_NAMES = ["first_char_count", "inverted_index", "posting_counts", "hotlist_filter", "hotlist_filter_bloom",
-               "xml_word_count", "join_fullouter", "bloom_join_leftouter", "min_max"]
-BIG = ("documents", "events")
+               "xml_word_count", "join_fullouter", "bloom_join_leftouter", "min_max", "users_by_year"]
+BIG = ("documents", "events", "orders")
 
 
 def main():
