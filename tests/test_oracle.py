@@ -8,6 +8,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 
 SF = "/root/testdata/sf0.01"
+SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -49,3 +50,6 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(cols)
     assert got == _rows(cols, cur.fetchall())
+    spark_types = {f.name: SQL_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    sql_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {oracle_sql()[name]}").fetchall()}
+    assert spark_types == sql_types
