@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -19,18 +18,22 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
 }
 
+_SCRATCH: dict[str, list[str]] = {}   # application id -> folders made by scratch_dir
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "linebeam", extra: dict | None = None) -> SparkSession:
     """Return a SparkSession with the library defaults.
 
-    ``master`` defaults to ``local[$BENCH_CPUS]`` (8 if unset); on a cluster pass
-    ``None`` through ``spark-submit`` and the cluster manager decides.
+    The master and the number of shuffle partitions are set only when given;
+    otherwise ``spark-submit`` and the cluster's own configuration decide.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app).master(master or f"local[{cpus}]")
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or int(cpus))
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -42,23 +45,33 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created
-    and registered, so later calls and ``DataFrame.checkpoint()`` agree.
+    A private folder is made only where the setting is absent and the master is
+    local; on a cluster a missing setting is an error, since no machine-local
+    folder is visible to all executors.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - conf absent
-            root = None
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="linebeam-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, never reused folder below the shared checkpoint folder."""
-    return f"{_checkpoint_root(spark)}/linebeam-stage/{name}-{uuid.uuid4().hex}"
+    path = f"{_checkpoint_root(spark)}/linebeam-stage/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the staged folders this application made; call it once their
+    results are no longer read. Returns how many were removed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        done += bool(p.getFileSystem(conf).delete(p, True))
+    return done
