@@ -2,16 +2,43 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from linebeam.llm import bpe, tokenbin
 from linebeam.llm.common import read
 from linebeam.llm.neardup import near_duplicates
+from linebeam.session import scratch_dir
+
+# Parameters of the queries
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
+END_ID = 1
+
+
+def op3_byte_bpe(spark, d):
+    path = public_tokenizers.path(BPE_RANKS)
+    ids = bpe.encode(read(spark, d, "documents"), "text", ["doc_id"], path, public_tokenizers.PATTERN)
+    digests = ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), "ids")
+    out = bpe.decode(digests, "ids", ["doc_id", "n_tokens", "ids_sha256"], path)
+    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 def op8_minhash_neardup(spark, d):
     return near_duplicates(read(spark, d, "documents"))
 
 
+def op10_token_binary(spark, d):
+    path = scratch_dir(spark, "token-ids")
+    tokenbin.write_ids(read(spark, d, "documents"), "doc_id", "text", public_tokenizers.path(WORD_BPE), END_ID, path)
+    return tokenbin.read_digests(spark, path)
+
+
 QUERIES = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op8_minhash_neardup": op8_minhash_neardup,
+    "op10_token_binary": op10_token_binary,
 }
 
 SQL: dict[str, str] = {}
