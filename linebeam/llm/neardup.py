@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     # only documents that a pair or a long list names
     ids = found.select(F.col("a").alias("cid")).union(found.select("b")).union(long_.select("cid")).distinct()
-    sets = staged(full_sets(docs, ids, width), "sets", "lz4")
+    sets = staged(full_sets(docs, ids, width), "sets")
     links = staged(verify(found, sets, t), "links")
     comp = components(links, "a", "b")
 
