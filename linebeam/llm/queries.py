@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from linebeam.llm import bpe, tokenbin
+from linebeam.llm import bpe, tokenbin, toxicity
 from linebeam.llm.common import read
 from linebeam.llm.neardup import near_duplicates
 from linebeam.session import scratch_dir
@@ -16,6 +16,10 @@ WORD_BPE = "word_bpe_49k.json"
 END_ID = 1
 
 
+def op2_toxicity(spark, d):
+    return toxicity.toxicity(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 def op3_byte_bpe(spark, d):
     path = public_tokenizers.path(BPE_RANKS)
     ids = bpe.encode(read(spark, d, "documents"), "text", ["doc_id"], path, public_tokenizers.PATTERN)
@@ -36,6 +40,7 @@ def op10_token_binary(spark, d):
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op10_token_binary": op10_token_binary,
