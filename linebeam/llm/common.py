@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linebeam.session import scratch_dir
 
@@ -18,3 +20,30 @@ def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     path = scratch_dir(spark, name)
     df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BIT_TABLE = 1 << 23   # bits of a bit table: 1 MB whatever the data
+
+
+def bit_of(col):
+    """The place of a 64-bit value in a bit table."""
+    return F.pmod(col, F.lit(BIT_TABLE)).cast("int")
+
+
+def bit_table(values: DataFrame, col: str):
+    """A broadcast bit table of the 64-bit hashes in ``col``: of fixed size, so
+    it may always be sent; a fuller table only lets more rows pass to the exact
+    join that follows."""
+    words = (values.select(bit_of(F.col(col)).alias("bit"))
+             .groupBy(F.shiftright("bit", 6).alias("word"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, bit & 63)")).alias("bits")).collect())  # BIT_TABLE / 64 rows at most
+    table = np.zeros(BIT_TABLE // 64, np.int64)
+    for w in words:
+        table[w["word"]] = w["bits"]
+    return values.sparkSession.sparkContext.broadcast(table.tobytes())
+
+
+def in_table(table: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Which signed 64-bit hashes the table may hold."""
+    at = hashes.astype(np.int64) % BIT_TABLE
+    return (np.frombuffer(table, np.uint64)[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1

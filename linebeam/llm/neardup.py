@@ -34,14 +34,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linebeam.llm.common import staged
+from linebeam.llm.common import bit_of, bit_table, in_table, staged
 from linebeam.llm.graph import components
 from linebeam.llm.shingles import WordHashes, shingle_set
 
 K = 64                # retained hashes of a set
 SIGMAS = 5.0          # slack of the sketch statistics, in standard deviations
 SHORT_LIST = 8        # a list up to this long gives all its pairs at once
-FILTER_BITS = 1 << 23  # fixed size (1 MB) of the id filter that the second text pass consults
 
 SKETCHED = "doc_id bigint, n_shingles int, cls binary, sketch array<bigint>"
 SETS = "cid bigint, n int, hashes array<bigint>"
@@ -77,13 +76,13 @@ def _sketcher(width, k):
     return run
 
 
-def _full_sets(width, bits):
+def _full_sets(width, table):
     def run(batches):
-        cache, mask = WordHashes(), np.frombuffer(bits.value, np.uint64)
+        cache = WordHashes()
         for b in batches:
             for lo in range(0, b.num_rows, 500):
-                ids, pos, texts = _texts(b.slice(lo, 500), ("doc_id", "bit", "text"))
-                hit = [i for i, p in enumerate(pos) if int(mask[p >> 6]) >> (p & 63) & 1]
+                ids, bits, texts = _texts(b.slice(lo, 500), ("doc_id", "bit", "text"))
+                hit = np.flatnonzero(in_table(table.value, np.array(bits, np.int64)))
                 sets = [shingle_set(texts[i], cache, width) for i in hit]
                 full = [(ids[i], s) for i, s in zip(hit, sets) if len(s)]
                 yield pa.RecordBatch.from_arrays([
@@ -92,24 +91,13 @@ def _full_sets(width, bits):
     return run
 
 
-def _bit(col):
-    return F.pmod(F.xxhash64(col), F.lit(FILTER_BITS)).cast("int")
-
-
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(cid, n, hashes) of the documents whose id is in ``ids`` (distinct). A
     bit table of fixed size drops most other rows before any shuffle; the join
     with ``ids`` is exact."""
-    spark = docs.sparkSession
-    words = (ids.select(_bit("cid").alias("bit"))
-             .groupBy(F.shiftright("bit", 6).alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, bit & 63)")).alias("bits")).collect())  # FILTER_BITS / 64 rows at most
-    mask = np.zeros(FILTER_BITS // 64, np.int64)
-    for w in words:
-        mask[w["word"]] = w["bits"]
-    bits = spark.sparkContext.broadcast(mask.tobytes())
-    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", _bit("doc_id").alias("bit"), "text")
-    return rows.mapInArrow(_full_sets(width, bits), SETS).join(ids, "cid", "left_semi")
+    table = bit_table(ids.select(F.xxhash64("cid").alias("h")), "h")
+    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", bit_of(F.xxhash64("doc_id")).alias("bit"), "text")
+    return rows.mapInArrow(_full_sets(width, table), SETS).join(ids, "cid", "left_semi")
 
 
 def prefix_lists(postings: DataFrame, need) -> DataFrame:

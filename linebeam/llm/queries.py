@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from linebeam.llm import bpe, tokenbin, toxicity
+from linebeam.llm import bpe, secretscan, tokenbin, toxicity
 from linebeam.llm.common import read
+from linebeam.llm.decontam import contaminated
 from linebeam.llm.neardup import near_duplicates
 from linebeam.session import scratch_dir
 
@@ -29,10 +30,19 @@ def op3_byte_bpe(spark, d):
     return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+def op4_secrets(spark, d):
+    return secretscan.secret_report(read(spark, d, "documents"))
+
+
 def op8_minhash_neardup(spark, d):
     return near_duplicates(read(spark, d, "documents"))
 
 
+def op9_decontamination(spark, d):
+    found = contaminated(read(spark, d, "documents"), read(spark, d, "benchmark"))
+    return found.select("doc_id", "item_id", "windows", "item_windows", "coverage")
+
+
 def op10_token_binary(spark, d):
     path = scratch_dir(spark, "token-ids")
     tokenbin.write_ids(read(spark, d, "documents"), "doc_id", "text", public_tokenizers.path(WORD_BPE), END_ID, path)
@@ -42,8 +52,12 @@ def op10_token_binary(spark, d):
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_secrets": op4_secrets,
     "op8_minhash_neardup": op8_minhash_neardup,
+    "op9_decontamination": op9_decontamination,
     "op10_token_binary": op10_token_binary,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_secrets": secretscan.duckdb_report(),
+}
