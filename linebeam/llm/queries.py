@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linebeam.llm import bpe, secretscan, tokenbin, toxicity
 from linebeam.llm.common import read
 from linebeam.llm.decontam import contaminated
+from linebeam.llm.htmltext import page_text
 from linebeam.llm.neardup import near_duplicates
 from linebeam.session import scratch_dir
 
@@ -34,6 +35,11 @@ def op4_secrets(spark, d):
     return secretscan.secret_report(read(spark, d, "documents"))
 
 
+def op7_html_text(spark, d):
+    text = page_text(read(spark, d, "pages"))
+    return text.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op8_minhash_neardup(spark, d):
     return near_duplicates(read(spark, d, "documents"))
 
@@ -53,6 +59,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_secrets": op4_secrets,
+    "op7_html_text": op7_html_text,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_decontamination": op9_decontamination,
     "op10_token_binary": op10_token_binary,
