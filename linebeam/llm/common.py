@@ -47,3 +47,16 @@ def in_table(table: bytes, hashes: np.ndarray) -> np.ndarray:
     """Which signed 64-bit hashes the table may hold."""
     at = hashes.astype(np.int64) % BIT_TABLE
     return (np.frombuffer(table, np.uint64)[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def ranked(rows: DataFrame, *order) -> DataFrame:
+    """``rows`` with ``rank``, its place in the global order: a distributed sort,
+    places inside each partition, and one count per partition on the driver."""
+    spark = rows.sparkSession
+    placed = staged(rows.orderBy(*order).select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("mid")), "ranked")
+    starts, total = [], 0
+    for r in sorted(placed.groupBy("part").count().collect()):   # one row per partition
+        starts.append((r["part"], total))
+        total += r["count"]
+    base = spark.createDataFrame(starts, "part int, base bigint")
+    return placed.join(base, "part").select(*rows.columns, (F.col("base") + F.col("mid").bitwiseAND((1 << 33) - 1)).alias("rank"))

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linebeam.llm.common import staged
+from linebeam.llm.common import ranked, staged
 from linebeam.llm.lcs import shared
 
 TOKEN = re.compile(
@@ -181,19 +181,6 @@ def _text_pass(differencing_only):
     return run
 
 
-def ranked(rows: DataFrame, *order: str) -> DataFrame:
-    """``rows`` with ``rank``, its place in the global order: a distributed sort,
-    places inside each partition, and one count per partition on the driver."""
-    spark = rows.sparkSession
-    placed = staged(rows.orderBy(*order).select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("mid")), "ranked")
-    starts, total = [], 0
-    for r in sorted(placed.groupBy("part").count().collect()):   # one row per partition
-        starts.append((r["part"], total))
-        total += r["count"]
-    base = spark.createDataFrame(starts, "part int, base bigint")
-    return placed.join(base, "part").select(*rows.columns, (F.col("base") + F.col("mid").bitwiseAND((1 << 33) - 1)).alias("rank"))
-
-
 def mates(keys: DataFrame) -> DataFrame:
     """(key, mate) from (key, host, path): the nearest path on the host, ties to the one before; none for a lone page."""
     order = staged(ranked(keys, "host", "path", "key"), "order")

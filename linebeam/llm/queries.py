@@ -5,17 +5,29 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from linebeam.llm import bpe, secretscan, tokenbin, toxicity
+from linebeam.llm import bpe, quality, secretscan, tokenbin, toxicity
 from linebeam.llm.common import read
 from linebeam.llm.decontam import contaminated
 from linebeam.llm.htmltext import page_text
+from linebeam.llm.licences import licence_scan
 from linebeam.llm.neardup import near_duplicates
+from linebeam.llm.topk import duckdb_top, top_inner_products
 from linebeam.session import scratch_dir
 
 # Parameters of the queries
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 1
+QUERY_EVERY = 100
+
+
+def op1_licence_scan(spark, d):
+    """Documents as files <source>/<lang>/<thousands of the id>/<id>; one that
+    starts with a notice speaks for its folder."""
+    docs = read(spark, d, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"), F.col("doc_id").cast("string"))
+    found = licence_scan(docs.select("doc_id", path.alias("path"), "text"), "path", "text", keep=["doc_id"], leading_declares=True)
+    return found.select("doc_id", "path", "licence", "via", F.round("cosine", 6).alias("cosine"), "from_path")
 
 
 def op2_toxicity(spark, d):
@@ -35,6 +47,14 @@ def op4_secrets(spark, d):
     return secretscan.secret_report(read(spark, d, "documents"))
 
 
+def op5_exact_topk(spark, d):
+    return top_inner_products(read(spark, d, "embeddings"), F.col("vec_id") % QUERY_EVERY == 0)
+
+
+def op6_quality(spark, d):
+    return quality.quality(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 def op7_html_text(spark, d):
     text = page_text(read(spark, d, "pages"))
     return text.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
@@ -56,9 +76,12 @@ def op10_token_binary(spark, d):
 
 
 QUERIES = {
+    "op1_licence_scan": op1_licence_scan,
     "op2_toxicity": op2_toxicity,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_secrets": op4_secrets,
+    "op5_exact_topk": op5_exact_topk,
+    "op6_quality": op6_quality,
     "op7_html_text": op7_html_text,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_decontamination": op9_decontamination,
@@ -67,4 +90,5 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op4_secrets": secretscan.duckdb_report(),
+    "op5_exact_topk": duckdb_top(every=QUERY_EVERY),
 }

@@ -14,12 +14,12 @@ from linebeam.llm.textfeatures import features
 MIN_ROWS = 3   # training rows that hold a feature at least
 
 
-def _featurise(shards, bits):
+def _featurise(shards, bits, extract, caches):
     def run(frames):
-        cache = WordHashes()
+        cache = caches()
         for f in frames:
             yield pd.DataFrame({"shard": f["key"] % shards, "key": f["key"], "y": f["y"],
-                                "x": [features(t, cache, bits) for t in f["text"]]})
+                                "x": [extract(t, cache, bits) for t in f["text"]]})
     return run
 
 
@@ -36,21 +36,22 @@ def _shard_pass(size, shared, state, one_pass):
     return run
 
 
-def mixed_rounds(rows: DataFrame, size: int, bits: int, shards: int, rounds: int, one_pass, start=None):
+def mixed_rounds(rows: DataFrame, size: int, bits: int, shards: int, rounds: int, one_pass, how=(features, WordHashes)):
     """The state (z, n) after ``rounds`` rounds over ``rows`` (key, y, text), a
     bounded sample. A row's shard is its key modulo ``shards``; in each round
     every shard runs ``one_pass(pairs of features and y, z, n)`` from the shared
     state, in key order; a coordinate then moves by the mean step of the shards
     that touched it. Features of fewer than ``MIN_ROWS`` rows are left out: they
-    could only memorise a row. No rows: the start."""
+    could only memorise a row. ``how``: the feature function and what makes its
+    cache. No rows: zeros."""
     spark = rows.sparkSession
-    data = staged(rows.mapInPandas(_featurise(shards, bits), "shard bigint, key bigint, y double, x array<bigint>"), "train")
+    data = staged(rows.mapInPandas(_featurise(shards, bits, *how), "shard bigint, key bigint, y double, x array<bigint>"), "train")
     common = (data.select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("rows"))
               .where(F.col("rows") >= MIN_ROWS).select("x").collect())      # 2^bits numbers at most
     keep = np.zeros(1 << bits, bool)
     keep[[r["x"] for r in common]] = True
     shared = spark.sparkContext.broadcast(np.packbits(keep).tobytes())
-    z, n = start or (np.zeros(size), np.zeros(size))
+    z, n = np.zeros(size), np.zeros(size)
     for _ in range(rounds):
         used = np.flatnonzero(n)
         state = spark.sparkContext.broadcast((used, z[used], n[used]))
