@@ -13,7 +13,9 @@
    pairs; the full sets decide.
 4. After a star most long lists lie in one component and are done. Members of
    the others go through the same lists once more with the *full* sets (an
-   exact prefix filter, c = ceil(t * n)), pairs inside a component left out.
+   exact prefix filter, c = ceil(t * n)): only values that two components hold
+   count, and a pair must have room for the overlap. Long lists are cut into
+   chunks that meet two at a time.
 5. Components by large-star/small-star.
 
 Nothing is capped: list length only chooses between steps 3 and 4.
@@ -41,9 +43,11 @@ from linebeam.llm.shingles import WordHashes, shingle_set
 K = 64                # retained hashes of a set
 SIGMAS = 5.0          # slack of the sketch statistics, in standard deviations
 SHORT_LIST = 8        # a list up to this long gives all its pairs at once
+CHUNK_ROWS = 1024     # members of a list that meet the same number of others in one task
+SIG_WORDS = 16        # 64-bit words of a set's bit signature
 
 SKETCHED = "doc_id bigint, n_shingles int, cls binary, sketch array<bigint>"
-SETS = "cid bigint, n int, hashes array<bigint>"
+SETS = "cid bigint, n int, sig array<bigint>, hashes array<bigint>"
 
 
 def min_overlap(m, t: float):
@@ -76,6 +80,13 @@ def _sketcher(width, k):
     return run
 
 
+def _signature(hashes):
+    """A bit per hash value, in SIG_WORDS words: a bit of one set that another lacks is a member the other lacks."""
+    bits = np.zeros(SIG_WORDS * 64, np.uint8)
+    bits[hashes.view(np.uint64) % np.uint64(len(bits))] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
 def _full_sets(width, table):
     def run(batches):
         cache = WordHashes()
@@ -87,12 +98,12 @@ def _full_sets(width, table):
                 full = [(ids[i], s) for i, s in zip(hit, sets) if len(s)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([i for i, _ in full], pa.int64()), pa.array([len(s) for _, s in full], pa.int32()),
-                    _lists([s for _, s in full])], names=["cid", "n", "hashes"])
+                    _lists([_signature(s) for _, s in full]), _lists([s for _, s in full])], names=["cid", "n", "sig", "hashes"])
     return run
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(cid, n, hashes) of the documents whose id is in ``ids`` (distinct). A
+    """(cid, n, sig, hashes) of the documents whose id is in ``ids`` (distinct). A
     bit table of fixed size drops most other rows before any shuffle; the join
     with ``ids`` is exact."""
     table = bit_table(ids.select(F.xxhash64("cid").alias("h")), "h")
@@ -100,19 +111,23 @@ def full_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(_full_sets(width, table), SETS).join(ids, "cid", "left_semi")
 
 
-def prefix_lists(postings: DataFrame, need) -> DataFrame:
-    """(v, cid, n): the inverted lists of each class's rarest values.
+def prefix_lists(postings: DataFrame, need, group: str = "cid") -> DataFrame:
+    """(v, cid, n, u, i): the inverted lists of each class's rarest values.
 
-    ``postings``: (cid, n, m, v), m values per class. ``need(m)``: how many two
-    joinable classes share at least. Values of one class only count as its
-    rarest; at most m rows of a class meet in one group."""
-    df = postings.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    ``postings``: (cid, n, m, v), m values per class, and ``group``: only classes
+    of different groups are to be joined, so a value that one group holds alone
+    is out and counts as its classes' rarest (u of them). ``need(m)``: how many
+    values two joinable classes share at least. i is the value's place among the
+    class's values. At most m rows of a class meet in one group."""
+    df = (postings.groupBy("v").agg(F.count("*").alias("df"), F.min(group).alias("lo"), F.max(group).alias("hi"))
+          .where("lo <> hi").select("v", "df"))
     shared = (postings.join(df, "v").groupBy("cid", "n", "m")
               .agg(F.sort_array(F.collect_list(F.struct("df", "v"))).alias("vs")))
-    take = (F.col("m") - need(F.col("m")) + 1) - (F.col("m") - F.size("vs"))
-    return (shared.withColumn("take", take.cast("int")).where("take > 0")
-            .select("cid", "n", F.explode(F.slice("vs", F.lit(1), F.col("take"))).alias("x"))
-            .select(F.col("x.v").alias("v"), "cid", "n"))
+    alone = F.col("m") - F.size("vs")
+    take = F.col("m") - need(F.col("m")) + 1 - alone
+    return (shared.withColumn("u", alone.cast("int")).withColumn("take", take.cast("int")).where("take > 0")
+            .select("cid", "n", "u", F.posexplode(F.slice("vs", F.lit(1), F.col("take"))).alias("p", "x"))
+            .select(F.col("x.v").alias("v"), "cid", "n", "u", (F.col("u") + F.col("p") + 1).alias("i")))
 
 
 def _ratio(t):
@@ -120,13 +135,55 @@ def _ratio(t):
     return (F.col("na") >= t * F.col("nb")) & (F.col("nb") >= t * F.col("na"))
 
 
-def _pairs(lists: DataFrame, t: float, *cond) -> DataFrame:
-    a = lists.select("v", F.col("cid").alias("a"), F.col("n").alias("na"), *[F.col(c).alias(f"{c}a") for c in cond])
-    b = lists.select("v", F.col("cid").alias("b"), F.col("n").alias("nb"), *[F.col(c).alias(f"{c}b") for c in cond])
-    p = a.join(b, "v").where("a < b").where(_ratio(t))
-    for c in cond:
-        p = p.where(F.col(f"{c}a") != F.col(f"{c}b"))
-    return p.select("a", "b").distinct()
+def _sides(lists, cols):
+    return [lists.select("v", F.col("cid").alias(x), *[F.col(c).alias(f"{c}{x}") for c in cols]) for x in "ab"]
+
+
+def _pairs(lists: DataFrame, t: float) -> DataFrame:
+    """Distinct pairs (a, b) that share a list."""
+    a, b = _sides(lists, ["n"])
+    return a.join(b, "v").where("a < b").where(_ratio(t)).select("a", "b").distinct()
+
+
+def _block_pairs(t):
+    """The cross pairs of two chunks (or one) of a list, compared as arrays."""
+    def run(table):
+        cols = {c: table.column(c).to_numpy() for c in ("lo", "hi", "chunk", "cid", "n", "u", "i", "comp")}
+        sig = table.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SIG_WORDS)
+        left, right = np.flatnonzero(cols["chunk"] == cols["lo"]), np.flatnonzero(cols["chunk"] == cols["hi"])
+        found = []
+        for at in range(0, len(left), 256):
+            x, y = left[at:at + 256, None], right[None, :]
+            n, m = cols["n"][x], cols["n"][y]
+            need = t / (1 + t) * (n + m) - 1e-9
+            room = (np.minimum(cols["i"][x] - cols["u"][x], cols["i"][y] - cols["u"][y]) + np.minimum(n - cols["i"][x], m - cols["i"][y]))
+            ok = (cols["comp"][x] != cols["comp"][y]) & (n >= t * m) & (m >= t * n) & (room >= need)
+            p, q = np.nonzero(ok)
+            p, q, need = left[at + p], right[q], need[p, q]
+            for lo in range(0, len(p), 65536):
+                a, b = p[lo:lo + 65536], q[lo:lo + 65536]
+                only_a = np.bitwise_count(sig[a] & ~sig[b]).sum(axis=1, dtype=np.int64)
+                only_b = np.bitwise_count(sig[b] & ~sig[a]).sum(axis=1, dtype=np.int64)
+                k = (cols["n"][a] - only_a >= need[lo:lo + 65536]) & (cols["n"][b] - only_b >= need[lo:lo + 65536])
+                found.append(np.stack([cols["cid"][a[k]], cols["cid"][b[k]]]))
+        got = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+        return pa.table({"a": got.min(axis=0), "b": got.max(axis=0)})
+    return run
+
+
+def _cross_pairs(lists: DataFrame, t: float, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Distinct pairs of different ``comp`` that share a list of full sets and
+    can have the overlap that Jaccard t asks for, by two bounds that lose
+    nothing: the joinable values up to the shared one and the values after it;
+    and each set's size less the signature bits that the other lacks. A list is
+    cut into chunks of about ``chunk_rows``, and two chunks meet in one task, so
+    no list, however long, is gathered whole; only surviving pairs are rows."""
+    sizes = lists.groupBy("v").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("chunks"))
+    rows = lists.join(sizes, "v").withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
+    met = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    met = met.select("v", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
+                     "chunk", "cid", "n", "u", "i", "comp", "sig")
+    return met.groupBy("v", "lo", "hi").applyInArrow(_block_pairs(t), "a bigint, b bigint").distinct()
 
 
 def _estimate_filter(pairs: DataFrame, classes: DataFrame, k: int, t: float) -> DataFrame:
@@ -168,7 +225,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     lists = staged(prefix_lists(postings, lambda m: min_overlap(m, t)), "lists")
     sizes = lists.groupBy("v").agg(F.count("*").alias("s"), F.min(F.struct("cid", "n")).alias("lead"))
     short = lists.join(sizes.where(F.col("s").between(2, short_list)).select("v"), "v")
-    long_ = lists.join(sizes.where(F.col("s") > short_list).select("v", "lead"), "v")
+    long_ = lists.select("v", "cid", "n").join(sizes.where(F.col("s") > short_list).select("v", "lead"), "v")
     stars = (long_.select(F.col("lead.cid").alias("a"), F.col("cid").alias("b"),
                           F.col("lead.n").alias("na"), F.col("n").alias("nb"))
              .where("a <> b").where(_ratio(t)).select("a", "b").distinct())
@@ -185,9 +242,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 .select("v", "cid", F.coalesce("component", "cid").alias("comp")))
     split = (labelled.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("v"))
     rest = staged(labelled.join(split, "v", "left_semi").select("cid", "comp").distinct(), "rest")
-    whole = (sets.join(rest, "cid").select("cid", "n", F.col("n").alias("m"), F.explode("hashes").alias("v")))
-    exact = prefix_lists(whole, lambda m: F.ceil(F.lit(t) * m).cast("int"))
-    more = verify(_pairs(exact.join(rest, "cid"), t, "comp"), sets, t)
+    whole = sets.join(rest, "cid").select("cid", "n", F.col("n").alias("m"), "comp", F.explode("hashes").alias("v"))
+    exact = prefix_lists(whole, lambda m: F.ceil(F.lit(t) * m).cast("int"), "comp")
+    more = verify(_cross_pairs(exact.join(rest, "cid").join(sets.select("cid", "sig"), "cid"), t), sets, t)
     comp = components(links.union(more), "a", "b")
 
     by_class = (classes.select("cls", "cid").join(comp, F.col("cid") == F.col("node"), "left")
