@@ -119,7 +119,8 @@ def candidates(docs: DataFrame, rules) -> DataFrame:
     low = docs.select("doc_id", F.lower("text").alias("low"))
     held = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(t)), F.lit(t)) for t in sorted({a[2] for a in asked})]))
     postings = low.select("doc_id", F.explode(held).alias("trigram"))
-    return (postings.join(queries, "trigram").groupBy("doc_id", "rule", "alt", "need")
+    return (postings.join(F.broadcast(queries), "trigram")   # as long as the rule list
+           .groupBy("doc_id", "rule", "alt", "need")
             .agg(F.countDistinct("trigram").alias("held")).where("held = need")
             .groupBy("doc_id").agg(F.collect_set("rule").alias("rules")))
 
