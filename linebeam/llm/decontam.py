@@ -22,6 +22,7 @@ rows. Extra columns are not read.
 from __future__ import annotations
 
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linebeam.llm.common import bit_table, in_table
-from linebeam.llm.shingles import CACHE_WORDS, WORD_MULTIPLIER, mix
+from linebeam.llm.shingles import WORD_MULTIPLIER, mix
 
 WIDTH = 5        # words of a window
 LITERALS = 3     # of them not placeholders, at least
@@ -47,6 +48,12 @@ gallon gallons dollar dollars cent cents euro euros usd eur gbp percent mph kmh
 """.split())
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
+REAL, UPPER, ENDS = 1, 2, 4     # flags of a raw word: has a letter or digit, starts upper-case, ends a sentence
+WORDS = 600_000                 # raw words a worker keeps
+_MARKS = string.punctuation.replace("_", "")
+_CLOSERS = "\"')]"
+_DIGIT = re.compile(r"\d")
+_hash = xxhash.xxh64_intdigest
 _STRIP = re.compile(r"^\W+|\W+$")
 _SENTENCE_END = re.compile(r"[.!?:][\"')\]]*$")
 _PLACE = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))   # one hash per type
@@ -57,31 +64,37 @@ class _Words(dict):
 
     def __init__(self):
         super().__init__()
-        self.norm, self.new = [], []
-        self.hash, self.kind, self.flags = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty((0, 3), bool)
+        self.empty()
+
+    def empty(self):
+        self.clear()
+        self.norm, self.new_hash, self.new_kind, self.new_flags = [], [], [], []
+        self.hash, self.kind, self.flags = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint8)
 
     def __missing__(self, raw):
-        w = _STRIP.sub("", raw)
+        w = raw.strip(_MARKS)
+        if not w.isalnum():
+            w = _STRIP.sub("", w)
         low = w.lower()
-        kind = NUMBER if any(c.isdigit() for c in w) else UNIT if low in UNITS else LITERAL
-        self.new.append((xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")), kind,
-                         (bool(w), w[:1].isupper(), bool(_SENTENCE_END.search(raw)))))
+        self.new_hash.append(_hash(low.encode("utf-8", "surrogatepass")))
+        self.new_kind.append(UNIT if low in UNITS else LITERAL if w.isalpha() or not _DIGIT.search(w) else NUMBER)
+        last = raw[-1]
+        ends = last in ".!?:" or last in _CLOSERS and _SENTENCE_END.search(raw) is not None
+        self.new_flags.append((REAL if w else 0) | (UPPER if w[:1].isupper() else 0) | (ENDS if ends else 0))
         self.norm.append(low)
         row = self[raw] = len(self.norm) - 1
         return row
 
     def rows(self, texts):
         """The rows of each text's words; the tables hold all of them afterwards."""
-        if len(self) > CACHE_WORDS:
-            self.clear()
-            self.__init__()
+        if len(self) > WORDS:
+            self.empty()
         out = [np.fromiter(map(self.__getitem__, t.split()), np.int64) if t else np.empty(0, np.int64) for t in texts]
-        if self.new:
-            h, k, f = zip(*self.new)
-            self.hash = np.concatenate([self.hash, np.array(h, np.uint64)])
-            self.kind = np.concatenate([self.kind, np.array(k, np.int64)])
-            self.flags = np.concatenate([self.flags, np.array(f, bool)])
-            self.new = []
+        if self.new_hash:
+            self.hash = np.concatenate([self.hash, np.array(self.new_hash, np.uint64)])
+            self.kind = np.concatenate([self.kind, np.array(self.new_kind, np.int64)])
+            self.flags = np.concatenate([self.flags, np.array(self.new_flags, np.uint8)])
+            self.new_hash, self.new_kind, self.new_flags = [], [], []
         return out
 
 
@@ -89,10 +102,10 @@ def windows(rows, words: _Words, width: int):
     """(hashes, places, kinds, rows) of a text's usable windows; a place counts
     the words that hold a letter or digit."""
     flags = words.flags[rows]
-    real = flags[:, 0]
-    first = np.concatenate([[True], flags[:-1, 2]])
+    real = flags & REAL != 0
+    inside = np.concatenate([[False], flags[:-1] & ENDS == 0])
     kinds = words.kind[rows]
-    kinds = np.where((kinds == LITERAL) & flags[:, 1] & ~first, NAME, kinds)[real]
+    kinds = np.where((kinds == LITERAL) & (flags & UPPER != 0) & inside, NAME, kinds)[real]
     rows = rows[real]
     n = len(rows) - width + 1
     if n < 1:
