@@ -21,16 +21,13 @@ rows. Extra columns are not read.
 
 from __future__ import annotations
 
-import re
-import string
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linebeam.llm.common import bit_table, in_table
+from linebeam.llm.pieces import blocks
 from linebeam.llm.shingles import WORD_MULTIPLIER, mix
 
 WIDTH = 5        # words of a window
@@ -48,103 +45,138 @@ gallon gallons dollar dollars cent cents euro euros usd eur gbp percent mph kmh
 """.split())
 
 LITERAL, NUMBER, UNIT, NAME = range(4)
-REAL, UPPER, ENDS = 1, 2, 4     # flags of a raw word: has a letter or digit, starts upper-case, ends a sentence
-WORDS = 600_000                 # raw words a worker keeps
-_MARKS = string.punctuation.replace("_", "")
-_CLOSERS = "\"')]"
-_DIGIT = re.compile(r"\d")
-_hash = xxhash.xxh64_intdigest
-_STRIP = re.compile(r"^\W+|\W+$")
-_SENTENCE_END = re.compile(r"[.!?:][\"')\]]*$")
 _PLACE = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))   # one hash per type
 
+# byte classes; every byte of a non-ASCII character counts as a letter
+_SPACE, _LETTER, _DIGIT, _CLOSER, _END = np.zeros((5, 256), bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_DIGIT[48:58] = True
+_CLOSER[list(b"\"')]")] = True
+_END[list(b".!?:")] = True
+_LEAD = np.ones(256, np.int64)                # bytes of a character by its first
+_LEAD[0xC0:0xE0], _LEAD[0xE0:0xF0], _LEAD[0xF0:] = 2, 3, 4
+
+_P = 0x9E3779B97F4A7C15                       # odd, so it has an inverse modulo 2^64
+_STEP = np.uint64(_P), np.uint64(pow(_P, -1, 1 << 64))
+
 
-class _Words(dict):
-    """raw word -> row of the tables, which are filled once per distinct word."""
+class _Powers:
+    """Powers of the multiplier and of its inverse, as many as the longest block needs."""
 
     def __init__(self):
-        super().__init__()
-        self.empty()
-
-    def empty(self):
-        self.clear()
-        self.norm, self.new_hash, self.new_kind, self.new_flags = [], [], [], []
-        self.hash, self.kind, self.flags = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.uint8)
-
-    def __missing__(self, raw):
-        w = raw.strip(_MARKS)
-        if not w.isalnum():
-            w = _STRIP.sub("", w)
-        low = w.lower()
-        self.new_hash.append(_hash(low.encode("utf-8", "surrogatepass")))
-        self.new_kind.append(UNIT if low in UNITS else LITERAL if w.isalpha() or not _DIGIT.search(w) else NUMBER)
-        last = raw[-1]
-        ends = last in ".!?:" or last in _CLOSERS and _SENTENCE_END.search(raw) is not None
-        self.new_flags.append((REAL if w else 0) | (UPPER if w[:1].isupper() else 0) | (ENDS if ends else 0))
-        self.norm.append(low)
-        row = self[raw] = len(self.norm) - 1
-        return row
-
-    def rows(self, texts):
-        """The rows of each text's words; the tables hold all of them afterwards."""
-        if len(self) > WORDS:
-            self.empty()
-        out = [np.fromiter(map(self.__getitem__, t.split()), np.int64) if t else np.empty(0, np.int64) for t in texts]
-        if self.new_hash:
-            self.hash = np.concatenate([self.hash, np.array(self.new_hash, np.uint64)])
-            self.kind = np.concatenate([self.kind, np.array(self.new_kind, np.int64)])
-            self.flags = np.concatenate([self.flags, np.array(self.new_flags, np.uint8)])
-            self.new_hash, self.new_kind, self.new_flags = [], [], []
-        return out
-
-
-def windows(rows, words: _Words, width: int):
-    """(hashes, places, kinds, rows) of a text's usable windows; a place counts
-    the words that hold a letter or digit."""
-    flags = words.flags[rows]
-    real = flags & REAL != 0
-    inside = np.concatenate([[False], flags[:-1] & ENDS == 0])
-    kinds = words.kind[rows]
-    kinds = np.where((kinds == LITERAL) & (flags & UPPER != 0) & inside, NAME, kinds)[real]
-    rows = rows[real]
-    n = len(rows) - width + 1
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def get(self, n):
+        if len(self.up) < n:
+            with np.errstate(over="ignore"):
+                self.up, self.down = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n - 1, x)])) for x in _STEP)
+        return self.up, self.down
+
+
+def _lowered(text: str, size: int) -> bytes:
+    """Lower case with the same number of bytes: a character whose lower case takes another number stays."""
+    low = text.lower().encode("utf-8", "surrogatepass")
+    if len(low) != size:
+        same = lambda c: len(c.lower().encode("utf-8", "surrogatepass")) == len(c.encode("utf-8", "surrogatepass"))
+        low = "".join(c.lower() if same(c) else c for c in text).encode("utf-8", "surrogatepass")
+    return low
+
+
+def _hashes(low, first, last, powers):
+    up, down = powers.get(len(low) + 1)
+    with np.errstate(over="ignore"):
+        total = np.concatenate([[np.uint64(0)], np.cumsum(low * up[:len(low)], dtype=np.uint64)])
+        return mix((total[last + 1] - total[first]) * down[first] + (last + 1 - first).astype(np.uint64))
+
+
+def _unit_hashes():
+    words = sorted(UNITS)
+    blob = np.frombuffer(" ".join(words).encode(), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 2
+    return np.sort(_hashes(blob, ends + 1 - np.array([len(w) for w in words]), ends, _Powers()))
+
+
+class Words:
+    """The words of a block of texts: white-space separated, outer marks stripped,
+    with at least one letter or digit. All arrays have one entry per word."""
+
+    units = None
+
+    def __init__(self, texts, powers):
+        raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        blob = np.frombuffer(b"\n".join(raw), np.uint8)
+        self.low = _lowered("\n".join(t or "" for t in texts), len(blob))
+        low = np.frombuffer(self.low, np.uint8)
+        ink = ~_SPACE[blob]
+        starts = np.flatnonzero(ink & np.concatenate([[True], ~ink[:-1]])) if len(blob) else np.empty(0, np.int64)
+        if not len(starts):
+            self.text = self.first = self.last = self.kind = np.empty(0, np.int64)
+            self.hash = np.empty(0, np.uint64)
+            return
+        at, letter = np.arange(len(blob), dtype=np.int32), _LETTER[blob]
+        first = np.minimum.reduceat(np.where(letter, at, len(blob)), starts)
+        last = np.maximum.reduceat(np.where(letter, at, -1), starts)
+        final = np.maximum.reduceat(np.where(ink & ~_CLOSER[blob], at, -1), starts)
+        ends = (final >= 0) & _END[blob[final]]
+        bounds = np.cumsum([len(r) + 1 for r in raw])
+        text = np.searchsorted(bounds, starts, "right")
+        inside = np.concatenate([[False], ~ends[:-1] & (text[1:] == text[:-1])])
+        real = last >= 0
+        self.text, self.first, self.last, inside = text[real], first[real], last[real], inside[real]
+        self.hash = _hashes(low, self.first, self.last, powers)
+        digits = np.concatenate([[0], np.cumsum(_DIGIT[blob])])
+        changed = np.concatenate([[0], np.cumsum(blob != low)])
+        stop = np.minimum(self.first + _LEAD[blob[self.first]], len(blob))
+        if Words.units is None:
+            Words.units = _unit_hashes()
+        unit = Words.units[np.minimum(np.searchsorted(Words.units, self.hash), len(Words.units) - 1)] == self.hash
+        number = digits[self.last + 1] > digits[self.first]
+        name = (changed[stop] > changed[self.first]) & inside
+        self.kind = np.select([number, unit, name], [NUMBER, UNIT, NAME], LITERAL)
+
+    def slots(self, word, width):
+        """The placeholder values of the window at ``word``, lower-cased."""
+        return [self.low[self.first[i]:self.last[i] + 1].decode("utf-8", "replace")
+                for i in range(word, word + width) if self.kind[i] != LITERAL]
+
+
+def windows(words: Words, width: int):
+    """(hashes, first words) of the usable windows of a block; none spans two texts."""
+    n = len(words.hash) - width + 1
     if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.int64), kinds, rows
-    h = np.where(kinds == LITERAL, words.hash[rows], _PLACE[kinds])
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    h = np.where(words.kind == LITERAL, words.hash, _PLACE[words.kind])
     acc = np.full(n, width, np.uint64)
+    literal = np.zeros(n, np.int64)
     with np.errstate(over="ignore"):
         for i in range(width):
             acc = acc * WORD_MULTIPLIER + h[i:n + i]
             acc ^= acc >> np.uint64(29)
-        acc = mix(acc)
-    literal = np.convolve(kinds == LITERAL, np.ones(width, np.int64), "valid")
-    places = np.flatnonzero(literal >= min(LITERALS, width))
-    return acc.view(np.int64)[places], places, kinds, rows
+            literal += words.kind[i:n + i] == LITERAL
+        acc = mix(acc).view(np.int64)
+    at = np.flatnonzero((literal >= min(LITERALS, width)) & (words.text[:n] == words.text[width - 1:]))
+    return acc[at], at
 
 
 def _scan(width, table):
     """One row per window (of the benchmark: all; of documents: those in the bit table)."""
     def run(batches):
-        words = _Words()
+        powers = _Powers()
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                out = ([], [], [], [], [])
-                for key, rows in zip(part.column(0).to_pylist(), words.rows(part.column(1).to_pylist())):
-                    if not len(rows):
-                        continue
-                    hashes, places, kinds, rows = windows(rows, words, width)
-                    total = len(places)
-                    if table is not None and total:
-                        hit = in_table(table.value, hashes)
-                        hashes, places = hashes[hit], places[hit]
-                    out[0].extend(hashes.tolist())
-                    out[1].extend([key] * len(places))
-                    out[2].extend(places.tolist())
-                    out[3].extend([total] * len(places))
-                    out[4].extend([[words.norm[rows[i]] for i in range(p, p + width) if kinds[i] != LITERAL] for p in places.tolist()])
+            keys, texts = np.array(b.column(0).to_pylist(), np.int64), b.column(1).to_pylist()
+            for lo, hi in blocks([t or "" for t in texts]):
+                words = Words(texts[lo:hi], powers)
+                hashes, at = windows(words, width)
+                total = np.bincount(words.text[at], minlength=hi - lo)
+                if table is not None:
+                    hit = in_table(table.value, hashes)
+                    hashes, at = hashes[hit], at[hit]
+                text = words.text[at]
+                place = at - np.searchsorted(words.text, text)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string())))],
+                    [pa.array(hashes), pa.array(keys[lo + text]), pa.array(place), pa.array(total[text]),
+                     pa.array([words.slots(i, width) for i in at.tolist()], pa.list_(pa.string()))],
                     names=["win", "key", "place", "total", "slots"])
     return run
 
