@@ -25,17 +25,27 @@ def _featurise(shards, bits, extract, caches):
 
 def _shard_pass(size, shared, state, one_pass):
     def run(frame):
-        keep = np.unpackbits(np.frombuffer(shared.value, np.uint8)).view(bool)
-        at, z0, n0 = state.value
-        z, n = np.zeros(size), np.zeros(size)
-        z[at], n[at] = z0, n0
+        keep = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").view(bool)
+        z, n = _unpacked(state.value, size)
         frame = frame.assign(size=frame["x"].map(len)).sort_values(["key", "size", "y"])
         one_pass(((x[keep[x]], y) for x, y in zip(frame["x"].map(np.asarray), frame["y"])), z, n)
-        at = np.flatnonzero(n)
-        return pd.DataFrame({"shard": int(frame["shard"].iloc[0]), "at": [at.tobytes()], "z": [z[at].tobytes()], "n": [n[at].tobytes()]})
+        return pd.DataFrame({"shard": int(frame["shard"].iloc[0]), "state": [_packed(z, n)]})
     return run
 
 
+def _packed(z, n) -> bytes:
+    """The touched coordinates with their state, 12 bytes each."""
+    at = np.flatnonzero(n)
+    return at.astype(np.int32).tobytes() + z[at].astype(np.float32).tobytes() + n[at].astype(np.float32).tobytes()
+
+
+def _unpacked(state: bytes, size):
+    at, half = np.frombuffer(state, np.int32, len(state) // 12), np.frombuffer(state, np.float32)[len(state) // 12:]
+    z, n = np.zeros(size), np.zeros(size)
+    z[at], n[at] = half[:len(at)], half[len(at):]
+    return z, n
+
+
 def mixed_rounds(rows: DataFrame, size: int, bits: int, shards: int, rounds: int, one_pass, how=(features, WordHashes)):
     """The state (z, n) after ``rounds`` rounds over ``rows`` (key, y, text), a
     bounded sample. A row's shard is its key modulo ``shards``; in each round
@@ -46,27 +56,26 @@ def mixed_rounds(rows: DataFrame, size: int, bits: int, shards: int, rounds: int
     cache. No rows: zeros."""
     spark = rows.sparkSession
     data = staged(rows.mapInPandas(_featurise(shards, bits, *how), "shard bigint, key bigint, y double, x array<bigint>"), "train")
-    common = (data.select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("rows"))
-              .where(F.col("rows") >= MIN_ROWS).select("x").collect())      # 2^bits numbers at most
-    keep = np.zeros(1 << bits, bool)
-    keep[[r["x"] for r in common]] = True
-    shared = spark.sparkContext.broadcast(np.packbits(keep).tobytes())
+    common = (data.select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("rows")).where(F.col("rows") >= MIN_ROWS)
+              .groupBy(F.shiftright("x", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(x & 63 as int))")).alias("bits")))
+    keep = np.zeros((1 << bits) // 64, np.int64)
+    for r in common.toLocalIterator():                                       # 2^bits / 64 rows at most
+        keep[r["word"]] = r["bits"]
+    shared = spark.sparkContext.broadcast(keep.tobytes())
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(rounds):
-        used = np.flatnonzero(n)
-        state = spark.sparkContext.broadcast((used, z[used], n[used]))
-        parts = (data.groupBy("shard").applyInPandas(_shard_pass(size, shared, state, one_pass), "shard long, at binary, z binary, n binary")
-                 .collect())                                       # one row per shard
+        state = spark.sparkContext.broadcast(_packed(z, n))
+        z, n = _unpacked(state.value, size)
+        dz, dn, touched = np.zeros(size), np.zeros(size), np.zeros(size, np.int8)
+        ended = data.groupBy("shard").applyInPandas(_shard_pass(size, shared, state, one_pass), "shard long, state binary")
+        for r in sorted(ended.collect()):                                    # one row per shard
+            z1, n1 = _unpacked(r["state"], size)
+            dz += z1 - z
+            dn += n1 - n
+            touched += n1 != n
         state.unpersist()
-        if not parts:
+        if not touched.any():
             break
-        dz, dn, touched = np.zeros(size), np.zeros(size), np.zeros(size)
-        for p in sorted(parts, key=lambda p: p["shard"]):
-            at = np.frombuffer(p["at"], np.int64)
-            stepped = np.frombuffer(p["n"]) - n[at]
-            dz[at] += np.frombuffer(p["z"]) - z[at]
-            dn[at] += stepped
-            touched[at] += stepped != 0
         touched = np.maximum(touched, 1)
         z, n = z + dz / touched, n + dn / touched
     return z, n
