@@ -146,19 +146,33 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
 
 
 def secret_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rules=RULES, keep=()) -> DataFrame:
-    """One row per document: doc_id, the ``keep`` columns, and ``spans``, an
-    array of (start, ord, kind, end) by start, then rule order."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), *[c for c in keep if c != "doc_id"], F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    found = candidates(rows.select("doc_id", F.col("__text").alias("text")), rules).select(F.col("doc_id").alias("__id"), "rules")
-    rows = rows.join(found, rows["doc_id"].eqNullSafe(found["__id"]), "left")
+    """One row per document: ``doc_id``, the ``keep`` columns, and ``spans``, an
+    array of (start, ord, kind, end) by start, then rule order. A column named
+    spans in ``keep`` is an error."""
+    found = candidates(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), rules)
+    found = found.select(F.col("doc_id").alias("__id"), F.col("rules").alias("__rules"))
+    rows = docs.select(*dict.fromkeys([doc_id, *keep, text])).join(found, F.col(doc_id).eqNullSafe(F.col("__id")), "left")
+    whole = F.coalesce(F.col(text), F.lit(""))
     none = F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>")
     each = []
     for n, rule in enumerate(rules):
-        spans = _spans(F.col("__text"), rule, n)
+        spans = _spans(whole, rule, n)
         if trigram_query(rule.pattern) is not None:
-            spans = F.when(F.array_contains("rules", n), spans).otherwise(none)
+            spans = F.when(F.array_contains("__rules", n), spans).otherwise(none)
         each.append(spans)
-    return rows.select("doc_id", *[c for c in keep if c != "doc_id"], F.array_sort(F.concat(*each)).alias("spans"))
+    return rows.select(*dict.fromkeys([doc_id, *keep]), F.array_sort(F.concat(*each)).alias("spans"))
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """The text with every span (overlapping ones as one) replaced by [kind]."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(s, x):
+        out = F.when(x["start"] >= s["at"], F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit("["), x["kind"], F.lit("]")))
+        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), out.otherwise(s["out"]).alias("out"))
+
+    rest = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text)))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
 
 
 def listed(spans: Column) -> Column:

@@ -19,6 +19,7 @@ labels: every score is 0. Extra columns are not read.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,22 +84,44 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
     return at, w[at], float(bias)
 
 
+def _scorer(shared, bias, keep, text, threshold):
+    def run(frames):
+        at, w = shared.value
+        dense = np.zeros(1 << BITS)
+        dense[at] = w
+        cache = WordHashes()
+        for f in frames:
+            s = [float(sigmoid(dense[features(t, cache, BITS)].sum() + bias)) if bias > -np.inf else 0.0 for t in f[text]]
+            yield f[list(keep)].assign(score=s, predicted=[int(x >= threshold) for x in s])
+    return run
+
+
 def score(docs: DataFrame, model, keep, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Columns ``keep``, score (0 to 1) and predicted (score >= threshold)."""
     at, w, bias = model
     shared = docs.sparkSession.sparkContext.broadcast((at, w))   # 2^BITS weights at most
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    head = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
+    return (docs.select(*dict.fromkeys([*keep, text]))
+            .mapInPandas(_scorer(shared, bias, keep, text, threshold), f"{head}, score double, predicted int"))
 
-    def run(frames):
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that the model, trained on them, doesn't reject, with all their columns."""
+    at, w, bias = train(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast((at, w))
+
+    def run(batches):
         dense = np.zeros(1 << BITS)
         dense[shared.value[0]] = shared.value[1]
-        cache = WordHashes()
-        for f in frames:
-            s = [float(sigmoid(dense[features(t, cache, BITS)].sum() + bias)) if bias > -np.inf else 0.0 for t in f["__text"]]
-            yield f[list(keep)].assign(score=s, predicted=[int(x >= threshold) for x in s])
-
-    head = ", ".join(f"`{c}` {fields[c]}" for c in keep)
-    return docs.select(*keep, F.col(text).alias("__text")).mapInPandas(run, f"{head}, score double, predicted int")
+        cache, cut = WordHashes(), np.log(THRESHOLD / (1 - THRESHOLD))
+        for b in batches:
+            for lo in range(0, b.num_rows, 1000):
+                part = b.slice(lo, 1000)
+                keep = [dense[features(t, cache, BITS)].sum() + bias < cut for t in part.column("text").to_pylist()]
+                yield part.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
