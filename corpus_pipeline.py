@@ -1,13 +1,77 @@
-"""The training-data pipeline: STAGES applied in order to ``documents``."""
+"""The training-data pipeline: STAGES applied in order to ``documents``.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before
+it kept: toxic documents go; of each near-duplicate group the document with the
+smallest id stays; documents that give away a benchmark item go; secrets are
+replaced by their kind in brackets; the texts become BPE ids.
+
+Rows without a doc_id pass the near-duplicate stage, since they can't be named
+as copies; rows equal in doc_id and text count once there. Null texts pass all
+filters. Only the last stage changes the columns.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from linebeam.llm import bpe, secretscan, toxicity
+from linebeam.llm.common import read, staged
+from linebeam.llm.decontam import contaminated
+from linebeam.llm.neardup import near_duplicates
+from linebeam.llm.queries import BPE_RANKS
+
 ORACLE_SQL = None
 
 
+def drop_toxic(spark, docs, sf_dir):
+    return toxicity.accepted(docs, read(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark, docs, sf_dir):
+    kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    named = (docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
+             .withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]))
+    return named.select(*docs.columns).union(docs.where("doc_id is null"))
+
+
+def drop_contaminated(spark, docs, sf_dir):
+    found = contaminated(docs, read(spark, sf_dir, "benchmark")).select(F.col("key").alias("__key")).distinct()
+    keyed = docs.withColumn("__key", F.xxhash64(F.col("doc_id").cast("bigint"), "text"))
+    return keyed.join(found, "__key", "left_anti").select(*docs.columns)
+
+
+def redact_secrets(spark, docs, sf_dir):
+    spans = secretscan.secret_spans(docs, keep=docs.columns)
+    text = F.when(F.size("spans") > 0, secretscan.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    out = spans.withColumn("__text", text)
+    chars = F.when(F.size("spans") > 0, F.char_length("__text").cast("bigint")).otherwise(F.col("n_chars"))
+    new = {"text": F.col("__text"), "n_chars": chars}
+    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+
+
+def tokenize(spark, docs, sf_dir):
+    """doc_id, lang, source, n_tokens, ids, round_trip: whether the ids decode to the text's bytes."""
+    path = public_tokenizers.path(BPE_RANKS)
+    rows = docs.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    ids = bpe.encode(rows, "text", ["doc_id", "lang", "source", "digest"], path, public_tokenizers.PATTERN)
+    rows = ids.select("doc_id", "lang", "source", "digest", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
+    back = bpe.decode(rows.withColumn("again", F.col("ids")), "again", rows.columns, path)
+    return back.select("doc_id", "lang", "source", "n_tokens", "ids", (F.sha2("bytes", 256) == F.col("digest")).alias("round_trip"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near-duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("bpe", tokenize),
+]
+
+
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages; what each keeps is written to the shared folder and read again by the next."""
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
