@@ -20,11 +20,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linebeam.llm.rounds import mixed_rounds
+from linebeam.llm.rounds import Weights, mixed_rounds
 from linebeam.llm.shingles import WordHashes, mix
 from linebeam.llm.toxicity import ALPHA, BETA, HELD_OUT, TRAIN_ROWS, fold, sample, sigmoid, weights_of
 
-BITS = 20
+BITS = 24
 SHARDS, ROUNDS = 4, 4
 L1 = 3.0
 GRADES = 3       # poor, fair, good
@@ -94,24 +94,19 @@ def ordinal_pass(rows, z, n):
 
 def train(docs: DataFrame, labels: DataFrame, grade: str, rows: int = TRAIN_ROWS):
     """(feature numbers, weights, thresholds); thresholds None without usable labels."""
-    size = (1 << BITS) + GRADES - 1
-    z, n = mixed_rounds(sample(docs, labels, grade, rows), size, BITS, SHARDS, ROUNDS, ordinal_pass, (quality_features, caches))
-    w = weights_of(z[:1 << BITS], n[:1 << BITS], ALPHA, BETA, L1, 0.0)
-    at = np.flatnonzero(w)
-    return at, w[at], thresholds(z[1 << BITS:]) if n.any() else None
+    kept, z, n = mixed_rounds(sample(docs, labels, grade, rows), BITS, GRADES - 1, SHARDS, ROUNDS, ordinal_pass, (quality_features, caches))
+    w = weights_of(z[:len(kept)], n[:len(kept)], ALPHA, BETA, L1, 0.0)
+    return kept[w != 0], w[w != 0], thresholds(z[len(kept):]) if n.any() else None
 
 
 def _scorer(shared, theta, keep, least, cut):
     def run(frames):
-        at, weights = shared.value
-        dense = np.zeros(1 << BITS)
-        dense[at] = weights
-        cache = caches()
+        weights, cache = Weights(shared.value, BITS), caches()
         for f in frames:
             if theta is None:
                 tails = np.zeros((len(f), GRADES - 1))
             else:
-                s = np.array([dense[quality_features(t, cache, BITS)].sum() for t in f["__text"]], float)
+                s = np.array([weights.sum(quality_features(t, cache, BITS)) for t in f["__text"]], float)
                 tails = 1 - sigmoid(theta[None, :] - s[:, None])
             yield f[list(keep)].assign(expected_grade=tails.sum(axis=1), tail=tails[:, least - 1], keep=tails[:, least - 1] >= cut)
     return run
@@ -120,7 +115,7 @@ def _scorer(shared, theta, keep, least, cut):
 def score(docs: DataFrame, model, keep, text: str = "text", least: int = LEAST, cut: float = KEEP) -> DataFrame:
     """Columns ``keep``, expected_grade, tail = P(grade >= least), keep."""
     at, weights, theta = model
-    shared = docs.sparkSession.sparkContext.broadcast((at, weights))   # 2^BITS weights at most
+    shared = docs.sparkSession.sparkContext.broadcast((at, weights))   # the sample's weights
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     head = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     return (docs.select(*keep, F.col(text).alias("__text"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,7 +13,7 @@ from linebeam.llm.common import staged
 from linebeam.llm.shingles import WordHashes
 from linebeam.llm.textfeatures import features
 
-MIN_ROWS = 3   # training rows that hold a feature at least
+MIN_ROWS, MIN_SHARE = 3, 0.0003   # training rows that hold a feature: at least so many, and at least this share
 
 
 def _featurise(shards, bits, extract, caches):
@@ -23,12 +25,17 @@ def _featurise(shards, bits, extract, caches):
     return run
 
 
-def _shard_pass(size, shared, state, one_pass):
+def _shard_pass(shared, state, extra, one_pass):
     def run(frame):
-        keep = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").view(bool)
-        z, n = _unpacked(state.value, size)
+        kept = shared.value
+        z, n = _unpacked(state.value, len(kept) + extra)
+
+        def known(x):
+            at = np.searchsorted(kept, x)
+            return at[kept[np.minimum(at, len(kept) - 1)] == x] if len(kept) else at[:0]
+
         frame = frame.assign(size=frame["x"].map(len)).sort_values(["key", "size", "y"])
-        one_pass(((x[keep[x]], y) for x, y in zip(frame["x"].map(np.asarray), frame["y"])), z, n)
+        one_pass(((known(np.asarray(x)), y) for x, y in zip(frame["x"], frame["y"])), z, n)
         return pd.DataFrame({"shard": int(frame["shard"].iloc[0]), "state": [_packed(z, n)]})
     return run
 
@@ -46,28 +53,29 @@ def _unpacked(state: bytes, size):
     return z, n
 
 
-def mixed_rounds(rows: DataFrame, size: int, bits: int, shards: int, rounds: int, one_pass, how=(features, WordHashes)):
-    """The state (z, n) after ``rounds`` rounds over ``rows`` (key, y, text), a
-    bounded sample. A row's shard is its key modulo ``shards``; in each round
-    every shard runs ``one_pass(pairs of features and y, z, n)`` from the shared
-    state, in key order; a coordinate then moves by the mean step of the shards
-    that touched it. Features of fewer than ``MIN_ROWS`` rows are left out: they
-    could only memorise a row. ``how``: the feature function and what makes its
-    cache. No rows: zeros."""
+def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: int, one_pass, how=(features, WordHashes)):
+    """(features, z, n) after ``rounds`` rounds over ``rows`` (key, y, text), a
+    bounded sample: the sorted numbers of the features in use and the state of
+    their coordinates, then of ``extra`` more. A row's shard is its key modulo
+    ``shards``; in each round every shard runs ``one_pass(pairs of coordinates
+    and y, z, n)`` from the shared state, in key order; a coordinate then moves
+    by the mean step of the shards that touched it. Features that too few rows
+    hold are left out: they could only memorise a row. ``how``: the feature
+    function and what makes its cache. No rows: no features, zeros."""
     spark = rows.sparkSession
     data = staged(rows.mapInPandas(_featurise(shards, bits, *how), "shard bigint, key bigint, y double, x array<bigint>"), "train")
-    common = (data.select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("rows")).where(F.col("rows") >= MIN_ROWS)
-              .groupBy(F.shiftright("x", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(x & 63 as int))")).alias("bits")))
-    keep = np.zeros((1 << bits) // 64, np.int64)
-    for r in common.toLocalIterator():                                       # 2^bits / 64 rows at most
-        keep[r["word"]] = r["bits"]
-    shared = spark.sparkContext.broadcast(keep.tobytes())
+    least = max(MIN_ROWS, math.ceil(MIN_SHARE * data.count()))
+    common = data.select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("rows")).where(F.col("rows") >= least)
+    # at most the sample's features / MIN_ROWS numbers
+    kept = np.sort(np.concatenate([c.to_numpy() for c in common.select("x").toArrow().column("x").chunks] or [np.empty(0, np.int64)]))
+    shared = spark.sparkContext.broadcast(kept)
+    size = len(kept) + extra
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(rounds):
         state = spark.sparkContext.broadcast(_packed(z, n))
         z, n = _unpacked(state.value, size)
         dz, dn, touched = np.zeros(size), np.zeros(size), np.zeros(size, np.int8)
-        ended = data.groupBy("shard").applyInPandas(_shard_pass(size, shared, state, one_pass), "shard long, state binary")
+        ended = data.groupBy("shard").applyInPandas(_shard_pass(shared, state, extra, one_pass), "shard long, state binary")
         for r in sorted(ended.collect()):                                    # one row per shard
             z1, n1 = _unpacked(r["state"], size)
             dz += z1 - z
@@ -78,4 +86,17 @@ def mixed_rounds(rows: DataFrame, size: int, bits: int, shards: int, rounds: int
             break
         touched = np.maximum(touched, 1)
         z, n = z + dz / touched, n + dn / touched
-    return z, n
+    return kept, z, n
+
+
+class Weights:
+    """Sparse weights by feature number, summed over a text's features."""
+
+    def __init__(self, model, bits):
+        self.at, self.w = model
+        self.held = np.zeros(1 << bits, bool)
+        self.held[self.at] = True
+
+    def sum(self, x) -> float:
+        x = x[self.held[x]]
+        return float(self.w[np.searchsorted(self.at, x)].sum())

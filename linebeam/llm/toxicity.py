@@ -23,11 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linebeam.llm.rounds import mixed_rounds
+from linebeam.llm.rounds import Weights, mixed_rounds
 from linebeam.llm.shingles import WordHashes
 from linebeam.llm.textfeatures import features
 
-BITS = 20            # 2^20 coordinates
+BITS = 24            # features are numbered up to 2^24
 TRAIN_ROWS = 24_000  # labelled documents used, at most about so many
 SHARDS, ROUNDS = 4, 6
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 3.0, 0.0
@@ -77,21 +77,17 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROW
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS):
     """(feature numbers, weights, bias): the sparse model."""
-    z, n = mixed_rounds(sample(docs, labels, label, rows), (1 << BITS) + 1, BITS, SHARDS, ROUNDS, ftrl_pass)
+    kept, z, n = mixed_rounds(sample(docs, labels, label, rows), BITS, 1, SHARDS, ROUNDS, ftrl_pass)
     w = weights_of(z[:-1], n[:-1])
-    at = np.flatnonzero(w)
     bias = -z[-1] / ((BETA + np.sqrt(n[-1])) / ALPHA) if n[-1] else -np.inf
-    return at, w[at], float(bias)
+    return kept[w != 0], w[w != 0], float(bias)
 
 
 def _scorer(shared, bias, keep, text, threshold):
     def run(frames):
-        at, w = shared.value
-        dense = np.zeros(1 << BITS)
-        dense[at] = w
-        cache = WordHashes()
+        weights, cache = Weights(shared.value, BITS), WordHashes()
         for f in frames:
-            s = [float(sigmoid(dense[features(t, cache, BITS)].sum() + bias)) if bias > -np.inf else 0.0 for t in f[text]]
+            s = [float(sigmoid(weights.sum(features(t, cache, BITS)) + bias)) if bias > -np.inf else 0.0 for t in f[text]]
             yield f[list(keep)].assign(score=s, predicted=[int(x >= threshold) for x in s])
     return run
 
@@ -99,7 +95,7 @@ def _scorer(shared, bias, keep, text, threshold):
 def score(docs: DataFrame, model, keep, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Columns ``keep``, score (0 to 1) and predicted (score >= threshold)."""
     at, w, bias = model
-    shared = docs.sparkSession.sparkContext.broadcast((at, w))   # 2^BITS weights at most
+    shared = docs.sparkSession.sparkContext.broadcast((at, w))   # the sample's weights
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     head = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     return (docs.select(*dict.fromkeys([*keep, text]))
@@ -112,13 +108,11 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((at, w))
 
     def run(batches):
-        dense = np.zeros(1 << BITS)
-        dense[shared.value[0]] = shared.value[1]
-        cache, cut = WordHashes(), np.log(THRESHOLD / (1 - THRESHOLD))
+        weights, cache, cut = Weights(shared.value, BITS), WordHashes(), np.log(THRESHOLD / (1 - THRESHOLD))
         for b in batches:
             for lo in range(0, b.num_rows, 1000):
                 part = b.slice(lo, 1000)
-                keep = [dense[features(t, cache, BITS)].sum() + bias < cut for t in part.column("text").to_pylist()]
+                keep = [weights.sum(features(t, cache, BITS)) + bias < cut for t in part.column("text").to_pylist()]
                 yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
