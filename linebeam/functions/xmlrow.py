@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,10 +46,14 @@ def attr(line_or_map: Column, name: str) -> Column:
 
 def attr_value(line: Column, name: str) -> Column:
     """One attribute read straight from the line without building the map;
-    NULL when absent. Cheaper than ``attr(attr_map(line), name)``."""
-    pattern = f'(?:^|\\s){name}\\s*=\\s*"([^"]*)"'
-    # one regex pass; the last of duplicate names wins, as in ``attr_map``
-    return F.try_element_at(F.regexp_extract_all(line, F.lit(pattern), 1), F.lit(-1))
+    NULL when absent. Cheaper than ``attr(attr_map(line), name)``.
+
+    The pattern consumes every attribute in turn, so a name inside another
+    attribute's value is never taken for one; group 1 is the quoted value of
+    attributes of this name and empty for the others. The last one wins."""
+    pattern = f'{re.escape(name)}\\s*=\\s*("[^"]*")|[^\\s="<>/]+\\s*=\\s*"[^"]*"'
+    quoted = F.try_element_at(F.filter(F.regexp_extract_all(line, F.lit(pattern), 1), lambda v: v != ""), F.lit(-1))
+    return F.regexp_replace(quoted, '^"|"$', "")
 
 
 def xml_escape(text: Column) -> Column:

@@ -1,27 +1,24 @@
 """Bloom filter as Spark expressions: sizing, distributed build, storage,
-membership test, Bloom-prefiltered joins.
-
-Layout: one row ``(m bigint, k int, n bigint, p double, bits array<bigint>)``;
-bit ``q`` lives in ``bits[q div 64]`` at position ``q mod 64``.
-
-Hashing: double hashing ``q_i = (h1 mod m + i * (h2 mod m)) mod m`` with
-``h1``, ``h2`` the first and second 15 hex digits of ``md5(key)`` (both below
-2^60, so nothing overflows under ANSI). md5 is available in both Spark and
-plain SQL engines, so a filter can be rebuilt and checked bit for bit.
-
-Build: keys -> k positions each -> ``bit_or`` per 64-bit word (partial
-aggregation before the shuffle, at most m/64 groups) -> one densified row.
-Nothing passes through the driver but two scalars (the distinct key count,
-used to size the filter) and, at use, the bounded bit array.
-
-Use: the bit array reaches every task as a scalar subquery -- the same way
-Spark's own runtime Bloom-filter join ships its filter -- and is tested with k
-``getbit`` calls, so the filtering side stays map-only (no Exchange). The
-subquery runs once per query; its value travels inside the stage's task
-binary, which Spark broadcasts once per executor per stage (not per task).
-The size is bounded by ``max_bits`` (default 64 Mbit = 8 MB, the cap Spark
-uses for its own runtime filters); above it callers take the exact path (a
-semi-join) instead.
+membership test.
+
+Layout: one row ``(block int, bits array<bigint>)`` per block of the filter.
+A filter of up to ``block_bits`` bits is one block of exactly m bits; a larger
+one has ceil(m / block_bits) blocks of block_bits bits. A key lives in one
+block, so a lookup is an equi-join on the block number and k ``getbit`` tests:
+Spark broadcasts the filter where its measured size allows, and shuffles it
+where it doesn't. There is one plan for every number of keys and no cap.
+
+Hashing: ``h1``, ``h2`` are the first and second 15 hex digits of ``md5(key)``
+(both below 2^60, so nothing overflows under ANSI). With w the bits of a block,
+``block = (h1 div w) mod blocks`` and ``q_i = (h1 mod w + i * (h2 mod w)) mod
+w``. md5 is available in Spark and plain SQL engines, so a filter can be rebuilt
+and checked bit for bit.
+
+Build: keys -> k positions each -> ``bit_or`` per 64-bit word (combined before
+the shuffle), with a zero row for every word -> one sorted array per block, at
+most block_bits / 64 words. It is linear in the number of keys, and written once
+to the shared folder, so its size is known to every plan that probes it. Two
+numbers (the distinct key count, and nothing else) come to the driver.
 """
 
 from __future__ import annotations
@@ -32,7 +29,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BITS = 64 * 1024 * 1024
+from linebeam.session import scratch_dir
+
+BLOCK_BITS = 1 << 20   # 128 KB a block
+FILTER = "block int, bits array<bigint>"
 
 
 def bloom_size(n: int, p: float) -> tuple[int, int]:
@@ -46,116 +46,103 @@ def bloom_size(n: int, p: float) -> tuple[int, int]:
     return m, k
 
 
-BITS_COL = "_bloom_bits"
-
-
 @dataclass
 class BloomFilter:
     m: int
     k: int
     n: int
     p: float
-    table: DataFrame  # one row: m, k, n, p, bits
-
-    def attach(self, df: DataFrame, name: str = BITS_COL) -> DataFrame:
-        """``df`` plus the bit array as column ``name`` (a scalar subquery:
-        evaluated once per query, its value shipped to every task)."""
-        return df.withColumn(name, self.table.select("bits").scalar())
-
-
-def hash_pair(key: Column) -> Column:
-    """struct(h1 bigint, h2 bigint) of a key (string form)."""
-    d = F.md5(key.cast("string"))
-    h1 = F.conv(F.substring(d, 1, 15), 16, 10).cast("bigint")
-    h2 = F.conv(F.substring(d, 16, 15), 16, 10).cast("bigint")
-    return F.struct(h1.alias("h1"), h2.alias("h2"))
+    block_bits: int
+    table: DataFrame   # one row per block: block, bits
 
+    @property
+    def blocks(self) -> int:
+        return -(-self.m // self.block_bits)
 
-def positions(h: Column, m: int, k: int) -> list[Column]:
-    """The k bit positions of a ``hash_pair`` value."""
-    a = h["h1"] % F.lit(m)
-    b = h["h2"] % F.lit(m)
-    return [(a + F.lit(i) * b) % F.lit(m) for i in range(k)]
+    @property
+    def width(self) -> int:
+        """Bits of a block."""
+        return min(self.m, self.block_bits)
 
 
-def _all_bits_set(bits: Column, h: Column, m: int, k: int) -> Column:
-    tests = [F.getbit(F.element_at(bits, (F.shiftright(q, 6) + 1).cast("int")), q.bitwiseAND(63).cast("int")) == 1
-             for q in positions(h, m, k)]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out & t
-    return out
-
-
-def might_contain(bf: BloomFilter, key: Column, bits: str = BITS_COL) -> Column:
-    """True when ``key`` may be in the filter (never False for a member);
-    NULL key -> False. Needs the bits attached (``bf.attach``). The key is
-    hashed once per row (the lambda binds the hash pair)."""
-    return F.coalesce(F.exists(F.array(hash_pair(key)), lambda h: _all_bits_set(F.col(bits), h, bf.m, bf.k)),
-                      F.lit(False))
+def hashed(df: DataFrame, key: Column, width: int, blocks: int) -> DataFrame:
+    """``df`` with the key's ``_block`` and its ``_a``, ``_b`` (first position and step), each computed once."""
+    d = F.md5(key.cast("string"))
+    # none of the columns is nullable (a NULL key is in block -1), so no inferred
+    # null filter repeats the hash below the projection
+    with_h = df.withColumns({"_h1": F.coalesce(F.conv(F.substring(d, 1, 15), 16, 10).cast("bigint"), F.lit(-1)),
+                             "_h2": F.coalesce(F.conv(F.substring(d, 16, 15), 16, 10).cast("bigint"), F.lit(-1))})
+    block = F.expr(f"cast((_h1 div {width}) % {blocks} as int)") if blocks > 1 else F.lit(0)
+    return (with_h.withColumns({"_block": F.coalesce(F.when(F.col("_h1") < 0, F.lit(-1)).otherwise(block), F.lit(-1)),
+                                "_a": F.coalesce(F.col("_h1") % width, F.lit(0)), "_b": F.coalesce(F.col("_h2") % width, F.lit(0))})
+            .drop("_h1", "_h2"))
 
 
-def might_contain_any(bf: BloomFilter, keys: Column, prepare=None, confirm=None, bits: str = BITS_COL) -> Column:
-    """True when any element of the array ``keys`` may be in the filter.
+def positions(width: int, k: int) -> list[Column]:
+    """The k bit positions of a ``hashed`` row."""
+    return [(F.col("_a") + F.lit(i) * F.col("_b")) % F.lit(width) for i in range(k)]
 
-    Evaluation is lazy and stops at the first hit: each element is prepared
-    (``prepare(element) -> key``; an empty or NULL key is skipped), hashed
-    once and tested only when reached. ``confirm(key) -> Column``, when
-    given, is evaluated only for keys that pass the filter, turning the test
-    exact at the cost of the rare false positive.
-    """
-    def test(key):
-        hit = F.exists(F.array(hash_pair(key)), lambda h: _all_bits_set(F.col(bits), h, bf.m, bf.k))
-        return hit if confirm is None else hit & confirm(key)
 
-    if prepare is None:
-        hit = F.exists(keys, test)
-    else:
-        hit = F.exists(keys, lambda t: F.exists(F.array(prepare(t)), lambda c: (F.length(c) > 0) & test(c)))
-    return F.coalesce(hit, F.lit(False))
+def _words(bits: int) -> int:
+    return (bits + 63) // 64
 
 
 def bloom_build(keys: DataFrame, key: str, n: int | None = None, p: float = 0.01,
-                max_bits: int = DEFAULT_MAX_BITS) -> BloomFilter:
-    """Train a filter on the non-NULL values of ``keys[key]``.
-
-    ``n`` defaults to the number of distinct keys (one count job); duplicates
-    are harmless. Raises ``ValueError`` when the filter would exceed ``max_bits``.
-    """
+                block_bits: int = BLOCK_BITS) -> BloomFilter:
+    """Train a filter on the non-NULL values of ``keys[key]``; ``n`` defaults to
+    the number of distinct keys (one count job). Duplicates are harmless; no
+    key gives an empty filter."""
+    spark = keys.sparkSession
     members = keys.select(F.col(key).cast("string").alias("key")).where(F.col("key").isNotNull())
     if n is None:
         n = members.distinct().count()
     m, k = bloom_size(n, p)
-    if m > max_bits:
-        raise ValueError(f"Bloom filter of {m} bits exceeds max_bits={max_bits}")
-    words = (m + 63) // 64
-    pos = (members.select(F.explode(F.array(*positions(hash_pair(F.col("key")), m, k))).alias("q"))
-           .select(F.shiftright("q", 6).cast("int").alias("w"),
-                   F.call_function("shiftleft", F.lit(1).cast("bigint"),
-                                   F.col("q").bitwiseAND(63).cast("int")).alias("b")))
-    per_word = pos.groupBy("w").agg(F.bit_or("b").alias("b"))
-    dense = per_word.agg(F.map_from_entries(F.collect_list(F.struct("w", "b"))).alias("mp"))
-    table = dense.select(
-        F.lit(m).cast("bigint").alias("m"), F.lit(k).cast("int").alias("k"),
-        F.lit(n).cast("bigint").alias("n"), F.lit(float(p)).cast("double").alias("p"),
-        F.transform(F.sequence(F.lit(0), F.lit(words - 1)),
-                    lambda i: F.coalesce(F.element_at(F.col("mp"), i), F.lit(0).cast("bigint"))).alias("bits"))
-    return BloomFilter(m, k, int(n), float(p), table)
+    bf = BloomFilter(m, k, int(n), float(p), block_bits, None)
+    words = _words(bf.width)
+    pos = (hashed(members, F.col("key"), bf.width, bf.blocks)
+           .select("_block", F.explode(F.array(*positions(bf.width, k))).alias("q"))
+           .select(F.col("_block").alias("block"), F.shiftright("q", 6).cast("int").alias("w"),
+                   F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("q").bitwiseAND(63).cast("int")).alias("b")))
+    zeros = spark.range(bf.blocks * words).select(F.expr(f"id div {words}").cast("int").alias("block"),
+                                                  (F.col("id") % words).cast("int").alias("w"), F.lit(0).cast("bigint").alias("b"))
+    per_word = pos.unionByName(zeros).groupBy("block", "w").agg(F.bit_or("b").alias("b"))
+    rows = (per_word.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("w", "b"))).alias("x"))
+            .select("block", F.transform("x", lambda e: e["b"]).alias("bits")))
+    path = scratch_dir(spark, "bloom")
+    rows.write.parquet(path)
+    bf.table = spark.read.schema(FILTER).parquet(path)
+    return bf
 
 
 def bloom_save(bf: BloomFilter, path: str, mode: str = "errorifexists") -> None:
-    """Write the one-row filter as parquet."""
-    bf.table.coalesce(1).write.mode(mode).parquet(path)
+    """Write the filter with its numbers as Parquet."""
+    head = {"m": F.lit(bf.m).cast("bigint"), "k": F.lit(bf.k), "n": F.lit(bf.n).cast("bigint"),
+            "p": F.lit(bf.p), "block_bits": F.lit(bf.block_bits)}
+    bf.table.withColumns(head).write.mode(mode).parquet(path)
 
 
 def bloom_load(spark: SparkSession, path: str) -> BloomFilter:
     """Read a filter written by ``bloom_save``; the bits stay in Spark."""
-    table = spark.read.parquet(path)
-    head = table.select("m", "k", "n", "p").first()
-    return BloomFilter(int(head["m"]), int(head["k"]), int(head["n"]), float(head["p"]), table)
+    rows = spark.read.parquet(path)
+    head = rows.select("m", "k", "n", "p", "block_bits").first()
+    return BloomFilter(int(head["m"]), int(head["k"]), int(head["n"]), float(head["p"]), int(head["block_bits"]),
+                       rows.select("block", "bits"))
+
+
+def bit_positions(bf: BloomFilter) -> DataFrame:
+    """(block int, q bigint) of every set bit."""
+    words = bf.table.select("block", F.posexplode("bits").alias("w", "b")).where("b <> 0")
+    at = words.select("block", "w", "b", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("i"))
+    return at.where(F.getbit("b", F.col("i")) == 1).select("block", (F.col("w").cast("bigint") * 64 + F.col("i")).alias("q"))
 
 
 def bloom_semi_filter(df: DataFrame, key: str, bf: BloomFilter) -> DataFrame:
     """Rows of ``df`` whose key may be a member: a superset of the exact
-    semi-join, map-only."""
-    return bf.attach(df).where(might_contain(bf, F.col(key))).drop(BITS_COL)
+    semi-join; NULL keys are no members. The key is hashed once per row; the
+    filter has one row per block, so no row is repeated."""
+    probe = hashed(df, F.col(key), bf.width, bf.blocks)
+    found = probe.join(bf.table.select(F.col("block").alias("_block"), F.col("bits").alias("_bits")), "_block")
+    for q in positions(bf.width, bf.k):
+        word = F.element_at("_bits", (F.shiftright(q, 6) + 1).cast("int"))
+        found = found.where(F.getbit(word, q.bitwiseAND(63).cast("int")) == 1)
+    return found.select(*df.columns)

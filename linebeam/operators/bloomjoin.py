@@ -2,7 +2,7 @@
 
 The filter is trained on the keys of the already-filtered small side ``a``
 (e.g. reputable users); rows of ``b`` that surely have no partner are dropped
-in the map phase, before the shuffle. ``exact=True`` (default) gives what a
+before they are shuffled for the join. ``exact=True`` (default) gives what a
 perfect filter would give: false positives never reach the output, so
 ``rightouter`` equals ``inner``, ``fullouter`` equals ``leftouter`` and
 ``anti`` is the ``a`` rows without partner. ``exact=False`` keeps the rows
@@ -12,45 +12,29 @@ that a real filter lets through (unmatched ``b`` rows that passed the filter).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from linebeam.operators.bloom import DEFAULT_MAX_BITS, BloomFilter, bloom_build, bloom_semi_filter, bloom_size
+from linebeam.operators.bloom import BLOCK_BITS, BloomFilter, bloom_build, bloom_semi_filter
 from linebeam.operators.joins import join_type, record_join, unmatched
 
 _EXACT_FORM = {"inner": "inner", "leftouter": "leftouter", "rightouter": "inner",
                "fullouter": "leftouter", "anti": "anti_a"}
 
 
-def bloom_prefilter(b: DataFrame, b_key: str, bf: BloomFilter | None) -> DataFrame:
-    """``b`` without the rows whose key is surely not a member."""
-    return b if bf is None else bloom_semi_filter(b, b_key, bf)
-
-
-def train_on(a: DataFrame, a_key: str, p: float = 0.01, max_bits: int = DEFAULT_MAX_BITS) -> BloomFilter | None:
-    """Filter on the distinct non-NULL keys of ``a``; None when it would not
-    fit under ``max_bits`` (the caller then joins without prefilter)."""
-    keys = a.select(F.col(a_key).cast("string").alias("key")).where(F.col("key").isNotNull()).distinct()
-    n = keys.count()
-    if bloom_size(n, p)[0] > max_bits:
-        return None
-    return bloom_build(keys, "key", n=n, p=p, max_bits=max_bits)
+def train_on(a: DataFrame, a_key: str, p: float = 0.01, block_bits: int = BLOCK_BITS) -> BloomFilter:
+    """Filter on the distinct non-NULL keys of ``a``."""
+    return bloom_build(a, a_key, p=p, block_bits=block_bits)
 
 
 def bloom_join(a: DataFrame, b: DataFrame, a_key: str, b_key: str, how: str = "inner",
                a_record: str = "raw", b_record: str = "raw", bf: BloomFilter | None = None,
-               p: float = 0.01, exact: bool = True, max_bits: int = DEFAULT_MAX_BITS,
+               p: float = 0.01, exact: bool = True, block_bits: int = BLOCK_BITS,
                out_a: str = "user_raw", out_b: str = "comment_raw") -> DataFrame:
     """(out_a, out_b) of ``a`` joined with the Bloom-prefiltered ``b``."""
     how = join_type(how)
-    if bf is None:
-        bf = train_on(a, a_key, p, max_bits)
-    if not exact and bf is None:
-        exact = True  # no filter fits: nothing can leak
-    b_pre = bloom_prefilter(b, b_key, bf)
+    b_pre = bloom_semi_filter(b, b_key, bf or train_on(a, a_key, p, block_bits))
     if not exact:
         return record_join(a, b_pre, a_key, b_key, how, a_record, b_record, out_a, out_b)
     form = _EXACT_FORM[how]
     if form == "anti_a":
         return unmatched(a, b_pre, a_key, b_key, a_record, out_a, out_b)
     return record_join(a, b_pre, a_key, b_key, form, a_record, b_record, out_a, out_b)
-

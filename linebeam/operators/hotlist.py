@@ -1,18 +1,12 @@
 """Hot-list record filter: keep a record (once) when any of its cleaned
 tokens is in a list of hot keys.
 
-Exact form, short list (at most ``max_inline_keys`` keys, checked by a
-count): the key array and a Bloom filter of it reach every task as scalar
-subqueries; a record's tokens are cleaned, hashed and Bloom-tested lazily,
-and only a token that passes is confirmed against the key array, stopping at
-the first confirmed hit -- map-only, the record text is never shuffled, and
-a token costs one hash and a few bit probes. Long list: tokens -> semi-join with the distinct hot keys (AQE
-broadcasts it when measured small) -> distinct matching ids -> semi-join of
-the records on id.
-Bloom form: map-only; each record's tokens are tested against a Bloom filter
-of the hot keys shipped to every task; the result is a superset of the exact
-one (``verify=True`` removes the false positives with the exact form, run on
-the candidates only).
+The outcome depends on the text alone, so one plan serves every list length and
+needs no id: tokens of the texts -> Bloom lookup (only tokens that may be hot go
+on) -> semi-join with the distinct hot keys -> digests of the matching texts ->
+semi-join of the records on the digest. Records with NULL or repeated ids are
+judged one by one. ``approximate=True`` leaves the exact semi-join out: no
+matching record is lost, others pass at about the filter's rate per token.
 """
 
 from __future__ import annotations
@@ -20,14 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linebeam.functions.text import WORD_DELIMITERS, hot_token, tokens
-from linebeam.operators.bloom import BITS_COL, DEFAULT_MAX_BITS, BloomFilter, bloom_build, might_contain_any
-
-
-def cleaned_tokens(text: str, strip: bool = False, lower: bool = False):
-    """array<string> of the cleaned, non-empty tokens of ``text``."""
-    return F.filter(F.transform(tokens(text), lambda w: hot_token(w, strip, lower)),
-                    lambda w: F.length(w) > 0)
+from linebeam.functions.text import WORD_DELIMITERS, hot_token
+from linebeam.operators.bloom import BLOCK_BITS, BloomFilter, bloom_build, bloom_semi_filter
 
 
 def hot_keys(hot: DataFrame, key: str = "key") -> DataFrame:
@@ -35,57 +23,23 @@ def hot_keys(hot: DataFrame, key: str = "key") -> DataFrame:
     return hot.select(F.col(key).cast("string").alias("key")).where(F.col("key").isNotNull()).distinct()
 
 
-DEFAULT_MAX_INLINE_KEYS = 65536  # ~1 MB of keys; a confirmation scans them once
-_HOT_COL = "_hot_keys"
-
-
-def hotlist_filter(records: DataFrame, id_col: str, text: str, hot: DataFrame, hot_key: str = "key",
-                   strip: bool = False, lower: bool = False, approximate: bool = False,
-                   p: float = 0.01, max_inline_keys: int = DEFAULT_MAX_INLINE_KEYS,
-                   bf: BloomFilter | None = None) -> DataFrame:
-    """Records (all columns) with at least one cleaned token in ``hot``.
-
-    ``approximate=True`` is the map-only Bloom form (false positives at rate
-    about ``p`` per token; no record that matches is ever lost). ``bf`` reuses
-    a filter already built on the same keys."""
-    if approximate:
-        return hotlist_filter_bloom(records, text, bf or hotlist_bloom(hot, hot_key, p), strip, lower)
-    keys = hot_keys(hot, hot_key)
-    n = bf.n if bf is not None else keys.count()
-    if n <= max_inline_keys:
-        if bf is None:
-            bf = bloom_build(keys, "key", n=n, p=p)
-        arr = keys.agg(F.collect_list("key").alias("keys")).select("keys").scalar()
-        hit = might_contain_any(bf, F.split(F.col(text), WORD_DELIMITERS),
-                                prepare=lambda w: hot_token(w, strip, lower),
-                                confirm=lambda c: F.array_contains(F.col(_HOT_COL), c))
-        return bf.attach(records.withColumn(_HOT_COL, arr)).where(hit).drop(_HOT_COL, BITS_COL)
-    return semi_join_filter(records, id_col, text, keys, strip, lower)
-
-
-def semi_join_filter(records: DataFrame, id_col: str, text: str, keys: DataFrame,
-                     strip: bool = False, lower: bool = False) -> DataFrame:
-    """Exact hot-list filter for a list of any length (distinct ``keys(key)``)."""
-    toks = records.select(F.col(id_col).alias("_id"), F.explode(cleaned_tokens(text, strip, lower)).alias("_t"))
-    hits = toks.join(keys, toks["_t"] == keys["key"], "left_semi").select("_id").distinct()
-    return records.join(hits, records[id_col] == hits["_id"], "left_semi")
-
-
-def hotlist_bloom(hot: DataFrame, hot_key: str = "key", p: float = 0.01,
-                  max_bits: int = DEFAULT_MAX_BITS) -> BloomFilter:
+def hotlist_bloom(hot: DataFrame, hot_key: str = "key", p: float = 0.01, block_bits: int = BLOCK_BITS) -> BloomFilter:
     """Bloom filter of the distinct hot keys."""
-    return bloom_build(hot_keys(hot, hot_key), "key", p=p, max_bits=max_bits)
+    return bloom_build(hot, hot_key, p=p, block_bits=block_bits)
 
 
-def hotlist_filter_bloom(records: DataFrame, text: str, bf: BloomFilter, strip: bool = False,
-                         lower: bool = False, verify: bool = False, id_col: str | None = None,
-                         hot: DataFrame | None = None, hot_key: str = "key") -> DataFrame:
-    """Map-only Bloom form; with ``verify`` (needs ``id_col`` and ``hot``) every
-    hit is confirmed against the hot keys (the exact ``hotlist_filter``)."""
-    if verify:
-        if id_col is None or hot is None:
-            raise ValueError("verify=True needs id_col and hot")
-        return hotlist_filter(records, id_col, text, hot, hot_key, strip, lower, bf=bf)
-    raw = F.split(F.col(text), WORD_DELIMITERS)
-    hit = might_contain_any(bf, raw, prepare=lambda w: hot_token(w, strip, lower))
-    return bf.attach(records).where(hit).drop(BITS_COL)
+def hotlist_filter(records: DataFrame, text: str, hot: DataFrame, hot_key: str = "key", strip: bool = False,
+                   lower: bool = False, approximate: bool = False, p: float = 0.01,
+                   bf: BloomFilter | None = None) -> DataFrame:
+    """Records (all columns) with at least one cleaned token in ``hot``; ``bf``
+    reuses a filter already built on the same keys."""
+    digest = F.sha2(F.col(text), 256)
+    raw = (records.select(digest.alias("_text"), F.col(text).alias("_raw"))
+           .select("_text", F.explode(F.split("_raw", WORD_DELIMITERS)).alias("_w")).where(F.col("_w") != ""))
+    tokens = raw.select("_text", hot_token(F.col("_w"), strip, lower).alias("_key")).where(F.length("_key") > 0)
+    hits = bloom_semi_filter(tokens, "_key", bf or hotlist_bloom(hot, hot_key, p))
+    if not approximate:
+        keys = hot_keys(hot, hot_key)
+        hits = hits.join(keys, hits["_key"] == keys["key"], "left_semi")
+    hits = hits.select("_text").distinct()
+    return records.join(hits, digest == hits["_text"], "left_semi")

@@ -18,6 +18,8 @@ from linebeam.functions.text import words
 LIST_OPEN = "{ "
 LIST_CLOSE = " }"
 
+BUCKETS = 16   # rows a word's file list is split over
+
 
 def word_file_pairs(lines: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
     """(word, file) per token occurrence, word lower-cased."""
@@ -31,31 +33,31 @@ def posting_counts(lines: DataFrame, text: str = "value", file: str = "file") ->
             .groupBy("word", "file").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def inverted_index(lines: DataFrame, text: str = "value", file: str = "file", buckets: int = 1) -> DataFrame:
-    """(word string, files string): the distinct files of each word, in
-    ascending byte order, joined by one blank.
+def inverted_index(lines: DataFrame, text: str = "value", file: str = "file", buckets: int = BUCKETS) -> DataFrame:
+    """(word string, bucket int, files string): the distinct files of each
+    word, in ascending byte order, joined by one blank.
 
-    ``buckets > 1`` splits the file set of every word over up to that many
-    rows by a hash of the file name (adds ``bucket int``): a word found in
-    every file is then assembled by ``buckets`` tasks instead of one, and no
-    row grows beyond about files/buckets names. Every file is still listed
-    (each row sorted); ``buckets=1`` is one row per word.
+    The file set of a word is split over up to ``buckets`` rows by a hash of
+    the file name (the first four hex digits of its md5), so a word found in
+    every file is assembled by ``buckets`` tasks and no row grows beyond about
+    files/buckets names. Every file is listed; ``buckets=1`` is one row per
+    word, without the bucket column.
     """
     pairs = word_file_pairs(lines, text, file).distinct()
     keys = ["word"]
     if buckets > 1:
-        pairs = pairs.withColumn("bucket", F.pmod(F.xxhash64("file"), F.lit(buckets)).cast("int"))
+        pairs = pairs.withColumn("bucket", (F.conv(F.substring(F.md5("file"), 1, 4), 16, 10).cast("int") % buckets))
         keys.append("bucket")
     return (pairs.groupBy(*keys)
             .agg(F.array_join(F.sort_array(F.collect_list("file")), " ").alias("files")))
 
 
 def inverted_index_report(index: DataFrame) -> DataFrame:
-    """(word, files) with the posting list printed as ``{ f0 f1 }``."""
-    return index.select("word", F.concat(F.lit(LIST_OPEN), F.col("files"), F.lit(LIST_CLOSE)).alias("files"))
+    """``index`` with the posting list printed as ``{ f0 f1 }``."""
+    return index.withColumn("files", F.concat(F.lit(LIST_OPEN), F.col("files"), F.lit(LIST_CLOSE)))
 
 
-def sort_by_key(df: DataFrame, key: str = "word") -> DataFrame:
+def sort_by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Whole output ascending by key in byte order (range-partitioned sort,
     no single-task bottleneck)."""
-    return df.orderBy(F.col(key).asc())
+    return df.orderBy(*(keys or ("word",)))

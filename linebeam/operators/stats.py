@@ -69,16 +69,15 @@ def line_means(nums: DataFrame) -> DataFrame:
     return nums.select(line_mean_col().alias("mean"))
 
 
-def mean_of_line_means(nums: DataFrame, digits: int = 6) -> DataFrame:
+def mean_of_line_means(nums: DataFrame) -> DataFrame:
     """(mean double): unweighted mean of the per-line means."""
-    return (line_means(nums).agg(F.avg("mean").alias("mean"))
-            .select(F.round("mean", digits).alias("mean")))
+    return line_means(nums).agg(F.avg("mean").alias("mean"))
 
 
-def global_mean(nums: DataFrame, digits: int = 6) -> DataFrame:
+def global_mean(nums: DataFrame) -> DataFrame:
     """(mean double): mean of all numbers of all lines (weighted by length)."""
     agg = nums.agg(F.sum(array_sum(F.col("nums"))).alias("s"), F.sum(F.size("nums")).alias("c"))
-    return agg.select(F.round(F.col("s") / F.col("c"), digits).alias("mean"))
+    return agg.select((F.col("s") / F.col("c")).alias("mean"))
 
 
 def min_max(parsed: DataFrame) -> DataFrame:
@@ -133,7 +132,7 @@ def circle_label_count(points: DataFrame, r: float, x: str = "x", y: str = "y")
     return points.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def circle_area_ratio(points: DataFrame, r: float, x: str = "x", y: str = "y", digits: int = 6) -> DataFrame:
+def circle_area_ratio(points: DataFrame, r: float, x: str = "x", y: str = "y") -> DataFrame:
     """(ratio double): 4 * inside / all, the pi estimate; NULL on no points."""
     agg = points.agg(F.count_if(inside_circle(x, y, r)).alias("inside"), F.count(F.lit(1)).alias("n"))
-    return agg.select(F.round(F.lit(4.0) * F.col("inside") / F.nullif(F.col("n"), F.lit(0)), digits).alias("ratio"))
+    return agg.select((F.lit(4.0) * F.col("inside") / F.nullif(F.col("n"), F.lit(0))).alias("ratio"))

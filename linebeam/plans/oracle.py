@@ -11,14 +11,12 @@ from __future__ import annotations
 # Fixed values shared with the Spark side (see functions/ and plans/tables.py).
 TOK = "[ \\t\\n\\r\\f]+"
 LINE_BREAK = "\\r\\n|\\r|\\n"
-ATTR = '([^\\s="<>/]+)\\s*=\\s*"([^"]*)"'
-DATE_CUT = "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}\\.[0-9]{3}"
 INT_LIST_HASH = "[+-]?[0-9]+(#[+-]?[0-9]+)*"
 
 USERS = ("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS raw, "
-         "CAST(floor(c_acctbal) AS INTEGER) AS reputation FROM customer WHERE c_nationkey < 10")
+         "CAST(floor(c_acctbal) AS INTEGER) AS reputation FROM customer")
 REP = f"SELECT id, raw FROM ({USERS}) WHERE reputation > 1500"
-COMMENTS = ("SELECT CASE WHEN event_type <> 'signup' THEN CAST(user_id AS VARCHAR) END AS user_id, "
+COMMENTS = ("SELECT CASE WHEN event_type <> 'signup' THEN CAST(user_id * 11 AS VARCHAR) END AS user_id, "
             "CAST(event_id AS VARCHAR) AS raw FROM events")
 COMMENTS_KEYED = f"SELECT * FROM ({COMMENTS}) WHERE user_id IS NOT NULL"
 
@@ -28,41 +26,30 @@ def _xml_escape(x: str) -> str:
             f"'\"', '&quot;'), chr(10), '&#10;'), chr(13), '&#13;')")
 
 
-COMMENT_ROWS = (
-    "SELECT '  <row Id=\"' || CAST(event_id AS VARCHAR) || '\" Text=\"' || "
-    + _xml_escape("concat_ws(' ', event_type, props)")
-    + " || '\" CreationDate=\"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || '\"' || "
-    "CASE WHEN event_type <> 'signup' THEN ' UserId=\"' || CAST(user_id AS VARCHAR) || '\"' ELSE '' END || ' />' "
-    "AS value FROM events")
+# Attribute values come from the table columns, not from parsing rendered rows.
+COMMENT_TEXT = _xml_escape("concat_ws(' ', event_type, props)")
+COMMENT_USER = "CASE WHEN event_type <> 'signup' THEN CAST(user_id AS VARCHAR) END"
+COMMENT_ATTRS = (f"SELECT CAST(event_id AS VARCHAR) AS id, unnest(['Id', 'Note', 'Text', 'CreationDate', 'UserId']) AS name, "
+                 f"unnest([CAST(event_id AS VARCHAR), 'see Text=', {COMMENT_TEXT}, strftime(ts, '%Y-%m-%dT%H:%M:%S.%g'), "
+                 f"{COMMENT_USER}]) AS value FROM events")
 
-
-def _attr(name: str, src: str = "value") -> str:
-    pat = f'(^|\\s){name}\\s*=\\s*"([^"]*)"'
-    return f"CASE WHEN regexp_matches({src}, '{pat}') THEN regexp_extract({src}, '{pat}', 2) END"
-
-
-USER_ROWS = ("SELECT '  <row Id=\"' || CAST(o_orderkey AS VARCHAR) || '\" CreationDate=\"' || "
-             "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') || '\" OwnerId=\"' || CAST(o_custkey AS VARCHAR) || "
-             "'\" />' AS value FROM orders")
-BY_YEAR = (
-    "SELECT year, raw FROM (SELECT CAST(year(try_strptime(nullif(regexp_extract("
-    + _attr("CreationDate")
-    + f", '{DATE_CUT}', 0), ''), '%Y-%m-%dT%H:%M:%S.%g')) AS INTEGER) AS year, value AS raw FROM ({USER_ROWS})) "
-    "WHERE year IS NOT NULL")
+BY_YEAR = ("SELECT CAST(year(o_orderdate) AS INTEGER) AS year, '  <row Id=\"' || CAST(o_orderkey AS VARCHAR) || "
+           "'\" Note=\"at CreationDate=\" CreationDate=\"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%g') || "
+           "'\" OwnerId=\"' || CAST(o_custkey AS VARCHAR) || '\" />' AS raw FROM orders WHERE o_orderdate IS NOT NULL")
 
 WORDS = (f"SELECT doc_id, source AS file, w FROM (SELECT doc_id, source, "
          f"unnest(regexp_split_to_array(text, '{TOK}')) AS w FROM documents) WHERE w <> ''")
 FIRST_CHAR = (f"SELECT lower(substr(w, 1, 1)) AS letter, count(*) AS n FROM ({WORDS}) "
               f"WHERE regexp_matches(w, '^\\p{{L}}') GROUP BY 1")
-INDEX = (f"SELECT word, string_agg(file, ' ' ORDER BY file) AS files FROM "
-         f"(SELECT DISTINCT lower(w) AS word, file FROM ({WORDS})) GROUP BY word")
+INDEX = (f"SELECT word, bucket, string_agg(file, ' ' ORDER BY file) AS files FROM (SELECT DISTINCT lower(w) AS word, "
+         f"CAST(('0x' || substr(md5(file), 1, 4))::INTEGER % 16 AS INTEGER) AS bucket, file FROM ({WORDS})) GROUP BY word, bucket")
 HOT = (f"SELECT DISTINCT w AS key FROM (SELECT unnest(regexp_split_to_array(text, '{TOK}')) AS w FROM benchmark) "
-       f"WHERE regexp_full_match(w, '[A-Za-z]+')")
+       f"WHERE w <> ''")
 DOC_TOKENS = ("SELECT doc_id, regexp_replace(regexp_replace(w, '''', '', 'g'), '[^a-zA-Z]', ' ', 'g') AS t "
               f"FROM ({WORDS})")
 
-SPACE = ("SELECT l_orderkey AS orderkey, CAST(floor((l_linenumber - 1) / 8) AS BIGINT) AS chunk, "
-         "sum(CAST(l_quantity AS INTEGER)) AS s, count(*) AS c FROM lineitem GROUP BY 1, 2")
+SPACE = ("SELECT l_orderkey AS orderkey, sum(CAST(l_quantity AS INTEGER)) AS s, count(*) AS c "
+         "FROM lineitem GROUP BY 1")
 
 HASH = ("SELECT CAST(event_id AS VARCHAR) || '#' || CASE WHEN event_type = 'error' THEN '' "
         "ELSE CAST(user_id AS VARCHAR) END || '#' || CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || "
@@ -129,16 +116,19 @@ def _bloom_join(how: str) -> str:
     return _join(_BLOOM_EXACT[how], REP, COMMENTS)
 
 
-FILTER_SUMMARY = ("SELECT n, m, CAST(k AS INTEGER) AS k, CAST(0.01 AS DOUBLE) AS p, "
-                  "(SELECT count(*) FROM bitpos) AS bits_set FROM prm")
+FILTER_BITS = ("SELECT n, m, CAST(k AS INTEGER) AS k, CAST(0.01 AS DOUBLE) AS p, CAST(0 AS INTEGER) AS block, q "
+               "FROM prm, bitpos")   # one block: the fixture's filters are below a block's bits
+REP_CTES = _bloom_ctes(f"SELECT id AS key FROM ({REP})")
+LET_THROUGH = f"hit AS ({_bloom_hits(f'SELECT user_id AS key FROM ({COMMENTS})')})"
+PASSED = f"SELECT * FROM ({COMMENTS}) WHERE user_id IN (SELECT key FROM hit)"
 
 SQL: dict[str, str] = {
     "first_char_count": FIRST_CHAR,
     "xml_word_count": (f"SELECT lower(w) AS word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array("
-                       f"{_attr('Text')}, '{TOK}')) AS w FROM ({COMMENT_ROWS})) WHERE w <> '' GROUP BY 1"),
+                       f"{COMMENT_TEXT}, '{TOK}')) AS w FROM events) WHERE w <> '' GROUP BY 1"),
     "inverted_index": INDEX,
-    "inverted_index_report": f"SELECT word, '{{ ' || files || ' }}' AS files FROM ({INDEX})",
-    "inverted_index_sorted": f"SELECT word, files FROM ({INDEX}) ORDER BY word",
+    "inverted_index_report": f"SELECT word, bucket, '{{ ' || files || ' }}' AS files FROM ({INDEX})",
+    "inverted_index_sorted": f"SELECT word, bucket, files FROM ({INDEX}) ORDER BY word, bucket",
     "posting_counts": f"SELECT lower(w) AS word, file, count(*) AS tf FROM ({WORDS}) GROUP BY 1, 2",
     "hotlist_filter": (f"SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM ({DOC_TOKENS}) "
                        f"WHERE length(t) > 0 AND t IN (SELECT key FROM ({HOT})))"),
@@ -156,16 +146,18 @@ SQL: dict[str, str] = {
     "bloom_join_rightouter": _bloom_join("rightouter"),
     "bloom_join_fullouter": _bloom_join("fullouter"),
     "bloom_join_anti": _bloom_join("anti"),
+    **{f"bloom_join_{how}_raw": f"WITH {REP_CTES}, {LET_THROUGH} " + _join(how, REP, PASSED)
+       for how in ("rightouter", "fullouter", "anti")},
     "bloom_semi_filter": (f"WITH {_bloom_ctes(f'SELECT id AS key FROM ({REP})')}, "
                           f"hit AS ({_bloom_hits(f'SELECT user_id AS key FROM ({COMMENTS})')}) "
                           f"SELECT user_id, raw FROM ({COMMENTS}) WHERE user_id IN (SELECT key FROM hit)"),
-    "bloom_build": f"WITH {_bloom_ctes(f'SELECT id AS key FROM ({REP})')} {FILTER_SUMMARY}",
-    "bloom_save_load": f"WITH {_bloom_ctes(f'SELECT id AS key FROM ({REP})')} {FILTER_SUMMARY}",
+    "bloom_build": f"WITH {_bloom_ctes(f'SELECT id AS key FROM ({REP})')} {FILTER_BITS}",
+    "bloom_save_load": f"WITH {_bloom_ctes(f'SELECT id AS key FROM ({REP})')} {FILTER_BITS}",
     "reputable_users": f"SELECT id FROM ({REP})",
     "circle_label_count": LABELS,
     "circle_area_ratio": (f"SELECT round(CAST(4.0 AS DOUBLE) * count(*) FILTER (WHERE {INSIDE}) / "
                           f"nullif(count(*), 0), 6) AS ratio FROM ({PTS})"),
-    "line_mean": f"SELECT orderkey, chunk, round(s / c, 6) AS mean FROM ({SPACE})",
+    "line_mean": f"SELECT orderkey, round(s / c, 6) AS mean FROM ({SPACE})",
     "mean_of_line_means": f"SELECT round(avg(s / c), 6) AS mean FROM ({SPACE})",
     "global_mean": f"SELECT round(sum(s) / sum(c), 6) AS mean FROM ({SPACE})",
     "min_max": MIN_MAX,
@@ -174,13 +166,13 @@ SQL: dict[str, str] = {
     "minmax_report": ("SELECT 'Minimum: ' || coalesce(CAST(min AS VARCHAR), 'null') || chr(9) || 'Maximum: ' || "
                       "coalesce(CAST(max AS VARCHAR), 'null') || chr(9) || 'malformed: ' || CAST(malformed AS VARCHAR) "
                       f"AS report FROM ({MIN_MAX})"),
-    "xml_attr_map": (f"SELECT {_attr('Id')} AS id, unnest(regexp_extract_all(value, '{ATTR}', 1)) AS name, "
-                     f"unnest(regexp_extract_all(value, '{ATTR}', 2)) AS value FROM ({COMMENT_ROWS})"),
-    "xml_attr_project": (f"SELECT id, user_id FROM (SELECT {_attr('Id')} AS id, {_attr('UserId')} AS user_id "
-                         f"FROM ({COMMENT_ROWS})) WHERE user_id IS NOT NULL"),
+    "xml_attr_map": f"SELECT id, name, value FROM ({COMMENT_ATTRS}) WHERE value IS NOT NULL",
+    "xml_attr_project": (f"SELECT id, user_id FROM (SELECT CAST(event_id AS VARCHAR) AS id, {COMMENT_USER} AS user_id "
+                         "FROM events) WHERE user_id IS NOT NULL"),
     "xml_attr_typed": ("SELECT event_id AS id, CASE WHEN event_type <> 'signup' THEN user_id END AS user_id, "
                        "concat_ws(' ', event_type, props) AS text FROM events"),
     "users_by_year": BY_YEAR,
+    "users_by_year_grouped": BY_YEAR,
     "users_by_year_range": (f"SELECT year, year - 1995 AS part, raw FROM ({BY_YEAR}) "
                             "WHERE year BETWEEN 1995 AND 2000"),
     "src_text_lines": f"SELECT unnest(regexp_split_to_array(text, '{LINE_BREAK}')) AS value FROM documents",
@@ -188,11 +180,10 @@ SQL: dict[str, str] = {
     "src_tagged_union": (f"SELECT id AS key, 'A' AS tag, raw FROM ({USERS}) WHERE id IS NOT NULL "
                          f"UNION ALL SELECT user_id AS key, 'B' AS tag, raw FROM ({COMMENTS_KEYED})"),
     "src_gzip_text": f"SELECT key AS value FROM ({HOT})",
-    "src_xml_rows": (f"SELECT {_attr('Id')} AS id, {_attr('UserId')} AS user_id, {_attr('Text')} AS text "
-                     f"FROM ({COMMENT_ROWS})"),
-    "src_file_name": (f"SELECT source AS file, CAST(sum(len(regexp_split_to_array(text, '{LINE_BREAK}'))) AS BIGINT) "
-                      "AS lines FROM documents GROUP BY source"),
-    "src_points": LABELS,
+    "src_xml_rows": (f"SELECT CAST(event_id AS VARCHAR) AS id, {COMMENT_USER} AS user_id, {COMMENT_TEXT} AS text "
+                     "FROM events"),
+    "src_file_name": INDEX,
+    "src_points": f"SELECT x, y, {INSIDE} AS inside FROM ({PTS})",
     "src_hash_numbers": HASH_BAD,
     "src_space_numbers": f"SELECT round(s / c, 6) AS mean FROM ({SPACE})",
     "sink_tsv": f"SELECT letter || chr(9) || CAST(n AS VARCHAR) AS value FROM ({FIRST_CHAR})",

@@ -47,7 +47,7 @@ def q_inverted_index_report(spark, d):
 
 
 def q_inverted_index_sorted(spark, d):
-    return index.sort_by_key(index.inverted_index(T.word_lines(spark, d)), "word")
+    return index.sort_by_key(index.inverted_index(T.word_lines(spark, d)), "word", "bucket")
 
 
 def q_posting_counts(spark, d):
@@ -56,13 +56,12 @@ def q_posting_counts(spark, d):
 
 def q_hotlist_filter(spark, d):
     docs = T.table(spark, d, "documents", "doc_id", "text")
-    return hotlist.hotlist_filter(docs, "doc_id", "text", T.hot_list(spark, d))
+    return hotlist.hotlist_filter(docs, "text", T.hot_list(spark, d), p=T.BLOOM_P)
 
 
 def q_hotlist_filter_bloom(spark, d):
     docs = T.table(spark, d, "documents", "doc_id", "text")
-    bf = hotlist.hotlist_bloom(T.hot_list(spark, d), p=T.BLOOM_P)
-    return hotlist.hotlist_filter_bloom(docs, "text", bf)
+    return hotlist.hotlist_filter(docs, "text", T.hot_list(spark, d), approximate=True, p=T.BLOOM_P)
 
 
 # ---------------------------------------------------------------- joins
@@ -74,11 +73,11 @@ def _join(how):
     return q
 
 
-def _bloom_join(how):
+def _bloom_join(how, exact=True):
     def q(spark, d):
         a = T.reputable(T.users(spark, d))
-        return bloomjoin.bloom_join(a, T.comments(spark, d), "id", "user_id", how, p=T.BLOOM_P)
-    q.__name__ = f"q_bloom_join_{how}"
+        return bloomjoin.bloom_join(a, T.comments(spark, d), "id", "user_id", how, p=T.BLOOM_P, exact=exact)
+    q.__name__ = f"q_bloom_join_{how}" + ("" if exact else "_raw")
     return q
 
 
@@ -92,20 +91,20 @@ def q_bloom_semi_filter(spark, d):
     return bl.bloom_semi_filter(T.comments(spark, d), "user_id", bf)
 
 
-def _filter_summary(bf: bl.BloomFilter) -> DataFrame:
-    return bf.table.select("n", "m", "k", "p",
-                           F.aggregate("bits", F.lit(0).cast("bigint"),
-                                       lambda s, w: s + F.bit_count(w).cast("bigint")).alias("bits_set"))
+def _filter_bits(bf: bl.BloomFilter) -> DataFrame:
+    """Every set bit, with the filter's numbers."""
+    return bl.bit_positions(bf).select(F.lit(bf.n).cast("bigint").alias("n"), F.lit(bf.m).cast("bigint").alias("m"),
+                                       F.lit(bf.k).alias("k"), F.lit(bf.p).alias("p"), "block", "q")
 
 
 def q_bloom_build(spark, d):
-    return _filter_summary(_member_filter(spark, d))
+    return _filter_bits(_member_filter(spark, d))
 
 
 def q_bloom_save_load(spark, d):
     path = scratch_dir(spark, "bloom")
     bl.bloom_save(_member_filter(spark, d), path)
-    return _filter_summary(bl.bloom_load(spark, path))
+    return _filter_bits(bl.bloom_load(spark, path))
 
 
 def q_reputable_users(spark, d):
@@ -119,21 +118,21 @@ def q_circle_label_count(spark, d):
 
 
 def q_circle_area_ratio(spark, d):
-    return stats.circle_area_ratio(T.points(spark, d), T.POINT_RADIUS)
+    return stats.circle_area_ratio(T.points(spark, d), T.POINT_RADIUS).select(F.round("ratio", 6).alias("ratio"))
 
 
 def q_line_mean(spark, d):
     lines = T.space_lines(spark, d)
-    nums = stats.space_numbers(lines.select("orderkey", "chunk", "value"), keep=("orderkey", "chunk"))
-    return nums.select("orderkey", "chunk", F.round(stats.line_mean_col(), 6).alias("mean"))
+    nums = stats.space_numbers(lines, keep=("orderkey",))
+    return nums.select("orderkey", F.round(stats.line_mean_col(), 6).alias("mean"))
 
 
 def q_mean_of_line_means(spark, d):
-    return stats.mean_of_line_means(stats.space_numbers(T.space_lines(spark, d)))
+    return stats.mean_of_line_means(stats.space_numbers(T.space_lines(spark, d))).select(F.round("mean", 6).alias("mean"))
 
 
 def q_global_mean(spark, d):
-    return stats.global_mean(stats.space_numbers(T.space_lines(spark, d)))
+    return stats.global_mean(stats.space_numbers(T.space_lines(spark, d))).select(F.round("mean", 6).alias("mean"))
 
 
 def q_min_max(spark, d):
@@ -156,8 +155,9 @@ def q_minmax_report(spark, d):
 
 def q_xml_attr_map(spark, d):
     m = T.comment_rows(spark, d).select(attr_map(F.col("value")).alias("attrs"))
-    return m.select(attr(F.col("attrs"), "Id").alias("id"),
-                    F.explode("attrs").alias("name", "value"))
+    # explode_outer: a plain explode would infer a filter that evaluates the map twice
+    return (m.select(attr(F.col("attrs"), "Id").alias("id"), F.explode_outer("attrs").alias("name", "value"))
+            .where(F.col("name").isNotNull()))
 
 
 def q_xml_attr_project(spark, d):
@@ -177,6 +177,10 @@ def q_users_by_year(spark, d):
     return partition.users_by_year(T.user_rows(spark, d))
 
 
+def q_users_by_year_grouped(spark, d):
+    return partition.cluster_by(partition.users_by_year(T.user_rows(spark, d)), "year", salts=T.YEAR_SALTS)
+
+
 def q_users_by_year_range(spark, d):
     return partition.year_range(partition.users_by_year(T.user_rows(spark, d)), T.MIN_YEAR, T.NUM_YEARS)
 
@@ -192,9 +196,11 @@ def q_src_text_lines(spark, d):
 def q_src_multi_path(spark, d):
     root = scratch_dir(spark, "multi")
     docs = T.table(spark, d, "documents", "text", "lang").select(F.col("text").alias("value"), "lang")
-    docs.write.partitionBy("lang").text(root)
-    langs = [r["lang"] for r in docs.select("lang").distinct().collect()]  # a handful of language codes
-    return src_text.read_lines(spark, [f"{root}/lang={lang}" for lang in langs])
+    lang = F.col("lang")
+    parts = {"first": lang == "en", "other": lang != "en", "none": lang.isNull()}
+    for name, cond in parts.items():
+        sinks.write_lines(docs.where(cond), "value", f"{root}/{name}")
+    return src_text.read_lines(spark, [f"{root}/{name}" for name in parts])
 
 
 def q_src_tagged_union(spark, d):
@@ -220,20 +226,19 @@ def q_src_xml_rows(spark, d):
 
 def q_src_file_name(spark, d):
     root = scratch_dir(spark, "files")
-    T.word_lines(spark, d).select("value", "file").write.partitionBy("file").text(root)
-    lines = spark.read.text(root).select(src_text.file_parent().alias("file"))
-    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
+    sinks.write_named_files(T.word_lines(spark, d), "file", "value", root)
+    lines = src_text.read_lines(spark, root, with_file=True)
+    return index.inverted_index(lines.withColumn("file", F.regexp_replace("file", "~[0-9]+$", "")))
 
 
 def q_src_points(spark, d):
     root = scratch_dir(spark, "points")
     pts = T.points(spark, d)
-    sinks.write_lines(pts.select(F.concat_ws(",", F.col("x").cast("string"), F.col("y").cast("string")).alias("v")),
-                      "v", f"{root}/points")
+    lines = pts.select(F.concat_ws(",", F.col("x").cast("string"), F.col("y").cast("string")).alias("v"))
     header = pts.agg(F.concat_ws(",", F.lit(str(T.POINT_RADIUS)), F.count(F.lit(1)).cast("string")).alias("v"))
-    sinks.write_lines(header, "v", f"{root}/header")
-    back, r, _n = src_records.read_points(spark, f"{root}/points", f"{root}/header")
-    return stats.circle_label_count(back, r)
+    sinks.write_lines(header.unionByName(lines), "v", root)
+    back, r, _n = src_records.read_points(spark, root)
+    return back.select("x", "y", stats.inside_circle("x", "y", r).alias("inside"))
 
 
 def q_src_hash_numbers(spark, d):
@@ -266,7 +271,7 @@ def q_sink_lines(spark, d):
 
 def q_sink_partition_by_year(spark, d):
     path = scratch_dir(spark, "years")
-    sinks.write_by_year(partition.users_by_year(T.user_rows(spark, d)), path, files_per_year=4)
+    sinks.write_by_year(partition.users_by_year(T.user_rows(spark, d)), path, max_records_per_file=1_000_000)
     return spark.read.text(path).select(F.col("year").cast("int").alias("year"), F.col("value").alias("raw"))
 
 
@@ -296,6 +301,9 @@ QUERIES: dict[str, Query] = {
     "bloom_join_rightouter": _bloom_join("rightouter"),
     "bloom_join_fullouter": _bloom_join("fullouter"),
     "bloom_join_anti": _bloom_join("anti"),
+    "bloom_join_rightouter_raw": _bloom_join("rightouter", exact=False),
+    "bloom_join_fullouter_raw": _bloom_join("fullouter", exact=False),
+    "bloom_join_anti_raw": _bloom_join("anti", exact=False),
     "bloom_semi_filter": q_bloom_semi_filter,
     "bloom_build": q_bloom_build,
     "bloom_save_load": q_bloom_save_load,
@@ -313,6 +321,7 @@ QUERIES: dict[str, Query] = {
     "xml_attr_project": q_xml_attr_project,
     "xml_attr_typed": q_xml_attr_typed,
     "users_by_year": q_users_by_year,
+    "users_by_year_grouped": q_users_by_year_grouped,
     "users_by_year_range": q_users_by_year_range,
     "src_text_lines": q_src_text_lines,
     "src_multi_path": q_src_multi_path,

@@ -6,15 +6,14 @@ capped or subset by id.
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linebeam.functions.text import words
 from linebeam.functions.xmlrow import xml_escape
-from linebeam.sources.text import spread
 
 # Fixed values of the bindings.
-USER_NATION_BELOW = 10        # users: customers of nations 0..9 (leaves unmatched keys on both sides)
+COMMENT_KEY_FACTOR = 11       # comments: user key = user_id * 11 (leaves unmatched keys on both sides)
 REPUTATION_ABOVE = 1500       # reputable users: reputation > 1500 (strict)
 SIGNUP_EVENT = "signup"       # comments of this type have no UserId
 ERROR_EVENT = "error"         # '#' lines of this type have an empty second field
@@ -22,30 +21,22 @@ CLICK_EVENT = "click"         # '#' lines of this type end with a separator
 POINT_RADIUS = 0.1            # circle radius for the point scan
 MIN_YEAR = 1995               # first legal partition year
 NUM_YEARS = 6                 # legal partition years: 1995..2000
+YEAR_SALTS = 16               # parts a year is grouped in
 BLOOM_P = 0.01                # Bloom false-positive rate
-LINE_WIDTH = 8                # numbers per blank-separated line
 DATE_OUT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 
-# Tables whose rows carry heavy per-row work (tokenizing, rendering, regex)
-# before the first shuffle of any query that reads them.
-HEAVY_ROWS = ("documents", "events", "orders")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """The parquet table ``name`` (only ``cols`` when given); a heavy table is
-    spread over the cluster's cores if its scan is too coarse (``spread``)."""
+    """The parquet table ``name`` (only ``cols`` when given)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    df = df.select(*cols) if cols else df
-    return spread(df, name) if name in HEAVY_ROWS else df
+    return df.select(*cols) if cols else df
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id string, raw string, reputation int)."""
-    c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal")
-    return (c.where(F.col("c_nationkey") < USER_NATION_BELOW)
-            .select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("raw"),
-                    F.floor("c_acctbal").cast("int").alias("reputation")))
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_acctbal")
+    return c.select(F.col("c_custkey").cast("string").alias("id"), F.col("c_name").alias("raw"),
+                    F.floor("c_acctbal").cast("int").alias("reputation"))
 
 
 def reputable(users_df: DataFrame) -> DataFrame:
@@ -56,7 +47,8 @@ def reputable(users_df: DataFrame) -> DataFrame:
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id string or NULL, raw string)."""
     e = table(spark, sf_dir, "events", "event_type", "user_id", "event_id")
-    return e.select(F.when(F.col("event_type") != SIGNUP_EVENT, F.col("user_id").cast("string")).alias("user_id"),
+    key = (F.col("user_id") * COMMENT_KEY_FACTOR).cast("string")
+    return e.select(F.when(F.col("event_type") != SIGNUP_EVENT, key).alias("user_id"),
                     F.col("event_id").cast("string").alias("raw"))
 
 
@@ -66,7 +58,7 @@ def comment_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.when(F.col("event_type") != SIGNUP_EVENT,
                   F.concat(F.lit(' UserId="'), F.col("user_id").cast("string"), F.lit('"'))).otherwise(F.lit(""))
     line = F.concat(F.lit('  <row Id="'), F.col("event_id").cast("string"),
-                    F.lit('" Text="'), xml_escape(F.concat_ws(" ", "event_type", "props")),
+                    F.lit('" Note="see Text=" Text="'), xml_escape(F.concat_ws(" ", "event_type", "props")),
                     F.lit('" CreationDate="'), F.date_format("ts", DATE_OUT), F.lit('"'),
                     user, F.lit(" />"))
     return e.select(line.alias("value"))
@@ -76,7 +68,7 @@ def user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value string): one ``<row .../>`` line per order, dated by the order date."""
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_custkey")
     line = F.concat(F.lit('  <row Id="'), F.col("o_orderkey").cast("string"),
-                    F.lit('" CreationDate="'), F.date_format("o_orderdate", DATE_OUT),
+                    F.lit('" Note="at CreationDate=" CreationDate="'), F.date_format("o_orderdate", DATE_OUT),
                     F.lit('" OwnerId="'), F.col("o_custkey").cast("string"), F.lit('" />'))
     return o.select(line.alias("value"))
 
@@ -88,20 +80,15 @@ def word_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hot_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(key string): the distinct alphabetic words of the benchmark passages."""
-    from linebeam.functions.text import tokens
-    b = table(spark, sf_dir, "benchmark", "text")
-    return (b.select(F.explode(tokens("text")).alias("key"))
-            .where(F.col("key").rlike("^[A-Za-z]+$")).distinct())
+    """(key string): the distinct words of the benchmark passages, as they stand there."""
+    return words(table(spark, sf_dir, "benchmark", "text"), "text", "key").distinct()
 
 
 def space_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(orderkey bigint, chunk bigint, value string): the quantities of an
-    order, blank separated, at most ``LINE_WIDTH`` per line (so no line grows
-    with the size of one order)."""
-    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_quantity")
-    chunk = F.floor((F.col("l_linenumber") - 1) / LINE_WIDTH)
-    return (li.groupBy(F.col("l_orderkey").alias("orderkey"), chunk.alias("chunk"))
+    """(orderkey bigint, value string): the quantities of an order, blank
+    separated; the order is the line."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_quantity")
+    return (li.groupBy(F.col("l_orderkey").alias("orderkey"))
             .agg(F.concat_ws(" ", F.collect_list(F.col("l_quantity").cast("int").cast("string"))).alias("value")))
 
 

@@ -3,6 +3,8 @@ replace an existing output folder."""
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,3 +55,20 @@ def write_by_year(df: DataFrame, path: str, year: str = "year", record: str = "r
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.text(path)
+
+
+def write_named_files(df: DataFrame, name: str, record: str, path: str) -> None:
+    """Records in text files named after their ``name`` value: ``<name>~<i>``,
+    as many per name as tasks wrote. Rows are written by folder first; the
+    driver then moves the files (names only, no data)."""
+    spark = df.sparkSession
+    write_by = df.select(F.col(name).alias("name"), F.col(record).cast("string").alias("value"))
+    write_by.write.partitionBy("name").text(f"{path}/_folders")
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "_folders/name=*")):
+        value = unquote(folder.getPath().getName().removeprefix("name="))
+        for i, f in enumerate(fs.listStatus(folder.getPath())):
+            fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(root, f"{value}~{i}"))
+    fs.delete(jvm.org.apache.hadoop.fs.Path(root, "_folders"), True)

@@ -28,14 +28,27 @@ def parse_points(lines: DataFrame, text: str = "value") -> DataFrame:
     return lines.select(F.trim(parts[0]).cast("double").alias("x"), F.trim(parts[1]).cast("double").alias("y"))
 
 
-def read_points(spark: SparkSession, points_path, header_path: str) -> tuple[DataFrame, float, float]:
-    """Points plus the header ``R,N`` kept in its own one-line file.
+def read_points(spark: SparkSession, path, header_path: str | None = None) -> tuple[DataFrame, float, float]:
+    """Points plus their header ``R,N``. Returns ``(points, r, n)``.
 
-    Returns ``(points, r, n)``. The header is one line and is the only thing
-    read on the driver; no data line is ever taken for a header.
+    The header is the first record of the data (the first line of the first
+    file by name) or, with ``header_path``, the first line of a file of its
+    own. Only that line reaches the driver, and only that line is left out of
+    the points, even where a point looks the same.
     """
-    head = read_lines(spark, header_path).where(F.trim("value") != "").first()
+    if header_path is not None:
+        lines = read_lines(spark, path)
+        head = read_lines(spark, header_path).where(F.trim("value") != "").select("value").first()
+    else:
+        lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"),
+                                             F.col("_metadata.file_block_start").alias("start"),
+                                             F.monotonically_increasing_id().alias("at"))
+        # the order inside a file: its splits by their start, their lines by the running number
+        head = lines.where(F.trim("value") != "").agg(F.min(F.struct("file", "start", "at", "value")).alias("h")).select("h.*").first()
+        head = None if head is None or head["value"] is None else head
     if head is None:
-        raise ValueError(f"no header line in {header_path}")
+        raise ValueError("no header line")
+    if header_path is None:
+        lines = lines.where((F.col("file") != head["file"]) | (F.col("start") != head["start"]) | (F.col("at") != head["at"]))
     r_txt, n_txt = [t.strip() for t in head["value"].split(",")[:2]]
-    return parse_points(read_lines(spark, points_path)), float(r_txt), float(n_txt)
+    return parse_points(lines), float(r_txt), float(n_txt)

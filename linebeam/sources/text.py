@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,28 +24,5 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], line_sep: str |
     df = reader.text(paths)
     if with_file:
         df = df.select("value", F.col("_metadata.file_name").alias("file"))
-    if min_partitions is not None:
-        df = spread(df, "lines", min_partitions)
-    return df
+    return df if min_partitions is None else df.repartition(min_partitions)
 
-
-def spread(df: DataFrame, name: str = "input", min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over ``min_partitions`` tasks (default: the
-    cluster's cores) when the scan yields fewer splits than that -- a gzip
-    file or a file of one row group is one task.
-
-    The input row count is recorded as an observed metric; the metric node
-    also keeps the per-row filters of the query above the exchange, so they
-    run on every core instead of in the single scan task. With enough splits
-    -- any large input -- the DataFrame is returned unchanged (scan filters
-    and column pruning untouched)."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want).observe(f"rows_{name}_{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("rows"))
-
-
-def file_parent(path_col: str = "_metadata.file_path"):
-    """Name of the folder a file lies in (e.g. ``source=src3`` -> ``src3``
-    when written by ``partitionBy``)."""
-    return F.regexp_extract(F.col(path_col), "([^/=]+)/[^/]+$", 1)

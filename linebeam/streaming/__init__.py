@@ -1,18 +1,16 @@
 """The stateless operators over a file stream.
 
 The original programs are bounded batch jobs; nothing here adds stream-only
-semantics (no watermark, window or state). What carries over unchanged is
-the map-only work: the same column expressions and the Bloom-filter lookup
-apply to ``readStream`` line sources, with the filter table read once per
-micro-batch like any static side.
+semantics (no watermark, window or state). What carries over unchanged is the
+row-wise work: the same column expressions and the Bloom-filter lookup apply to
+``readStream`` sources, the filter being a static side of each micro-batch.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linebeam.operators.bloom import BloomFilter
-from linebeam.operators.hotlist import hotlist_filter_bloom
+from linebeam.operators.bloom import BloomFilter, bloom_semi_filter
 
 
 def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -23,9 +21,9 @@ def read_lines_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.load(path)
 
 
-def hotlist_stream(lines: DataFrame, bf: BloomFilter, text: str = "value") -> DataFrame:
-    """Streaming hot-list lookup: the map-only Bloom form on each micro-batch."""
-    return hotlist_filter_bloom(lines, text, bf)
+def semi_filter_stream(rows: DataFrame, key: str, bf: BloomFilter) -> DataFrame:
+    """Streaming Bloom lookup: rows whose key may be a member."""
+    return bloom_semi_filter(rows, key, bf)
 
 
 def run_available(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "text"):

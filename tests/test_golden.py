@@ -72,9 +72,9 @@ def test_g4_inverted_index_from_files(spark, stage):
     folder = stage("idx")
     write_files(folder, {"0": "it is what it is\n", "1": "what is it\n", "2": "it is a banana\n"})
     lines = text.read_lines(spark, folder, with_file=True)
-    out = dict(rows(index.inverted_index(lines), "word", "files"))
+    out = dict(rows(index.inverted_index(lines, buckets=1), "word", "files"))
     assert out == {"a": "2", "banana": "2", "is": "0 1 2", "it": "0 1 2", "what": "0 1"}
-    rep = dict(rows(index.inverted_index_report(index.inverted_index(lines)), "word", "files"))
+    rep = dict(rows(index.inverted_index_report(index.inverted_index(lines, buckets=1)), "word", "files"))
     assert rep["is"] == "{ 0 1 2 }"
     tf = {(w, f): n for w, f, n in rows(index.posting_counts(lines), "word", "file", "tf")}
     assert tf[("it", "0")] == 2 and tf[("is", "0")] == 2 and tf[("banana", "2")] == 1
@@ -82,7 +82,7 @@ def test_g4_inverted_index_from_files(spark, stage):
 
 def test_o1_sorted_bytewise(spark):
     lines = spark.createDataFrame([("b a B é A",)], "value string").withColumn("file", F.lit("f"))
-    idx = index.inverted_index(lines.select(F.col("value"), "file"))
+    idx = index.inverted_index(lines.select(F.col("value"), "file"), buckets=1)
     got = [r["word"] for r in index.sort_by_key(idx).collect()]
     assert got == ["a", "b", "é"]
     raw = wordcount.word_count(spark.createDataFrame([("b a B é A",)], "value string"), case="keep")
@@ -91,9 +91,9 @@ def test_o1_sorted_bytewise(spark):
 
 XML = """<?xml version="1.0" encoding="utf-8"?>
 <comments>
-  <row Id="2" PostId="7" Score="0" Text="Deer Bear River" CreationDate="2010-08-17-17T19:38:20.410" UserId="11" />
-  <row Id="3" PostId="13" Score="1" Text="Car Car River" CreationDate="2010-08-17-17T19:42:04.487" UserId="15" />
-  <row Id="10" PostId="17" Score="0" Text="How now Brown cow" CreationDate="2010-08-17-17T19:52:28.863" UserId="58" />
+  <row Id="1" Kind="a" Text="Deer Bear River" UserId="4" />
+  <row Id="2" Kind="b" Text="Car Car River" UserId="5" />
+  <row Id="3" Kind="c" Text="How now Brown cow" UserId="6" />
 
 </comments>
 """
@@ -208,13 +208,64 @@ def test_hotlist_exact_and_approximate(spark):
     recs = spark.createDataFrame([(1, "alpha. x"), (2, "it's alpha"), (3, "Beta"), (4, "none here")],
                                  "id long, text string")
     hot = spark.createDataFrame([("alpha",), ("beta",)], "key string")
-    for inline in (1024, 0):  # map-only key array, and the semi-join path
-        def ids(**kw):
-            return sorted(r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot, max_inline_keys=inline, **kw).collect())
-        assert ids() == [2]
-        assert ids(strip=True, lower=True) == [1, 2, 3]
-    approx = {r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot, approximate=True).collect()}
-    assert 2 in approx
+
+    def ids(**kw):
+        return sorted(r["id"] for r in hotlist.hotlist_filter(recs, "text", hot, **kw).collect())
+    assert ids() == [2]
+    assert ids(strip=True, lower=True) == [1, 2, 3]
+    assert 2 in ids(approximate=True)
+
+
+def test_hotlist_judges_each_record(spark):
+    """NULL and repeated ids: the text alone decides."""
+    from linebeam.operators import hotlist
+    recs = spark.createDataFrame([(1, "alpha"), (1, "none"), (None, "alpha")], "id long, text string")
+    hot = spark.createDataFrame([("alpha",)], "key string")
+    for approximate in (False, True):
+        got = {(r["id"], r["text"]) for r in hotlist.hotlist_filter(recs, "text", hot, approximate=approximate, p=1e-6).collect()}
+        assert got == {(1, "alpha"), (None, "alpha")}
+
+
+def test_attribute_names_inside_values(spark):
+    from linebeam.functions.xmlrow import attr, attr_map, attr_value
+    rows_ = [('<row Title="see Text=" Text="real words" />',),
+             ('<row Body="at CreationDate=" CreationDate="2011-03-05T01:02:03.004" />',),
+             ('<row MyText="no" Text="" Text="last" />',), ('<row Text="" />',), ("<row />",)]
+    df = spark.createDataFrame(rows_, "v string")
+    got = [r[0] for r in df.select(attr_value(F.col("v"), "Text")).collect()]
+    assert got == ["real words", None, "last", "", None]
+    assert got == [r[0] for r in df.select(attr(attr_map(F.col("v")), "Text")).collect()]
+    years = partition.users_by_year(df.withColumnRenamed("v", "value")).collect()
+    assert [(r["year"], r["raw"]) for r in years] == [(2011, rows_[1][0])]
+
+
+def test_file_names_with_blanks_and_signs(spark, stage):
+    folder = stage("names")
+    write_files(folder, {"a b": "x\n", "c=d": "x y\n", "e%41": "y\n"})
+    lines = text.read_lines(spark, folder, with_file=True)
+    got = {(w, f) for w, f, _ in rows(index.posting_counts(lines), "word", "file", "tf")}
+    assert {f for _, f in got} == {F_ for F_ in {r["file"] for r in lines.collect()}}
+    assert len({f for _, f in got}) == 3
+
+
+def test_points_header_is_first_record(spark, stage):
+    folder = stage("pts1")
+    write_files(folder, {"part-0": "2,3\n0,0\n1.5, 1.5\n", "part-1": "0.5,0.5\n2,3\n"})
+    pts, r, n = records.read_points(spark, folder)
+    assert (r, n) == (2.0, 3.0)
+    assert sorted((p["x"], p["y"]) for p in pts.collect()) == [(0.0, 0.0), (0.5, 0.5), (1.5, 1.5), (2.0, 3.0)]
+
+
+def test_groups_are_sorted_inside_partitions(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 13).cast("int").alias("year"), F.col("id").cast("string").alias("raw"))
+    for salts in (None, 4):
+        out = partition.cluster_by(df, "year", salts=salts)
+        parts = out.select("year", F.spark_partition_id().alias("p")).collect()
+        seen = {}
+        for r in parts:
+            seen.setdefault(r["p"], []).append(r["year"])
+        assert all(v == sorted(v) for v in seen.values())
+        assert sum(map(len, seen.values())) == 1000
 
 
 def test_observed_malformed_counter(spark):
@@ -226,7 +277,7 @@ def test_observed_malformed_counter(spark):
 
 def test_inverted_index_buckets_keep_every_file(spark):
     lines = spark.createDataFrame([(f"common w{i % 3}", f"f{i:03d}") for i in range(200)], "value string, file string")
-    whole = dict(rows(index.inverted_index(lines), "word", "files"))
+    whole = dict(rows(index.inverted_index(lines, buckets=1), "word", "files"))
     split = index.inverted_index(lines, buckets=8)
     got = {}
     for r in split.collect():
@@ -260,16 +311,14 @@ def test_q22_duplicate_training_keys(spark):
     assert bf.table.first()["bits"] == once.table.first()["bits"]
 
 
-def test_bloom_hotlist_verify_is_exact(spark):
+def test_exact_hotlist_has_no_false_positive(spark):
     from linebeam.operators import hotlist
     def word(i):  # alphabetic, since the hot-token cleaning blanks digits
         return "w" + chr(97 + i % 26) + chr(97 + i // 26)
     recs = spark.createDataFrame([(i, f"{word(i)} x") for i in range(300)], "id long, text string")
     hot = spark.createDataFrame([(word(i),) for i in range(0, 300, 3)], "key string")
     bf = hotlist.hotlist_bloom(hot, p=0.2)
-    exact = sorted(r["id"] for r in hotlist.hotlist_filter(recs, "id", "text", hot, max_inline_keys=0).collect())
+    exact = sorted(r["id"] for r in hotlist.hotlist_filter(recs, "text", hot, bf=bf).collect())
     assert exact == list(range(0, 300, 3))
-    verified = hotlist.hotlist_filter_bloom(recs, "text", bf, verify=True, id_col="id", hot=hot)
-    assert sorted(r["id"] for r in verified.collect()) == exact
-    loose = {r["id"] for r in hotlist.hotlist_filter_bloom(recs, "text", bf).collect()}
+    loose = {r["id"] for r in hotlist.hotlist_filter(recs, "text", hot, bf=bf, approximate=True).collect()}
     assert set(exact) <= loose

@@ -1,4 +1,4 @@
-"""Plan shapes: map-side combine, column pruning, map-only Bloom lookup."""
+"""Plan shapes: map-side combine, column pruning, Bloom lookup."""
 
 import contextlib
 import io
@@ -6,7 +6,7 @@ import io
 from pyspark.sql import functions as F
 
 from linebeam.operators import bloom as bl
-from linebeam.operators import hotlist, index, wordcount
+from linebeam.operators import index, wordcount
 
 DOCS = "/root/testdata/sf0.01/documents.parquet"
 EVENTS = "/root/testdata/sf0.01/events.parquet"
@@ -42,30 +42,21 @@ def test_filter_pushdown_reaches_scan(spark):
     assert "PushedFilters: [IsNotNull(event_type), Not(EqualTo(event_type,signup))]" in p
 
 
-def test_bloom_lookup_is_map_only(spark):
-    docs = spark.read.parquet(DOCS).select("doc_id", "text")
-    hot = spark.createDataFrame([("alpha",), ("beta",)], "key string")
-    bf = hotlist.hotlist_bloom(hot)
-    out = hotlist.hotlist_filter_bloom(docs, "text", bf)
-    assert "Exchange" not in main_plan(out)
-    assert "Subquery" in plan(out)
-
-
-def test_bloom_semi_filter_is_map_only(spark):
+def test_bloom_semi_filter_shuffles_no_row(spark):
+    """A small filter is broadcast; the rows are not shuffled, and each key is hashed once."""
     ev = spark.read.parquet(EVENTS).select(F.col("user_id").cast("string").alias("k"), "event_id")
     bf = bl.bloom_build(spark.range(10).select(F.col("id").cast("string").alias("key")), "key")
-    out = bl.bloom_semi_filter(ev, "k", bf)
-    assert "Exchange" not in main_plan(out)
-    assert "NestedLoopJoin" not in plan(out)
-
-
-def test_short_hot_list_exact_filter_is_map_only(spark):
-    docs = spark.read.parquet(DOCS).select("doc_id", "text")
-    hot = spark.createDataFrame([("alpha",), ("beta",)], "key string")
-    out = hotlist.hotlist_filter(docs, "doc_id", "text", hot)
-    assert "Exchange" not in main_plan(out)
-    long_form = hotlist.hotlist_filter(docs, "doc_id", "text", hot, max_inline_keys=1)
-    assert "Exchange" in main_plan(long_form) or "BroadcastExchange" in plan(long_form)
+    p = main_plan(bl.bloom_semi_filter(ev, "k", bf))
+    assert p.replace("BroadcastExchange", "").count("Exchange") == 0
+    assert "NestedLoopJoin" not in p and "Cartesian" not in p
+    tree = bl.bloom_semi_filter(ev, "k", bf)._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("md5(") <= 2
+
+
+def test_attribute_map_evaluated_once(spark):
+    from linebeam.plans.queries import QUERIES
+    tree = QUERIES["xml_attr_map"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("regexp_extract_all") == 2
 
 
 def test_outer_join_shuffles_each_side_once(spark):

@@ -36,20 +36,57 @@ def test_bloom_null_key_never_member(spark):
     assert [r["key"] for r in bl.bloom_semi_filter(df, "key", bf).collect()] == ["a"]
 
 
-def test_bloom_over_cap_raises(spark):
-    keys = spark.range(1000).select(F.col("id").cast("string").alias("key"))
-    with pytest.raises(ValueError):
-        bl.bloom_build(keys, "key", p=0.01, max_bits=1000)
+def test_bloom_blocks_lose_no_key_and_match_brute_force(spark):
+    """Many small blocks: bits equal a plain rebuild, members pass, the rate holds."""
+    import hashlib
+    keys = spark.range(2000).select(F.col("id").cast("string").alias("key"))
+    bf = bl.bloom_build(keys, "key", p=0.01, block_bits=512)
+    assert bf.blocks > 30
+    want = set()
+    for i in range(2000):
+        d = hashlib.md5(str(i).encode()).hexdigest()
+        h1, h2 = int(d[:15], 16), int(d[15:30], 16)
+        for j in range(bf.k):
+            want.add((h1 // 512 % bf.blocks, (h1 % 512 + j * (h2 % 512)) % 512))
+    assert {(r["block"], r["q"]) for r in bl.bit_positions(bf).collect()} == want
+    assert bl.bloom_semi_filter(keys, "key", bf).count() == 2000
+    others = spark.range(20000).select(F.concat(F.lit("x"), F.col("id").cast("string")).alias("key"))
+    assert bl.bloom_semi_filter(others, "key", bf).count() <= 0.04 * 20000
+
+
+def test_bloom_rows_whatever_the_plan(spark):
+    """exact=False gives the same rows with the filter broadcast or shuffled."""
+    u, c = _users_comments(spark)
+    a = T.reputable(u)
+    def got():
+        df = bloomjoin.bloom_join(a, c, "id", "user_id", "fullouter", exact=False, block_bits=256)
+        return sorted(map(tuple, df.collect()))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in names}
+    one = got()
+    try:
+        for k in names:
+            spark.conf.set(k, "-1")
+        assert got() == one
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_bloom_of_no_keys(spark):
+    none = spark.createDataFrame([(None,)], "key string")
+    bf = bl.bloom_build(none, "key")
+    assert bl.bloom_semi_filter(spark.createDataFrame([("a",), (None,)], "key string"), "key", bf).count() == 0
 
 
 def test_bloom_save_load_round_trip(spark, stage):
     keys = spark.range(300).select(F.col("id").cast("string").alias("key"))
-    bf = bl.bloom_build(keys, "key")
+    bf = bl.bloom_build(keys, "key", block_bits=1024)
     path = stage("bf")
     bl.bloom_save(bf, path)
     back = bl.bloom_load(spark, path)
-    assert (back.m, back.k, back.n, back.p) == (bf.m, bf.k, bf.n, bf.p)
-    assert back.table.first()["bits"] == bf.table.first()["bits"]
+    assert (back.m, back.k, back.n, back.p, back.block_bits) == (bf.m, bf.k, bf.n, bf.p, bf.block_bits)
+    assert sorted(map(tuple, back.table.collect())) == sorted(map(tuple, bf.table.collect()))
 
 
 def _users_comments(spark):
