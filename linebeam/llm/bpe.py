@@ -19,6 +19,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +56,32 @@ class Ranks:
         np.minimum.at(low, self.keys[:-1] // self.size, ranks)
         np.minimum.at(low, self.keys[:-1] % self.size, ranks)
         self.early = low < np.arange(self.size)
+        # the pairs that give each rank: keys grouped by rank
+        order = np.argsort(ranks, kind="stable")
+        self.by_rank, self.rank_at = self.keys[:-1][order], np.searchsorted(ranks[order], np.arange(self.size + 1))
+        # the tokens' bytes end to end, for decoding
+        sizes = np.zeros(self.size, np.int64)
+        sizes[list(self.bytes_of)] = [len(t) for t in self.bytes_of.values()]
+        self.sizes, self.places = sizes, np.cumsum(sizes) - sizes
+        self.blob = np.frombuffer(b"".join(self.bytes_of.get(i, b"") for i in range(self.size)), np.uint8)
+
+    def stands(self, rank, left, right):
+        """Where a pair of tokens joins at ``rank``."""
+        key = left.astype(np.int64) * self.size + right
+        ok = np.zeros(len(key), bool)
+        for k in self.by_rank[self.rank_at[rank]:self.rank_at[rank + 1]].tolist():
+            ok |= key == k
+        return ok
+
+    def text(self, ids):
+        """(bytes of the ids end to end, bytes per id)."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= self.size or not self.sizes[ids].all()):
+            raise KeyError("an id stands for no token")
+        n = self.sizes[ids]
+        ends = np.cumsum(n)
+        at = np.repeat(self.places[ids] - (ends - n), n)
+        at += np.arange(len(at))
+        return self.blob[at], n
 
     def of_pairs(self, left, right):
         """Rank of each pair of tokens, -1 where they don't join."""
@@ -86,7 +113,9 @@ class _Index:
 
     def take(self):
         r = heappop(self.heap)
-        return r, np.unique(np.concatenate(self.lists.pop(r)))
+        parts = self.lists.pop(r)
+        pos = np.sort(parts[0] if len(parts) == 1 else np.concatenate(parts))
+        return r, pos[np.concatenate([[True], pos[1:] != pos[:-1]])]
 
 
 def replay(ranks: Ranks, words: list[bytes]):
@@ -104,9 +133,8 @@ def replay(ranks: Ranks, words: list[bytes]):
     index.put(ranks.of_pairs(tok[inner], tok[nxt[inner]]), inner)
     while index.heap:
         r, pos = index.take()
-        live = (tok[pos] >= 0) & (nxt[pos] < n)
-        pos = pos[live]
-        pos = pos[ranks.of_pairs(tok[pos], tok[nxt[pos]]) == r]
+        pos = pos[(tok[pos] >= 0) & (nxt[pos] < n)]
+        pos = pos[ranks.stands(r, tok[pos], tok[nxt[pos]])]
         if not len(pos):
             continue
         if ranks.early[r]:
@@ -149,6 +177,8 @@ def piece_encoder(ranks: Ranks):
     return encode
 
 
+BLOCK_CHARS = 4_000_000   # a corpus block: its new pre-tokens are replayed together
+
 _TABLES: dict = {}   # one per rank file in a Python worker
 
 
@@ -165,7 +195,7 @@ def _encoder(key, pattern, shared, kind):
         split = regex.compile(pattern).findall
         for b in batches:
             texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
-            for lo, hi in blocks(texts):
+            for lo, hi in blocks(texts, BLOCK_CHARS):
                 flat, counts = table.ids([split(t) for t in texts[lo:hi]])
                 part = b.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], list_array(flat, counts, pa.int32())], names=kind)
@@ -174,12 +204,17 @@ def _encoder(key, pattern, shared, kind):
 
 def _decoder(key, shared, kind):
     def run(batches):
-        table = _ranks(key, lambda: shared.value).bytes_of
+        ranks = _ranks(key, lambda: shared.value)
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                out = [None if x is None else b"".join(map(table.__getitem__, x)) for x in part.column(b.num_columns - 1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(out, pa.binary())], names=kind)
+            for lo in range(0, b.num_rows, 200):
+                part = b.slice(lo, 200)
+                ids = part.column(b.num_columns - 1)
+                raw, n = ranks.text(ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
+                per_row = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                upto = np.concatenate([[0], np.cumsum(n)])
+                offsets = upto[np.concatenate([[0], np.cumsum(per_row)])].astype(np.int32)
+                out = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes())])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pc.if_else(ids.is_valid(), out, pa.scalar(None, pa.binary()))], names=kind)
     return run
 
 

@@ -52,11 +52,11 @@ class PieceTable(dict):
         return out, ends[at[1:]] - ends[at[:-1]]
 
 
-def blocks(texts):
-    """Slices (lo, hi) of a list of texts, of about BLOCK_CHARS characters; a longer text stands alone."""
+def blocks(texts, chars=BLOCK_CHARS):
+    """Slices (lo, hi) of a list of texts, of about ``chars`` characters; a longer text stands alone."""
     lo = size = 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > BLOCK_CHARS:
+        if size and size + len(t) > chars:
             yield lo, i
             lo, size = i, 0
         size += len(t)
