@@ -53,7 +53,7 @@ def _unpacked(state: bytes, size):
     return z, n
 
 
-def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: int, one_pass, how=(features, WordHashes)):
+def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: int, one_pass, how=(features, WordHashes), start=None):
     """(features, z, n) after ``rounds`` rounds over ``rows`` (key, y, text), a
     bounded sample: the sorted numbers of the features in use and the state of
     their coordinates, then of ``extra`` more. A row's shard is its key modulo
@@ -61,16 +61,20 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
     and y, z, n)`` from the shared state, in key order; a coordinate then moves
     by the mean step of the shards that touched it. Features that too few rows
     hold are left out: they could only memorise a row. ``how``: the feature
-    function and what makes its cache. No rows: no features, zeros."""
+    function and what makes its cache; ``start``: (z, n) of the extra
+    coordinates, given the mean y. No rows: no features, zeros."""
     spark = rows.sparkSession
     data = staged(rows.mapInPandas(_featurise(shards, bits, *how), "shard bigint, key bigint, y double, x array<bigint>"), "train")
-    least = max(MIN_ROWS, math.ceil(MIN_SHARE * data.count()))
+    count, mean = data.agg(F.count("*"), F.avg("y")).first()
+    least = max(MIN_ROWS, math.ceil(MIN_SHARE * count))
     common = data.select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("rows")).where(F.col("rows") >= least)
     # at most the sample's features / MIN_ROWS numbers
     kept = np.sort(np.concatenate([c.to_numpy() for c in common.select("x").toArrow().column("x").chunks] or [np.empty(0, np.int64)]))
     shared = spark.sparkContext.broadcast(kept)
     size = len(kept) + extra
     z, n = np.zeros(size), np.zeros(size)
+    if start and count:
+        z[len(kept):], n[len(kept):] = start(mean)
     for _ in range(rounds):
         state = spark.sparkContext.broadcast(_packed(z, n))
         z, n = _unpacked(state.value, size)

@@ -57,6 +57,12 @@ def ftrl_pass(rows, z, n):
         n[x] += g * g
 
 
+def base_rate(share):
+    """(z, n) of a bias that gives the share of positive rows, so that common words need not learn it."""
+    share = min(max(share, 0.001), 0.999)
+    return -np.log(share / (1 - share)) * (BETA + 1.0) / ALPHA, 1.0
+
+
 def fold(doc_id):
     """crc32 of the id as text, modulo the folds; null for a null id."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(FOLDS))
@@ -77,7 +83,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROW
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = TRAIN_ROWS):
     """(feature numbers, weights, bias): the sparse model."""
-    kept, z, n = mixed_rounds(sample(docs, labels, label, rows), BITS, 1, SHARDS, ROUNDS, ftrl_pass)
+    kept, z, n = mixed_rounds(sample(docs, labels, label, rows), BITS, 1, SHARDS, ROUNDS, ftrl_pass, start=base_rate)
     w = weights_of(z[:-1], n[:-1])
     bias = -z[-1] / ((BETA + np.sqrt(n[-1])) / ALPHA) if n[-1] else -np.inf
     return kept[w != 0], w[w != 0], float(bias)
