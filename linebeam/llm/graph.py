@@ -20,8 +20,8 @@ def _stars(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, component) for every node of ``edges``; component is the smallest
-    node reachable. Alternating large-star and small-star steps, each written to
+    """(node, component) for every node of ``edges`` that is not itself the
+    smallest one reachable, which is its component. Alternating large-star and small-star steps, each written to
     the shared folder; it stops when a step changes nothing. All grouping is by
     minimum (map-side combined), so a node with many edges costs no more than
     its edges. Null ends and self-loops are ignored; no edges: no rows."""

@@ -1,0 +1,89 @@
+import random
+import zlib
+
+import pytest
+
+from linebeam.llm import quality, toxicity
+from linebeam.llm.licences import licence_scan
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    """Toxic texts hold words of a small list; poor ones are all capitals; some rows are awkward."""
+    rnd = random.Random(1)
+    bad = [f"nasty{i}" for i in range(8)]
+    docs, labels = [], []
+    for i in range(1500):
+        w = [f"w{int(rnd.paretovariate(0.7)) % 3000}" for _ in range(rnd.randrange(20, 120))]
+        toxic, poor = rnd.random() < 0.15, rnd.random() < 0.2
+        for _ in range(rnd.randrange(2, 6) if toxic else 0):
+            w.insert(rnd.randrange(len(w)), rnd.choice(bad))
+        text = " ".join(w)
+        docs.append((i, text.upper() + "!!" if poor else text, i))
+        if rnd.random() < 0.8:
+            labels.append((i, int(not poor), int(toxic)))
+    docs += [(2000, None, 0), (2001, "", 0), (None, "nasty1 nasty2 nasty3", 0), (2002, "w1 " * 60000, 0), (2003, "w2 " * 30000 + "nasty1 nasty2 nasty3 nasty4", 0), (5, docs[5][1], 0)]
+    labels += [(2001, None, None), (9999, 1, 1), (None, 1, 1), labels[0]]
+    truth = {i: any(x.startswith("nasty") for x in (t or "").lower().split()) for i, t, _ in docs}
+    return (spark.createDataFrame(docs, "doc_id long, text string, score long"),
+            spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), truth)
+
+
+def test_toxicity_on_held_out_rows(corpus):
+    docs, labels, truth = corpus
+    rows = toxicity.toxicity(docs, labels).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3)
+    held = [r for r in rows if r["held_out"]]
+    right = sum(r["predicted"] == truth[r["doc_id"]] for r in held)
+    assert right >= 0.95 * len(held)
+    by = {r["doc_id"]: r for r in rows}
+    assert by[2000]["predicted"] == by[2001]["predicted"] == by[2002]["predicted"] == 0
+    assert by[None]["predicted"] == 1 and by[2003]["predicted"] == 1
+
+
+def test_toxicity_is_the_same_for_any_partitioning(corpus):
+    docs, labels, _ = corpus
+    one = {(r["doc_id"], r["score"]) for r in toxicity.toxicity(docs.coalesce(1), labels).collect()}
+    many = {(r["doc_id"], r["score"]) for r in toxicity.toxicity(docs.repartition(13), labels.repartition(5)).collect()}
+    assert one == many
+
+
+def test_no_labels_and_no_rows(corpus):
+    docs, labels, _ = corpus
+    assert {r["score"] for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0.0}
+    assert toxicity.toxicity(docs.limit(0), labels).collect() == []
+    assert toxicity.accepted(docs, labels.limit(0)).count() == docs.count()
+    assert {r["keep"] for r in quality.quality(docs, labels.limit(0)).collect()} == {False}
+    assert quality.quality(docs.limit(0), labels).collect() == []
+
+
+def test_quality_on_held_out_rows(corpus):
+    docs, labels, _ = corpus
+    rows = quality.quality(docs, labels).collect()
+    assert len(rows) == docs.count()
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    held = [r for r in rows if r["held_out"] and texts[r["doc_id"]]]
+    assert sum(r["keep"] == (not texts[r["doc_id"]].endswith("!!")) for r in held) >= 0.95 * len(held)
+    clean = [r["expected_grade"] for r in held if r["keep"] and "nasty" not in texts[r["doc_id"]]]
+    toxic = [r["expected_grade"] for r in held if r["keep"] and "nasty" in texts[r["doc_id"]]]
+    assert sum(clean) / len(clean) > sum(toxic) / len(toxic)
+    assert all(0 <= r["tail"] <= 1 and 0 <= r["expected_grade"] <= 2 for r in rows)
+
+
+def test_licences(spark):
+    rows = [("a/b/1", "Released under the MIT License.\nfoo bar"), ("a/b/2", "nothing"), ("a/b/c/3", "x y"), ("a/9", None),
+            (None, "Licensed under CC BY-NC 4.0."), ("a/b/c/d/LICENSE", "x\nLicensed under the Apache License, Version 2.0."),
+            ("a/b/c/d/e/f", "y"), ("a/b/2", "nothing"), ("top", ""), ("z/1", "licensed drivers under the bridge " * 5000)]
+    df = spark.createDataFrame([(i, p, t, "l") for i, (p, t) in enumerate(rows)], "n long, path string, text string, licence string")
+    found = licence_scan(df.drop("licence"), "path", "text", keep=["n"], leading_declares=True)
+    got = {r["n"]: (r["licence"], r["via"], r["from_path"]) for r in found.collect()}
+    assert got == {0: ("MIT", "notice", "a/b/1"), 1: ("MIT", "directory", "a/b/1"), 2: ("MIT", "directory", "a/b/1"), 3: (None, None, None),
+                   4: ("CC-BY-NC-4.0", "notice", None), 5: ("Apache-2.0", "notice", "a/b/c/d/LICENSE"),
+                   6: ("Apache-2.0", "directory", "a/b/c/d/LICENSE"), 7: ("MIT", "directory", "a/b/1"), 8: (None, None, None), 9: (None, None, None)}
+    only = {r["n"]: r["licence"] for r in licence_scan(df.drop("licence"), "path", "text", keep=["n"]).collect()}
+    assert only[1] is None and only[6] == "Apache-2.0"
+    assert licence_scan(df.limit(0), "path", "text").collect() == []
+    assert "Python" not in found._jdf.queryExecution().optimizedPlan().toString()
