@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linebeam.llm.bytehash import Powers, hashes_of
 from linebeam.llm.common import bit_table, in_table
 from linebeam.llm.pieces import blocks
 from linebeam.llm.shingles import WORD_MULTIPLIER, mix
@@ -57,23 +58,6 @@ _END[list(b".!?:")] = True
 _LEAD = np.ones(256, np.int64)                # bytes of a character by its first
 _LEAD[0xC0:0xE0], _LEAD[0xE0:0xF0], _LEAD[0xF0:] = 2, 3, 4
 
-_P = 0x9E3779B97F4A7C15                       # odd, so it has an inverse modulo 2^64
-_STEP = np.uint64(_P), np.uint64(pow(_P, -1, 1 << 64))
-
-
-class _Powers:
-    """Powers of the multiplier and of its inverse, as many as the longest block needs."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def get(self, n):
-        if len(self.up) < n:
-            with np.errstate(over="ignore"):
-                self.up, self.down = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n - 1, x)])) for x in _STEP)
-        return self.up, self.down
-
-
 def _lowered(text: str, size: int) -> bytes:
     """Lower case with the same number of bytes: a character whose lower case takes another number stays."""
     low = text.lower().encode("utf-8", "surrogatepass")
@@ -83,18 +67,11 @@ def _lowered(text: str, size: int) -> bytes:
     return low
 
 
-def _hashes(low, first, last, powers):
-    up, down = powers.get(len(low) + 1)
-    with np.errstate(over="ignore"):
-        total = np.concatenate([[np.uint64(0)], np.cumsum(low * up[:len(low)], dtype=np.uint64)])
-        return mix((total[last + 1] - total[first]) * down[first] + (last + 1 - first).astype(np.uint64))
-
-
 def _unit_hashes():
     words = sorted(UNITS)
     blob = np.frombuffer(" ".join(words).encode(), np.uint8)
     ends = np.cumsum([len(w) + 1 for w in words]) - 2
-    return np.sort(_hashes(blob, ends + 1 - np.array([len(w) for w in words]), ends, _Powers()))
+    return np.sort(hashes_of(blob, ends + 1 - np.array([len(w) for w in words]), ends, Powers()))
 
 
 class Words:
@@ -124,7 +101,7 @@ class Words:
         inside = np.concatenate([[False], ~ends[:-1] & (text[1:] == text[:-1])])
         real = last >= 0
         self.text, self.first, self.last, inside = text[real], first[real], last[real], inside[real]
-        self.hash = _hashes(low, self.first, self.last, powers)
+        self.hash = hashes_of(low, self.first, self.last, powers)
         digits = np.concatenate([[0], np.cumsum(_DIGIT[blob])])
         changed = np.concatenate([[0], np.cumsum(blob != low)])
         stop = np.minimum(self.first + _LEAD[blob[self.first]], len(blob))
@@ -162,7 +139,7 @@ def windows(words: Words, width: int):
 def _scan(width, table):
     """One row per window (of the benchmark: all; of documents: those in the bit table)."""
     def run(batches):
-        powers = _Powers()
+        powers = Powers()
         for b in batches:
             keys, texts = np.array(b.column(0).to_pylist(), np.int64), b.column(1).to_pylist()
             for lo, hi in blocks([t or "" for t in texts]):

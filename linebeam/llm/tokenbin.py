@@ -10,6 +10,9 @@ Segment row: shard, segment, n_docs, first (ids before it in the shard), n_ids,
 doc_ids, bounds (``EliasFano.to_bytes``), ids (little-endian unsigned, ``width``
 bytes each: 2 where the vocabulary allows, else 4).
 
+The tokenizer encodes words apart from each other, so each distinct word is
+encoded by the library once per Python worker and found again by its 64-bit hash.
+
 Cases: null or empty text: the end id alone. Null ids come first, equal ids
 follow each other in the order of a text hash, then of the text. A text longer
 than a segment makes a segment of its own. An empty table gives no rows.
@@ -21,11 +24,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linebeam.llm.pieces import PieceTable, blocks
+from linebeam.llm.bytehash import Powers, hashes_of
+from linebeam.llm.pieces import blocks
 
 SEGMENT_IDS = 1 << 20   # a segment closes once it holds so many ids
 SAMPLE = 256            # every so many set bits their place is kept for select
@@ -106,35 +111,118 @@ class EliasFano:
 
 
 SEPARATOR = "\x01"   # encoded as one id of its own; a word that holds it is encoded alone
-
-
-def word_encoder(tokenizer):
-    """Encode white-space-separated words, whose ids don't depend on their
-    neighbours: one library call takes many words with a separator between."""
-    (sep,) = tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
-
-    def encode(words):
-        odd = [w for w in words if SEPARATOR in w]
-        plain = [w for w in words if SEPARATOR not in w]
-        ids = np.array(tokenizer.encode(f" {SEPARATOR} ".join(plain), add_special_tokens=False).ids, np.int32)
-        cuts = np.flatnonzero(ids == sep)
+WORDS = 1_000_000    # words a Python worker keeps
+LONG = 255           # a word of more bytes is told from others by its text, not by its hash
+
+# byte classes: white space, ASCII letter, apostrophe, other ASCII mark, digit, byte of a non-ASCII character
+_SPACE, _LETTER, _QUOTE, _MARK, _DIGIT, _OTHER = range(6)
+_CLASS = np.full(256, _MARK, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = _SPACE
+_CLASS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_CLASS[39] = _QUOTE
+_CLASS[48:58] = _DIGIT
+_CLASS[128:] = _OTHER
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+# where the tokenizer always starts anew: after white space, between ASCII
+# letters and marks, and at ASCII digits; never beside an apostrophe (it may
+# begin a contraction) or a non-ASCII byte (it may combine with its neighbour)
+_CUT = np.zeros((6, 6), bool)
+_CUT[_SPACE, 1:] = True
+_CUT[_LETTER, _MARK] = _CUT[_MARK, _LETTER] = _CUT[_DIGIT, _DIGIT] = True
+_CUT[_DIGIT, [_LETTER, _QUOTE, _MARK]] = _CUT[[_LETTER, _QUOTE, _MARK], _DIGIT] = True
+
+
+def words_of(texts):
+    """(bytes with ASCII lowered, first, last, text): the words of a block of texts by their byte ranges."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    block = _LOWER[np.frombuffer(b"\n".join(raw), np.uint8)]
+    kind = _CLASS[block]
+    before = np.concatenate([[np.uint8(_SPACE)], kind[:-1]]) if len(kind) else kind
+    first = np.flatnonzero(_CUT[before, kind])
+    after = np.concatenate([kind[1:], [np.uint8(_SPACE)]]) if len(kind) else kind
+    last = np.flatnonzero((kind != _SPACE) & ((after == _SPACE) | _CUT[kind, after]))
+    text = np.searchsorted(np.cumsum([len(r) + 1 for r in raw]), first, "right")
+    return block, first, last, text
+
+
+class WordTable:
+    """Ids of distinct words by their hash; each is encoded by the library once."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.powers = tokenizer, Powers()
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        (self.separator,) = tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
+        self.empty()
+
+    def empty(self):
+        self.hashes, self.rows = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.flat, self.starts, self.lens = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def encode(self, words):
+        """(flat ids, ids per word): one library call takes many words with a separator between."""
+        odd = [i for i, w in enumerate(words) if SEPARATOR in w]
+        parts = {i: e.ids for i, e in zip(odd, self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False))}
+        plain = [w for i, w in enumerate(words) if i not in parts]
+        ids = np.array(self.tokenizer.encode_batch_fast([f" {SEPARATOR} ".join(plain)], add_special_tokens=False)[0].ids, np.int32)
+        cuts = np.flatnonzero(ids == self.separator)
         if len(cuts) != max(0, len(plain) - 1):
             raise ValueError("the separator's id occurs in other words")
-        counts = np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1 if plain else np.empty(0, np.int64)
-        got = dict(zip(plain, np.split(ids[ids != sep], np.cumsum(counts)[:-1]))) if plain else {}
-        for w, e in zip(odd, tokenizer.encode_batch(odd, add_special_tokens=False)):
-            got[w] = np.array(e.ids, np.int32)
-        parts = [got[w] for w in words]
+        flat, counts = ids[ids != self.separator], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
+        if not parts:
+            return flat, counts
+        each = iter(np.split(flat, np.cumsum(counts)[:-1])) if plain else iter(())
+        every = [np.array(parts[i], np.int32) if i in parts else next(each) for i in range(len(words))]
+        return np.concatenate(every), np.fromiter(map(len, every), np.int64, len(every))
+
+    def add(self, hashes, words):
+        flat, counts = self.encode(words)
+        rows = np.arange(len(self.lens), len(self.lens) + len(words))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
+        self.lens = np.concatenate([self.lens, counts])
+        self.flat = np.concatenate([self.flat, flat])
+        self.hashes, self.rows = np.concatenate([self.hashes, hashes]), np.concatenate([self.rows, rows])
+        order = np.argsort(self.hashes, kind="stable")
+        self.hashes, self.rows = self.hashes[order], self.rows[order]
+
+    def ids(self, texts):
+        """(flat ids, ids per text). A text that holds an added token's string goes to the library whole."""
+        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not whole:
+            return self._ids(texts)
+        given = dict(zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)))
+        flat, counts = self._ids(["" if i in given else t for i, t in enumerate(texts)])
+        parts = np.split(flat, np.cumsum(counts)[:-1])
+        parts = [np.array(given[i].ids, np.int32) if i in given else x for i, x in enumerate(parts)]
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
-    return encode
 
-
-_TABLES: dict = {}   # one per vocabulary in a Python worker
+    def _ids(self, texts):
+        if len(self.lens) > WORDS:
+            self.empty()
+        block, first, last, text = words_of(texts)
+        if not len(first):
+            return np.empty(0, np.int32), np.zeros(len(texts), np.int64)
+        h = hashes_of(block, first, last, self.powers)
+        word = lambda i: block[first[i]:last[i] + 1].tobytes()
+        for i in np.flatnonzero(last - first >= LONG).tolist():
+            h[i] = xxhash.xxh3_64_intdigest(word(i))
+        found, sample, back = np.unique(h, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, found)
+        new = np.ones(len(found), bool)
+        if len(self.hashes):
+            new = self.hashes[np.minimum(at, len(self.hashes) - 1)] != found
+        if new.any():
+            self.add(found[new], [word(i).decode("utf-8", "surrogatepass") for i in sample[new].tolist()])
+            at = np.searchsorted(self.hashes, found)
+        rows = self.rows[at][back]
+        n = self.lens[rows]
+        ends = np.cumsum(n)
+        where = np.repeat(self.starts[rows] - (ends - n), n)
+        where += np.arange(len(where))
+        return self.flat[where], np.bincount(text, weights=n, minlength=len(texts)).astype(np.int64)
 
 
-def _split(text):
-    """Words between ASCII white space, at which the tokenizer always ends a word."""
-    return [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").split()]
+_TABLES: dict = {}   # one per vocabulary in a Python worker
 
 
 def _segment(shard, segment, first, ids, counts, docs, width):
@@ -151,14 +239,14 @@ def _writer(key, shared, end_id):
         from tokenizers import Tokenizer
         if key not in _TABLES:
             tokenizer = Tokenizer.from_str(shared.value)
-            _TABLES[key] = PieceTable(word_encoder(tokenizer)), (2 if tokenizer.get_vocab_size() <= 1 << 16 else 4)
+            _TABLES[key] = WordTable(tokenizer), (2 if tokenizer.get_vocab_size() <= 1 << 16 else 4)
         table, width = _TABLES[key]
         shard, segment, first = TaskContext.get().partitionId(), 0, 0
         ids, counts, docs, size = [], [], [], 0
         for b in batches:
             names, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             for lo, hi in blocks(texts):
-                flat, n = table.ids([_split(t) for t in texts[lo:hi]])
+                flat, n = table.ids(texts[lo:hi])
                 ids.append(np.insert(flat, np.cumsum(n), end_id))
                 counts.append(n + 1)
                 docs += names[lo:hi]
