@@ -253,3 +253,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (out.select("doc_id", "n_shingles", component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
+
+
+def duckdb_components(table: str = "documents", width: int = 5) -> str:
+    """The result as DuckDB SQL, by comparing all pairs that share a shingle;
+    for tables whose ids are present and unique."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') AS w FROM {table}),
+    s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {width - 1}], ' ') AS sh
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {width - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+    links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+    reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+    FROM d JOIN comp ON comp.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""

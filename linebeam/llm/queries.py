@@ -10,7 +10,7 @@ from linebeam.llm.common import read
 from linebeam.llm.decontam import contaminated
 from linebeam.llm.htmltext import page_text
 from linebeam.llm.licences import licence_scan
-from linebeam.llm.neardup import near_duplicates
+from linebeam.llm.neardup import duckdb_components, near_duplicates
 from linebeam.llm.topk import duckdb_top, top_inner_products
 from linebeam.session import scratch_dir
 
@@ -91,4 +91,5 @@ QUERIES = {
 SQL: dict[str, str] = {
     "op4_secrets": secretscan.duckdb_report(),
     "op5_exact_topk": duckdb_top(every=QUERY_EVERY),
+    "op8_minhash_neardup": duckdb_components(),
 }

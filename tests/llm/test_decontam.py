@@ -1,6 +1,7 @@
 import random
 
-from linebeam.llm.decontam import COVERAGE, Words, _Powers, contaminated
+from linebeam.llm.bytehash import Powers
+from linebeam.llm.decontam import COVERAGE, Words, contaminated
 
 ITEM = ("If Anna buys 12 apples for 3 dollars each and sells 5 of them to Anna again for 7 dollars, "
         "how much money does Anna have left at the end?")
@@ -50,7 +51,7 @@ def test_equals_brute_force_on_plain_words(spark):
 
 
 def test_words_of_a_block():
-    w = Words(["Hello, World 12km! Éa “x” --- (Foo) İx", None, "", "and Bar."], _Powers())
+    w = Words(["Hello, World 12km! Éa “x” --- (Foo) İx", None, "", "and Bar."], Powers())
     kinds = dict(zip([w.low[a:b + 1].decode() for a, b in zip(w.first, w.last)], w.kind.tolist()))
     assert kinds["hello"] == 0 and kinds["world"] == 3 and kinds["12km"] == 1 and kinds["bar"] == 3 and kinds["and"] == 0
     assert w.text.tolist()[-2:] == [3, 3] and set(w.text.tolist()) == {0, 3}

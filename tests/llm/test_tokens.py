@@ -111,9 +111,10 @@ def test_token_files_edge_cases(spark, documents):
 
 def test_words_with_the_separator_and_odd_spaces():
     model = Tokenizer.from_file(P.path(queries.WORD_BPE))
-    table = PieceTable(tokenbin.word_encoder(model))
-    texts = ["a\x01b \x01 c", "x y\x1cz w", "It's 12,5 Ünï ſt <|endoftext|>x", "", " \n", "don't'll"]
-    flat, counts = table.ids([tokenbin._split(t) for t in texts])
+    table = tokenbin.WordTable(model)
+    texts = ["a\x01b \x01 c", "x y\x1cz w", "It's 12,5 Ünï ſt <|endoftext|>x", "", " \n", "don't'll", "e\u0301E\u0301 1\u0301 .'s ''s a'b.c”.d “x”…9٣b",
+             "Ab1c2%%%d's '1' x'9 K İi ΑΣ ς", "q" * 700 + " " + "q" * 700, "\ud7ff\ue000 \u00a0a\u2003b", "A.B,C;d1e\x7f\x00f"]
+    flat, counts = table.ids(texts)
     ends = np.cumsum(counts)
     for t, hi, n in zip(texts, ends, counts):
         assert flat[hi - n:hi].tolist() == model.encode(t, add_special_tokens=False).ids
