@@ -1,6 +1,6 @@
 """Scaling check: run key queries with the big tables (documents, events, orders)
-replicated FACTOR times by unionByName, to see that time grows at most
-linearly.
+replicated FACTOR times by unionByName, and build Bloom filters of ever more
+distinct keys, to see that time grows at most linearly.
 
 usage: python tools/scale_check.py FACTOR [sf_dir]
 """
@@ -15,6 +15,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from linebeam.operators.bloom import bloom_build  # noqa: E402
 from linebeam.plans import tables as T  # noqa: E402
 from linebeam.plans.queries import QUERIES  # noqa: E402
 from linebeam.session import build_session  # noqa: E402
@@ -36,14 +39,20 @@ def main():
         return df
 
     T.table = replicated
-    spark = build_session()
+    spark = build_session(master=os.environ.get("SCALE_MASTER", "local[8]"), shuffle_partitions=8)
     out = {}
     for q in QUERY_NAMES:
         for _ in range(2):  # the second, warm run is reported
             t0 = time.time()
             QUERIES[q](spark, sf_dir).write.format("noop").mode("overwrite").save()
             out[q] = round(time.time() - t0, 2)
-    print(json.dumps({"factor": factor, "seconds": out}))
+    build = {}
+    for n in (100_000, 200_000, 400_000, 800_000):
+        keys = spark.range(n).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"))
+        t0 = time.time()
+        bloom_build(keys, "key")
+        build[n] = round(time.time() - t0, 2)
+    print(json.dumps({"factor": factor, "seconds": out, "bloom_build_seconds_by_keys": build}))
 
 
 if __name__ == "__main__":
