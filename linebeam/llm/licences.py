@@ -74,7 +74,8 @@ def anchors_of(weights: dict, threshold: float) -> set:
 
 
 def notices(rows: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, licence, cosine, unit): the best notice of each text that has one, from (key, text)."""
+    """(key, licence, cosine, unit): the best notice of each text that has one,
+    from (key, text); a unit goes by its hash, so rows per term stay short."""
     spark = rows.sparkSession
     counts = [(name, Counter(re.findall(TERMS, text.lower()))) for name, text in templates]
     vocabulary = {t for _, c in counts for t in c}
@@ -91,10 +92,10 @@ def notices(rows: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     known = spark.createDataFrame(list(idf.items()), "term string, idf double")
 
     parts = F.array_distinct(F.concat(F.split("text", "\n"), F.split("text", r"\n\s*\n")))
-    units = (rows.where(F.arrays_overlap(terms_of(F.col("text")), anchors))
-             .select("key", F.explode(parts).alias("unit"))
-             .where(F.arrays_overlap(terms_of(F.col("unit")), anchors)).distinct())
-    tf = (units.select("key", "unit", F.explode(terms_of(F.col("unit"))).alias("term"))
+    units = (rows.where(F.arrays_overlap(terms_of(F.col("text")), anchors)).dropDuplicates(["key"])
+             .select("key", F.explode(parts).alias("text"))
+             .where(F.arrays_overlap(terms_of(F.col("text")), anchors)))
+    tf = (units.select("key", F.xxhash64("text").alias("unit"), F.explode(terms_of(F.col("text"))).alias("term"))
           .groupBy("key", "unit", "term").agg(F.count("*").alias("tf")).join(known, "term", "left")
           .select("key", "unit", "term", (F.col("tf") * F.coalesce("idf", F.lit(math.log(1 + total) + 1))).alias("w")))
     length = tf.groupBy("key", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
@@ -128,7 +129,7 @@ def licence_scan(files: DataFrame, path: str, text: str, *, keep=(), templates=T
     joined = heads.join(own.withColumnRenamed("key", "__key"), "__key", "left")
     speaks = F.col("__path").rlike(LICENCE_FILE)
     if leading_declares:
-        speaks = speaks | (F.col("unit") == F.col("__first"))
+        speaks = speaks | (F.col("unit") == F.xxhash64("__first"))
     declared = (joined.where(F.col("licence").isNotNull() & F.col("__dir").isNotNull() & speaks)
                 .groupBy(F.col("__dir").alias("dir")).agg(F.min(F.struct("__path", "licence")).alias("d"))
                 .select("dir", "d.licence", F.col("d.__path").alias("from_path")))
