@@ -2,10 +2,11 @@
 tokens is in a list of hot keys.
 
 The outcome depends on the text alone, so one plan serves every list length and
-needs no id: tokens of the texts -> Bloom lookup (only tokens that may be hot go
-on) -> semi-join with the distinct hot keys -> digests of the matching texts ->
-semi-join of the records on the digest. Records with NULL or repeated ids are
-judged one by one. ``approximate=True`` leaves the exact semi-join out: no
+needs no id: the distinct words of all texts (combined before the shuffle) are
+cleaned and hashed once each -> Bloom lookup (only words that may be hot go on)
+-> semi-join with the distinct hot keys -> the texts' words are semi-joined with
+the hot words -> digests of the matching texts -> semi-join of the records on
+the digest. Records with NULL or repeated ids are judged one by one. ``approximate=True`` leaves the exact semi-join out: no
 matching record is lost, others pass at about the filter's rate per token.
 """
 
@@ -34,12 +35,14 @@ def hotlist_filter(records: DataFrame, text: str, hot: DataFrame, hot_key: str =
     """Records (all columns) with at least one cleaned token in ``hot``; ``bf``
     reuses a filter already built on the same keys."""
     digest = F.sha2(F.col(text), 256)
-    raw = (records.select(digest.alias("_text"), F.col(text).alias("_raw"))
-           .select("_text", F.explode(F.split("_raw", WORD_DELIMITERS)).alias("_w")).where(F.col("_w") != ""))
-    tokens = raw.select("_text", hot_token(F.col("_w"), strip, lower).alias("_key")).where(F.length("_key") > 0)
-    hits = bloom_semi_filter(tokens, "_key", bf or hotlist_bloom(hot, hot_key, p))
+    raw = F.explode(F.split(F.col(text), WORD_DELIMITERS)).alias("_word")
+    vocabulary = records.select(raw).distinct().where(F.col("_word") != "")
+    cleaned = vocabulary.select("_word", hot_token(F.col("_word"), strip, lower).alias("_key")).where(F.length("_key") > 0)
+    hits = bloom_semi_filter(cleaned, "_key", bf or hotlist_bloom(hot, hot_key, p))
     if not approximate:
         keys = hot_keys(hot, hot_key)
         hits = hits.join(keys, hits["_key"] == keys["key"], "left_semi")
-    hits = hits.select("_text").distinct()
-    return records.join(hits, digest == hits["_text"], "left_semi")
+    words = records.select(digest.alias("_text"), F.col(text).alias("_raw")).select(
+        "_text", F.explode(F.split("_raw", WORD_DELIMITERS)).alias("_word"))
+    texts = words.join(hits.select("_word"), "_word", "left_semi").select("_text").distinct()
+    return records.join(texts, digest == texts["_text"], "left_semi")
