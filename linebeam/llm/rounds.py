@@ -21,21 +21,27 @@ def _featurise(shards, bits, extract, caches):
         cache = caches()
         for f in frames:
             yield pd.DataFrame({"shard": f["key"] % shards, "key": f["key"], "y": f["y"],
-                                "x": [extract(t, cache, bits) for t in f["text"]]})
+                                "x": [extract(t, cache, bits).astype(np.int32) for t in f["text"]]})
     return run
 
 
-def _shard_pass(shared, state, extra, one_pass):
-    def run(frame):
+def _known(shared):
+    """Feature numbers become coordinates; those not in use go."""
+    def run(frames):
         kept = shared.value
-        z, n = _unpacked(state.value, len(kept) + extra)
+        for f in frames:
+            places = [np.searchsorted(kept, x) for x in f["x"]]
+            rows = [p[kept[np.minimum(p, len(kept) - 1)] == x] if len(kept) else p[:0] for p, x in zip(places, f["x"])]
+            yield pd.DataFrame({"shard": f["shard"], "key": f["key"], "size": f["x"].map(len), "y": f["y"],
+                                "x": [r.astype(np.int32) for r in rows]})
+    return run
 
-        def known(x):
-            at = np.searchsorted(kept, x)
-            return at[kept[np.minimum(at, len(kept) - 1)] == x] if len(kept) else at[:0]
 
-        frame = frame.assign(size=frame["x"].map(len)).sort_values(["key", "size", "y"])
-        one_pass(((known(np.asarray(x)), y) for x, y in zip(frame["x"], frame["y"])), z, n)
+def _shard_pass(state, size, one_pass):
+    def run(frame):
+        z, n = _unpacked(state.value, size)
+        frame = frame.sort_values(["key", "size", "y"])
+        one_pass(((np.asarray(x, np.int64), y) for x, y in zip(frame["x"], frame["y"])), z, n)
         return pd.DataFrame({"shard": int(frame["shard"].iloc[0]), "state": [_packed(z, n)]})
     return run
 
@@ -64,14 +70,14 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
     function and what makes its cache; ``start``: (z, n) of the extra
     coordinates, given the mean y. No rows: no features, zeros."""
     spark = rows.sparkSession
-    data = staged(rows.mapInPandas(_featurise(shards, bits, *how), "shard bigint, key bigint, y double, x array<bigint>"), "train")
+    data = staged(rows.mapInPandas(_featurise(shards, bits, *how), "shard bigint, key bigint, y double, x array<int>"), "train")
     count, mean = data.agg(F.count("*"), F.avg("y")).first()
     least = max(MIN_ROWS, math.ceil(MIN_SHARE * count))
     common = data.select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("rows")).where(F.col("rows") >= least)
     # at most the sample's features / MIN_ROWS numbers
-    kept = np.sort(np.concatenate([c.to_numpy() for c in common.select("x").toArrow().column("x").chunks] or [np.empty(0, np.int64)]))
-    shared = spark.sparkContext.broadcast(kept)
+    kept = np.sort(np.concatenate([c.to_numpy() for c in common.select("x").toArrow().column("x").chunks] or [np.empty(0, np.int32)]))
     size = len(kept) + extra
+    data = staged(data.mapInPandas(_known(spark.sparkContext.broadcast(kept)), "shard bigint, key bigint, size int, y double, x array<int>"), "known")
     z, n = np.zeros(size), np.zeros(size)
     if start and count:
         z[len(kept):], n[len(kept):] = start(mean)
@@ -79,7 +85,7 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
         state = spark.sparkContext.broadcast(_packed(z, n))
         z, n = _unpacked(state.value, size)
         dz, dn, touched = np.zeros(size), np.zeros(size), np.zeros(size, np.int8)
-        ended = data.groupBy("shard").applyInPandas(_shard_pass(shared, state, extra, one_pass), "shard long, state binary")
+        ended = data.groupBy("shard").applyInPandas(_shard_pass(state, size, one_pass), "shard long, state binary")
         for r in sorted(ended.collect()):                                    # one row per shard
             z1, n1 = _unpacked(r["state"], size)
             dz += z1 - z
