@@ -29,7 +29,7 @@ from linebeam.llm.textfeatures import features
 
 BITS = 24            # features are numbered up to 2^24
 TRAIN_ROWS = 24_000  # labelled documents used, at most about so many
-SHARDS, ROUNDS = 4, 6
+SHARDS, ROUNDS = 4, 8
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 3.0, 0.0
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2   # crc32(doc_id as text) mod 4 = 2 is never trained on
