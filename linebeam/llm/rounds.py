@@ -37,12 +37,23 @@ def _known(shared):
     return run
 
 
+def _shard_row(frame):
+    """A shard of the sample as one row, in key order: it is read again in every round, without a shuffle."""
+    frame = frame.sort_values(["key", "size", "y"])
+    rows = [np.asarray(x, np.int32) for x in frame["x"]]
+    return pd.DataFrame({"shard": int(frame["shard"].iloc[0]), "y": [frame["y"].to_numpy(np.float64).tobytes()],
+                         "sizes": [np.array([len(x) for x in rows], np.int32).tobytes()], "x": [np.concatenate(rows).tobytes()]})
+
+
 def _shard_pass(state, size, one_pass):
-    def run(frame):
-        z, n = _unpacked(state.value, size)
-        frame = frame.sort_values(["key", "size", "y"])
-        one_pass(((np.asarray(x, np.int64), y) for x, y in zip(frame["x"], frame["y"])), z, n)
-        return pd.DataFrame({"shard": int(frame["shard"].iloc[0]), "state": [_packed(z, n)]})
+    def run(frames):
+        for f in frames:
+            for r in f.itertuples():
+                z, n = _unpacked(state.value, size)
+                ends = np.cumsum(np.frombuffer(r.sizes, np.int32))
+                x = np.frombuffer(r.x, np.int32).astype(np.int64)
+                one_pass(zip(np.split(x, ends[:-1]), np.frombuffer(r.y)), z, n)
+                yield pd.DataFrame({"shard": [r.shard], "state": [_packed(z, n)]})
     return run
 
 
@@ -77,7 +88,9 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
     # at most the sample's features / MIN_ROWS numbers
     kept = np.sort(np.concatenate([c.to_numpy() for c in common.select("x").toArrow().column("x").chunks] or [np.empty(0, np.int32)]))
     size = len(kept) + extra
-    data = staged(data.mapInPandas(_known(spark.sparkContext.broadcast(kept)), "shard bigint, key bigint, size int, y double, x array<int>"), "known")
+    data = (data.mapInPandas(_known(spark.sparkContext.broadcast(kept)), "shard bigint, key bigint, size int, y double, x array<int>")
+            .repartition(shards, "shard").groupBy("shard").applyInPandas(_shard_row, "shard bigint, y binary, sizes binary, x binary"))
+    data = staged(data, "shards")
     z, n = np.zeros(size), np.zeros(size)
     if start and count:
         z[len(kept):], n[len(kept):] = start(mean)
@@ -85,7 +98,7 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
         state = spark.sparkContext.broadcast(_packed(z, n))
         z, n = _unpacked(state.value, size)
         dz, dn, touched = np.zeros(size), np.zeros(size), np.zeros(size, np.int8)
-        ended = data.groupBy("shard").applyInPandas(_shard_pass(state, size, one_pass), "shard long, state binary")
+        ended = data.mapInPandas(_shard_pass(state, size, one_pass), "shard long, state binary")
         for r in sorted(ended.collect()):                                    # one row per shard
             z1, n1 = _unpacked(r["state"], size)
             dz += z1 - z
