@@ -111,7 +111,9 @@ class EliasFano:
 
 
 SEPARATOR = "\x01"   # encoded as one id of its own; a word that holds it is encoded alone
-WORDS = 1_000_000    # words a Python worker keeps
+WORDS = 2_000_000    # words a Python worker keeps
+RECENT = 60_000      # new words are sorted into the table when they are more than so many
+BLOCK_CHARS = 400_000  # texts are looked up in blocks whose arrays stay in a core's cache
 LONG = 255           # a word of more bytes is told from others by its text, not by its hash
 
 # byte classes: white space, ASCII letter, apostrophe, other ASCII mark, digit, byte of a non-ASCII character
@@ -151,39 +153,76 @@ class WordTable:
 
     def __init__(self, tokenizer):
         self.tokenizer, self.powers = tokenizer, Powers()
+        self.bare = type(tokenizer).from_str(tokenizer.to_str())
+        self.bare.normalizer = None                     # for words of ASCII: they are lower-cased, and composed as they are
         self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         (self.separator,) = tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
         self.empty()
 
     def empty(self):
-        self.hashes, self.rows = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.flat, self.starts, self.lens = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+        # sorted hashes with their words' rows: the table, and the words met since it was last sorted
+        self.levels = [(np.empty(0, np.uint64), np.empty(0, np.int32))] * 2
+        self.flat, self.starts, self.lens, self.n, self.m = np.empty(1 << 20, np.int32), np.empty(1 << 18, np.int32), np.empty(1 << 18, np.int32), 0, 0
+
+    def _room(self, words, ids):
+        """Arrays with room for more words and ids; they double, so words cost a constant each."""
+        while self.n + words > len(self.lens):
+            self.starts, self.lens = np.concatenate([self.starts, self.starts]), np.concatenate([self.lens, self.lens])
+        while self.m + ids > len(self.flat):
+            self.flat = np.concatenate([self.flat, self.flat])
+
+    def _find(self, hashes):
+        """The rows of sorted hashes, -1 where a word is new."""
+        rows = np.full(len(hashes), -1, np.int32)
+        for known, at_row in self.levels:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+                rows = np.where(known[at] == hashes, at_row[at], rows)
+        return rows
 
     def encode(self, words):
         """(flat ids, ids per word): one library call takes many words with a separator between."""
-        odd = [i for i, w in enumerate(words) if SEPARATOR in w]
-        parts = {i: e.ids for i, e in zip(odd, self.tokenizer.encode_batch_fast([words[i] for i in odd], add_special_tokens=False))}
-        plain = [w for i, w in enumerate(words) if i not in parts]
-        ids = np.array(self.tokenizer.encode_batch_fast([f" {SEPARATOR} ".join(plain)], add_special_tokens=False)[0].ids, np.int32)
+        groups = ([], [], [])                            # ASCII, others, those with the separator
+        for i, w in enumerate(words):
+            groups[2 if SEPARATOR in w else 0 if w.isascii() else 1].append(i)
+        kinds = [self._joined(self.bare, [words[i] for i in groups[0]]), self._joined(self.tokenizer, [words[i] for i in groups[1]])]
+        odd = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast([words[i] for i in groups[2]], add_special_tokens=False)]
+        kinds.append((np.concatenate(odd) if odd else np.empty(0, np.int32), np.fromiter(map(len, odd), np.int64, len(odd))))
+        counts = np.empty(len(words), np.int64)
+        for at, (_, n) in zip(groups, kinds):
+            counts[at] = n
+        starts, flat = np.cumsum(counts) - counts, np.empty(int(counts.sum()), np.int32)
+        for at, (ids, n) in zip(groups, kinds):
+            flat[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+        return flat, counts
+
+    def _joined(self, tokenizer, words):
+        if not words:
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        ids = np.array(tokenizer.encode_batch_fast([f" {SEPARATOR} ".join(words)], add_special_tokens=False)[0].ids, np.int32)
         cuts = np.flatnonzero(ids == self.separator)
-        if len(cuts) != max(0, len(plain) - 1):
+        if len(cuts) != len(words) - 1:
             raise ValueError("the separator's id occurs in other words")
-        flat, counts = ids[ids != self.separator], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
-        if not parts:
-            return flat, counts
-        each = iter(np.split(flat, np.cumsum(counts)[:-1])) if plain else iter(())
-        every = [np.array(parts[i], np.int32) if i in parts else next(each) for i in range(len(words))]
-        return np.concatenate(every), np.fromiter(map(len, every), np.int64, len(every))
+        return ids[ids != self.separator], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
 
     def add(self, hashes, words):
+        """Rows of new words, given by sorted hashes."""
         flat, counts = self.encode(words)
-        rows = np.arange(len(self.lens), len(self.lens) + len(words))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
-        self.lens = np.concatenate([self.lens, counts])
-        self.flat = np.concatenate([self.flat, flat])
-        self.hashes, self.rows = np.concatenate([self.hashes, hashes]), np.concatenate([self.rows, rows])
-        order = np.argsort(self.hashes, kind="stable")
-        self.hashes, self.rows = self.hashes[order], self.rows[order]
+        self._room(len(words), len(flat))
+        rows = np.arange(self.n, self.n + len(words), dtype=np.int32)
+        self.starts[rows] = self.m + np.cumsum(counts) - counts
+        self.lens[rows] = counts
+        self.flat[self.m:self.m + len(flat)] = flat
+        self.n, self.m = self.n + len(words), self.m + len(flat)
+        (table, table_rows), (recent, recent_rows) = self.levels
+        at = np.searchsorted(recent, hashes)
+        recent, recent_rows = np.insert(recent, at, hashes), np.insert(recent_rows, at, rows)
+        if len(recent) > RECENT:
+            at = np.searchsorted(table, recent)
+            table, table_rows = np.insert(table, at, recent), np.insert(table_rows, at, recent_rows)
+            recent, recent_rows = recent[:0], recent_rows[:0]
+        self.levels = [(table, table_rows), (recent, recent_rows)]
+        return rows
 
     def ids(self, texts):
         """(flat ids, ids per text). A text that holds an added token's string goes to the library whole."""
@@ -197,7 +236,7 @@ class WordTable:
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
     def _ids(self, texts):
-        if len(self.lens) > WORDS:
+        if self.n > WORDS:
             self.empty()
         block, first, last, text = words_of(texts)
         if not len(first):
@@ -207,14 +246,11 @@ class WordTable:
         for i in np.flatnonzero(last - first >= LONG).tolist():
             h[i] = xxhash.xxh3_64_intdigest(word(i))
         found, sample, back = np.unique(h, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hashes, found)
-        new = np.ones(len(found), bool)
-        if len(self.hashes):
-            new = self.hashes[np.minimum(at, len(self.hashes) - 1)] != found
+        rows = self._find(found)
+        new = rows < 0
         if new.any():
-            self.add(found[new], [word(i).decode("utf-8", "surrogatepass") for i in sample[new].tolist()])
-            at = np.searchsorted(self.hashes, found)
-        rows = self.rows[at][back]
+            rows[new] = self.add(found[new], [word(i).decode("utf-8", "surrogatepass") for i in sample[new].tolist()])
+        rows = rows[back]
         n = self.lens[rows]
         ends = np.cumsum(n)
         where = np.repeat(self.starts[rows] - (ends - n), n)
@@ -245,7 +281,7 @@ def _writer(key, shared, end_id):
         ids, counts, docs, size = [], [], [], 0
         for b in batches:
             names, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-            for lo, hi in blocks(texts):
+            for lo, hi in blocks(texts, BLOCK_CHARS):
                 flat, n = table.ids(texts[lo:hi])
                 ids.append(np.insert(flat, np.cumsum(n), end_id))
                 counts.append(n + 1)
