@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linebeam.llm.pieces import PieceTable, blocks, list_array
+from linebeam.llm.pieces import PieceTable, list_array, text_blocks
 
 
 def read_ranks(path: str) -> bytes:
@@ -177,7 +177,7 @@ def piece_encoder(ranks: Ranks):
     return encode
 
 
-BLOCK_CHARS = 4_000_000   # a corpus block: its new pre-tokens are replayed together
+BLOCK_CHARS = 3_000_000   # a corpus block: its new pre-tokens are replayed together
 
 _TABLES: dict = {}   # one per rank file in a Python worker
 
@@ -188,20 +188,29 @@ def _ranks(key, data):
     return _TABLES["ranks", key]
 
 
-def _encoder(key, pattern, shared, kind):
+def _encoder(key, pattern, shared, kind, decoded=False):
     def run(batches):
         ranks = _ranks(key, lambda: shared.value)
         table = _TABLES.setdefault(("pieces", key, pattern), PieceTable(piece_encoder(ranks)))
         split = regex.compile(pattern).findall
         for b in batches:
-            texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
-            for lo, hi in blocks(texts, BLOCK_CHARS):
-                flat, counts = table.ids([split(t) for t in texts[lo:hi]])
-                part = b.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], list_array(flat, counts, pa.int32())], names=kind)
+            for part, texts in text_blocks(b, b.num_columns - 1, BLOCK_CHARS):
+                flat, counts = table.ids([split(t) for t in texts])
+                out = [list_array(flat, counts, pa.int32())]
+                if decoded:
+                    out.append(_bytes_array(ranks, flat.astype(np.int64), counts))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *out], names=kind)
     return run
 
 
+def _bytes_array(ranks, ids, per_row):
+    """The decoded bytes of rows of ids."""
+    raw, n = ranks.text(ids)
+    upto = np.concatenate([[0], np.cumsum(n)])
+    offsets = upto[np.concatenate([[0], np.cumsum(per_row)])].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(per_row), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes())])
+
+
 def _decoder(key, shared, kind):
     def run(batches):
         ranks = _ranks(key, lambda: shared.value)
@@ -209,11 +218,8 @@ def _decoder(key, shared, kind):
             for lo in range(0, b.num_rows, 200):
                 part = b.slice(lo, 200)
                 ids = part.column(b.num_columns - 1)
-                raw, n = ranks.text(ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64))
                 per_row = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                upto = np.concatenate([[0], np.cumsum(n)])
-                offsets = upto[np.concatenate([[0], np.cumsum(per_row)])].astype(np.int32)
-                out = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw.tobytes())])
+                out = _bytes_array(ranks, ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64), per_row)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pc.if_else(ids.is_valid(), out, pa.scalar(None, pa.binary()))], names=kind)
     return run
 
@@ -240,3 +246,11 @@ def decode(df: DataFrame, ids: str, keep, ranks_path: str, out: str = "bytes") -
     rows, head = _named(df, keep, ids)
     key, shared = _share(df.sparkSession, ranks_path)
     return rows.mapInArrow(_decoder(key, shared, [*keep, out]), f"{head}, `{out}` binary")
+
+
+def encode_decode(df: DataFrame, text: str, keep, ranks_path: str, pattern: str) -> DataFrame:
+    """Columns ``keep``, ids (array<int>) and bytes (binary): the BPE ids of
+    ``text`` and what they decode to, in one pass."""
+    rows, head = _named(df, keep, text)
+    key, shared = _share(df.sparkSession, ranks_path)
+    return rows.mapInArrow(_encoder(key, pattern, shared, [*keep, "ids", "bytes"], True), f"{head}, ids array<int>, bytes binary")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from linebeam.llm.bytehash import Powers, hashes_of
 from linebeam.llm.common import bit_table, in_table
-from linebeam.llm.pieces import blocks
+from linebeam.llm.pieces import text_blocks
 from linebeam.llm.shingles import WORD_MULTIPLIER, mix
 
 WIDTH = 5        # words of a window
@@ -141,18 +141,18 @@ def _scan(width, table):
     def run(batches):
         powers = Powers()
         for b in batches:
-            keys, texts = np.array(b.column(0).to_pylist(), np.int64), b.column(1).to_pylist()
-            for lo, hi in blocks([t or "" for t in texts]):
-                words = Words(texts[lo:hi], powers)
+            for part, texts in text_blocks(b, 1):
+                keys = np.array(part.column(0).to_pylist(), np.int64)
+                words = Words(texts, powers)
                 hashes, at = windows(words, width)
-                total = np.bincount(words.text[at], minlength=hi - lo)
+                total = np.bincount(words.text[at], minlength=len(texts))
                 if table is not None:
                     hit = in_table(table.value, hashes)
                     hashes, at = hashes[hit], at[hit]
                 text = words.text[at]
                 place = at - np.searchsorted(words.text, text)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes), pa.array(keys[lo + text]), pa.array(place), pa.array(total[text]),
+                    [pa.array(hashes), pa.array(keys[text]), pa.array(place), pa.array(total[text]),
                      pa.array([words.slots(i, width) for i in at.tolist()], pa.list_(pa.string()))],
                     names=["win", "key", "place", "total", "slots"])
     return run

@@ -11,8 +11,9 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-PIECES = 400_000        # pieces a worker keeps
+PIECES = 300_000        # pieces a worker keeps
 BLOCK_CHARS = 2_000_000  # texts are handled in blocks of about so many characters
 
 
@@ -52,16 +53,17 @@ class PieceTable(dict):
         return out, ends[at[1:]] - ends[at[:-1]]
 
 
-def blocks(texts, chars=BLOCK_CHARS):
-    """Slices (lo, hi) of a list of texts, of about ``chars`` characters; a longer text stands alone."""
-    lo = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > chars:
-            yield lo, i
-            lo, size = i, 0
-        size += len(t)
-    if lo < len(texts):
-        yield lo, len(texts)
+def text_blocks(batch, column, chars=BLOCK_CHARS):
+    """Slices of an Arrow batch of about ``chars`` bytes of text, with their
+    texts (null: empty); only one slice is turned into Python strings at a time.
+    A longer text stands alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    upto, lo = np.cumsum(sizes, dtype=np.int64), 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + chars, "right")))
+        part = batch.slice(lo, hi - lo)
+        yield part, [t or "" for t in part.column(column).to_pylist()]
+        lo = hi
 
 
 def list_array(flat, counts, kind):

@@ -36,11 +36,10 @@ def op2_toxicity(spark, d):
 
 def op3_byte_bpe(spark, d):
     path = public_tokenizers.path(BPE_RANKS)
-    ids = bpe.encode(read(spark, d, "documents"), "text", ["doc_id"], path, public_tokenizers.PATTERN)
-    digests = ids.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-                         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), "ids")
-    out = bpe.decode(digests, "ids", ["doc_id", "n_tokens", "ids_sha256"], path)
-    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+    both = bpe.encode_decode(read(spark, d, "documents"), "text", ["doc_id"], path, public_tokenizers.PATTERN)
+    return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                       F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 def op4_secrets(spark, d):

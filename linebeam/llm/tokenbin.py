@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linebeam.llm.bytehash import Powers, hashes_of
-from linebeam.llm.pieces import blocks
+from linebeam.llm.pieces import text_blocks
 
 SEGMENT_IDS = 1 << 20   # a segment closes once it holds so many ids
 SAMPLE = 256            # every so many set bits their place is kept for select
@@ -280,12 +280,11 @@ def _writer(key, shared, end_id):
         shard, segment, first = TaskContext.get().partitionId(), 0, 0
         ids, counts, docs, size = [], [], [], 0
         for b in batches:
-            names, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
-            for lo, hi in blocks(texts, BLOCK_CHARS):
-                flat, n = table.ids(texts[lo:hi])
+            for part, texts in text_blocks(b, 1, BLOCK_CHARS):
+                flat, n = table.ids(texts)
                 ids.append(np.insert(flat, np.cumsum(n), end_id))
                 counts.append(n + 1)
-                docs += names[lo:hi]
+                docs += part.column(0).to_pylist()
                 size += len(ids[-1])
                 if size >= SEGMENT_IDS:
                     yield _segment(shard, segment, first, np.concatenate(ids), np.concatenate(counts), docs, width)
