@@ -54,10 +54,9 @@ def tokenize(spark, docs, sf_dir):
     """doc_id, lang, source, n_tokens, ids, round_trip: whether the ids decode to the text's bytes."""
     path = public_tokenizers.path(BPE_RANKS)
     rows = docs.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    ids = bpe.encode(rows, "text", ["doc_id", "lang", "source", "digest"], path, public_tokenizers.PATTERN)
-    rows = ids.select("doc_id", "lang", "source", "digest", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
-    back = bpe.decode(rows.withColumn("again", F.col("ids")), "again", rows.columns, path)
-    return back.select("doc_id", "lang", "source", "n_tokens", "ids", (F.sha2("bytes", 256) == F.col("digest")).alias("round_trip"))
+    both = bpe.encode_decode(rows, "text", ["doc_id", "lang", "source", "digest"], path, public_tokenizers.PATTERN)
+    return both.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+                       (F.sha2("bytes", 256) == F.col("digest")).alias("round_trip"))
 
 
 STAGES = [
