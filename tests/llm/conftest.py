@@ -1,17 +1,5 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
-from linebeam.session import build_session  # noqa: E402
-
-
-@pytest.fixture(scope="session")
-def spark():
-    yield build_session(master="local[*]", shuffle_partitions=8)
-
 
 @pytest.fixture
 def documents(spark):

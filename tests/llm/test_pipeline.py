@@ -6,8 +6,8 @@ import re
 import pytest
 import public_tokenizers as P
 import tiktoken
-from test_neardup import brute
-from test_secrets import base
+from .test_neardup import brute
+from .test_secrets import base
 
 import corpus_pipeline
 from linebeam.llm import toxicity
