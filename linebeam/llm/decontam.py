@@ -6,8 +6,10 @@ parameters keeps its template. Every ``width``-word template window of the
 documents is looked up among those of the benchmark: a bit table of fixed size
 drops most windows inside the scan, and a hash join settles the rest. Windows of
 one passage lie on (nearly) one diagonal, document place less item place; they
-count together, and their slots must agree: one item value stands for one
-document value and the other way round, but for a share ``SLACK``.
+count together, for each item window the match nearest the diagonal that holds
+most, and their slots must agree: one item value stands for one document value
+and the other way round, but for a share ``SLACK``. Where they don't, the windows
+whose values are the item's own still count.
 
 A document is contaminated by an item when such windows cover ``coverage`` of
 the item's windows.
@@ -175,17 +177,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id
     theirs = rows.select(key.alias("key"), "text").mapInArrow(_scan(width, bit_table(mine, "win")), _WINDOWS)
     hits = theirs.select("win", "key", "place", "slots").join(mine, "win")
     shift = F.col("place") - F.col("at")
+    # each diagonal by itself, too: a passage that repeats nearby can't spoil its neighbour's
     bins = F.array(F.struct(F.lit(0).alias("g"), F.floor(shift / DRIFT).alias("b")),
-                   F.struct(F.lit(1).alias("g"), F.floor((shift + DRIFT // 2) / DRIFT).alias("b")))
-    # at most the item's windows meet in a group, each with at most width slots
-    found = (hits.select("key", "item_id", "item_windows", "at", F.explode(bins).alias("bin"),
-                         F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")).alias("pairs"))
-             .groupBy("key", "item_id", "item_windows", "bin")
-             .agg(F.countDistinct("at").alias("windows"), F.collect_set("pairs").alias("pairs")))
-    pairs = F.array_distinct(F.flatten("pairs"))
-    n = F.size("pairs")
-    agree = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side]))) >= (1 - SLACK) * n
-    found = (found.withColumn("pairs", pairs).where(agree("i") & agree("d"))
+                   F.struct(F.lit(1).alias("g"), F.floor((shift + DRIFT // 2) / DRIFT).alias("b")),
+                   F.struct(F.lit(2).alias("g"), shift.alias("b")))
+    pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
+    match = F.struct("at", "shift", (F.col("item_slots") == F.col("slots")).alias("same"), "pairs")
+    # at most DRIFT matches of each of the item's windows meet in a group, each with at most width slots
+    found = (hits.select("key", "item_id", "item_windows", "at", shift.alias("shift"), F.explode(bins).alias("bin"),
+                         "item_slots", "slots", pairs.alias("pairs"))
+             .groupBy("key", "item_id", "item_windows", "bin").agg(F.collect_set(match).alias("all"))
+             .where(F.size(F.array_distinct("all.at")) >= coverage * F.col("item_windows")))
+    on = lambda s, *more: F.size(F.filter("all", lambda x: (x["shift"] == s) & (x["same"] if more else F.lit(True))))
+    diagonals = F.transform(F.array_distinct("all.shift"), lambda s: F.struct(on(s).alias("n"), on(s, "same").alias("same"), s.alias("shift")))
+    found = found.withColumn("main", F.array_max(diagonals)["shift"])
+    found = found.withColumn("near", F.array_sort(F.transform("all", lambda x: F.struct(
+        x["at"].alias("at"), F.abs(x["shift"] - F.col("main")).alias("off"), (~x["same"]).alias("differs"), x["pairs"].alias("pairs")))))
+    # of each item window the match nearest the main diagonal
+    found = found.withColumn("near", F.filter("near", lambda x, i: ~F.get("near", i - 1)["at"].eqNullSafe(x["at"])))
+    found = found.withColumn("pairs", F.array_distinct(F.flatten("near.pairs")))
+    agree = lambda side: F.size(F.array_distinct(F.transform("pairs", lambda p: p[side]))) >= (1 - SLACK) * F.size("pairs")
+    counted = F.when(agree("i") & agree("d"), F.col("near.at")).otherwise(F.filter("all", lambda x: x["same"])["at"])
+    found = (found.withColumn("windows", F.size(F.array_distinct(counted)).cast("bigint"))
              .where(F.col("windows") >= coverage * F.col("item_windows"))
              .groupBy("key", "item_id", "item_windows").agg(F.max("windows").alias("windows")))
     named = rows.select("doc_id", key.alias("key")).distinct()

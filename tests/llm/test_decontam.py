@@ -55,3 +55,15 @@ def test_words_of_a_block():
     kinds = dict(zip([w.low[a:b + 1].decode() for a, b in zip(w.first, w.last)], w.kind.tolist()))
     assert kinds["hello"] == 0 and kinds["world"] == 3 and kinds["12km"] == 1 and kinds["bar"] == 3 and kinds["and"] == 0
     assert w.text.tolist()[-2:] == [3, 3] and set(w.text.tolist()) == {0, 3}
+
+
+def test_items_that_repeat_a_template(spark):
+    """Matches between the repetitions stand off the diagonal; they may not spoil the passage's slots."""
+    item = ("At the market he buys 3 red apples, then he buys 4 red apples, then he buys 5 red apples. "
+            "How many red apples does he have?")
+    other = item.replace("3", "14").replace("4 red apples, then he buys 5", "25 red apples, then he buys 36")
+    crossed = item.replace("3 red", "9 blue").replace("buys 4", "got 9").replace("buys 5", "lost 9").replace("many", "few")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item), (2, "So: " + other), (3, crossed), (4, f"{item} {item}")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["windows"], r["item_windows"]) for r in contaminated(docs, bench).collect()}
+    assert got == {1: (23, 23), 2: (23, 23), 4: (23, 23)}   # 27 words
