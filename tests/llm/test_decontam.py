@@ -67,3 +67,20 @@ def test_items_that_repeat_a_template(spark):
     docs = spark.createDataFrame([(1, item), (2, "So: " + other), (3, crossed), (4, f"{item} {item}")], "doc_id long, text string")
     got = {r["doc_id"]: (r["windows"], r["item_windows"]) for r in contaminated(docs, bench).collect()}
     assert got == {1: (23, 23), 2: (23, 23), 4: (23, 23)}   # 27 words
+
+
+def test_short_and_number_heavy_items(spark):
+    """Too few usable windows: the whole item, with its own values; a common phrase is no evidence."""
+    items = ["What is 12 + 5 * 3 - 7?", "Calculate 3/4 of 120 km.", "Name the largest planet.", "Why not?",
+             "What is the value of 3 + 4 * 5?", "What is the value of 9?", "?!", "1 2 3 4 5 6 7 8 9 10 11"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = {100 + i: t for i, t in enumerate(items)} | {
+        1: "Q: what is 12 +  5 * 3 - 7 ? A: 20", 2: "What is 12 * 5 + 3 - 7?", 3: "What is 12 + 5 * 3 - 8?", 4: "please (calculate 3/4 of 120 km) now",
+        5: "Calculate 3/4 of 121 km.", 6: "He asked to name the largest planet, I think.", 7: "One can see why not? is odd", 8: "Yes!\n- why not\nno",
+        9: "Nobody knew what is the value of 12 old coins.", 10: "Tell me what is the value of 6 + 7 * 8 today", 11: "so what is the value of 9",
+        12: "Well. Why not? Go on"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated(docs, bench).collect()}
+    assert got == ({(100 + i, i) for i in range(8) if i != 6} | {(1, 0), (4, 1), (6, 2), (8, 3), (12, 3), (10, 4), (11, 5)})
+    r = contaminated(docs.where("doc_id = 1"), bench).first()
+    assert (r["windows"], r["item_windows"], r["coverage"]) == (1, 1, 1.0)
