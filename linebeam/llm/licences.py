@@ -1,9 +1,9 @@
 """Licence scan: TF-IDF cosine of notices to templates, then directory inheritance.
 
 DataFrame operations only. Units of text (lines, paragraphs) are compared with a
-short list of licence templates as sparse TF-IDF vectors. Document frequencies
-of the templates' terms come from the whole table; a term that no template holds
-counts as unseen, which can only lower a cosine. By Cauchy-Schwarz a unit that
+short list of licence templates as sparse TF-IDF vectors. The document frequencies
+of all terms, the templates' and the units', come from the whole table: each text's
+distinct terms are counted in one pass. By Cauchy-Schwarz a unit that
 reaches the threshold holds one of a template's heaviest terms (its anchors), so
 only units with an anchor are weighed: the filter loses nothing.
 
@@ -28,6 +28,8 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linebeam.llm.common import staged
+
 THRESHOLD = 0.6
 TERMS = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([._-][^/]*)?$"
@@ -79,9 +81,9 @@ def notices(rows: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     spark = rows.sparkSession
     counts = [(name, Counter(re.findall(TERMS, text.lower()))) for name, text in templates]
     vocabulary = {t for _, c in counts for t in c}
-    seen = (rows.select(F.explode(F.array_intersect(terms_of(F.col("text")), _strings(vocabulary))).alias("term"))
-            .groupBy("term").agg(F.count("*").alias("df")))
-    df = {r["term"]: r["df"] for r in seen.collect()}               # the templates' terms at most
+    seen = staged(rows.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
+                  .groupBy("term").agg(F.count("*").alias("df")), "terms")
+    df = {r["term"]: r["df"] for r in seen.where(F.col("term").isin(sorted(vocabulary))).collect()}   # the templates' terms at most
     total = rows.count()
     idf = {t: math.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in sorted(vocabulary)}
     vectors = [(name, {t: n * idf[t] for t, n in c.items()}) for name, c in counts]
@@ -89,15 +91,16 @@ def notices(rows: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     weights = spark.createDataFrame([(n, name, t, w / math.sqrt(sum(x * x for x in v.values())))
                                      for n, (name, v) in enumerate(vectors) for t, w in sorted(v.items())],
                                     "template int, licence string, term string, weight double")
-    known = spark.createDataFrame(list(idf.items()), "term string, idf double")
 
     parts = F.array_distinct(F.concat(F.split("text", "\n"), F.split("text", r"\n\s*\n")))
     units = (rows.where(F.arrays_overlap(terms_of(F.col("text")), anchors)).dropDuplicates(["key"])
              .select("key", F.explode(parts).alias("text"))
              .where(F.arrays_overlap(terms_of(F.col("text")), anchors)))
-    tf = (units.select("key", F.xxhash64("text").alias("unit"), F.explode(terms_of(F.col("text"))).alias("term"))
-          .groupBy("key", "unit", "term").agg(F.count("*").alias("tf")).join(known, "term", "left")
-          .select("key", "unit", "term", (F.col("tf") * F.coalesce("idf", F.lit(math.log(1 + total) + 1))).alias("w")))
+    held = staged(units.select("key", F.xxhash64("text").alias("unit"), F.explode(terms_of(F.col("text"))).alias("term"))
+                  .groupBy("key", "unit", "term").agg(F.count("*").alias("tf")), "units")
+    known = (seen.join(held.select("term").distinct(), "term", "left_semi")
+             .select("term", (F.log(F.lit(1.0 + total) / (1 + F.col("df"))) + 1).alias("idf")))
+    tf = held.join(known, "term").select("key", "unit", "term", (F.col("tf") * F.col("idf")).alias("w"))
     length = tf.groupBy("key", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     dots = (tf.join(weights, "term").groupBy("key", "unit", "template", "licence")
             .agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))

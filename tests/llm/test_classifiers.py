@@ -87,3 +87,11 @@ def test_licences(spark):
     assert only[1] is None and only[6] == "Apache-2.0"
     assert licence_scan(df.limit(0), "path", "text").collect() == []
     assert "Python" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_licence_notice_among_ordinary_words(spark):
+    """Words that many documents hold weigh little, in a notice's line too."""
+    line = "Released under the MIT License. See the project page for more details."
+    rows = [(0, "a/x", line)] + [(i, f"b/{i}", "see the project page for more details under the tree") for i in range(1, 3000)]
+    found = licence_scan(spark.createDataFrame(rows, "n long, path string, text string"), "path", "text", keep=["n"]).where("licence is not null")
+    assert [(r["n"], r["licence"], r["cosine"] >= 0.6) for r in found.collect()] == [(0, "MIT", True)]
