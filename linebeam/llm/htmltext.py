@@ -6,7 +6,13 @@ neighbour in path order that shares more leading segments. A page's text lines
 shared lines outside an article element are template lines and go. Lines inside
 navigation, page headers, footers, sidebars, adverts, notices, forms and reader
 comments go whether the mate shares them or not, since such lines may rotate.
-Lines inside the article stay even where the mate is a copy of the page. Where a
+Lines inside the article stay even where the mate is a copy of the page.
+
+Furniture by element is sure; furniture by a whole word of class, id or role is a
+guess. An article or main element is never guessed to be furniture, and one inside
+a guessed element is an article or main again. Inside an article or main element a
+guessed line goes only where the page's mate shares it or the page has no mate;
+outside, the line goes. Where a
 page has no article or main element, all its open lines are compared; a mate
 that shares all of them is a copy and shows nothing.
 
@@ -38,7 +44,7 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>[^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*>|[^>]*(?:>|\Z))"
     r"|(?P<text>[^<]+|<)", re.S)
 ROLE = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-WORD = re.compile(r"[a-z]+")
+WORD = re.compile(r"[^\s\"']+")
 
 # HTML's own element kinds
 HIDDEN = frozenset("script style template noscript textarea iframe object svg math head title canvas select option datalist".split())
@@ -57,7 +63,8 @@ menu nav navbar navigation navigator breadcrumb breadcrumbs pagination pager sid
 footer contentinfo masthead topbar toolbar share sharing social related recommended recommendations
 comment comments reply replies respond disqus discussion search searchbox skip""".split())
 
-ARTICLE, MAIN, OPEN, ASIDE = range(4)
+# GUESS and the kind it lies in: furniture by attribute only
+ARTICLE, MAIN, OPEN, ASIDE, GUESS = range(5)
 
 
 def _furniture(attrs: str) -> bool:
@@ -65,7 +72,7 @@ def _furniture(attrs: str) -> bool:
 
 
 def lines_of(html: str | None):
-    """(texts, kinds): the page's block lines, each ARTICLE, MAIN, OPEN or ASIDE."""
+    """(texts, kinds): the page's block lines, each ARTICLE, MAIN, OPEN, ASIDE or GUESS + one of the first three."""
     texts, kinds, parts = [], [], []
     stack: list[tuple[str, int, bool]] = []   # tag, kind of its text, hidden
     kind, hidden = OPEN, False
@@ -132,12 +139,16 @@ def lines_of(html: str | None):
             continue
         new = kind
         if kind != ASIDE:
-            if tag in CHROME or (tag == "header" and kind == OPEN) or _furniture(m["attrs"]) and tag not in ("html", "body"):
+            main = tag == "main" or re.search(r"role\s*=\s*[\"']?main\b", m["attrs"], re.I)
+            if tag in CHROME or (tag == "header" and kind % GUESS == OPEN):
                 new = ASIDE
             elif tag == "article":
-                new = ARTICLE
-            elif kind != ARTICLE and (tag == "main" or re.search(r"role\s*=\s*[\"']?main\b", m["attrs"], re.I)):
-                new = MAIN
+                # inside a guessed part of an article (related, comments) it is that part's own
+                new = kind if kind == GUESS + ARTICLE else ARTICLE
+            elif main:
+                new = MAIN if kind % GUESS != ARTICLE else kind
+            elif kind < GUESS and tag not in ("html", "body") and _furniture(m["attrs"]):
+                new = GUESS + kind
         stack.append((tag, new, hidden or tag in HIDDEN))
         kind, hidden = new, hidden or tag in HIDDEN
     flush()
@@ -155,8 +166,8 @@ def main_text(html: str | None, mate, differencing_only: bool = False) -> str:
     if differencing_only:
         return "\n".join(t for t, c in zip(texts, common) if not c)
     for root in (ARTICLE, MAIN):
-        if root in kinds:
-            return "\n".join(t for t, k in zip(texts, kinds) if k == root)
+        if root in kinds or GUESS + root in kinds:
+            return "\n".join(t for t, k, c in zip(texts, kinds, common) if k == root or k == GUESS + root and mate is not None and not c)
     own = [(t, c) for t, k, c in zip(texts, kinds, common) if k == OPEN]
     if all(c for _, c in own):
         return "\n".join(t for t, _ in own)

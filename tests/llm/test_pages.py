@@ -71,3 +71,14 @@ def test_pages_edge_cases(spark):
     assert got[0] == ["text 0"] * 2 and got[7] == ["text 7"] and got[50] == ["text 50"] and got[51] == [""] and got[None] == [""]
     assert len(got[60][0]) == 399999 and got[61] == ["one"] and got[62] == ["two"]
     assert page_text(df.limit(0)).collect() == []
+
+
+def test_attributes_alone_do_not_hide_an_article():
+    text = "<article{}><p>one</p><p>two</p></article>"
+    for page in ('<div class="layout has-sidebar">' + text.format("") + "</div>", '<main id="main-search"><p>one</p><p>two</p></main>',
+                 text.format(' class="post has-comments"'), '<div id="search">' + text.format("") + "</div>", text.format(" class=discussion")):
+        assert main_text(page, None) == main_text(page, _hash(["other"])) == "one\ntwo", page
+    inside = '<article><p>one</p><div class="notice"><p>mind this</p></div><div class="related"><p>More</p></div></article>'
+    assert main_text(inside, _hash(["other", "More"])) == "one\nmind this"
+    assert main_text(inside, None) == "one"
+    assert main_text('<div class="sidebar"><p>side</p></div><p>own</p>', None) == "own"
