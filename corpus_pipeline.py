@@ -42,10 +42,10 @@ def drop_contaminated(spark, docs, sf_dir):
 
 
 def redact_secrets(spark, docs, sf_dir):
-    spans = secretscan.secret_spans(docs, keep=docs.columns)
-    text = F.when(F.size("spans") > 0, secretscan.redacted(F.col("text"), F.col("spans"))).otherwise(F.col("text"))
+    spans = secretscan.secret_spans(docs, keep=docs.columns, name="__spans")
+    text = F.when(F.size("__spans") > 0, secretscan.redacted(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
     out = spans.withColumn("__text", text)
-    chars = F.when(F.size("spans") > 0, F.char_length("__text").cast("bigint")).otherwise(F.col("n_chars"))
+    chars = F.when(F.size("__spans") > 0, F.char_length("__text").cast("bigint")).otherwise(F.col("n_chars"))
     new = {"text": F.col("__text"), "n_chars": chars}
     return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 

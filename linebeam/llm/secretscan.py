@@ -145,10 +145,10 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     return F.when(F.size(whole) > 0, F.aggregate(parts, state, step, lambda s: s["out"])).otherwise(none)
 
 
-def secret_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rules=RULES, keep=()) -> DataFrame:
-    """One row per document: ``doc_id``, the ``keep`` columns, and ``spans``, an
-    array of (start, ord, kind, end) by start, then rule order. A column named
-    spans in ``keep`` is an error."""
+def secret_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rules=RULES, keep=(), name: str = "spans") -> DataFrame:
+    """One row per document: ``doc_id``, the ``keep`` columns, and ``name``, an
+    array of (start, ord, kind, end) by start, then rule order. A column of that
+    name in ``keep`` is an error."""
     found = candidates(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), rules)
     found = found.select(F.col("doc_id").alias("__id"), F.col("rules").alias("__rules"))
     rows = docs.select(*dict.fromkeys([doc_id, *keep, text])).join(found, F.col(doc_id).eqNullSafe(F.col("__id")), "left")
@@ -160,7 +160,7 @@ def secret_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         if trigram_query(rule.pattern) is not None:
             spans = F.when(F.array_contains("__rules", n), spans).otherwise(none)
         each.append(spans)
-    return rows.select(*dict.fromkeys([doc_id, *keep]), F.array_sort(F.concat(*each)).alias("spans"))
+    return rows.select(*dict.fromkeys([doc_id, *keep]), F.array_sort(F.concat(*each)).alias(name))
 
 
 def redacted(text: Column, spans: Column) -> Column:

@@ -78,3 +78,8 @@ def test_whole_chain(spark):
     got = corpus_pipeline.run(spark, SF).collect()
     assert {r["doc_id"]: r["ids"] for r in got} == want
     assert all(r["round_trip"] and r["n_tokens"] == len(r["ids"]) for r in got)
+
+
+def test_secrets_with_a_column_called_spans(spark):
+    docs = spark.createDataFrame([(1, "token=abcdefgh", 14, "mine")], "doc_id long, text string, n_chars long, spans string")
+    assert [tuple(r) for r in corpus_pipeline.redact_secrets(spark, docs, SF).collect()] == [(1, "[assign]", 8, "mine")]
