@@ -60,3 +60,11 @@ def ranked(rows: DataFrame, *order) -> DataFrame:
         total += r["count"]
     base = spark.createDataFrame(starts, "part int, base bigint")
     return placed.join(base, "part").select(*rows.columns, (F.col("base") + F.col("mid").bitwiseAND((1 << 33) - 1)).alias("rank"))
+
+
+def unused(name: str, columns) -> str:
+    """``name``, lengthened until no column is called so (Spark ignores case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

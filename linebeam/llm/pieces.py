@@ -68,3 +68,20 @@ def text_blocks(batch, column, chars=BLOCK_CHARS):
 
 def list_array(flat, counts, kind):
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat, kind))
+
+
+def byte_blocks(batch, column, size=BLOCK_CHARS):
+    """Slices of an Arrow batch of about ``size`` bytes in a binary column, each with its bytes
+    as one array and the places where its values start (one more: the end). Null: empty."""
+    batch = pa.RecordBatch.from_arrays([pc.fill_null(batch.column(c), b"") if n == column else batch.column(c)
+                                        for c, n in enumerate(batch.schema.names)], names=batch.schema.names)
+    col = batch.column(column)
+    _, ends, data = col.buffers()
+    wide = pa.types.is_large_binary(col.type)
+    ends = np.frombuffer(ends, np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64) if len(col) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    lo = 0
+    while lo < len(col):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + size, "right")) - 1)
+        yield batch.slice(lo, hi - lo), data[ends[lo]:ends[hi]], ends[lo:hi + 1] - ends[lo]
+        lo = hi

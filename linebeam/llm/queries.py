@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from linebeam.llm import bpe, quality, secretscan, tokenbin, toxicity
+from linebeam.llm import bpe, fim, merkle, quality, secretscan, tokenbin, toxicity
 from linebeam.llm.common import read
 from linebeam.llm.decontam import contaminated
 from linebeam.llm.htmltext import page_text
@@ -19,6 +21,7 @@ BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 END_ID = 1
 QUERY_EVERY = 100
+TAMPER_EVERY = 3
 
 
 def op1_licence_scan(spark, d):
@@ -74,6 +77,25 @@ def op10_token_binary(spark, d):
     return tokenbin.read_digests(spark, path)
 
 
+def op11_merkle_manifest(spark, d):
+    """Every third id (by crc32) is checked with a changed text, which must not verify."""
+    docs = read(spark, d, "documents")
+    head = [merkle.field(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % TAMPER_EVERY == 0, merkle.leaf_hash(*head, merkle.field(lowered)))
+    proved = merkle.merkle_manifest(docs, merkle.leaf_hash(*head, merkle.field("text")), "lang", "doc_id",
+                                    {"doc_id": F.col("doc_id"), "tampered": tampered})
+    folded = proved.select("doc_id", "leaf", "subroot", "root", merkle.proof_hash(F.col("proof")).alias("proof_sha256"),
+                           merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root"))
+    return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_fill_in_middle(spark, d):
+    both = fim.restored(fim.fill_in_middle(read(spark, d, "documents")))
+    return both.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_licence_scan": op1_licence_scan,
     "op2_toxicity": op2_toxicity,
@@ -85,10 +107,14 @@ QUERIES = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_decontamination": op9_decontamination,
     "op10_token_binary": op10_token_binary,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 SQL: dict[str, str] = {
     "op4_secrets": secretscan.duckdb_report(),
     "op5_exact_topk": duckdb_top(every=QUERY_EVERY),
     "op8_minhash_neardup": duckdb_components(),
+    "op11_merkle_manifest": merkle.duckdb_manifest(),
+    "op13_fill_in_middle": fim.duckdb_fim(),
 }
