@@ -7,7 +7,7 @@ import string
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from linebeam.llm import bpe, fim, merkle, quality, secretscan, tokenbin, toxicity
+from linebeam.llm import bpe, fim, merkle, quality, secretscan, suffixtree, tokenbin, toxicity
 from linebeam.llm.common import read
 from linebeam.llm.decontam import contaminated
 from linebeam.llm.htmltext import page_text
@@ -90,6 +90,11 @@ def op11_merkle_manifest(spark, d):
     return folded.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_suffix_tree(spark, d):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % suffixtree.FOLDS == suffixtree.HELD_OUT
+    return suffixtree.suffix_tree_scores(read(spark, d, "documents"), held)
+
+
 def op13_fill_in_middle(spark, d):
     both = fim.restored(fim.fill_in_middle(read(spark, d, "documents")))
     return both.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
@@ -108,6 +113,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_token_binary": op10_token_binary,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_suffix_tree": op12_suffix_tree,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
