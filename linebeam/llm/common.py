@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,3 +70,15 @@ def unused(name: str, columns) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def bucketed(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
+    """``df`` written to the shared folder in ``buckets`` buckets of ``key`` and read back: grouping by
+    the key then moves none of its rows. Only the catalog can say that files are bucketed, so
+    they are a table for a moment; its entry goes, the files and the frame stay."""
+    spark = df.sparkSession
+    path, table = scratch_dir(spark, name), f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(table)
+    rows = spark.table(table).select(*df.columns)
+    spark.sql(f"DROP TABLE {table}")
+    return rows

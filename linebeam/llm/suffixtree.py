@@ -11,7 +11,8 @@ token is scored by the longest suffix of what precedes it in its document that i
 state. All distributions sum to one over the training words and one unknown word.
 
 1. One pass turns texts into blocks of whole documents: a dictionary of 64-bit word
-   hashes and the tokens as places in it. Texts are read once.
+   hashes and the tokens as places in it. Blocks are bucketed, so the later steps
+   move answers to them and never move a block.
 2. Counting is an exchange: a block sends its distinct word sequences with its own
    training counts, dealt by hash; the receiver adds up and answers each block, in
    the order asked. So a frequent sequence costs one number a block, however often
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from linebeam.llm.bytehash import Powers, hashes_of
-from linebeam.llm.common import staged
+from linebeam.llm.common import bucketed, staged
 from linebeam.llm.pieces import byte_blocks
 from linebeam.llm.shingles import mix
 
@@ -55,7 +56,9 @@ class Tree:
     min_divergence: float = 0.02   # nats per occurrence
 
 
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
+BUCKET_BYTES = 32 << 20  # text of the blocks that one task visits, about
+MAX_BUCKETS = 100_000    # as many as Spark takes; beyond that, tasks visit more
 PART_KEYS = 1 << 20      # sequences that a receiver adds up, about
 FOLDS, HELD_OUT = 7, 2
 
@@ -320,7 +323,9 @@ def suffix_tree_scores(docs: DataFrame, held: Column, tree: Tree = Tree(), block
     probabilities; ``base_score`` is that of the tree's root alone."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(held, F.lit(False)).alias("held"),
                        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    blocks = staged(rows.mapInArrow(_block_maker(block_tokens), from_arrow_schema(BLOCKS)), "blocks")
+    text_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(MAX_BUCKETS, 1 + text_bytes // BUCKET_BYTES)
+    blocks = bucketed(rows.mapInArrow(_block_maker(block_tokens), from_arrow_schema(BLOCKS)), "block", buckets, "blocks")
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     bits = max(0, int(tokens // part_keys).bit_length())     # receivers grow with the corpus
     answers = _answered(blocks.mapInArrow(_ask_first(tree, bits), from_arrow_schema(ASKED)))
