@@ -19,7 +19,8 @@ state. All distributions sum to one over the training words and one unknown word
    it occurs, and no table of the corpus is held anywhere as a whole or broadcast.
    Words and pairs go first; a longer sequence is asked only where its context has
    ``min_count`` occurrences, since no other is used.
-3. The log ratios of contexts are summed by the same exchange, as integers.
+3. The log ratios of contexts are summed by the same exchange, as integers; the
+   answer is whether a context is retained.
 4. The blocks score their documents with the answers.
 
 Cases: null or wordless text: the end token alone. A null doc_id learns and is
@@ -51,7 +52,7 @@ from linebeam.llm.shingles import mix
 class Tree:
     """The model's parameters."""
     max_context: int = 2           # words of the longest context
-    min_count: int = 8             # training occurrences of a context that is tested
+    min_count: int = 16            # training occurrences of a context that is tested
     prior: float = 256.0           # weight of the parent's distribution, in occurrences
     min_divergence: float = 0.02   # nats per occurrence
 
@@ -62,7 +63,7 @@ MAX_BUCKETS = 100_000    # as many as Spark takes; beyond that, tasks visit more
 PART_KEYS = 1 << 20      # sequences that a receiver adds up, about
 FOLDS, HELD_OUT = 7, 2
 
-MICRO = 1e6              # log ratios are summed in millionths, so their order doesn't matter
+MILLI = 1e3              # log ratios are summed in thousandths, so their order doesn't matter
 END = np.uint64(0x9E3779B97F4A7C15)   # stands for the end of a document
 _STEP = np.uint64(0xD6E8FEB86659FD93)  # odd
 
@@ -265,8 +266,9 @@ def _ask_divergence(number, block, bits, total, words):
         tokens, keys, at, _ = block.contexts(k)
         learnt = block.train[tokens]
         tokens, at = tokens[learnt], at[learnt]
-        ratio = np.rint(MICRO * np.log(p[k][tokens] / p[k - 1][tokens]))
-        found += _asked_rows(number, block.tree.max_context + k, keys, np.rint(np.bincount(at, ratio, len(keys))), bits)
+        # what each occurrence has over the least divergence: the context is retained if the sum isn't negative
+        over = np.rint(MILLI * (np.log(p[k][tokens] / p[k - 1][tokens]) - block.tree.min_divergence))
+        found += _asked_rows(number, block.tree.max_context + k, keys, np.bincount(at, over, len(keys)), bits)
     return _rows(found, ASKED, pa.Table)
 
 
@@ -275,10 +277,9 @@ def _scores(block, total, words):
     base = np.log10(p[0])
     score, in_state = base.copy(), np.ones(len(base), bool)
     for k in range(1, block.tree.max_context + 1):
-        tokens, _, at, seen = block.contexts(k)
-        kept = block.answer(block.tree.max_context + k)[at] >= MICRO * block.tree.min_divergence * seen
+        tokens, _, at, _ = block.contexts(k)
         state = np.zeros(len(base), bool)
-        state[tokens] = kept
+        state[tokens] = block.answer(block.tree.max_context + k)[at] > 0
         in_state &= state                                    # a state's parent is one
         score[in_state] = np.log10(p[k][in_state])
     each = lambda v: np.add.reduceat(v, block.starts)
@@ -287,21 +288,26 @@ def _scores(block, total, words):
         pa.array(each(base)), pa.array(each(score))], schema=SCORES)
 
 
-def _add_up(asked: pa.Table) -> pa.Table:
-    """The receiver: the sum of every key's amounts, to each block in the order it asked."""
+def _add_up(last_count: int, asked: pa.Table) -> pa.Table:
+    """The receiver: the sum of every key's amounts, to each block in the order it
+    asked; of sums that aren't counts (levels above ``last_count``), whether they are 0 or more."""
     keys = [np.cumsum(unpack(raw.as_py()), dtype=np.uint64) for raw in asked["keys"]]
     amounts = np.concatenate([_unsigned(unpack(raw.as_py())) for raw in asked["amounts"]])
     distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
     sums = np.zeros(len(distinct), np.int64)
     np.add.at(sums, at, amounts)
     level, part = asked["level"][0].as_py(), asked["part"][0].as_py()
+    if level > last_count:
+        sums = (sums >= 0).astype(np.int64)
     ends = np.cumsum([len(k) for k in keys])
     found = [(level, part, b.as_py(), pack(_signed(sums[at[end - len(k):end]])), None, None) for b, k, end in zip(asked["block"], keys, ends)]
     return _rows([*found, (level, part, None, None, int((sums > 0).sum()), int(sums.sum()))], ANSWERS, pa.Table)
 
 
-def _answered(asked: DataFrame) -> DataFrame:
-    return staged(asked.groupBy("level", "part").applyInArrow(_add_up, from_arrow_schema(ANSWERS)), "answers")
+def _answered(asked: DataFrame, tree: Tree) -> DataFrame:
+    def add_up(group):
+        return _add_up(tree.max_context, group)
+    return staged(asked.groupBy("level", "part").applyInArrow(add_up, from_arrow_schema(ANSWERS)), "answers")
 
 
 def _visit(blocks: DataFrame, answers: DataFrame, tree: Tree, work, schema: pa.Schema) -> DataFrame:
@@ -328,13 +334,13 @@ def suffix_tree_scores(docs: DataFrame, held: Column, tree: Tree = Tree(), block
     blocks = bucketed(rows.mapInArrow(_block_maker(block_tokens), from_arrow_schema(BLOCKS)), "block", buckets, "blocks")
     tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
     bits = max(0, int(tokens // part_keys).bit_length())     # receivers grow with the corpus
-    answers = _answered(blocks.mapInArrow(_ask_first(tree, bits), from_arrow_schema(ASKED)))
+    answers = _answered(blocks.mapInArrow(_ask_first(tree, bits), from_arrow_schema(ASKED)), tree)
     seen = answers.where("level = 0").agg(F.sum("total"), F.sum("n_distinct")).first()
     total, words = (int(x or 0) for x in seen)
     for k in range(2, tree.max_context + 1):
         ask = lambda number, block, k=k: _ask_longer(number, block, bits, k)
-        answers = answers.union(_answered(_visit(blocks, answers, tree, ask, ASKED)))
+        answers = answers.union(_answered(_visit(blocks, answers, tree, ask, ASKED), tree))
     test = lambda number, block: _ask_divergence(number, block, bits, total, words)
-    answers = answers.union(_answered(_visit(blocks, answers, tree, test, ASKED)))
+    answers = answers.union(_answered(_visit(blocks, answers, tree, test, ASKED), tree))
     scored = _visit(blocks, answers, tree, lambda number, block: _scores(block, total, words), SCORES)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
