@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +18,27 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staged(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` as a Parquet table below the shared checkpoint folder and
-    read it back: the lineage is cut, and a lost executor loses nothing."""
+    read it back: the lineage is cut, and a lost executor loses nothing. The
+    shuffle files of the write aren't needed any more and go with its end."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path, compression=compression)
+    with _shuffles_freed(spark):
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _shuffles_freed(spark):
+    """Spark deletes the shuffle files of what is executed inside as each execution ends."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 BIT_TABLE = 1 << 23   # bits of a bit table: 1 MB whatever the data
 
 
@@ -72,13 +87,23 @@ def unused(name: str, columns) -> str:
     return name
 
 
-def bucketed(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
-    """``df`` written to the shared folder in ``buckets`` buckets of ``key`` and read back: grouping by
-    the key then moves none of its rows. Only the catalog can say that files are bucketed, so
-    they are a table for a moment; its entry goes, the files and the frame stay."""
-    spark = df.sparkSession
-    path, table = scratch_dir(spark, name), f"{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, key).option("path", path).option("compression", "zstd").saveAsTable(table)
-    rows = spark.table(table).select(*df.columns)
-    spark.sql(f"DROP TABLE {table}")
-    return rows
+class Buckets:
+    """Rows in the shared folder in ``buckets`` buckets of ``key``: grouping by the key
+    moves none of them. Only the catalog can say that files are bucketed, so they
+    are a table until ``forget``, which drops the entry and leaves the files and the
+    frames made before."""
+
+    def __init__(self, spark: SparkSession, key: str, buckets: int, name: str):
+        self.spark, self.key, self.buckets = spark, key, buckets
+        self.path, self.table = scratch_dir(spark, name), f"{name}_{uuid.uuid4().hex}"
+
+    def add(self, df: DataFrame) -> None:
+        with _shuffles_freed(self.spark):
+            (df.write.mode("append").bucketBy(self.buckets, self.key).option("path", self.path)
+             .option("compression", "zstd").saveAsTable(self.table))
+
+    def rows(self) -> DataFrame:
+        return self.spark.table(self.table)
+
+    def forget(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")

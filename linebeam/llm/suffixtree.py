@@ -17,8 +17,9 @@ state. All distributions sum to one over the training words and one unknown word
    training counts, dealt by hash; the receiver adds up and answers each block, in
    the order asked. So a frequent sequence costs one number a block, however often
    it occurs, and no table of the corpus is held anywhere as a whole or broadcast.
-   Words and pairs go first; a longer sequence is asked only where its context has
-   ``min_count`` occurrences, since no other is used.
+   Words go first; a longer sequence is asked only where its context has
+   ``min_count`` occurrences, since no other is used, and where the answers for
+   shorter ones don't settle it.
 3. The log ratios of contexts are summed by the same exchange, as integers; the
    answer is whether a context is retained.
 4. The blocks score their documents with the answers.
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from linebeam.llm.bytehash import Powers, hashes_of
-from linebeam.llm.common import bucketed, staged
+from linebeam.llm.common import Buckets
 from linebeam.llm.pieces import byte_blocks
 from linebeam.llm.shingles import mix
 
@@ -63,7 +64,7 @@ MAX_BUCKETS = 100_000    # as many as Spark takes; beyond that, tasks visit more
 PART_KEYS = 1 << 20      # sequences that a receiver adds up, about
 FOLDS, HELD_OUT = 7, 2
 
-MILLI = 1e3              # log ratios are summed in thousandths, so their order doesn't matter
+UNITS = 1e2              # log ratios are summed in hundredths, so their order doesn't matter
 END = np.uint64(0x9E3779B97F4A7C15)   # stands for the end of a document
 _STEP = np.uint64(0xD6E8FEB86659FD93)  # odd
 
@@ -155,10 +156,12 @@ def _block_maker(size):
 class Block:
     """A block's tokens, and what the answers say of each token's sequences.
 
-    Level k is the sequence of a token and the k tokens before it. ``asked[k]``:
-    the tokens whose level-k sequence is counted; ``keys[k]``: its distinct hashes,
-    ascending; ``at[k]``: the place of each asked token's hash among them;
-    ``count[k]``: its training count, by token."""
+    Level k is the sequence of a token and the k tokens before it. ``tested[k]``:
+    the tokens whose context of k words has ``min_count`` occurrences; ``count[k]``:
+    the training counts of their sequences, by token. A count that the level below
+    settles isn't asked: a sequence whose last k words occur once in training is
+    there itself or occurs nowhere. ``asked[k]``: the other tokens; ``keys[k]``: the
+    distinct hashes of their sequences, ascending; ``at[k]``: each one's place there."""
 
     def __init__(self, row, tree, answers=None):
         self.tree = tree
@@ -169,26 +172,26 @@ class Block:
         self.place = np.arange(len(self.hashes)) - np.repeat(self.starts, self.lengths)   # in its document
         self.train = ~np.repeat(self.held, self.lengths)
         self.answers = answers or {}
-        self.gram, self.asked, self.keys, self.at, self.count = [], [], [], [], []
+        self.gram, self.tested, self.asked, self.keys, self.at, self.count = [], [], [], [], [], []
 
     def level(self, k):
         """Sets up level k; the levels below must have their answers."""
-        gram = self.hashes
+        gram, count = self.hashes, np.zeros(len(self.hashes), np.int64)
+        tested = asked = np.arange(len(gram))
         if k:
-            before = np.roll(self.hashes, k)
             with np.errstate(over="ignore"):
-                gram = mix(self.gram[k - 1] * _STEP + before + np.uint64(k))
-        asked = self.place >= k
-        if k > 1:
-            asked[1:] &= self.count[k - 1][:-1] >= self.tree.min_count     # its context, the sequence that ends one token before
-        asked = np.flatnonzero(asked)
+                gram = mix(self.gram[k - 1] * _STEP + np.roll(self.hashes, k) + np.uint64(k))
+            below = self.count[k - 1]
+            enough = self.place >= k
+            enough[1:] &= below[:-1] >= self.tree.min_count      # its context, the sequence that ends one token before
+            tested = np.flatnonzero(enough)
+            once = below[tested] <= self.train[tested]
+            count[tested[once]] = self.train[tested[once]]
+            asked = tested[~once]
         keys, at = np.unique(gram[asked], return_inverse=True)
-        self.gram.append(gram)
-        self.asked.append(asked)
-        self.keys.append(keys)
-        self.at.append(at)
+        for name, value in zip(("gram", "tested", "asked", "keys", "at"), (gram, tested, asked, keys, at)):
+            getattr(self, name).append(value)
         if k in self.answers or not len(keys):               # a block that asked nothing has no answers
-            count = np.zeros(len(gram), np.int64)
             count[asked] = self.answer(k)[at]
             self.count.append(count)
 
@@ -205,7 +208,7 @@ class Block:
 
     def contexts(self, k):
         """(tokens whose context of k words is tested, the distinct context hashes, places among them, counts)."""
-        tokens = self.asked[k] if k > 1 else self.asked[1][self.count[0][self.asked[1] - 1] >= self.tree.min_count]
+        tokens = self.tested[k]
         keys, at = np.unique(self.gram[k - 1][tokens - 1], return_inverse=True)
         return tokens, keys, at, self.count[k - 1][tokens - 1]
 
@@ -241,15 +244,14 @@ def _rows(found, schema, kind=pa.RecordBatch):
     return kind.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _ask_first(tree, bits):
-    """Requests that need no answers: words and pairs."""
+def _ask_words(tree, bits):
+    """Requests that need no answers: the words."""
     def run(batches):
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1)
-                block = Block(row, tree).levels(min(1, tree.max_context))
-                for k in range(len(block.keys)):
-                    yield _rows(list(_asked_rows(row["block"][0].as_py(), k, block.keys[k], block.own_counts(k), bits)), ASKED)
+                block = Block(row, tree).levels(0)
+                yield _rows(list(_asked_rows(row["block"][0].as_py(), 0, block.keys[0], block.own_counts(0), bits)), ASKED)
     return run
 
 
@@ -267,7 +269,7 @@ def _ask_divergence(number, block, bits, total, words):
         learnt = block.train[tokens]
         tokens, at = tokens[learnt], at[learnt]
         # what each occurrence has over the least divergence: the context is retained if the sum isn't negative
-        over = np.rint(MILLI * (np.log(p[k][tokens] / p[k - 1][tokens]) - block.tree.min_divergence))
+        over = np.rint(UNITS * (np.log(p[k][tokens] / p[k - 1][tokens]) - block.tree.min_divergence))
         found += _asked_rows(number, block.tree.max_context + k, keys, np.bincount(at, over, len(keys)), bits)
     return _rows(found, ASKED, pa.Table)
 
@@ -300,14 +302,17 @@ def _add_up(last_count: int, asked: pa.Table) -> pa.Table:
     if level > last_count:
         sums = (sums >= 0).astype(np.int64)
     ends = np.cumsum([len(k) for k in keys])
-    found = [(level, part, b.as_py(), pack(_signed(sums[at[end - len(k):end]])), None, None) for b, k, end in zip(asked["block"], keys, ends)]
-    return _rows([*found, (level, part, None, None, int((sums > 0).sum()), int(sums.sum()))], ANSWERS, pa.Table)
+    found = [(level, part, b.as_py(), pack(_signed(sums[at[end - len(k):end]])), 0, 0) for b, k, end in zip(asked["block"], keys, ends)]
+    found[0] = (*found[0][:4], int((sums > 0).sum()), int(sums.sum()))     # the part's own numbers go with one of its rows
+    return _rows(found, ANSWERS, pa.Table)
 
 
-def _answered(asked: DataFrame, tree: Tree) -> DataFrame:
+def _answer(asked: DataFrame, tree: Tree, answers: Buckets) -> None:
+    """Adds up what is asked, and puts the answers where the blocks are."""
     def add_up(group):
         return _add_up(tree.max_context, group)
-    return staged(asked.groupBy("level", "part").applyInArrow(add_up, from_arrow_schema(ANSWERS)), "answers")
+    found = asked.groupBy("level", "part").applyInArrow(add_up, from_arrow_schema(ANSWERS))
+    answers.add(found.repartition(answers.buckets, "block"))
 
 
 def _visit(blocks: DataFrame, answers: DataFrame, tree: Tree, work, schema: pa.Schema) -> DataFrame:
@@ -319,7 +324,7 @@ def _visit(blocks: DataFrame, answers: DataFrame, tree: Tree, work, schema: pa.S
         for a in sorted(right.select(["level", "part", "amounts"]).to_pylist(), key=lambda a: (a["level"], a["part"])):
             found.setdefault(a["level"], []).append(_unsigned(unpack(a["amounts"])))
         return work(left["block"][0].as_py(), Block(left, tree, {k: np.concatenate(v) for k, v in found.items()}))
-    return blocks.groupBy("block").cogroup(answers.where("block is not null").groupBy("block")).applyInArrow(run, from_arrow_schema(schema))
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, from_arrow_schema(schema))
 
 
 def suffix_tree_scores(docs: DataFrame, held: Column, tree: Tree = Tree(), block_tokens: int = BLOCK_TOKENS,
@@ -331,16 +336,22 @@ def suffix_tree_scores(docs: DataFrame, held: Column, tree: Tree = Tree(), block
                        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     text_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(MAX_BUCKETS, 1 + text_bytes // BUCKET_BYTES)
-    blocks = bucketed(rows.mapInArrow(_block_maker(block_tokens), from_arrow_schema(BLOCKS)), "block", buckets, "blocks")
-    tokens = blocks.agg(F.sum("n_tokens")).first()[0] or 0
-    bits = max(0, int(tokens // part_keys).bit_length())     # receivers grow with the corpus
-    answers = _answered(blocks.mapInArrow(_ask_first(tree, bits), from_arrow_schema(ASKED)), tree)
-    seen = answers.where("level = 0").agg(F.sum("total"), F.sum("n_distinct")).first()
-    total, words = (int(x or 0) for x in seen)
-    for k in range(2, tree.max_context + 1):
-        ask = lambda number, block, k=k: _ask_longer(number, block, bits, k)
-        answers = answers.union(_answered(_visit(blocks, answers, tree, ask, ASKED), tree))
-    test = lambda number, block: _ask_divergence(number, block, bits, total, words)
-    answers = answers.union(_answered(_visit(blocks, answers, tree, test, ASKED), tree))
-    scored = _visit(blocks, answers, tree, lambda number, block: _scores(block, total, words), SCORES)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
+    blocks, answers = (Buckets(docs.sparkSession, "block", buckets, name) for name in ("blocks", "answers"))
+    try:
+        blocks.add(rows.mapInArrow(_block_maker(block_tokens), from_arrow_schema(BLOCKS)))
+        tokens = blocks.rows().agg(F.sum("n_tokens")).first()[0] or 0
+        bits = max(0, int(tokens // part_keys).bit_length())     # receivers grow with the corpus
+        _answer(blocks.rows().mapInArrow(_ask_words(tree, bits), from_arrow_schema(ASKED)), tree, answers)
+        seen = answers.rows().where("level = 0").agg(F.sum("total"), F.sum("n_distinct")).first()
+        total, words = (int(x or 0) for x in seen)
+
+        def visit(work, schema):
+            return _visit(blocks.rows(), answers.rows(), tree, work, schema)
+        for k in range(1, tree.max_context + 1):
+            _answer(visit(lambda number, block, k=k: _ask_longer(number, block, bits, k), ASKED), tree, answers)
+        _answer(visit(lambda number, block: _ask_divergence(number, block, bits, total, words), ASKED), tree, answers)
+        scored = visit(lambda number, block: _scores(block, total, words), SCORES)
+        return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
+    finally:
+        blocks.forget()
+        answers.forget()

@@ -41,7 +41,7 @@ class Plain:
                 for k in range(1, min(j, tree.max_context) + 1):
                     s = tuple(w[j - k:j])
                     if self.count[s] >= tree.min_count:
-                        total[s] += round(1e3 * (math.log(self.p(w[j], s, 1) / self.p(w[j], s[1:], 1)) - tree.min_divergence))
+                        total[s] += round(1e2 * (math.log(self.p(w[j], s, 1) / self.p(w[j], s[1:], 1)) - tree.min_divergence))
         self.states = {()}
         for s in sorted(total, key=len):
             if s[1:] in self.states and total[s] >= 0:
