@@ -62,6 +62,7 @@ BLOCK_TOKENS = 1_000_000
 BUCKET_BYTES = 32 << 20  # text of the blocks that one task visits, about
 MAX_BUCKETS = 100_000    # as many as Spark takes; beyond that, tasks visit more
 PART_KEYS = 1 << 20      # sequences that a receiver adds up, about
+PAIR_ROUNDS = 2          # pairs are most of what is asked: in so many rounds, so that a part of it is on disk at a time
 FOLDS, HELD_OUT = 7, 2
 
 UNITS = 1e2              # log ratios are summed in hundredths, so their order doesn't matter
@@ -228,8 +229,12 @@ def _probabilities(block, total, words, left_out):
     return out
 
 
-def _asked_rows(number, level, keys, amounts, bits):
-    """The block's requests of one level, a row per receiver; keys ascend, so receivers do."""
+def _asked_rows(number, level, keys, amounts, bits, turn=0, rounds=1):
+    """The block's requests of one level, a row per receiver; keys ascend, so receivers
+    do. In round ``turn`` of ``rounds``, those of one share of the hashes."""
+    ends = [np.uint64(((1 << 64) - 1) * t // rounds) for t in (turn, turn + 1)]
+    share = slice(np.searchsorted(keys, ends[0], "right") if turn else 0, np.searchsorted(keys, ends[1], "right"))
+    keys, amounts = keys[share], amounts[share]
     if not len(keys):
         return
     part = (keys >> np.uint64(64 - bits)) if bits else np.zeros(len(keys), np.uint64)
@@ -255,9 +260,9 @@ def _ask_words(tree, bits):
     return run
 
 
-def _ask_longer(number, block, bits, k):
+def _ask_longer(number, block, bits, k, turn, rounds):
     block.levels(k)
-    return _rows(list(_asked_rows(number, k, block.keys[k], block.own_counts(k), bits)), ASKED, pa.Table)
+    return _rows(list(_asked_rows(number, k, block.keys[k], block.own_counts(k), bits, turn, rounds)), ASKED, pa.Table)
 
 
 def _ask_divergence(number, block, bits, total, words):
@@ -345,10 +350,13 @@ def suffix_tree_scores(docs: DataFrame, held: Column, tree: Tree = Tree(), block
         seen = answers.rows().where("level = 0").agg(F.sum("total"), F.sum("n_distinct")).first()
         total, words = (int(x or 0) for x in seen)
 
-        def visit(work, schema):
-            return _visit(blocks.rows(), answers.rows(), tree, work, schema)
+        def visit(work, schema, below=2 * tree.max_context + 1):
+            return _visit(blocks.rows(), answers.rows().where(F.col("level") < below), tree, work, schema)
         for k in range(1, tree.max_context + 1):
-            _answer(visit(lambda number, block, k=k: _ask_longer(number, block, bits, k), ASKED), tree, answers)
+            rounds = min(PAIR_ROUNDS if k == 1 else 1, 1 << bits)
+            for turn in range(rounds):
+                ask = lambda number, block, k=k, turn=turn, rounds=rounds: _ask_longer(number, block, bits, k, turn, rounds)
+                _answer(visit(ask, ASKED, k), tree, answers)
         _answer(visit(lambda number, block: _ask_divergence(number, block, bits, total, words), ASKED), tree, answers)
         scored = visit(lambda number, block: _scores(block, total, words), SCORES)
         return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"), "base_score", "score")
