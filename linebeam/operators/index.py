@@ -33,6 +33,30 @@ def posting_counts(lines: DataFrame, text: str = "value", file: str = "file") ->
             .groupBy("word", "file").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def _bucket(file: str, buckets: int):
+    """A file's bucket: the first four hex digits of its name's md5, so that SQL engines agree."""
+    return F.conv(F.substring(F.md5(file), 1, 4), 16, 10).cast("int") % buckets
+
+
+def posting_maps(lines: DataFrame, text: str = "value", file: str = "file", buckets: int = BUCKETS) -> DataFrame:
+    """(word string, bucket int, tf map<string,bigint>): occurrences of each word by
+    file, names ascending.
+
+    Counts are combined before the shuffle, so a map is made of one entry per file,
+    not of one per occurrence; as in ``inverted_index`` a word's files are split over
+    ``buckets`` rows, so no row has more than about files/buckets entries.
+    """
+    counts = posting_counts(lines, text, file).withColumn("bucket", _bucket("file", buckets))
+    entries = F.sort_array(F.collect_list(F.struct("file", "tf")))
+    return counts.groupBy("word", "bucket").agg(F.map_from_entries(entries).alias("tf"))
+
+
+def posting_maps_report(maps: DataFrame) -> DataFrame:
+    """``maps`` with the map printed as ``{f0=2, f1=1}``."""
+    printed = F.transform(F.map_entries("tf"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return maps.withColumn("tf", F.concat(F.lit("{"), F.array_join(printed, ", "), F.lit("}")))
+
+
 def inverted_index(lines: DataFrame, text: str = "value", file: str = "file", buckets: int = BUCKETS) -> DataFrame:
     """(word string, bucket int, files string): the distinct files of each
     word, in ascending byte order, joined by one blank.
@@ -46,7 +70,7 @@ def inverted_index(lines: DataFrame, text: str = "value", file: str = "file", bu
     pairs = word_file_pairs(lines, text, file).distinct()
     keys = ["word"]
     if buckets > 1:
-        pairs = pairs.withColumn("bucket", (F.conv(F.substring(F.md5("file"), 1, 4), 16, 10).cast("int") % buckets))
+        pairs = pairs.withColumn("bucket", _bucket("file", buckets))
         keys.append("bucket")
     return (pairs.groupBy(*keys)
             .agg(F.array_join(F.sort_array(F.collect_list("file")), " ").alias("files")))

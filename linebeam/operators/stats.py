@@ -7,7 +7,9 @@ instead of routing every value to one reducer under a constant key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from linebeam.functions.numbers import array_sum, drop_trailing, int_list, int_list_valid
@@ -113,6 +115,31 @@ def observe_malformed(parsed: DataFrame, name: str = "malformed") -> tuple[DataF
     return parsed.observe(obs, F.count_if(F.col("bad")).alias("malformed")), obs
 
 
+@dataclass
+class JobCounter:
+    """A counter that comes with a job's result.
+
+    The count is an aggregate of the job itself and is observed on the row that
+    ends it, not where the lines are read. Counters updated by map tasks count a
+    stage twice when a lost executor makes it run again, or when its exchange is
+    computed for two consumers; here those tasks' rows pass through the shuffle,
+    which keeps one result a task, and the observed row exists once."""
+    observation: Observation
+
+    def run(self, result: DataFrame) -> tuple[list[Row], dict]:
+        """The result's rows and the counters, from one execution."""
+        rows = result.collect()   # the aggregate's one row
+        return rows, self.observation.get
+
+
+def min_max_counted(parsed: DataFrame, name: str = "malformed") -> tuple[DataFrame, JobCounter]:
+    """((min int, max int), counter ``malformed``): ``min_max`` with the number of bad
+    lines as the job's counter instead of a column."""
+    observation = Observation(name)
+    seen = min_max(parsed).observe(observation, F.max("malformed").alias("malformed"))
+    return seen.select("min", "max"), JobCounter(observation)
+
+
 def minmax_report(stats: DataFrame) -> DataFrame:
     """(report string): ``Minimum: a<TAB>Maximum: b<TAB>malformed: c``."""
     return stats.select(F.format_string(REPORT_FORMAT,

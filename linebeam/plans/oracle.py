@@ -130,6 +130,9 @@ SQL: dict[str, str] = {
     "inverted_index_report": f"SELECT word, bucket, '{{ ' || files || ' }}' AS files FROM ({INDEX})",
     "inverted_index_sorted": f"SELECT word, bucket, files FROM ({INDEX}) ORDER BY word, bucket",
     "posting_counts": f"SELECT lower(w) AS word, file, count(*) AS tf FROM ({WORDS}) GROUP BY 1, 2",
+    "posting_maps": ("SELECT word, bucket, '{' || string_agg(file || '=' || CAST(tf AS VARCHAR), ', ' ORDER BY file) || '}' AS tf FROM ("
+                     "SELECT word, CAST(('0x' || substr(md5(file), 1, 4))::INTEGER % 16 AS INTEGER) AS bucket, file, count(*) AS tf "
+                     f"FROM (SELECT lower(w) AS word, file FROM ({WORDS})) GROUP BY ALL) GROUP BY word, bucket"),
     "hotlist_filter": (f"SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM ({DOC_TOKENS}) "
                        f"WHERE length(t) > 0 AND t IN (SELECT key FROM ({HOT})))"),
     "hotlist_filter_bloom": (f"WITH {_bloom_ctes(HOT)}, "
@@ -161,6 +164,7 @@ SQL: dict[str, str] = {
     "mean_of_line_means": f"SELECT round(avg(s / c), 6) AS mean FROM ({SPACE})",
     "global_mean": f"SELECT round(sum(s) / sum(c), 6) AS mean FROM ({SPACE})",
     "min_max": MIN_MAX,
+    "min_max_counter": MIN_MAX,
     "malformed_count": f"SELECT count(*) FILTER (WHERE bad) AS malformed FROM ({HASH_BAD})",
     "malformed_lines": f"SELECT value AS line FROM ({HASH_BAD}) WHERE bad",
     "minmax_report": ("SELECT 'Minimum: ' || coalesce(CAST(min AS VARCHAR), 'null') || chr(9) || 'Maximum: ' || "
@@ -189,5 +193,6 @@ SQL: dict[str, str] = {
     "sink_tsv": f"SELECT letter || chr(9) || CAST(n AS VARCHAR) AS value FROM ({FIRST_CHAR})",
     "sink_lines": "SELECT CAST(event_id AS VARCHAR) AS value FROM events",
     "sink_partition_by_year": BY_YEAR,
+    "sink_years_placed": f"SELECT year - 1995 AS part, raw FROM ({BY_YEAR}) WHERE year BETWEEN 1995 AND 2000",
     "sink_overwrite": f"SELECT id AS value FROM ({REP})",
 }

@@ -15,7 +15,7 @@ from linebeam import sinks
 from linebeam.functions.rows import keep_where
 from linebeam.functions.xmlrow import attr, attr_map, attr_value, typed_attrs
 from linebeam.operators import bloom as bl
-from linebeam.operators import bloomjoin, hotlist, index, joins, partition, stats, wordcount
+from linebeam.operators import bloomjoin, cogroup, hotlist, index, joins, partition, stats, wordcount
 from linebeam.plans import tables as T
 from linebeam.session import scratch_dir
 from linebeam.sources import records as src_records
@@ -54,6 +54,10 @@ def q_posting_counts(spark, d):
     return index.posting_counts(T.word_lines(spark, d))
 
 
+def q_posting_maps(spark, d):
+    return index.posting_maps_report(index.posting_maps(T.word_lines(spark, d)))
+
+
 def q_hotlist_filter(spark, d):
     docs = T.table(spark, d, "documents", "doc_id", "text")
     return hotlist.hotlist_filter(docs, "text", T.hot_list(spark, d), p=T.BLOOM_P)
@@ -61,7 +65,7 @@ def q_hotlist_filter(spark, d):
 
 def q_hotlist_filter_bloom(spark, d):
     docs = T.table(spark, d, "documents", "doc_id", "text")
-    return hotlist.hotlist_filter(docs, "text", T.hot_list(spark, d), approximate=True, p=T.BLOOM_P)
+    return hotlist.hotlist_filter(docs, "text", T.hot_list(spark, d), approximate=True, p=T.BLOOM_P, family=T.CHECKED_FAMILY)
 
 
 # ---------------------------------------------------------------- joins
@@ -73,17 +77,25 @@ def _join(how):
     return q
 
 
+def _cogroup_join(how):
+    def q(spark, d):
+        return cogroup.cogroup_join(T.users(spark, d), T.comments(spark, d), "id", "user_id", how)
+    q.__name__ = f"q_join_{how}"
+    return q
+
+
 def _bloom_join(how, exact=True):
     def q(spark, d):
         a = T.reputable(T.users(spark, d))
-        return bloomjoin.bloom_join(a, T.comments(spark, d), "id", "user_id", how, p=T.BLOOM_P, exact=exact)
+        family = {} if exact else {"family": T.CHECKED_FAMILY}   # exact rows don't depend on the hash
+        return bloomjoin.bloom_join(a, T.comments(spark, d), "id", "user_id", how, p=T.BLOOM_P, exact=exact, **family)
     q.__name__ = f"q_bloom_join_{how}" + ("" if exact else "_raw")
     return q
 
 
 def _member_filter(spark, d):
     a = T.reputable(T.users(spark, d))
-    return bloomjoin.train_on(a, "id", p=T.BLOOM_P)
+    return bloomjoin.train_on(a, "id", p=T.BLOOM_P, family=T.CHECKED_FAMILY)
 
 
 def q_bloom_semi_filter(spark, d):
@@ -139,6 +151,13 @@ def q_min_max(spark, d):
     return stats.min_max(stats.hash_numbers(T.hash_lines(spark, d)))
 
 
+def q_min_max_counter(spark, d):
+    """One execution gives the numbers as its result and the malformed lines as its counter."""
+    result, counter = stats.min_max_counted(stats.hash_numbers(T.hash_lines(spark, d)))
+    (row,), counted = counter.run(result)
+    return spark.createDataFrame([(row["min"], row["max"], counted["malformed"])], "min int, max int, malformed bigint")
+
+
 def q_malformed_count(spark, d):
     return stats.malformed_count(stats.hash_numbers(T.hash_lines(spark, d)))
 
@@ -227,8 +246,7 @@ def q_src_xml_rows(spark, d):
 def q_src_file_name(spark, d):
     root = scratch_dir(spark, "files")
     sinks.write_named_files(T.word_lines(spark, d), "file", "value", root)
-    lines = src_text.read_lines(spark, root, with_file=True)
-    return index.inverted_index(lines.withColumn("file", F.regexp_replace("file", "~[0-9]+$", "")))
+    return index.inverted_index(src_text.read_named_lines(spark, root))
 
 
 def q_src_points(spark, d):
@@ -275,6 +293,14 @@ def q_sink_partition_by_year(spark, d):
     return spark.read.text(path).select(F.col("year").cast("int").alias("year"), F.col("value").alias("raw"))
 
 
+def q_sink_years_placed(spark, d):
+    path = scratch_dir(spark, "placed-years")
+    by_year = partition.year_range(partition.users_by_year(T.user_rows(spark, d)), T.MIN_YEAR, T.NUM_YEARS)
+    sinks.write_placed(by_year, "part", "raw", path, T.ROWS_PER_FILE)
+    rows = spark.read.schema("value string, part int").text(path)
+    return rows.select("part", F.col("value").alias("raw"))
+
+
 def q_sink_overwrite(spark, d):
     path = scratch_dir(spark, "overwrite")
     sinks.write_lines(T.comments(spark, d), "raw", path)
@@ -289,13 +315,14 @@ QUERIES: dict[str, Query] = {
     "inverted_index_report": q_inverted_index_report,
     "inverted_index_sorted": q_inverted_index_sorted,
     "posting_counts": q_posting_counts,
+    "posting_maps": q_posting_maps,
     "hotlist_filter": q_hotlist_filter,
     "hotlist_filter_bloom": q_hotlist_filter_bloom,
     "join_inner": _join("inner"),
     "join_leftouter": _join("leftouter"),
     "join_rightouter": _join("rightouter"),
-    "join_fullouter": _join("fullouter"),
-    "join_anti": _join("anti"),
+    "join_fullouter": _cogroup_join("fullouter"),
+    "join_anti": _cogroup_join("anti"),
     "bloom_join_inner": _bloom_join("inner"),
     "bloom_join_leftouter": _bloom_join("leftouter"),
     "bloom_join_rightouter": _bloom_join("rightouter"),
@@ -314,6 +341,7 @@ QUERIES: dict[str, Query] = {
     "mean_of_line_means": q_mean_of_line_means,
     "global_mean": q_global_mean,
     "min_max": q_min_max,
+    "min_max_counter": q_min_max_counter,
     "malformed_count": q_malformed_count,
     "malformed_lines": q_malformed_lines,
     "minmax_report": q_minmax_report,
@@ -335,5 +363,6 @@ QUERIES: dict[str, Query] = {
     "sink_tsv": q_sink_tsv,
     "sink_lines": q_sink_lines,
     "sink_partition_by_year": q_sink_partition_by_year,
+    "sink_years_placed": q_sink_years_placed,
     "sink_overwrite": q_sink_overwrite,
 }

@@ -22,7 +22,9 @@ POINT_RADIUS = 0.1            # circle radius for the point scan
 MIN_YEAR = 1995               # first legal partition year
 NUM_YEARS = 6                 # legal partition years: 1995..2000
 YEAR_SALTS = 16               # parts a year is grouped in
+ROWS_PER_FILE = 10_000        # rows of one file of a placed year, about
 BLOOM_P = 0.01                # Bloom false-positive rate
+CHECKED_FAMILY = "md5"        # hashes of the queries whose false positives are compared with SQL
 DATE_OUT = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 

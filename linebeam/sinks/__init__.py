@@ -3,8 +3,6 @@ replace an existing output folder."""
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,18 +55,37 @@ def write_by_year(df: DataFrame, path: str, year: str = "year", record: str = "r
     w.text(path)
 
 
-def write_named_files(df: DataFrame, name: str, record: str, path: str) -> None:
-    """Records in text files named after their ``name`` value: ``<name>~<i>``,
-    as many per name as tasks wrote. Rows are written by folder first; the
-    driver then moves the files (names only, no data)."""
-    spark = df.sparkSession
-    write_by = df.select(F.col(name).alias("name"), F.col(record).cast("string").alias("value"))
-    write_by.write.partitionBy("name").text(f"{path}/_folders")
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for folder in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, "_folders/name=*")):
-        value = unquote(folder.getPath().getName().removeprefix("name="))
-        for i, f in enumerate(fs.listStatus(folder.getPath())):
-            fs.rename(f.getPath(), jvm.org.apache.hadoop.fs.Path(root, f"{value}~{i}"))
-    fs.delete(jvm.org.apache.hadoop.fs.Path(root, "_folders"), True)
+def write_placed(df: DataFrame, part: str, record: str, path: str, rows_per_file: int,
+                 mode: str = "errorifexists") -> int:
+    """Records in one folder per partition number (``part=N/part-*``), placed by
+    number; returns the number of files.
+
+    The rows of every partition number are counted first, and a number with n rows
+    gets a range of ceil(n / rows_per_file) output tasks. Each row then goes straight
+    to a task of its number's range (an exchange by partition id, no hashing), so a
+    task writes one file, a small partition is one file, and a number that holds a
+    third of all rows is written by as many tasks as its rows need. NULL numbers
+    have a range of their own. One row per number comes to the driver: ``part`` is
+    a partition number, of which a layout has few.
+    """
+    rows = df.select(F.col(part).cast("int").alias("part"), F.col(record).cast("string").alias("value"))
+    starts, files = [], 0
+    for r in sorted(rows.groupBy("part").count().collect(), key=lambda r: (r["part"] is not None, r["part"])):
+        needed = -(-r["count"] // rows_per_file)
+        starts.append((r["part"], files, needed))
+        files += needed
+    ranges = F.broadcast(df.sparkSession.createDataFrame(starts, "p int, first int, files int"))
+    place = F.col("first") + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("files")).cast("int")
+    placed = rows.join(ranges, F.col("part").eqNullSafe(F.col("p"))).withColumn("place", place)
+    (placed.repartitionById(max(files, 1), "place").select("part", "value")
+     .write.mode(_mode(mode)).partitionBy("part").text(path))
+    return files
+
+
+def write_named_files(df: DataFrame, name: str, record: str, path: str, mode: str = "errorifexists") -> None:
+    """Records in one folder per ``name`` value (``file=<name>/part-*``), for
+    ``sources.text.read_named_lines``. The name is carried by the folder, which
+    the writers' commit protocol makes: nothing is renamed afterwards. A NULL or
+    empty name is read back as NULL."""
+    rows = df.select(F.col(name).cast("string").alias("file"), F.col(record).cast("string").alias("value"))
+    rows.write.mode(_mode(mode)).partitionBy("file").text(path)

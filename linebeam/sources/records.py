@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,27 +30,47 @@ def parse_points(lines: DataFrame, text: str = "value") -> DataFrame:
     return lines.select(F.trim(parts[0]).cast("double").alias("x"), F.trim(parts[1]).cast("double").alias("y"))
 
 
+# No quoting in point lines, so a quote sign is data.
+_POINT_LINES = {"header": "false", "quote": "", "escape": "", "sep": ",", "mode": "PERMISSIVE"}
+
+
+def _first_line(spark: SparkSession, path) -> tuple[str, str, str] | None:
+    """(file, its path in the rows' metadata, line) of the first record: the first line that isn't blank of the first
+    file by name that has one. Files are opened in order until then, each from its
+    start, and a file's later splits only if its first ones are blank."""
+    files = sorted(spark.read.text(path).inputFiles(), key=lambda f: (f.rsplit("/", 1)[-1], f))
+    for file in files:
+        file = unquote(file)
+        lines = (spark.read.text(file).select("value", F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_path").alias("file"))
+                 .where(F.trim("value") != ""))
+        head = lines.where("start = 0").first() or lines.orderBy("start").first()
+        if head is not None:
+            return file, head["file"], head["value"]
+    return None
+
+
 def read_points(spark: SparkSession, path, header_path: str | None = None) -> tuple[DataFrame, float, float]:
     """Points plus their header ``R,N``. Returns ``(points, r, n)``.
 
-    The header is the first record of the data (the first line of the first
-    file by name) or, with ``header_path``, the first line of a file of its
-    own. Only that line reaches the driver, and only that line is left out of
-    the points, even where a point looks the same.
+    The header is the first record of the data (the first line that isn't blank of
+    the first file by name) or, with ``header_path``, the first line of a file of
+    its own. Only that line reaches the driver. It is left out of the points by its
+    place: the reader of the first file skips the record that starts it, and the
+    other files, told apart by their metadata, are read as they are. So the points
+    are scanned once, and a point that looks like the header stays. Blank lines
+    are no points.
     """
     if header_path is not None:
-        lines = read_lines(spark, path)
-        head = read_lines(spark, header_path).where(F.trim("value") != "").select("value").first()
+        found = _first_line(spark, header_path)
+        points = parse_points(read_lines(spark, path).where(F.trim("value") != ""))
     else:
-        lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"),
-                                             F.col("_metadata.file_block_start").alias("start"),
-                                             F.monotonically_increasing_id().alias("at"))
-        # the order inside a file: its splits by their start, their lines by the running number
-        head = lines.where(F.trim("value") != "").agg(F.min(F.struct("file", "start", "at", "value")).alias("h")).select("h.*").first()
-        head = None if head is None or head["value"] is None else head
-    if head is None:
+        found = _first_line(spark, path)
+        if found is not None:
+            fields = spark.read.schema("x string, y string").options(**_POINT_LINES)
+            first = fields.option("header", "true").csv(found[0])
+            rest = fields.option("header", "false").csv(path).where(F.col("_metadata.file_path") != found[1])
+            points = first.union(rest.select("x", "y")).select(*[F.trim(c).cast("double").alias(c) for c in ("x", "y")])
+    if found is None:
         raise ValueError("no header line")
-    if header_path is None:
-        lines = lines.where((F.col("file") != head["file"]) | (F.col("start") != head["start"]) | (F.col("at") != head["at"]))
-    r_txt, n_txt = [t.strip() for t in head["value"].split(",")[:2]]
-    return parse_points(lines), float(r_txt), float(n_txt)
+    r_txt, n_txt = [t.strip() for t in found[2].split(",")[:2]]
+    return points, float(r_txt), float(n_txt)

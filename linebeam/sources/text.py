@@ -26,3 +26,10 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], line_sep: str |
         df = df.select("value", F.col("_metadata.file_name").alias("file"))
     return df if min_partitions is None else df.repartition(min_partitions)
 
+
+
+def read_named_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value string, file string) of every line that ``sinks.write_named_files``
+    wrote below ``path``. The name comes from the folder's metadata, unescaped by
+    the reader, and is a string whatever it looks like."""
+    return spark.read.schema("value string, file string").text(path)
