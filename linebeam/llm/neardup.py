@@ -15,7 +15,10 @@
    the others go through the same lists once more with the *full* sets (an
    exact prefix filter, c = ceil(t * n)): only values that two components hold
    count, and a pair must have room for the overlap. Long lists are cut into
-   chunks that meet two at a time.
+   chunks that meet two at a time. What comes out is a spanning forest of the
+   possible pairs, so at most a row per member; its trees are clusters, inside
+   which the full sets are compared, and again a spanning forest of the links
+   comes out. No step turns the pairs of a group into rows.
 5. Components by large-star/small-star.
 
 Nothing is capped: list length only chooses between steps 3 and 4.
@@ -43,8 +46,10 @@ from linebeam.llm.shingles import WordHashes, shingle_set
 K = 64                # retained hashes of a set
 SIGMAS = 5.0          # slack of the sketch statistics, in standard deviations
 SHORT_LIST = 8        # a list up to this long gives all its pairs at once
+PAIR_WORDS = 1 << 21  # signature words of the pairs that are compared at a time
 CHUNK_ROWS = 1024     # members of a list that meet the same number of others in one task
-SIG_WORDS = 16        # 64-bit words of a set's bit signature
+SIG_WORDS = 16        # least 64-bit words of a set's bit signature
+SIG_BITS = 4          # bits of it per member, at least
 
 SKETCHED = "doc_id bigint, n_shingles int, cls binary, sketch array<bigint>"
 SETS = "cid bigint, n int, sig array<bigint>, hashes array<bigint>"
@@ -81,12 +86,51 @@ def _sketcher(width, k):
 
 
 def _signature(hashes):
-    """A bit per hash value, in SIG_WORDS words: a bit of one set that another lacks is a member the other lacks."""
-    bits = np.zeros(SIG_WORDS * 64, np.uint8)
+    """A bit per hash value, in a power of two of words that grows with the set, so it
+    never fills up: a bit of one set that another lacks is a member the other lacks."""
+    words = SIG_WORDS
+    while words * 64 < SIG_BITS * len(hashes):
+        words *= 2
+    bits = np.zeros(words * 64, np.uint8)
     bits[hashes.view(np.uint64) % np.uint64(len(bits))] = 1
     return np.packbits(bits, bitorder="little").view(np.int64)
 
 
+class _Signatures:
+    """Signatures by size; a larger one folds to a smaller one's size, since places are hashes modulo the bits."""
+
+    def __init__(self, column):
+        ends = column.offsets.to_numpy().astype(np.int64)
+        flat = column.values.to_numpy().view(np.uint64)
+        self.words = np.diff(ends)
+        self.row, self.of = np.zeros(len(self.words), np.int64), {}
+        for w in np.unique(self.words):
+            at = np.flatnonzero(self.words == w)
+            self.row[at] = np.arange(len(at))
+            self.of[w] = flat[ends[at][:, None] + np.arange(w)]
+
+    def rows(self, at, words):
+        """The signatures of sets of one size, folded to ``words``."""
+        size = self.words[at[0]]
+        found = self.of[size][self.row[at]]
+        return found if size == words else np.bitwise_or.reduce(found.reshape(len(at), size // words, words), axis=1)
+
+    def possible(self, a, b, n, need):
+        """Which pairs (a, b) can share ``need`` members: each set's size less the bits that the other lacks."""
+        ok = np.zeros(len(a), bool)
+        kind = self.words[a] * (1 << 32) + self.words[b]
+        for k in np.unique(kind):
+            same = np.flatnonzero(kind == k)
+            words = min(k >> 32, k & 0xFFFFFFFF)
+            for lo in range(0, len(same), max(1, PAIR_WORDS // words)):
+                i = same[lo:lo + max(1, PAIR_WORDS // words)]
+                x, y = self.rows(a[i], words), self.rows(b[i], words)
+                only_a = np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+                only_b = np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+                ok[i] = (n[a[i]] - only_a >= need[i]) & (n[b[i]] - only_b >= need[i])
+        return ok
+
+
 def _full_sets(width, table):
     def run(batches):
         cache = WordHashes()
@@ -145,13 +189,36 @@ def _pairs(lists: DataFrame, t: float) -> DataFrame:
     return a.join(b, "v").where("a < b").where(_ratio(t)).select("a", "b").distinct()
 
 
-def _block_pairs(t):
-    """The cross pairs of two chunks (or one) of a list, compared as arrays."""
+def _forest(size, a, b):
+    """(a, b) of a spanning forest of the links a-b over 0..size-1: each linked row but the smallest of its tree, with that smallest."""
+    label = np.arange(size)
+    while True:
+        low = np.minimum(label[a], label[b])
+        if (label[a] == label[b]).all():
+            break
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while (label != label[label]).any():
+            label = label[label]
+    child = np.flatnonzero(label != np.arange(size))
+    return child, label[child]
+
+
+def _met(rows: DataFrame, key: str, chunk_rows: int) -> DataFrame:
+    """``rows`` cut into chunks of about ``chunk_rows`` per ``key``, copied so that every two chunks meet in one (key, lo, hi)."""
+    sizes = rows.groupBy(key).agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("chunks"))
+    cut = rows.join(sizes, key).withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
+    met = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return met.select(*rows.columns, "chunk", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"))
+
+
+def _block_links(t):
+    """Which members of two chunks (or one) of a list may link across components: a spanning forest of the possible pairs."""
     def run(table):
         cols = {c: table.column(c).to_numpy() for c in ("lo", "hi", "chunk", "cid", "n", "u", "i", "comp")}
-        sig = table.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SIG_WORDS)
+        sig = _Signatures(table.column("sig").combine_chunks())
         left, right = np.flatnonzero(cols["chunk"] == cols["lo"]), np.flatnonzero(cols["chunk"] == cols["hi"])
-        found = []
+        a = b = np.empty(0, np.int64)
         for at in range(0, len(left), 256):
             x, y = left[at:at + 256, None], right[None, :]
             n, m = cols["n"][x], cols["n"][y]
@@ -159,31 +226,73 @@ def _block_pairs(t):
             room = (np.minimum(cols["i"][x] - cols["u"][x], cols["i"][y] - cols["u"][y]) + np.minimum(n - cols["i"][x], m - cols["i"][y]))
             ok = (cols["comp"][x] != cols["comp"][y]) & (n >= t * m) & (m >= t * n) & (room >= need)
             p, q = np.nonzero(ok)
-            p, q, need = left[at + p], right[q], need[p, q]
-            for lo in range(0, len(p), 65536):
-                a, b = p[lo:lo + 65536], q[lo:lo + 65536]
-                only_a = np.bitwise_count(sig[a] & ~sig[b]).sum(axis=1, dtype=np.int64)
-                only_b = np.bitwise_count(sig[b] & ~sig[a]).sum(axis=1, dtype=np.int64)
-                k = (cols["n"][a] - only_a >= need[lo:lo + 65536]) & (cols["n"][b] - only_b >= need[lo:lo + 65536])
-                found.append(np.stack([cols["cid"][a[k]], cols["cid"][b[k]]]))
-        got = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        return pa.table({"a": got.min(axis=0), "b": got.max(axis=0)})
+            u, v = left[at + p], right[q]
+            k = sig.possible(u, v, cols["n"], need[p, q])
+            a, b = _forest(len(cols["cid"]), np.concatenate([a, u[k]]), np.concatenate([b, v[k]]))
+        return pa.table({"a": cols["cid"][a], "b": cols["cid"][b]})
     return run
 
 
-def _cross_pairs(lists: DataFrame, t: float, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Distinct pairs of different ``comp`` that share a list of full sets and
-    can have the overlap that Jaccard t asks for, by two bounds that lose
-    nothing: the joinable values up to the shared one and the values after it;
-    and each set's size less the signature bits that the other lacks. A list is
-    cut into chunks of about ``chunk_rows``, and two chunks meet in one task, so
-    no list, however long, is gathered whole; only surviving pairs are rows."""
-    sizes = lists.groupBy("v").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias("chunks"))
-    rows = lists.join(sizes, "v").withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int"))
-    met = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    met = met.select("v", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"),
-                     "chunk", "cid", "n", "u", "i", "comp", "sig")
-    return met.groupBy("v", "lo", "hi").applyInArrow(_block_pairs(t), "a bigint, b bigint").distinct()
+def _verified_links(t):
+    """Links between components of two chunks (or one) of a cluster, by the full sets: a spanning forest of them."""
+    num, den = t.as_integer_ratio()
+
+    def run(table):
+        cols = {c: table.column(c).to_numpy() for c in ("lo", "hi", "chunk", "cid", "n", "comp")}
+        sig = _Signatures(table.column("sig").combine_chunks())
+        column = table.column("hashes").combine_chunks()
+        ends, flat = column.offsets.to_numpy().astype(np.int64), column.values.to_numpy()
+        left, right = np.flatnonzero(cols["chunk"] == cols["lo"]), np.flatnonzero(cols["chunk"] == cols["hi"])
+        _, label = np.unique(cols["comp"], return_inverse=True)              # what is known to be linked
+        found = []
+        for x in left:
+            n, m = cols["n"][x], cols["n"][right]
+            ok = (label[right] != label[x]) & (n >= t * m) & (m >= t * n)
+            y, need = right[ok], t / (1 + t) * (n + m[ok]) - 1e-9
+            y = y[sig.possible(np.full(len(y), x), y, cols["n"], need)]
+            mine = flat[ends[x]:ends[x + 1]]
+            for z in y:
+                if label[z] == label[x]:
+                    continue
+                shared = len(np.intersect1d(mine, flat[ends[z]:ends[z + 1]], assume_unique=True))
+                if num * (n + cols["n"][z] - shared) <= den * shared:
+                    label[label == label[z]] = label[x]
+                    found.append((x, z))
+        x, z = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": cols["cid"][x], "b": cols["cid"][z]})
+    return run
+
+
+def _one_of_equal_lists(lists: DataFrame) -> DataFrame:
+    """Lists with the same members give the same pairs, and a passage has as many such
+    lists as shingles: one of each stays. Members are compared by their number and
+    two sums of their hashes."""
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), "cid").cast("decimal(38,0)"))
+    members = lists.groupBy("v").agg(F.count("*").alias("s"), total(1).alias("h1"), total(2).alias("h2"))
+    return lists.join(members.groupBy("s", "h1", "h2").agg(F.min("v").alias("v")).select("v"), "v", "left_semi")
+
+
+def candidate_links(lists: DataFrame, t: float, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(a, b) whose components hold every pair of different ``comp`` that shares a list of
+    full sets and can have the overlap that Jaccard t asks for, by two bounds that
+    lose nothing: the joinable values up to the shared one and the values after it;
+    and each set's size less the signature bits that the other lacks. A list is cut
+    into chunks of about ``chunk_rows``, and two chunks meet in one task, so no list,
+    however long, is gathered whole. A task compares its pairs as arrays and gives
+    one row per member at most."""
+    return _met(lists, "v", chunk_rows).groupBy("v", "lo", "hi").applyInArrow(_block_links(t), "a bigint, b bigint").distinct()
+
+
+def cluster_links(candidates: DataFrame, sets: DataFrame, comp: DataFrame, t: float, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """(a, b): links by full sets that join the components (``comp``: cid, comp) inside each
+    cluster of candidates. A cluster's chunks meet two at a time, a set travels once
+    per chunk of its cluster, and a task gives a spanning forest of what it finds."""
+    named = candidates.select("a", "b").union(candidates.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    cluster = components(candidates, "a", "b")
+    members = (named.select(F.col("a").alias("cid")).distinct().join(cluster, F.col("cid") == F.col("node"), "left")
+               .select("cid", F.coalesce("component", "cid").alias("cluster")))
+    rows = members.join(comp, "cid").join(sets, "cid").select("cluster", "cid", "comp", "n", "sig", "hashes")
+    return _met(rows, "cluster", chunk_rows).groupBy("cluster", "lo", "hi").applyInArrow(_verified_links(t), "a bigint, b bigint").distinct()
 
 
 def _estimate_filter(pairs: DataFrame, classes: DataFrame, k: int, t: float) -> DataFrame:
@@ -243,8 +352,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     split = (labelled.groupBy("v").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("v"))
     rest = staged(labelled.join(split, "v", "left_semi").select("cid", "comp").distinct(), "rest")
     whole = sets.join(rest, "cid").select("cid", "n", F.col("n").alias("m"), "comp", F.explode("hashes").alias("v"))
-    exact = prefix_lists(whole, lambda m: F.ceil(F.lit(t) * m).cast("int"), "comp")
-    more = verify(_cross_pairs(exact.join(rest, "cid").join(sets.select("cid", "sig"), "cid"), t), sets, t)
+    exact = _one_of_equal_lists(staged(prefix_lists(whole, lambda m: F.ceil(F.lit(t) * m).cast("int"), "comp"), "exact-lists"))
+    maybe = staged(candidate_links(exact.join(rest, "cid").join(sets.select("cid", "sig"), "cid"), t), "candidates")
+    more = cluster_links(maybe, sets, rest, t)
     comp = components(links.union(more), "a", "b")
 
     by_class = (classes.select("cls", "cid").join(comp, F.col("cid") == F.col("node"), "left")
