@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # entities inside the value stay escaped. Single quotes are not read.
 ATTRIBUTE = '([^\\s="<>/]+)\\s*=\\s*"([^"]*)"'
 ROW_START = "<row "
+NAME_END = " \t\n\u000b\f\r"   # what ``\s`` matches between a name and its '='
 
 # The creation-date text format (milliseconds required,
 # trailing text ignored) and the pattern that cuts the parsable prefix.
@@ -25,18 +26,28 @@ def is_row_line(line: Column) -> Column:
 
 def attr_map(line: Column) -> Column:
     """map<string,string> of the attributes of one row line; the last of
-    duplicate names wins; a line without attributes gives an empty map."""
-    names = F.regexp_extract_all(line, F.lit(ATTRIBUTE), 1)
-    values = F.regexp_extract_all(line, F.lit(ATTRIBUTE), 2)
-
-    def build(nv):
-        n = nv["k"]
-        pairs = F.arrays_zip(n.alias("k"), nv["v"].alias("v"))
-        # keep an entry only when its name does not occur again later in the line
-        return F.map_from_entries(F.filter(pairs, lambda e, i: ~F.array_contains(F.slice(n, i + 2, F.size(n)), e["k"])))
-
-    # the one-element array binds both regex results once per row for the lambda
-    return F.transform(F.array(F.struct(names.alias("k"), values.alias("v"))), build)[0]
+    duplicate names wins; a line without attributes gives an empty map.
+
+    The line is matched once: an attribute's name ends at its first ``=`` and its
+    value lies between its two quotes, so both are cut from the match. Lines that
+    repeat a name, which are rare, sort their entries to find the last ones."""
+    def build(found):
+        names = F.transform(found, lambda a: F.rtrim(F.substring_index(a, "=", 1), F.lit(NAME_END)))
+        values = F.transform(found, lambda a: F.substring_index(F.substring(a, F.instr(a, '"') + 1, F.length(a)), '"', 1))
+        return F.transform(F.array(F.struct(names.alias("k"), values.alias("v"))), unique)[0]
+
+    def unique(nv):
+        names, values = nv["k"], nv["v"]
+        placed = F.array_sort(F.transform(names, lambda k, i: F.struct(k.alias("k"), i.alias("i"), F.get(values, i).alias("v"))))
+        repeated = F.transform(F.array(placed), last_ones)[0]
+        return F.when(F.size(F.array_distinct(names)) == F.size(names), F.map_from_arrays(names, values)).otherwise(repeated)
+
+    def last_ones(entries):
+        is_last = F.filter(entries, lambda e, i: F.coalesce(F.get(entries, i + 1)["k"] != e["k"], F.lit(True)))
+        return F.map_from_entries(F.transform(is_last, lambda e: F.struct(e["k"], e["v"])))
+
+    # the one-element arrays bind the match, and names with values, once per row for the lambdas
+    return F.transform(F.array(F.regexp_extract_all(line, F.lit(ATTRIBUTE), 0)), build)[0]
 
 
 def attr(line_or_map: Column, name: str) -> Column:

@@ -21,10 +21,12 @@ LIST_CLOSE = " }"
 BUCKETS = 16   # rows a word's file list is split over
 
 
-def word_file_pairs(lines: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
-    """(word, file) per token occurrence, word lower-cased."""
-    pairs = words(lines.select(F.col(text), F.col(file).alias("file")), text, "word", keep=("file",))
-    return pairs.select(F.lower("word").alias("word"), "file")
+def word_file_pairs(lines: DataFrame, text: str = "value", file: str = "file", buckets: int = 1) -> DataFrame:
+    """(word, file[, bucket]) per token occurrence, word lower-cased; the bucket
+    is made once a line, not once a word."""
+    keep = {"file": F.col(file), **({"bucket": _bucket(file, buckets)} if buckets > 1 else {})}
+    pairs = words(lines.select(F.col(text).alias("_text"), *[c.alias(n) for n, c in keep.items()]), "_text", "word", keep=tuple(keep))
+    return pairs.select(F.lower("word").alias("word"), *keep)
 
 
 def posting_counts(lines: DataFrame, text: str = "value", file: str = "file") -> DataFrame:
@@ -40,15 +42,17 @@ def _bucket(file: str, buckets: int):
 
 def posting_maps(lines: DataFrame, text: str = "value", file: str = "file", buckets: int = BUCKETS) -> DataFrame:
     """(word string, bucket int, tf map<string,bigint>): occurrences of each word by
-    file, names ascending.
+    file, names ascending; ``buckets=1`` is one row per word, without the bucket column.
 
     Counts are combined before the shuffle, so a map is made of one entry per file,
     not of one per occurrence; as in ``inverted_index`` a word's files are split over
     ``buckets`` rows, so no row has more than about files/buckets entries.
     """
-    counts = posting_counts(lines, text, file).withColumn("bucket", _bucket("file", buckets))
+    pairs = word_file_pairs(lines, text, file, buckets)
+    counts = pairs.groupBy(*pairs.columns).agg(F.count(F.lit(1)).alias("tf"))
     entries = F.sort_array(F.collect_list(F.struct("file", "tf")))
-    return counts.groupBy("word", "bucket").agg(F.map_from_entries(entries).alias("tf"))
+    by = [c for c in pairs.columns if c != "file"]
+    return counts.groupBy(*by).agg(F.map_from_entries(entries).alias("tf"))
 
 
 def posting_maps_report(maps: DataFrame) -> DataFrame:
@@ -67,12 +71,8 @@ def inverted_index(lines: DataFrame, text: str = "value", file: str = "file", bu
     files/buckets names. Every file is listed; ``buckets=1`` is one row per
     word, without the bucket column.
     """
-    pairs = word_file_pairs(lines, text, file).distinct()
-    keys = ["word"]
-    if buckets > 1:
-        pairs = pairs.withColumn("bucket", _bucket("file", buckets))
-        keys.append("bucket")
-    return (pairs.groupBy(*keys)
+    pairs = word_file_pairs(lines, text, file, buckets).distinct()
+    return (pairs.groupBy(*[c for c in pairs.columns if c != "file"])
             .agg(F.array_join(F.sort_array(F.collect_list("file")), " ").alias("files")))
 
 

@@ -15,10 +15,13 @@ from linebeam.functions.text import first_letter, words
 
 def first_char_count(lines: DataFrame, text: str = "value") -> DataFrame:
     """(letter string, n bigint): words per lower-cased initial letter;
-    words that do not start with a letter are skipped."""
-    return (words(lines, text).select(first_letter(F.col("w")).alias("letter"))
-            .where(F.col("letter").isNotNull())
-            .groupBy("letter").agg(F.count(F.lit(1)).alias("n")))
+    words that do not start with a letter are skipped.
+
+    First characters are counted as they stand; whether one is a letter, and its
+    lower case, is settled once per distinct character, not once per word."""
+    initials = words(lines, text).select(F.substring("w", 1, 1).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    return (initials.select(first_letter(F.col("c")).alias("letter"), "n").where(F.col("letter").isNotNull())
+            .groupBy("letter").agg(F.sum("n").alias("n")))
 
 
 def word_count(lines: DataFrame, text: str = "value", case: str = "lower") -> DataFrame:

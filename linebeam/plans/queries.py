@@ -180,9 +180,8 @@ def q_xml_attr_map(spark, d):
 
 
 def q_xml_attr_project(spark, d):
-    m = F.col("attrs")
-    parsed = T.comment_rows(spark, d).select(attr_map(F.col("value")).alias("attrs"))
-    return keep_where(parsed, {"id": attr(m, "Id"), "user_id": attr(m, "UserId")},
+    rows = T.comment_rows(spark, d)   # two attributes: read from the line, without the map of all
+    return keep_where(rows, {"id": attr_value(F.col("value"), "Id"), "user_id": attr_value(F.col("value"), "UserId")},
                       lambda r: r["user_id"].isNotNull())
 
 

@@ -148,3 +148,21 @@ def test_line_breaks(spark, stage):
     folder = stage("lb")
     write_files(folder, {"a": "x\r\ny\rz\n\nlast"})
     assert [r["value"] for r in text.read_lines(spark, folder).collect()] == ["x", "y", "z", "", "last"]
+
+
+def test_attributes_equal_a_plain_parser(spark):
+    """Random lines with stray quotes, repeated names and odd blanks: the map and the single values."""
+    import random
+    import re
+
+    from linebeam.functions import xmlrow
+    rnd = random.Random(1)
+    parts = ['a="1"', 'a = "2"', 'b=""', " ", 'c\t=\n"x y"', 'd="=q=z"', '"', "=", "<row", "/>", 'é="ü"', 'x=y="3"', 'a=\x0b"v"', "e='s'", 'f="&quot;"']
+    rows = [("".join(rnd.choice(parts) + rnd.choice(["", " "]) for _ in range(rnd.randrange(9))),) for _ in range(1500)]
+    rows += [(None,), (" ".join(f'k{i % 700}="{i}"' for i in range(2000)),)]
+    df = spark.createDataFrame(rows, "v string")
+    plain = re.compile(xmlrow.ATTRIBUTE, re.A)
+    for r in df.select("v", xmlrow.attr_map(F.col("v")).alias("m"), *[xmlrow.attr_value(F.col("v"), n).alias(n) for n in "abcd"]).collect():
+        want = None if r["v"] is None else dict(plain.findall(r["v"]))
+        assert r["m"] == want
+        assert [r[n] for n in "abcd"] == [None if want is None else want.get(n) for n in "abcd"]
