@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,7 +11,7 @@ from linebeam.llm.common import staged
 from linebeam.llm.shingles import WordHashes
 from linebeam.llm.textfeatures import features
 
-MIN_ROWS, MIN_SHARE = 3, 0.0003   # training rows that hold a feature: at least so many, and at least this share
+MIN_ROWS = 3   # training rows that hold a feature, at least: the same at every sample size
 
 
 def _featurise(shards, bits, extract, caches):
@@ -83,14 +81,15 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
     spark = rows.sparkSession
     data = staged(rows.mapInPandas(_featurise(shards, bits, *how), "shard bigint, key bigint, y double, x array<int>"), "train")
     count, mean = data.agg(F.count("*"), F.avg("y")).first()
-    least = max(MIN_ROWS, math.ceil(MIN_SHARE * count))
-    common = data.select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("rows")).where(F.col("rows") >= least)
+    common = data.select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("rows")).where(F.col("rows") >= MIN_ROWS)
     # at most the sample's features / MIN_ROWS numbers
     kept = np.sort(np.concatenate([c.to_numpy() for c in common.select("x").toArrow().column("x").chunks] or [np.empty(0, np.int32)]))
     size = len(kept) + extra
-    data = (data.mapInPandas(_known(spark.sparkContext.broadcast(kept)), "shard bigint, key bigint, size int, y double, x array<int>")
+    numbers = spark.sparkContext.broadcast(kept)
+    data = (data.mapInPandas(_known(numbers), "shard bigint, key bigint, size int, y double, x array<int>")
             .repartition(shards, "shard").groupBy("shard").applyInPandas(_shard_row, "shard bigint, y binary, sizes binary, x binary"))
     data = staged(data, "shards")
+    numbers.destroy()
     z, n = np.zeros(size), np.zeros(size)
     if start and count:
         z[len(kept):], n[len(kept):] = start(mean)
@@ -104,7 +103,7 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
             dz += z1 - z
             dn += n1 - n
             touched += n1 != n
-        state.unpersist()
+        state.destroy()      # read; the driver keeps no state of an earlier round
         if not touched.any():
             break
         touched = np.maximum(touched, 1)
