@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALTERNATIVES = 64   # a rule with more literal alternatives is cut into shorter literal runs
+RUN = 64            # values of a run whose totals are made apart
+PIECE = 4096        # characters of a piece that redaction cuts from
 SMALL_CLASS = 8     # a character class up to this size counts as alternatives
 
 
@@ -125,24 +127,51 @@ def candidates(docs: DataFrame, rules) -> DataFrame:
             .groupBy("doc_id").agg(F.collect_set("rule").alias("rules")))
 
 
+def _bound(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed once: lambdas inside ``f`` see a variable, not its expression."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _running(values: Column, add, zero) -> Column:
+    """What ``add`` gives over the values before each place. An array can't be carried
+    along and extended, which copies it each time: totals of runs of ``RUN`` values
+    come first, then totals before each run, then each place's from its run's start."""
+    def total(x, first, n, start):
+        return F.aggregate(F.slice(x, first, n), start, lambda acc, v: add(acc, v))
+
+    def at_places(arg):
+        x, before = arg["x"], arg["before"]
+        return F.transform(x, lambda _, i: total(x, F.floor(i / RUN).cast("int") * RUN + 1, (i % RUN).cast("int"), F.get(before, F.floor(i / RUN).cast("int"))))
+
+    def with_runs(x):
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / RUN).cast("int")), lambda r: total(x, r * RUN + 1, F.lit(RUN), F.lit(zero)))
+        before = _bound(runs, lambda t: F.transform(t, lambda _, r: total(t, F.lit(1), r, F.lit(zero))))
+        return _bound(F.struct(x.alias("x"), before.alias("before")), at_places)
+
+    return _bound(values, lambda x: F.when(F.size(x) > 0, with_runs(x)).otherwise(F.slice(x, 1, 0)))
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Spans (start, ord, kind, end) of a rule's kept matches, in text order."""
     pattern = F.lit(rule.pattern)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     kept = F.regexp_extract_all(text, pattern, F.lit(rule.group))
     before = F.split(text, rule.pattern, -1)
-    parts = F.arrays_zip(F.slice(before, F.lit(1), F.size(whole)).alias("b"), whole.alias("m"), kept.alias("k"))
     none = F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>")
-    state = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
-    def step(s, p):
-        start = s["at"] + F.char_length(p["b"])
-        end = start + F.char_length(p["m"])
-        span = F.struct(start.alias("start"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        out = F.when(F.char_length(p["k"]) >= rule.least, F.concat(s["out"], F.array(span))).otherwise(s["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
+    def placed(m):
+        gaps = F.transform(F.slice(m["b"], F.lit(1), F.size(m["m"])), lambda x: F.char_length(x))
+        sizes = F.transform(m["m"], lambda x: F.char_length(x))
+        return _bound(F.struct(gaps.alias("g"), sizes.alias("n"), m["k"].alias("k")), listed_spans)
 
-    return F.when(F.size(whole) > 0, F.aggregate(parts, state, step, lambda s: s["out"])).otherwise(none)
+    def listed_spans(m):
+        at = _running(F.transform(m["g"], lambda g, i: g + F.get(m["n"], i)), lambda acc, v: acc + v, 0)
+        spans = F.transform(at, lambda a, i: F.struct(
+            (a + F.get(m["g"], i)).alias("start"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"), (a + F.get(m["g"], i) + F.get(m["n"], i)).alias("end")))
+        return F.filter(spans, lambda _, i: F.char_length(F.get(m["k"], i)) >= rule.least)
+
+    found = F.struct(before.alias("b"), whole.alias("m"), kept.alias("k"))
+    return _bound(found, lambda m: F.when(F.size(m["m"]) > 0, placed(m)).otherwise(none))
 
 
 def secret_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", rules=RULES, keep=(), name: str = "spans") -> DataFrame:
@@ -163,16 +192,37 @@ def secret_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     return rows.select(*dict.fromkeys([doc_id, *keep]), F.array_sort(F.concat(*each)).alias(name))
 
 
-def redacted(text: Column, spans: Column) -> Column:
-    """The text with every span (overlapping ones as one) replaced by [kind]."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _pieces(text: Column, size: int) -> Column:
+    """The text in pieces of ``size`` characters; cut in two steps, since a cut reads all before it."""
+    def cut(t, n):
+        places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.char_length(t) - 1) / n).cast("int")))
+        return F.transform(places, lambda i: F.substring(t, i * n + 1, F.lit(n)))
+    return F.flatten(F.transform(_bound(text, lambda t: cut(t, size * RUN)), lambda t: cut(t, size)))
+
 
-    def step(s, x):
-        out = F.when(x["start"] >= s["at"], F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit("["), x["kind"], F.lit("]")))
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), out.otherwise(s["out"]).alias("out"))
+def _cut(pieces: Column, first: Column, last: Column, size: int) -> Column:
+    """Characters first..last (exclusive) of a text in pieces, reading only the pieces that hold them."""
+    a, b = F.floor(first / size).cast("int"), F.floor((last - 1) / size).cast("int")
+    one = F.substring(F.get(pieces, a), first - a * size + 1, last - first)
+    many = F.concat(F.substring(F.get(pieces, a), first - a * size + 1, F.lit(size)), F.array_join(F.slice(pieces, a + 2, b - a - 1), ""),
+                    F.substring(F.get(pieces, b), F.lit(1), last - b * size))
+    return F.when(last <= first, F.lit("")).when(a == b, one).otherwise(many)
 
-    rest = lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.char_length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+
+def redacted(text: Column, spans: Column) -> Column:
+    """The text with every span (overlapping ones as one) replaced by [kind]."""
+    def join(arg):
+        x, before, pieces, n = arg["x"], arg["before"], arg["pieces"], arg["n"]
+        parts = F.transform(x, lambda s, i: F.when(s["start"] >= F.get(before, i), F.concat(
+            _cut(pieces, F.get(before, i), s["start"], PIECE), F.lit("["), s["kind"], F.lit("]"))).otherwise(F.lit("")))
+        covered = F.greatest(F.element_at(before, -1), F.element_at(x, -1)["end"])
+        return F.concat(F.array_join(parts, ""), _cut(pieces, covered, n, PIECE))
+
+    def whole(x):
+        before = _running(F.transform(x, lambda s: s["end"]), lambda acc, v: F.greatest(acc, v), 0)   # where the spans so far end
+        return _bound(F.struct(x.alias("x"), before.alias("before"), _pieces(text, PIECE).alias("pieces"), F.char_length(text).alias("n")), join)
+
+    return F.when(F.size(spans) > 0, _bound(spans, whole)).otherwise(text)
 
 
 def listed(spans: Column) -> Column:
