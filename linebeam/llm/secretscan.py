@@ -25,6 +25,8 @@ from re import _parser as regex_parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linebeam.llm.common import unused
+
 ALTERNATIVES = 64   # a rule with more literal alternatives is cut into shorter literal runs
 RUN = 64            # values of a run whose totals are made apart
 PIECE = 4096        # characters of a piece that redaction cuts from
@@ -179,15 +181,16 @@ def secret_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     array of (start, ord, kind, end) by start, then rule order. A column of that
     name in ``keep`` is an error."""
     found = candidates(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")), rules)
-    found = found.select(F.col("doc_id").alias("__id"), F.col("rules").alias("__rules"))
-    rows = docs.select(*dict.fromkeys([doc_id, *keep, text])).join(found, F.col(doc_id).eqNullSafe(F.col("__id")), "left")
+    same, asked = (unused(n, docs.columns) for n in ("found_id", "found_rules"))
+    found = found.select(F.col("doc_id").alias(same), F.col("rules").alias(asked))
+    rows = docs.select(*dict.fromkeys([doc_id, *keep, text])).join(found, F.col(doc_id).eqNullSafe(F.col(same)), "left")
     whole = F.coalesce(F.col(text), F.lit(""))
     none = F.array().cast("array<struct<start:int,ord:int,kind:string,end:int>>")
     each = []
     for n, rule in enumerate(rules):
         spans = _spans(whole, rule, n)
         if trigram_query(rule.pattern) is not None:
-            spans = F.when(F.array_contains("__rules", n), spans).otherwise(none)
+            spans = F.when(F.array_contains(asked, n), spans).otherwise(none)
         each.append(spans)
     return rows.select(*dict.fromkeys([doc_id, *keep]), F.array_sort(F.concat(*each)).alias(name))
 

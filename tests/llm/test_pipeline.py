@@ -83,3 +83,16 @@ def test_whole_chain(spark):
 def test_secrets_with_a_column_called_spans(spark):
     docs = spark.createDataFrame([(1, "token=abcdefgh", 14, "mine")], "doc_id long, text string, n_chars long, spans string")
     assert [tuple(r) for r in corpus_pipeline.redact_secrets(spark, docs, SF).collect()] == [(1, "[assign]", 8, "mine")]
+
+
+def test_extra_columns_pass_all_filters_unchanged(spark):
+    """Columns that bear the operators' own names keep their values, and no row is lost to them."""
+    names = ["key", "digest", "found_spans", "clean_text", "found_id", "found_rules", "__text", "__key", "Score", "held_out", "component_id", "cid", "item_id"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("*", *[f"concat('{n}', doc_id) as {n}" for n in names])
+    plain = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert sorted(r["doc_id"] for r in got) == sorted(r["doc_id"] for r in stage(spark, plain, SF).collect())
+        assert all(r[n] == f"{n}{r['doc_id']}" for r in got for n in names)
