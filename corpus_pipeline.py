@@ -16,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from linebeam.llm import bpe, secretscan, toxicity
-from linebeam.llm.common import read, staged
+from linebeam.llm.common import read, staged, unused
 from linebeam.llm.decontam import contaminated
 from linebeam.llm.neardup import near_duplicates
 from linebeam.llm.queries import BPE_RANKS
@@ -30,23 +30,26 @@ def drop_toxic(spark, docs, sf_dir):
 
 def drop_near_duplicates(spark, docs, sf_dir):
     kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
+    digest = unused("digest", docs.columns)
     named = (docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-             .withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]))
+             .withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", digest]))
     return named.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark, docs, sf_dir):
-    found = contaminated(docs, read(spark, sf_dir, "benchmark")).select(F.col("key").alias("__key")).distinct()
-    keyed = docs.withColumn("__key", F.xxhash64(F.col("doc_id").cast("bigint"), "text"))
-    return keyed.join(found, "__key", "left_anti").select(*docs.columns)
+    key = unused("key", docs.columns)
+    found = contaminated(docs, read(spark, sf_dir, "benchmark")).select(F.col("key").alias(key)).distinct()
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("bigint"), "text"))
+    return keyed.join(found, key, "left_anti").select(*docs.columns)
 
 
 def redact_secrets(spark, docs, sf_dir):
-    spans = secretscan.secret_spans(docs, keep=docs.columns, name="__spans")
-    text = F.when(F.size("__spans") > 0, secretscan.redacted(F.col("text"), F.col("__spans"))).otherwise(F.col("text"))
-    out = spans.withColumn("__text", text)
-    chars = F.when(F.size("__spans") > 0, F.char_length("__text").cast("bigint")).otherwise(F.col("n_chars"))
-    new = {"text": F.col("__text"), "n_chars": chars}
+    found, clean = (unused(name, docs.columns) for name in ("found_spans", "clean_text"))
+    spans = secretscan.secret_spans(docs, keep=docs.columns, name=found)
+    text = F.when(F.size(found) > 0, secretscan.redacted(F.col("text"), F.col(found))).otherwise(F.col("text"))
+    out = spans.withColumn(clean, text)
+    chars = F.when(F.size(found) > 0, F.char_length(clean).cast("bigint")).otherwise(F.col("n_chars"))
+    new = {"text": F.col(clean), "n_chars": chars}
     return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
