@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +12,7 @@ from linebeam.llm.common import staged
 from linebeam.llm.shingles import WordHashes
 from linebeam.llm.textfeatures import features
 
-MIN_ROWS = 3   # training rows that hold a feature, at least: the same at every sample size
+MIN_ROWS = 4   # training rows that hold a feature, at least: the same at every sample size
 
 
 def _featurise(shards, bits, extract, caches):
@@ -94,15 +95,21 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
     if start and count:
         z[len(kept):], n[len(kept):] = start(mean)
     for _ in range(rounds):
-        state = spark.sparkContext.broadcast(_packed(z, n))
-        z, n = _unpacked(state.value, size)
+        packed = _packed(z, n)
+        state = spark.sparkContext.broadcast(packed)
+        z, n = _unpacked(packed, size)
         dz, dn, touched = np.zeros(size), np.zeros(size), np.zeros(size, np.int8)
-        ended = data.mapInPandas(_shard_pass(state, size, one_pass), "shard long, state binary")
-        for r in sorted(ended.collect()):                                    # one row per shard
+        ended = data.mapInPandas(_shard_pass(state, size, one_pass), "shard long, state binary").persist(StorageLevel.DISK_ONLY)
+        ended.count()                                        # all shards at once; then one state at a time
+        for r in ended.toLocalIterator():                    # one row per shard
             z1, n1 = _unpacked(r["state"], size)
-            dz += z1 - z
-            dn += n1 - n
             touched += n1 != n
+            z1 -= z
+            n1 -= n
+            dz += z1
+            dn += n1
+            del r, z1, n1
+        ended.unpersist()
         state.destroy()      # read; the driver keeps no state of an earlier round
         if not touched.any():
             break
