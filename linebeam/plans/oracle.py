@@ -12,6 +12,7 @@ from __future__ import annotations
 TOK = "[ \\t\\n\\r\\f]+"
 LINE_BREAK = "\\r\\n|\\r|\\n"
 INT_LIST_HASH = "[+-]?[0-9]+(#[+-]?[0-9]+)*"
+BLOCK_BITS = 1048576
 
 USERS = ("SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS raw, "
          "CAST(floor(c_acctbal) AS INTEGER) AS reputation FROM customer")
@@ -68,22 +69,26 @@ LABELS = (f"SELECT CASE WHEN {INSIDE} THEN 'Inside' ELSE 'Outside' END AS label,
           f"FROM ({PTS}) GROUP BY 1")
 
 
-def _bloom_ctes(members: str) -> str:
-    """CTEs ``prm(n, m, k)`` and ``bitpos(q)`` of the filter over ``members(key)``."""
+def bloom_ctes(members: str, block_bits: int = BLOCK_BITS) -> str:
+    """CTEs ``prm(n, m, k, w, nb)`` and ``bitpos(block, q)`` of the filter over ``members(key)``:
+    w bits a block, nb blocks."""
     return (
         f"mem AS (SELECT DISTINCT key FROM ({members}) WHERE key IS NOT NULL), "
         "sz AS (SELECT count(*) AS n, CAST(floor(-count(*) * ln(0.01) / (ln(2) * ln(2))) AS BIGINT) AS m FROM mem), "
-        "prm AS (SELECT n, m, CAST(floor(m / n * ln(2) + 0.5) AS BIGINT) AS k FROM sz), "
-        "mh AS (SELECT ('0x' || substr(md5(key), 1, 15))::BIGINT AS h1, "
-        "('0x' || substr(md5(key), 16, 15))::BIGINT AS h2 FROM mem), "
-        "bitpos AS (SELECT DISTINCT (h1 % m + i * (h2 % m)) % m AS q FROM mh, prm, range(0, 64) r(i) WHERE i < k)")
+        "prm AS (SELECT n, m, CAST(floor(m / n * ln(2) + 0.5) AS BIGINT) AS k, "
+        f"least(m, {block_bits}) AS w, (m + {block_bits - 1}) // {block_bits} AS nb FROM sz), "
+        f"mh AS (SELECT {_HASHES} FROM mem), "
+        f"bitpos AS (SELECT DISTINCT {_PLACE} AS block, {_POSITION} AS q FROM mh, prm, range(0, 64) r(i) WHERE i < k)")
 
 
-def _bloom_hits(keys: str) -> str:
-    """Keys of ``keys(key)`` whose k positions are all set."""
-    return (f"SELECT key FROM (SELECT DISTINCT key, ('0x' || substr(md5(key), 1, 15))::BIGINT AS h1, "
-            f"('0x' || substr(md5(key), 16, 15))::BIGINT AS h2 FROM ({keys}) WHERE key IS NOT NULL) kh, prm, "
-            "range(0, 64) r(i) WHERE i < k AND (h1 % m + i * (h2 % m)) % m IN (SELECT q FROM bitpos) "
+_HASHES = "('0x' || substr(md5(key), 1, 15))::BIGINT AS h1, ('0x' || substr(md5(key), 16, 15))::BIGINT AS h2"
+_PLACE, _POSITION = "CAST((h1 // w) % nb AS INTEGER)", "(h1 % w + i * (h2 % w)) % w"
+
+
+def bloom_hits(keys: str) -> str:
+    """Keys of ``keys(key)`` whose k positions are all set in their block."""
+    return (f"SELECT key FROM (SELECT DISTINCT key, {_HASHES} FROM ({keys}) WHERE key IS NOT NULL) kh, prm, "
+            f"range(0, 64) r(i) WHERE i < k AND ({_PLACE}, {_POSITION}) IN (SELECT block, q FROM bitpos) "
             "GROUP BY key, k HAVING count(*) = k")
 
 
@@ -116,10 +121,9 @@ def _bloom_join(how: str) -> str:
     return _join(_BLOOM_EXACT[how], REP, COMMENTS)
 
 
-FILTER_BITS = ("SELECT n, m, CAST(k AS INTEGER) AS k, CAST(0.01 AS DOUBLE) AS p, CAST(0 AS INTEGER) AS block, q "
-               "FROM prm, bitpos")   # one block: the fixture's filters are below a block's bits
-REP_CTES = _bloom_ctes(f"SELECT id AS key FROM ({REP})")
-LET_THROUGH = f"hit AS ({_bloom_hits(f'SELECT user_id AS key FROM ({COMMENTS})')})"
+FILTER_BITS = ("SELECT n, m, CAST(k AS INTEGER) AS k, CAST(0.01 AS DOUBLE) AS p, block, q FROM prm, bitpos")
+REP_CTES = bloom_ctes(f"SELECT id AS key FROM ({REP})")
+LET_THROUGH = f"hit AS ({bloom_hits(f'SELECT user_id AS key FROM ({COMMENTS})')})"
 PASSED = f"SELECT * FROM ({COMMENTS}) WHERE user_id IN (SELECT key FROM hit)"
 
 SQL: dict[str, str] = {
@@ -135,8 +139,8 @@ SQL: dict[str, str] = {
                      f"FROM (SELECT lower(w) AS word, file FROM ({WORDS})) GROUP BY ALL) GROUP BY word, bucket"),
     "hotlist_filter": (f"SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM ({DOC_TOKENS}) "
                        f"WHERE length(t) > 0 AND t IN (SELECT key FROM ({HOT})))"),
-    "hotlist_filter_bloom": (f"WITH {_bloom_ctes(HOT)}, "
-                             f"hit AS ({_bloom_hits(f'SELECT t AS key FROM ({DOC_TOKENS}) WHERE length(t) > 0')}) "
+    "hotlist_filter_bloom": (f"WITH {bloom_ctes(HOT)}, "
+                             f"hit AS ({bloom_hits(f'SELECT t AS key FROM ({DOC_TOKENS}) WHERE length(t) > 0')}) "
                              f"SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM ({DOC_TOKENS}) "
                              "WHERE t IN (SELECT key FROM hit))"),
     "join_inner": _join("inner"),
@@ -151,11 +155,11 @@ SQL: dict[str, str] = {
     "bloom_join_anti": _bloom_join("anti"),
     **{f"bloom_join_{how}_raw": f"WITH {REP_CTES}, {LET_THROUGH} " + _join(how, REP, PASSED)
        for how in ("rightouter", "fullouter", "anti")},
-    "bloom_semi_filter": (f"WITH {_bloom_ctes(f'SELECT id AS key FROM ({REP})')}, "
-                          f"hit AS ({_bloom_hits(f'SELECT user_id AS key FROM ({COMMENTS})')}) "
+    "bloom_semi_filter": (f"WITH {bloom_ctes(f'SELECT id AS key FROM ({REP})')}, "
+                          f"hit AS ({bloom_hits(f'SELECT user_id AS key FROM ({COMMENTS})')}) "
                           f"SELECT user_id, raw FROM ({COMMENTS}) WHERE user_id IN (SELECT key FROM hit)"),
-    "bloom_build": f"WITH {_bloom_ctes(f'SELECT id AS key FROM ({REP})')} {FILTER_BITS}",
-    "bloom_save_load": f"WITH {_bloom_ctes(f'SELECT id AS key FROM ({REP})')} {FILTER_BITS}",
+    "bloom_build": f"WITH {bloom_ctes(f'SELECT id AS key FROM ({REP})')} {FILTER_BITS}",
+    "bloom_save_load": f"WITH {bloom_ctes(f'SELECT id AS key FROM ({REP})')} {FILTER_BITS}",
     "reputable_users": f"SELECT id FROM ({REP})",
     "circle_label_count": LABELS,
     "circle_area_ratio": (f"SELECT round(CAST(4.0 AS DOUBLE) * count(*) FILTER (WHERE {INSIDE}) / "
