@@ -245,10 +245,12 @@ class WordTable:
         word = lambda i: block[first[i]:last[i] + 1].tobytes()
         for i in np.flatnonzero(last - first >= LONG).tolist():
             h[i] = xxhash.xxh3_64_intdigest(word(i))
-        found, sample, back = np.unique(h, return_index=True, return_inverse=True)
+        found, back = np.unique(h, return_inverse=True)    # without the first places, whose sort has to be stable
         rows = self._find(found)
         new = rows < 0
         if new.any():
+            sample = np.empty(len(found), np.int64)
+            sample[back] = np.arange(len(h))
             rows[new] = self.add(found[new], [word(i).decode("utf-8", "surrogatepass") for i in sample[new].tolist()])
         rows = rows[back]
         n = self.lens[rows]
