@@ -8,11 +8,19 @@ navigation, page headers, footers, sidebars, adverts, notices, forms and reader
 comments go whether the mate shares them or not, since such lines may rotate.
 Lines inside the article stay even where the mate is a copy of the page.
 
-Furniture by element is sure; furniture by a whole word of class, id or role is a
-guess. An article or main element is never guessed to be furniture, and one inside
-a guessed element is an article or main again. Inside an article or main element a
-guessed line goes only where the page's mate shares it or the page has no mate;
-outside, the line goes. Where a
+What remains is of three kinds: text of article elements, text of a main element
+around them, and open text. An article in an article is another story or a comment
+and goes. The marked text (articles with what main holds around them, or main) is
+the main text unless the open text that differencing leaves is longer: then the
+articles are teasers beside an unmarked text.
+
+Furniture by element is sure; furniture by a word of class, id or role is a guess,
+a weak one where the word is only a part of a name (``site-footer``). An article or
+main element is never guessed to be furniture, and one inside a guessed element is
+an article or main again, which counts where there is no other. Inside an article
+or main element whole words only count, and a guessed line goes only where the
+page's mate shares it or the page has no mate; outside, the line goes. Lines that
+are weakly guessed stay where they are more than the other open text. Where a
 page has no article or main element, all its open lines are compared; a mate
 that shares all of them is a copy and shows nothing.
 
@@ -29,6 +37,7 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +54,8 @@ TOKEN = re.compile(
     r"|(?P<text>[^<]+|<)", re.S)
 ROLE = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 WORD = re.compile(r"[^\s\"']+")
+NAME_PARTS = re.compile(r"[-_]+").split
+IS_MAIN = re.compile(r"role\s*=\s*[\"']?main\b", re.I).search
 
 # HTML's own element kinds
 HIDDEN = frozenset("script style template noscript textarea iframe object svg math head title canvas select option datalist".split())
@@ -63,19 +74,51 @@ menu nav navbar navigation navigator breadcrumb breadcrumbs pagination pager sid
 footer contentinfo masthead topbar toolbar share sharing social related recommended recommendations
 comment comments reply replies respond disqus discussion search searchbox skip""".split())
 
-# GUESS and the kind it lies in: furniture by attribute only
-ARTICLE, MAIN, OPEN, ASIDE, GUESS = range(5)
+# Parts of names that speak of a page's state, not of the element itself
+STATES = frozenset("has with without no is not main page content".split())
 
+OPEN, MAIN, ARTICLE = range(3)      # where a line lies
+SURE, STRONG, WEAK = range(3)       # how it is known to be text: not guessed to be furniture, or guessed
 
-def _furniture(attrs: str) -> bool:
-    return any(w in FURNITURE for m in ROLE.findall(attrs) for w in WORD.findall(m.lower()))
+
+class Place(NamedTuple):
+    """Where the text of an element lies; ``doubt``: an article inside a guessed element."""
+    zone: int = OPEN
+    guess: int = SURE
+    doubt: bool = False
+    aside: bool = False
+
+
+def _furniture(attrs: str, zone: int) -> int:
+    """The guess that an element's class, id and role words allow."""
+    found = [w for m in ROLE.findall(attrs) for w in WORD.findall(m.lower())]
+    if any(w in FURNITURE for w in found):
+        return STRONG
+    if zone == OPEN and any(parts[0] not in STATES and FURNITURE.intersection(parts) for parts in map(NAME_PARTS, found)):
+        return WEAK
+    return SURE
+
+
+def _inside(place: Place, tag: str, attrs: str) -> Place:
+    """The place of an element's own text, given its parent's."""
+    if place.aside:
+        return place
+    if tag in CHROME or tag == "header" and place.zone == OPEN:
+        return place._replace(aside=True)
+    if tag == "article":
+        return place._replace(aside=True) if place.zone == ARTICLE else Place(ARTICLE, SURE, place.doubt or place.guess != SURE)
+    if (tag == "main" or IS_MAIN(attrs)) and place.zone != ARTICLE:
+        return Place(MAIN, SURE, place.doubt)
+    if place.guess == SURE and tag not in ("html", "body"):
+        return place._replace(guess=_furniture(attrs, place.zone))
+    return place
 
 
 def lines_of(html: str | None):
-    """(texts, kinds): the page's block lines, each ARTICLE, MAIN, OPEN, ASIDE or GUESS + one of the first three."""
-    texts, kinds, parts = [], [], []
-    stack: list[tuple[str, int, bool]] = []   # tag, kind of its text, hidden
-    kind, hidden = OPEN, False
+    """(texts, places): the page's block lines."""
+    texts, places, parts = [], [], []
+    stack: list[tuple[str, Place, bool]] = []   # tag, place of its text, hidden
+    place, hidden = Place(), False
 
     def flush():
         if parts:
@@ -83,12 +126,12 @@ def lines_of(html: str | None):
             parts.clear()
             if line:
                 texts.append(line)
-                kinds.append(kind)
+                places.append(place)
 
     def pop_to(i):
-        nonlocal kind, hidden
+        nonlocal place, hidden
         del stack[i:]
-        kind, hidden = (stack[-1][1], stack[-1][2]) if stack else (OPEN, False)
+        place, hidden = (stack[-1][1], stack[-1][2]) if stack else (Place(), False)
 
     def pop_open(tag, fence):
         for i in range(len(stack) - 1, -1, -1):
@@ -137,41 +180,46 @@ def lines_of(html: str | None):
             end = re.compile(rf"</{tag}[^>]*(?:>|\Z)", re.I).search(html, pos)
             pos = end.end() if end else len(html)
             continue
-        new = kind
-        if kind != ASIDE:
-            main = tag == "main" or re.search(r"role\s*=\s*[\"']?main\b", m["attrs"], re.I)
-            if tag in CHROME or (tag == "header" and kind % GUESS == OPEN):
-                new = ASIDE
-            elif tag == "article":
-                # inside a guessed part of an article (related, comments) it is that part's own
-                new = kind if kind == GUESS + ARTICLE else ARTICLE
-            elif main:
-                new = MAIN if kind % GUESS != ARTICLE else kind
-            elif kind < GUESS and tag not in ("html", "body") and _furniture(m["attrs"]):
-                new = GUESS + kind
-        stack.append((tag, new, hidden or tag in HIDDEN))
-        kind, hidden = new, hidden or tag in HIDDEN
+        place, hidden = _inside(place, tag, m["attrs"]), hidden or tag in HIDDEN
+        stack.append((tag, place, hidden))
     flush()
-    return texts, kinds
+    return texts, places
 
 
 def line_hashes(texts) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass")) for t in texts), np.uint64, len(texts)).view(np.int64)
 
 
+def _differenced(at, common):
+    """The lines ``at`` that the mate doesn't share; a mate that shares them all is a copy and shows nothing."""
+    own = at & ~common
+    return own if own.any() else at
+
+
 def main_text(html: str | None, mate, differencing_only: bool = False) -> str:
     """The main text, given the line hashes of the page's mate (None: no mate)."""
-    texts, kinds = lines_of(html)
-    common = shared(line_hashes(texts), np.asarray(mate, np.int64)) if mate is not None and len(texts) else np.zeros(len(texts), bool)
+    texts, places = lines_of(html)
+    if not texts:
+        return ""
+    common = shared(line_hashes(texts), np.asarray(mate, np.int64)) if mate is not None else np.zeros(len(texts), bool)
     if differencing_only:
         return "\n".join(t for t, c in zip(texts, common) if not c)
-    for root in (ARTICLE, MAIN):
-        if root in kinds or GUESS + root in kinds:
-            return "\n".join(t for t, k, c in zip(texts, kinds, common) if k == root or k == GUESS + root and mate is not None and not c)
-    own = [(t, c) for t, k, c in zip(texts, kinds, common) if k == OPEN]
-    if all(c for _, c in own):
-        return "\n".join(t for t, _ in own)
-    return "\n".join(t for t, c in own if not c)
+    zone, guess, doubt, aside = np.array(places, np.int64).T
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    text = aside == 0
+    guessed = (guess == STRONG) & (common if mate is not None else True)
+    marked = text & (zone == ARTICLE) & ~guessed
+    if (marked & (doubt == 0)).any():
+        marked &= doubt == 0
+    around = text & (zone == MAIN) & ~guessed
+    if marked.any():
+        around &= ~common | common[marked].all()
+    marked |= around
+    opened, weak = (_differenced(text & (zone == OPEN) & (guess == g), common) for g in (SURE, WEAK))
+    if size[weak].sum() > size[opened].sum():
+        opened |= weak
+    chosen = opened if size[opened].sum() > size[marked].sum() else marked
+    return "\n".join(texts[i] for i in np.flatnonzero(chosen))
 
 
 def _line_pass(batches):

@@ -82,3 +82,72 @@ def test_attributes_alone_do_not_hide_an_article():
     assert main_text(inside, _hash(["other", "More"])) == "one\nmind this"
     assert main_text(inside, None) == "one"
     assert main_text('<div class="sidebar"><p>side</p></div><p>own</p>', None) == "own"
+
+
+def test_the_text_is_chosen_by_its_mass():
+    teaser = "<div id=content><h1>Title</h1><p>The long article text.</p></div><section><article>Teaser</article></section>"
+    assert main_text(teaser, None) == main_text(teaser, _hash(["other"])) == "Title\nThe long article text."
+    assert main_text("<main><h1>Title</h1><p>Lead</p><article>body</article></main>", None) == "Title\nLead\nbody"
+    assert main_text("<main><h1>Title</h1><p>Share</p><article>body</article></main>", _hash(["Share"])) == "Title\nbody"
+    copy = "<main><h1>Title</h1><article>body</article></main>"
+    assert main_text(copy, _hash(["Title", "body"])) == "Title\nbody"
+    assert main_text("<article><p>one</p><article><p>Other story</p></article><p>two</p></article>", None) == "one\ntwo"
+    related = "<article><p>own</p></article><div class=related><article><p>More</p></article></div>"
+    assert main_text(related, None) == "own"
+    assert main_text("<p>short</p><article><p>a longer text</p></article>", None) == "a longer text"
+
+
+def test_names_with_parts():
+    page = '<div class="site-footer">Imprint</div><ol class="comment-list"><li>nice</ol><div class="nav-menu">Home</div><div id="cookie-banner">Cookies</div>{}'
+    assert main_text(page.format("<p>the text of the page itself, longer than all that</p>"), None) == "the text of the page itself, longer than all that"
+    assert main_text('<div class="page-with-sidebar"><p>one</p></div>', None) == "one"
+    assert main_text('<div class="sidebar-layout"><p>one</p><p>two</p></div><p>x</p>', None) == "one\ntwo\nx"   # more than the rest: it is the text
+    assert main_text('<article class="post"><div class="image-comment">stays</div></article>', None) == "stays"
+
+
+def brute_mates(keys):
+    """{key: mate}: of the neighbours in path order on the host, the one that shares more leading segments."""
+    order = sorted(keys, key=lambda k: (k[1], k[2], k[0]))
+
+    def near(a, b):
+        if not b or a[1] != b[1]:
+            return -1
+        x, y = a[2].split("/"), b[2].split("/")
+        return next((i for i, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)) if len(x) == len(y) else min(len(x), len(y)))
+    out = {}
+    for i, k in enumerate(order):
+        prev, nxt = order[i - 1] if i else None, order[i + 1] if i + 1 < len(order) else None
+        p, q = near(k, prev), near(k, nxt)
+        out[k[0]] = prev[0] if p >= q and p >= 0 else nxt[0] if q >= 0 else None
+    return out
+
+
+def test_all_pages_of_a_table_equal_a_plain_version(spark):
+    """Pairing and alignment over pages.parquet, and over the same pages without article and main
+    elements, where differencing has to find the text: against a plain pairing and a table of the LCS."""
+    import re
+
+    from linebeam.llm.htmltext import line_hashes
+    pages = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", "html").collect()]
+    bare = [(i, u, re.sub("</?(?:article|main)[^>]*>", "", h or "")) for i, u, h in pages]
+
+    def lcs_mask(a, b):
+        t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                t[i][j] = t[i + 1][j + 1] + 1 if a[i] == b[j] else max(t[i + 1][j], t[i][j + 1])
+        return t[0][0]
+
+    for table in (pages, bare):
+        df = spark.createDataFrame(table, "page_id long, url string, html string")
+        got = {r["page_id"]: r["text"] for r in page_text(df).collect()}
+        address = lambda u: re.match(r"(?:[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*))?([^?#]*)", u or "").groups()
+        ids = {r["k"]: r["page_id"] for r in df.selectExpr("xxhash64(page_id, url, html) as k", "page_id").collect()}
+        keys = [(k, (address(u)[0] or "").lower(), address(u)[1] or "") for k, i in ids.items() for j, u, _ in table if j == i]
+        html = {k: h for k, i in ids.items() for j, _, h in table if j == i}
+        for k, mate in brute_mates(keys).items():
+            lines = None if mate is None else line_hashes(lines_of(html[mate])[0]).tolist()
+            assert got[ids[k]] == main_text(html[k], lines)
+            if mate is not None:
+                mine = line_hashes(lines_of(html[k])[0])
+                assert shared(mine, np.array(lines, np.int64)).sum() == lcs_mask(mine.tolist(), lines)
