@@ -15,7 +15,8 @@ smallest path decides.
 
 Cases: null or empty text has no units; null path: no directory, only a notice
 of its own counts. Rows equal in path and text agree. Every row is returned;
-licence null if none applies. Equal cosines: the licence later in the alphabet.
+licence null if none applies. Equal cosines: the licence later in the alphabet; a
+licence that is another with a clause more counts where both are found.
 An empty table gives no rows. Only ``keep`` columns are returned.
 """
 
@@ -32,10 +33,17 @@ from linebeam.llm.common import staged
 
 THRESHOLD = 0.6
 TERMS = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+SPDX_KEY, SPDX_TERM = r"spdx-license-identifier:[\x20\t]*", "spdx-license-identifier."
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([._-][^/]*)?$"
 
-# Short public notices by SPDX identifier
-TEMPLATES = (
+# Identifiers that an SPDX line names; the GNU ones also with their suffixes
+SPDX_IDS = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0",
+            "ISC", "MIT", "MPL-2.0", "Unlicense")
+GNU_IDS = ("AGPL-3.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0")
+EXTENDS = {"BSD-3-Clause": "BSD-2-Clause"}   # the first is the second with a clause more: where both are found, it is the first
+SPDX_LINE = "SPDX-License-Identifier: "
+# Notices, standard headers, titles and opening paragraphs of licences, by SPDX identifier
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("BSD-2-Clause", "Use of this source code is governed by the BSD 2-Clause License."),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
@@ -51,11 +59,48 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'),
+    ("Apache-2.0", 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC0-1.0", "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without any warranty."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 )
+TEMPLATES = (*NOTICES, *[(i, SPDX_LINE + i) for i in SPDX_IDS], *[(i, SPDX_LINE + i + end) for i in GNU_IDS for end in ("", "-only", "-or-later")])
 
 
 def terms_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(TERMS), F.lit(0))
+    """Words; an SPDX line's key and identifier are one, so that another identifier is another word."""
+    return F.regexp_extract_all(F.regexp_replace(F.lower(text), SPDX_KEY, SPDX_TERM), F.lit(TERMS), F.lit(0))
+
+
+def _template_terms(text: str) -> list:
+    return re.findall(TERMS, re.sub(SPDX_KEY, SPDX_TERM, text.lower()))
 
 
 def _strings(values) -> Column:
@@ -79,7 +124,7 @@ def notices(rows: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     """(key, licence, cosine, unit): the best notice of each text that has one,
     from (key, text); a unit goes by its hash, so rows per term stay short."""
     spark = rows.sparkSession
-    counts = [(name, Counter(re.findall(TERMS, text.lower()))) for name, text in templates]
+    counts = [(name, Counter(_template_terms(text))) for name, text in templates]
     vocabulary = {t for _, c in counts for t in c}
     seen = staged(rows.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
                   .groupBy("term").agg(F.count("*").alias("df")), "terms")
@@ -105,8 +150,12 @@ def notices(rows: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     dots = (tf.join(weights, "term").groupBy("key", "unit", "template", "licence")
             .agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
     best = (dots.join(length, ["key", "unit"]).withColumn("cosine", F.col("dot") / F.col("length"))
-            .where(F.col("cosine") >= threshold)
-            .groupBy("key").agg(F.max(F.struct("cosine", "licence", "unit")).alias("best")))
+            .where(F.col("cosine") >= threshold))
+    found = F.struct("cosine", "licence", "unit")
+    longer = {name: F.max(F.when(F.col("licence") == name, found)).alias(f"longer{n}") for n, name in enumerate(EXTENDS)}
+    best = best.groupBy("key").agg(F.max(found).alias("best"), *longer.values())
+    for n, (name, shorter) in enumerate(EXTENDS.items()):
+        best = best.withColumn("best", F.when((F.col("best.licence") == shorter) & F.col(f"longer{n}").isNotNull(), F.col(f"longer{n}")).otherwise(F.col("best")))
     return best.select("key", "best.licence", "best.cosine", "best.unit")
 
 

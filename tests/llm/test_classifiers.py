@@ -95,3 +95,69 @@ def test_licence_notice_among_ordinary_words(spark):
     rows = [(0, "a/x", line)] + [(i, f"b/{i}", "see the project page for more details under the tree") for i in range(1, 3000)]
     found = licence_scan(spark.createDataFrame(rows, "n long, path string, text string"), "path", "text", keep=["n"]).where("licence is not null")
     assert [(r["n"], r["licence"], r["cosine"] >= 0.6) for r in found.collect()] == [(0, "MIT", True)]
+
+
+def test_standard_headers_and_licence_files(spark):
+    """Headers as they stand in source files, line by line or wrapped in one comment, and licence
+    files by title and body; unknown identifiers and prose about licences stay without one."""
+    gpl = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU {} as published by",
+           "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version.", "",
+           "This program is distributed in the hope that it will be useful,", "but WITHOUT ANY WARRANTY; without even the implied warranty of",
+           "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."]
+    apache = ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+              "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in "
+              'writing, software distributed under the License is distributed on an "AS IS" BASIS.')
+    bsd = ["Copyright (c) 2020, Somebody", "All rights reserved.", "", "Redistribution and use in source and binary forms, with or without",
+           "modification, are permitted provided that the following conditions are met:", ""]
+    clause3 = ["3. Neither the name of the copyright holder nor the names of its", "   contributors may be used to endorse or promote products derived from",
+               "   this software without specific prior written permission."]
+    texts = [("GPL-3.0", "\n".join(gpl).format("General Public License")), ("AGPL-3.0", "\n".join("# " + x if x else "" for x in gpl).format("Affero General Public License")),
+             ("GPL-2.0", "\n".join(gpl).format("General Public License").replace("version 3", "version 2")), ("Apache-2.0", apache), ("Apache-2.0", "/* " + apache + " */"),
+             ("BSD-2-Clause", "\n".join(bsd)), ("BSD-3-Clause", "\n".join(bsd + ["..."] * 3 + [""] + clause3)),
+             ("MIT", "// SPDX-License-Identifier: MIT"), ("GPL-2.0", "/* SPDX-License-Identifier: GPL-2.0-only */\nint x;"), ("Apache-2.0", "# SPDX-License-Identifier:Apache-2.0"),
+             ("Unlicense", "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy."),
+             ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/."),
+             ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nCopyright (C) 2007"), ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE\n   Version 2.1, February 1999\n\n Copyright"),
+             ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+             ("EPL-2.0", "made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+             (None, "// SPDX-License-Identifier: Zlib"), (None, "SPDX-License-Identifier: LicenseRef-own"), (None, "mit"), (None, "License"), (None, "He lost his fishing license in version 2 of the story."),
+             (None, "The software is free for any person, and a copy was distributed to the public.")]
+    prose = [f"word{i % 97} other{i % 31} and the text of this page is about a version of the software number {i}" for i in range(300)]
+    rows = [(i, f"d/{i}", t) for i, t in enumerate([t for _, t in texts] + prose)]
+    found = {r["n"]: r["licence"] for r in licence_scan(spark.createDataFrame(rows, "n long, path string, text string"), "path", "text", keep=["n"]).collect()}
+    assert [found[i] for i in range(len(texts))] == [name for name, _ in texts]
+    assert all(found[i] is None for i in range(len(texts), len(rows)))
+
+
+def test_equal_cosines_and_inheritance_against_brute_force(spark):
+    """A random tree of folders: every file without a notice takes its nearest ancestor's declaration,
+    the smallest declaring path deciding in a folder; of equal cosines the later licence counts."""
+    import random
+    rnd = random.Random(4)
+    words = {"MIT": "Released under the MIT License.", "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.", None: "nothing of the kind here"}
+    folders = ["/".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 5))) for _ in range(40)]
+    files = {}
+    for i in range(300):
+        name = rnd.choice(["LICENSE", "COPYING.txt", "x.py", "y.md", f"f{i}"])
+        files.setdefault(f"{rnd.choice(folders)}/{name}", rnd.choice(list(words)))
+    rows = [(p, words[k]) for p, k in files.items()]
+    declared = {}
+    for p, k in sorted(files.items()):
+        folder, name = p.rsplit("/", 1)
+        if k and name in ("LICENSE", "COPYING.txt"):
+            declared.setdefault(folder, (k, p))
+
+    def want(p, k):
+        if k:
+            return k, "notice", p
+        at = p
+        while "/" in at:
+            at = at.rsplit("/", 1)[0]
+            if at in declared:
+                return declared[at][0], "directory", declared[at][1]
+        return None, None, None
+    got = {r["path"]: (r["licence"], r["via"], r["from_path"]) for r in licence_scan(spark.createDataFrame(rows, "path string, text string"), "path", "text").collect()}
+    assert got == {p: want(p, k) for p, k in files.items()} and sum(v[1] == "directory" for v in got.values()) > 20
+    same = (("A", "alpha beta gamma"), ("B", "alpha beta gamma"))
+    tie = licence_scan(spark.createDataFrame([("p/x", "alpha beta gamma")], "path string, text string"), "path", "text", templates=same)
+    assert tie.first()["licence"] == "B"
