@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from linebeam.llm.common import staged
+from linebeam.llm.common import Buckets, staged
 from linebeam.llm.shingles import WordHashes
 from linebeam.llm.textfeatures import features
 
+CHUNK = 1 << 16   # coordinates of a row of the state
+STATE = pa.schema({"chunk": pa.int64(), "z": pa.binary(), "n": pa.binary()})
+MOVED = pa.schema({"shard": pa.int64(), "chunk": pa.int64(), "z": pa.binary(), "n": pa.binary()})
 MIN_ROWS = 4   # training rows that hold a feature, at least: the same at every sample size
 
 
@@ -44,29 +48,55 @@ def _shard_row(frame):
                          "sizes": [np.array([len(x) for x in rows], np.int32).tobytes()], "x": [np.concatenate(rows).tobytes()]})
 
 
-def _shard_pass(state, size, one_pass):
-    def run(frames):
-        for f in frames:
-            for r in f.itertuples():
-                z, n = _unpacked(state.value, size)
-                ends = np.cumsum(np.frombuffer(r.sizes, np.int32))
-                x = np.frombuffer(r.x, np.int32).astype(np.int64)
-                one_pass(zip(np.split(x, ends[:-1]), np.frombuffer(r.y)), z, n)
-                yield pd.DataFrame({"shard": [r.shard], "state": [_packed(z, n)]})
+def _first_state(features, extras):
+    """Chunks of the state before the first round: zeros, and the extra coordinates' values."""
+    def run(batches):
+        for b in batches:
+            for c in b.column(0).to_pylist():
+                z, n = np.zeros((2, min(CHUNK, features + len(extras[0]) - c * CHUNK)), np.float32)
+                at = np.arange(len(z)) + c * CHUNK - features
+                z[at >= 0], n[at >= 0] = extras[0][at[at >= 0]], extras[1][at[at >= 0]]
+                yield pa.RecordBatch.from_arrays([pa.array([c], pa.int64()), pa.array([z.tobytes()]), pa.array([n.tobytes()])], schema=STATE)
     return run
 
 
-def _packed(z, n) -> bytes:
-    """The touched coordinates with their state, 12 bytes each."""
-    at = np.flatnonzero(n)
-    return at.astype(np.int32).tobytes() + z[at].astype(np.float32).tobytes() + n[at].astype(np.float32).tobytes()
+def _chunk(raw):
+    return np.frombuffer(raw, np.float32)
+
+
+def _shard_round(size, one_pass):
+    """One shard's pass from the shared state: its state after it, in chunks."""
+    def run(rows, chunks):
+        if not rows.num_rows:
+            return MOVED.empty_table()
+        z, n = np.zeros(size), np.zeros(size)
+        for c in chunks.to_pylist():
+            at = slice(c["chunk"] * CHUNK, (c["chunk"] + 1) * CHUNK)
+            z[at], n[at] = _chunk(c["z"]), _chunk(c["n"])
+        r = rows.to_pylist()[0]
+        ends = np.cumsum(np.frombuffer(r["sizes"], np.int32))
+        x = np.frombuffer(r["x"], np.int32).astype(np.int64)
+        one_pass(zip(np.split(x, ends[:-1]), np.frombuffer(r["y"])), z, n)
+        z, n = z.astype(np.float32), n.astype(np.float32)
+        starts = range(0, size, CHUNK)
+        return pa.table([pa.array([r["shard"]] * len(starts), pa.int64()), pa.array([at // CHUNK for at in starts], pa.int64()),
+                         pa.array([z[at:at + CHUNK].tobytes() for at in starts]), pa.array([n[at:at + CHUNK].tobytes() for at in starts])], schema=MOVED)
+    return run
 
 
-def _unpacked(state: bytes, size):
-    at, half = np.frombuffer(state, np.int32, len(state) // 12), np.frombuffer(state, np.float32)[len(state) // 12:]
-    z, n = np.zeros(size), np.zeros(size)
-    z[at], n[at] = half[:len(at)], half[len(at):]
-    return z, n
+def _mean_steps(moved: pa.Table) -> pa.Table:
+    """A chunk's next state: each coordinate moves by the mean step of the shards that touched it."""
+    rows = sorted(moved.to_pylist(), key=lambda r: r["shard"])      # the shared state is shard -1
+    z, n = (_chunk(rows[0][c]).astype(float) for c in "zn")
+    dz, dn, touched = np.zeros(len(z)), np.zeros(len(z)), np.zeros(len(z))
+    for r in rows[1:]:
+        z1, n1 = _chunk(r["z"]), _chunk(r["n"])
+        touched += n1 != n
+        dz += z1 - z
+        dn += n1 - n
+    touched = np.maximum(touched, 1)
+    z, n = (z + dz / touched).astype(np.float32), (n + dn / touched).astype(np.float32)
+    return pa.table([pa.array([rows[0]["chunk"]], pa.int64()), pa.array([z.tobytes()]), pa.array([n.tobytes()])], schema=STATE)
 
 
 def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: int, one_pass, how=(features, WordHashes), start=None):
@@ -75,7 +105,9 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
     their coordinates, then of ``extra`` more. A row's shard is its key modulo
     ``shards``; in each round every shard runs ``one_pass(pairs of coordinates
     and y, z, n)`` from the shared state, in key order; a coordinate then moves
-    by the mean step of the shards that touched it. Features that too few rows
+    by the mean step of the shards that touched it. The state is a table of
+    chunks that goes to the shards and back to be averaged by chunk, so it is in
+    no task but the shards' as a whole, and on the driver at the end only. Features that too few rows
     hold are left out: they could only memorise a row. ``how``: the feature
     function and what makes its cache; ``start``: (z, n) of the extra
     coordinates, given the mean y. No rows: no features, zeros."""
@@ -89,32 +121,23 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
     numbers = spark.sparkContext.broadcast(kept)
     data = (data.mapInPandas(_known(numbers), "shard bigint, key bigint, size int, y double, x array<int>")
             .repartition(shards, "shard").groupBy("shard").applyInPandas(_shard_row, "shard bigint, y binary, sizes binary, x binary"))
-    data = staged(data, "shards")
+    held = Buckets(spark, "shard", 4 * shards, "shards")
+    held.add(data)
     numbers.destroy()
+    data = held.rows()
+    held.forget()
+    extras = (np.zeros(extra), np.zeros(extra)) if not (start and count) else [np.broadcast_to(v, extra).astype(float) for v in start(mean)]
+    chunks = -(-size // CHUNK)
+    state = staged(spark.range(0, chunks, 1, 1).mapInArrow(_first_state(len(kept), extras), from_arrow_schema(STATE)), "state")
+    for _ in range(rounds if count else 0):
+        sent = state.select("*", F.explode(F.expr(f"sequence(0L, {shards - 1}L)")).alias("shard"))
+        ended = data.groupBy("shard").cogroup(sent.groupBy("shard")).applyInArrow(_shard_round(size, one_pass), from_arrow_schema(MOVED))
+        moved = ended.unionByName(state.withColumn("shard", F.lit(-1).cast("bigint")))
+        state = staged(moved.groupBy("chunk").applyInArrow(_mean_steps, from_arrow_schema(STATE)), "state")
     z, n = np.zeros(size), np.zeros(size)
-    if start and count:
-        z[len(kept):], n[len(kept):] = start(mean)
-    for _ in range(rounds):
-        packed = _packed(z, n)
-        state = spark.sparkContext.broadcast(packed)
-        z, n = _unpacked(packed, size)
-        dz, dn, touched = np.zeros(size), np.zeros(size), np.zeros(size, np.int8)
-        ended = data.mapInPandas(_shard_pass(state, size, one_pass), "shard long, state binary").persist(StorageLevel.DISK_ONLY)
-        ended.count()                                        # all shards at once; then one state at a time
-        for r in ended.toLocalIterator():                    # one row per shard
-            z1, n1 = _unpacked(r["state"], size)
-            touched += n1 != n
-            z1 -= z
-            n1 -= n
-            dz += z1
-            dn += n1
-            del r, z1, n1
-        ended.unpersist()
-        state.destroy()      # read; the driver keeps no state of an earlier round
-        if not touched.any():
-            break
-        touched = np.maximum(touched, 1)
-        z, n = z + dz / touched, n + dn / touched
+    for r in state.toLocalIterator():                               # 8 bytes a coordinate, once
+        at = slice(r["chunk"] * CHUNK, (r["chunk"] + 1) * CHUNK)
+        z[at], n[at] = _chunk(r["z"]), _chunk(r["n"])
     return kept, z, n
 
 
