@@ -1,6 +1,7 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from linebeam.llm import quality, toxicity
@@ -161,3 +162,59 @@ def test_equal_cosines_and_inheritance_against_brute_force(spark):
     same = (("A", "alpha beta gamma"), ("B", "alpha beta gamma"))
     tie = licence_scan(spark.createDataFrame([("p/x", "alpha beta gamma")], "path string, text string"), "path", "text", templates=same)
     assert tie.first()["licence"] == "B"
+
+
+def test_ftrl_rounds_equal_a_plain_version(spark):
+    """Shards, passes in key order and mean steps by dictionaries, one coordinate at a time."""
+    import math
+    import random
+    from collections import Counter, defaultdict
+
+    from linebeam.llm import rounds, toxicity
+    from linebeam.llm.shingles import WordHashes
+    from linebeam.llm.textfeatures import features
+    rnd = random.Random(6)
+    words = [f"w{i}" for i in range(25)] + ["bad", "worse"]
+    rows = []
+    for k in range(160):
+        t = " ".join(rnd.choices(words, k=rnd.randrange(1, 12)))
+        rows.append((k * 7919, float("bad" in t.split() and rnd.random() < 0.9), t))
+    rows += [(3, 0.0, None), (4, 1.0, "")]
+    df = spark.createDataFrame(rows, "key long, y double, text string").repartition(5)
+    kept, z, n = rounds.mixed_rounds(df, 18, 1, 3, 4, toxicity.ftrl_pass, start=toxicity.base_rate)
+
+    cache = WordHashes()
+    found = {k: features(t, cache, 18).tolist() for k, _, t in rows}
+    held = Counter(x for f in found.values() for x in f)
+    use = {x for x, c in held.items() if c >= rounds.MIN_ROWS}
+    assert kept.tolist() == sorted(use)
+    alpha, beta, l1 = toxicity.ALPHA, toxicity.BETA, toxicity.L1
+    z0, n0 = toxicity.base_rate(sum(y for _, y, _ in rows) / len(rows))
+    state = {"bias": (float(z0), float(n0))}
+
+    def weight(x, zx, nx):
+        if x == "bias":
+            return -zx / ((beta + math.sqrt(nx)) / alpha)
+        return 0.0 if abs(zx) <= l1 else -(zx - math.copysign(l1, zx)) / ((beta + math.sqrt(nx)) / alpha)
+    # FTRL's step is written out here on its own: rates per coordinate, the proximal term by sigma
+    for _ in range(4):
+        steps = defaultdict(list)
+        for shard in range(3):
+            mine = dict(state)
+            for k, y, _t in sorted(r for r in rows if r[0] % 3 == shard):
+                xs = [x for x in found[k] if x in use] + ["bias"]
+                w = {x: weight(x, *mine.get(x, (0.0, 0.0))) for x in xs}
+                g = 1 / (1 + math.exp(-sum(w.values()))) - y
+                for x in xs:
+                    zx, nx = mine.get(x, (0.0, 0.0))
+                    mine[x] = (zx + g - (math.sqrt(nx + g * g) - math.sqrt(nx)) / alpha * w[x], nx + g * g)
+            for x, (zx, nx) in mine.items():
+                z1, n1 = state.get(x, (0.0, 0.0))
+                if nx != n1:
+                    steps[x].append((zx - z1, nx - n1))
+        for x, moved in steps.items():
+            z1, n1 = state.get(x, (0.0, 0.0))
+            state[x] = tuple(a + sum(m[i] for m in moved) / len(moved) for i, a in enumerate((z1, n1)))
+    want = np.array([state.get(x, (0.0, 0.0)) for x in [*sorted(use), "bias"]])
+    np.testing.assert_allclose(np.stack([z, n], 1), want, rtol=2e-3, atol=2e-4)
+    assert (n > 0).sum() > 50
