@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from linebeam.llm.common import Buckets, staged
+from linebeam.llm.pieces import list_array, text_blocks
 from linebeam.llm.shingles import WordHashes
 from linebeam.llm.textfeatures import features
 
@@ -20,23 +21,33 @@ MIN_ROWS = 4   # training rows that hold a feature, at least: the same at every
 
 
 def _featurise(shards, bits, extract, caches):
-    def run(frames):
+    """Feature numbers of the texts; a part of an Arrow batch at a time, so a worker holds few of its strings."""
+    def run(batches):
         cache = caches()
-        for f in frames:
-            yield pd.DataFrame({"shard": f["key"] % shards, "key": f["key"], "y": f["y"],
-                                "x": [extract(t, cache, bits).astype(np.int32) for t in f["text"]]})
+        for b in batches:
+            for part, texts in text_blocks(b, "text"):
+                found = [extract(t, cache, bits).astype(np.int32) for t in texts]
+                key = part.column("key").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([pa.array(key % shards), part.column("key"), part.column("y"),
+                                                  list_array(np.concatenate(found), [len(x) for x in found], pa.int32())],
+                                                 names=["shard", "key", "y", "x"])
     return run
 
 
 def _known(shared):
     """Feature numbers become coordinates; those not in use go."""
-    def run(frames):
+    def run(batches):
         kept = shared.value
-        for f in frames:
-            places = [np.searchsorted(kept, x) for x in f["x"]]
-            rows = [p[kept[np.minimum(p, len(kept) - 1)] == x] if len(kept) else p[:0] for p, x in zip(places, f["x"])]
-            yield pd.DataFrame({"shard": f["shard"], "key": f["key"], "size": f["x"].map(len), "y": f["y"],
-                                "x": [r.astype(np.int32) for r in rows]})
+        for b in batches:
+            x = b.column("x")
+            ends, flat = x.offsets.to_numpy().astype(np.int64), x.values.to_numpy()
+            flat, starts = flat[ends[0]:ends[-1]], ends - ends[0]
+            place = np.searchsorted(kept, flat).astype(np.int32)
+            used = kept[np.minimum(place, len(kept) - 1)] == flat if len(kept) else np.zeros(len(flat), bool)
+            before = np.concatenate([[0], np.cumsum(used)])
+            yield pa.RecordBatch.from_arrays([b.column("shard"), b.column("key"), pa.array(np.diff(starts), pa.int32()), b.column("y"),
+                                              list_array(place[used], np.diff(before[starts]), pa.int32())],
+                                             names=["shard", "key", "size", "y", "x"])
     return run
 
 
@@ -112,14 +123,14 @@ def mixed_rounds(rows: DataFrame, bits: int, extra: int, shards: int, rounds: in
     function and what makes its cache; ``start``: (z, n) of the extra
     coordinates, given the mean y. No rows: no features, zeros."""
     spark = rows.sparkSession
-    data = staged(rows.mapInPandas(_featurise(shards, bits, *how), "shard bigint, key bigint, y double, x array<int>"), "train")
+    data = staged(rows.select("key", "y", "text").mapInArrow(_featurise(shards, bits, *how), "shard bigint, key bigint, y double, x array<int>"), "train")
     count, mean = data.agg(F.count("*"), F.avg("y")).first()
     common = data.select(F.explode("x").alias("x")).groupBy("x").agg(F.count("*").alias("rows")).where(F.col("rows") >= MIN_ROWS)
     # at most the sample's features / MIN_ROWS numbers
     kept = np.sort(np.concatenate([c.to_numpy() for c in common.select("x").toArrow().column("x").chunks] or [np.empty(0, np.int32)]))
     size = len(kept) + extra
     numbers = spark.sparkContext.broadcast(kept)
-    data = (data.mapInPandas(_known(numbers), "shard bigint, key bigint, size int, y double, x array<int>")
+    data = (data.mapInArrow(_known(numbers), "shard bigint, key bigint, size int, y double, x array<int>")
             .repartition(shards, "shard").groupBy("shard").applyInPandas(_shard_row, "shard bigint, y binary, sizes binary, x binary"))
     held = Buckets(spark, "shard", 4 * shards, "shards")
     held.add(data)

@@ -4,7 +4,8 @@ Vectors become integers floor(scale * x) and are range-partitioned by descending
 length into blocks. Queries, packed into blocks too, first meet the blocks of
 the longest vectors, which gives each a score it must reach. Then every query
 block meets the vector blocks whose longest vector can still reach it
-(Cauchy-Schwarz); inside a pair of blocks, partial sums over the leading
+(Cauchy-Schwarz): query blocks go to the vector block, which is sent once for a
+group of them; inside a pair of blocks, partial sums over the leading
 coordinates of an SVD rotation plus the product of the residual lengths bound
 each score, at two depths, and only survivors are multiplied out, in integers.
 Floating point only prunes, with a margin; scores and ties are exact.
@@ -13,7 +14,8 @@ Cases: vectors that are null, or hold null or non-finite components, and rows
 without an id take no part. Rows that repeat an id count once (the smallest
 vector). Shorter vectors count as padded with zeros; empty ones score 0. Fewer
 candidates than k: all of them. An empty table, or no queries: no rows. Extra
-columns are not read. Scores beyond 64 bits raise OverflowError.
+columns are not read. Quantised components and scores beyond 64 bits count as the
+largest or smallest 64-bit number of their sign, ties again to the smaller id.
 """
 
 from __future__ import annotations
@@ -25,17 +27,31 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from linebeam.llm.common import ranked, staged
 
 BLOCK_ROWS = 8192     # vectors of a block
-QUERY_ROWS = 1024     # queries of a block
+QUERY_ROWS = 128      # queries of a block
+GROUP_BLOCKS = 64     # query blocks that go to a vector block together, about
 HEAD_BLOCKS = 2       # blocks of the longest vectors that give the first thresholds
 STRIP = 1024          # vectors compared at once
+WIDEST = 2 ** 63 - 1
 DEPTHS = (0.5, 0.75)  # share of the rotated coordinates in the partial sums
 
 VECTORS = "vec_id bigint, v array<bigint>, norm double"
 BLOCKS = "block bigint, rows int, longest double, ids binary, matrix binary"
+FOUND = pa.schema({"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()})
+
+
+def _held(x: int) -> int:
+    """The nearest number of 64 bits."""
+    return max(-WIDEST, min(WIDEST, x))
+
+
+def _quantised(x: float, scale) -> int:
+    x *= scale
+    return _held(math.floor(x)) if math.isfinite(x) else WIDEST if x > 0 else -WIDEST
 
 
 def _quantise(scale):
@@ -45,7 +61,7 @@ def _quantise(scale):
             for i, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if i is None or x is None or any(c is None or not math.isfinite(c) for c in x):
                     continue
-                q = [math.floor(scale * float(c)) for c in x]
+                q = [_quantised(float(c), scale) for c in x]
                 ids.append(i)
                 out.append(q)
                 norms.append(math.sqrt(sum(c * c for c in q)))
@@ -118,7 +134,7 @@ def _scores(a, b):
         return np.zeros(len(a), np.int64)
     if float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1] < 2 ** 62:
         return np.einsum("ij,ij->i", a, b)
-    return np.array([sum(int(x) * int(y) for x, y in zip(r, s)) for r, s in zip(a, b)], np.int64)
+    return np.array([_held(sum(int(x) * int(y) for x, y in zip(r, s))) for r, s in zip(a, b)], np.int64)
 
 
 def compare(queries: _Side, vectors: _Side, least: np.ndarray, k: int):
@@ -175,15 +191,17 @@ def _first_thresholds(shared, k):
 
 
 def _pair_pass(shared, k):
-    def run(batches):
+    """A vector block against the query blocks it meets."""
+    def run(block, asked):
+        if not block.num_rows or not asked.num_rows:
+            return FOUND.empty_table()
         rotation = shared.value[0]
-        for b in batches:
-            for n in range(b.num_rows):
-                r = b.slice(n, 1).to_pylist()[0]
-                queries = _Side(r["qids"], r["qmatrix"], rotation)
-                q, i, s = compare(queries, _Side(r["ids"], r["matrix"], rotation), np.frombuffer(r["least"]), k)
-                yield pa.RecordBatch.from_arrays([pa.array(queries.ids[q]), pa.array(i, pa.int64()), pa.array(s, pa.int64())],
-                                                 names=["query_id", "vec_id", "score"])
+        vectors, got = _Side(block["ids"][0].as_py(), block["matrix"][0].as_py(), rotation), []
+        for n in range(asked.num_rows):
+            queries = _Side(asked["qids"][n].as_py(), asked["qmatrix"][n].as_py(), rotation)
+            q, i, s = compare(queries, vectors, np.frombuffer(asked["least"][n].as_py()), k)
+            got.append((queries.ids[q], i, s))
+        return pa.table([pa.array(np.concatenate(x), pa.int64()) for x in zip(*got)], schema=FOUND)
     return run
 
 
@@ -216,10 +234,15 @@ def top_inner_products(vectors: DataFrame, is_query, *, vec_id: str = "vec_id",
     # which blocks meet: numbers only, one row per block of queries and block of vectors that can still matter
     numbers = staged(ranked(blocks.select("block", "longest"), "block"), "numbers")
     each = F.explode(F.sequence(F.lit(0), F.lit(max(0, numbers.count() - 1)).cast("bigint")))
-    pairs = (queries.select("qblock", "qlongest", "lowest", each.alias("rank")).join(numbers, "rank")
-             .where(F.col("qlongest") * F.col("longest") * (1 + 1e-9) + 1e-9 >= F.col("lowest")).select("qblock", "block"))
-    work = pairs.join(queries.select("qblock", "qids", "qmatrix", "least"), "qblock").join(blocks.select("block", "ids", "matrix"), "block")
-    found = work.select("qids", "qmatrix", "least", "ids", "matrix").mapInArrow(_pair_pass(shared, k), "query_id bigint, vec_id bigint, score bigint")
+    # the queries that a block meets go to it in groups of bounded size; the block is sent once a group
+    groups = F.lit(max(1, -(-asked // (QUERY_ROWS * GROUP_BLOCKS))))
+    pairs = staged(queries.select("qblock", "qlongest", "lowest", each.alias("rank")).join(numbers, "rank")
+                   .where(F.col("qlongest") * F.col("longest") * (1 + 1e-9) + 1e-9 >= F.col("lowest"))
+                   .select("qblock", "block", F.pmod(F.xxhash64("qblock"), groups).alias("group")), "pairs")
+    sent = (pairs.join(queries.select("qblock", "qids", "qmatrix", "least"), "qblock")
+            .select(F.col("block").alias("to"), F.col("group").alias("part"), "qids", "qmatrix", "least").groupBy("to", "part"))
+    held = pairs.select("block", "group").distinct().join(blocks.select("block", "ids", "matrix"), "block").groupBy("block", "group")
+    found = held.cogroup(sent).applyInArrow(_pair_pass(shared, k), from_arrow_schema(FOUND))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

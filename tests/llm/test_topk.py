@@ -51,3 +51,23 @@ def test_few_rows_and_none(spark):
     assert run(spark, [(0, [1.0])]) == []
     assert run(spark, [(1, [1.0]), (2, [1.0])]) == []
     assert run(spark, []) == [] if spark else None
+
+
+def test_huge_components_have_a_result(spark):
+    """Components and scores beyond 64 bits count as the widest numbers; the others stay exact."""
+    widest = 2 ** 63 - 1
+    held = lambda x: max(-widest, min(widest, x))
+    values = [1e30, -1e30, 3e38, -3e38, 1e15, -1e15, 4e12, 1.5, 0.0, -2.25]
+    rnd = random.Random(8)
+    rows = [(i, [rnd.choice(values) if i % 2 else rnd.gauss(0, 1) for _ in range(4)]) for i in range(60)]
+    clean = {i: [held(math.floor(1024 * float(np.float32(c)))) for c in x] for i, x in rows}
+    want = []
+    for i in clean:
+        if i % 5 == 0:
+            s = sorted((-held(sum(a * b for a, b in zip(clean[i], clean[j]))), j) for j in clean if j != i)[:10]
+            want += [(i, r + 1, j, -t) for r, (t, j) in enumerate(s)]
+    assert run(spark, rows, 5) == sorted(want)
+    assert any(abs(w[3]) == widest for w in want)
+    doubles = spark.createDataFrame([(0, [1e308]), (1, [1e308]), (2, [-1e308])], "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, top_inner_products(doubles, F.col("vec_id") == 0).collect()))
+    assert got == [(0, 1, 1, widest), (0, 2, 2, -widest)]
