@@ -46,7 +46,7 @@ from linebeam.llm.shingles import WordHashes, shingle_set
 K = 64                # retained hashes of a set
 SIGMAS = 5.0          # slack of the sketch statistics, in standard deviations
 SHORT_LIST = 8        # a list up to this long gives all its pairs at once
-PAIR_WORDS = 1 << 21  # signature words of the pairs that are compared at a time
+PAIR_WORDS = 1 << 18  # signature words of the pairs that are compared at a time
 CHUNK_ROWS = 1024     # members of a list that meet the same number of others in one task
 SIG_WORDS = 16        # least 64-bit words of a set's bit signature
 SIG_BITS = 4          # bits of it per member, at least
