@@ -12,6 +12,8 @@ filters. Only the last stage changes the columns.
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -22,12 +24,25 @@ from linebeam.llm.neardup import near_duplicates
 from linebeam.llm.queries import BPE_RANKS
 
 ORACLE_SQL = None
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+
+
+def bounded_batches(stage):
+    """Texts are long: a Python worker is sent ``BATCH_ROWS`` of them at a time, not Arrow's usual number."""
+    @wraps(stage)
+    def run(spark, docs, sf_dir):
+        if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+            spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+    return run
 
 
+@bounded_batches
 def drop_toxic(spark, docs, sf_dir):
     return toxicity.accepted(docs, read(spark, sf_dir, "labels"))
 
 
+@bounded_batches
 def drop_near_duplicates(spark, docs, sf_dir):
     kept = near_duplicates(docs).where("kept").select("doc_id").distinct()
     digest = unused("digest", docs.columns)
@@ -36,6 +51,7 @@ def drop_near_duplicates(spark, docs, sf_dir):
     return named.select(*docs.columns).union(docs.where("doc_id is null"))
 
 
+@bounded_batches
 def drop_contaminated(spark, docs, sf_dir):
     key = unused("key", docs.columns)
     found = contaminated(docs, read(spark, sf_dir, "benchmark")).select(F.col("key").alias(key)).distinct()
@@ -43,6 +59,7 @@ def drop_contaminated(spark, docs, sf_dir):
     return keyed.join(found, key, "left_anti").select(*docs.columns)
 
 
+@bounded_batches
 def redact_secrets(spark, docs, sf_dir):
     found, clean = (unused(name, docs.columns) for name in ("found_spans", "clean_text"))
     spans = secretscan.secret_spans(docs, keep=docs.columns, name=found)
@@ -53,6 +70,7 @@ def redact_secrets(spark, docs, sf_dir):
     return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
+@bounded_batches
 def tokenize(spark, docs, sf_dir):
     """doc_id, lang, source, n_tokens, ids, round_trip: whether the ids decode to the text's bytes."""
     path = public_tokenizers.path(BPE_RANKS)

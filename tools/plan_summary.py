@@ -13,7 +13,7 @@ from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from linebeam.plans.queries import QUERIES  # noqa: E402
 from linebeam.session import build_session  # noqa: E402
 
 WATCH = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange RoundRobinPartitioning",
@@ -79,13 +79,12 @@ def main():
     spark = build_session()
     out = ["# Executed plans", "",
            f"Generated by `tools/plan_summary.py` at `{sf}` on local[8]: counts of plan nodes in each",
-           "query's AQE-final physical plan. RoundRobin exchanges are the",
-           "`spread` of single-row-group test files and vanish on inputs with enough splits. Counts",
-           "are for the main plan; a scalar subquery (Bloom bits, short hot-key list) runs once per",
-           "query as its own small job.", "",
+           "reference-side query's AQE-final physical plan. Counts are for the main plan; a scalar",
+           "subquery (Bloom bits, hash set of the hot keys) runs once per query as its own small job,",
+           "and staged side tables (hot keys, filters) are read from files.", "",
            "| query | hash shuffles | range | single | round-robin | broadcast | BHJ | SMJ | NLJ/cartesian | partial aggs | scalar subquery |",
            "|---|---|---|---|---|---|---|---|---|---|---|"]
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         df.collect()
         node = df._jdf.queryExecution().executedPlan()
