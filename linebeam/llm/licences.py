@@ -4,8 +4,10 @@ DataFrame operations only. Units of text (lines, paragraphs) are compared with a
 short list of licence templates as sparse TF-IDF vectors. The document frequencies
 of all terms, the templates' and the units', come from the whole table: each text's
 distinct terms are counted in one pass. By Cauchy-Schwarz a unit that
-reaches the threshold holds one of a template's heaviest terms (its anchors), so
-only units with an anchor are weighed: the filter loses nothing.
+reaches the threshold holds one of a template's heaviest terms (its anchors), and
+the templates' and the most frequent terms bound its cosine from above; only units
+with an anchor and a bound that reaches the threshold are weighed: both filters lose
+nothing. Equal units, as of copied files, are weighed once, by their hash.
 
 A file without a notice of its own takes the licence of its nearest ancestor
 directory that has one, by joins of directory paths with the directories'
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 from linebeam.llm.common import staged
 
 THRESHOLD = 0.6
+FREQUENT = 500   # so many of the most frequent terms are known while texts are read
 TERMS = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 SPDX_KEY, SPDX_TERM = r"spdx-license-identifier:[\x20\t]*", "spdx-license-identifier."
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([._-][^/]*)?$"
@@ -120,6 +123,29 @@ def anchors_of(weights: dict, threshold: float) -> set:
     return out
 
 
+def _numbers(values: dict) -> Column:
+    return F.map_from_arrays(F.array(*[F.lit(t) for t in values]), F.array(*[F.lit(v) for v in values.values()]))
+
+
+def may_reach(text: Column, idf: dict, tops: dict, floor: float, threshold: float) -> Column:
+    """Whether the cosine of a unit to a template can reach the threshold. ``idf`` has all terms of the templates,
+    ``tops`` the largest weight of each in a template; any term outside ``idf`` weighs ``floor`` or more in the
+    unit's length. Lambdas name what is used more than once, so that it is made once a unit."""
+    idfs, heaviest = _numbers(idf), _numbers(tops)
+
+    def bounded(terms, inside):
+        weighed = F.transform(F.array_distinct(inside), lambda t: F.struct(
+            ((F.size(inside) - F.size(F.array_remove(inside, t))) * idfs[t]).alias("w"), F.coalesce(heaviest[t], F.lit(0.0)).alias("top")))
+        others = (F.size(terms) - F.size(inside)) * F.lit(floor * floor)
+        return F.exists(F.array(weighed), lambda each: (
+            F.aggregate(each, F.lit(0.0), lambda total, x: total + x["w"] * x["top"])
+            >= threshold * (1 - 1e-9) * F.sqrt(F.aggregate(each, others, lambda total, x: total + x["w"] * x["w"]))))
+
+    known = sorted(idf)
+    return F.exists(F.array(terms_of(text)), lambda terms: F.exists(
+        F.array(F.filter(terms, lambda t: t.isin(known))), lambda inside: bounded(terms, inside)))
+
+
 def notices(rows: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(key, licence, cosine, unit): the best notice of each text that has one,
     from (key, text); a unit goes by its hash, so rows per term stay short."""
@@ -133,27 +159,29 @@ def notices(rows: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD)
     idf = {t: math.log((1 + total) / (1 + df.get(t, 0))) + 1 for t in sorted(vocabulary)}
     vectors = [(name, {t: n * idf[t] for t, n in c.items()}) for name, c in counts]
     anchors = _strings(set().union(*[anchors_of(v, threshold) for _, v in vectors]))
-    weights = spark.createDataFrame([(n, name, t, w / math.sqrt(sum(x * x for x in v.values())))
-                                     for n, (name, v) in enumerate(vectors) for t, w in sorted(v.items())],
+    often = {r["term"]: math.log((1 + total) / (1 + r["df"])) + 1 for r in seen.orderBy(F.desc("df"), "term").limit(FREQUENT).collect()}
+    scaled = [(name, {t: w / math.sqrt(sum(x * x for x in v.values())) for t, w in v.items()}) for name, v in vectors]
+    weights = spark.createDataFrame([(n, name, t, idf[t] * w) for n, (name, v) in enumerate(scaled) for t, w in sorted(v.items())],
                                     "template int, licence string, term string, weight double")
+    tops = {t: max(v.get(t, 0.0) for _, v in scaled) for t in idf}
 
     parts = F.array_distinct(F.concat(F.split("text", "\n"), F.split("text", r"\n\s*\n")))
-    units = (rows.where(F.arrays_overlap(terms_of(F.col("text")), anchors)).dropDuplicates(["key"])
-             .select("key", F.explode(parts).alias("text"))
-             .where(F.arrays_overlap(terms_of(F.col("text")), anchors)))
-    held = staged(units.select("key", F.xxhash64("text").alias("unit"), F.explode(terms_of(F.col("text"))).alias("term"))
-                  .groupBy("key", "unit", "term").agg(F.count("*").alias("tf")), "units")
+    units = staged(rows.where(F.arrays_overlap(terms_of(F.col("text")), anchors)).select("key", F.explode(parts).alias("text"))
+                   .where(F.arrays_overlap(terms_of(F.col("text")), anchors) & may_reach(F.col("text"), often | idf, tops, min(often.values(), default=1.0), threshold))
+                   .select("key", F.xxhash64("text").alias("unit"), terms_of(F.col("text")).alias("terms")), "units")
+    held = (units.select("unit", "terms").dropDuplicates(["unit"]).select("unit", F.explode("terms").alias("term"))
+            .groupBy("unit", "term").agg(F.count("*").alias("tf")))
     known = (seen.join(held.select("term").distinct(), "term", "left_semi")
              .select("term", (F.log(F.lit(1.0 + total) / (1 + F.col("df"))) + 1).alias("idf")))
-    tf = held.join(known, "term").select("key", "unit", "term", (F.col("tf") * F.col("idf")).alias("w"))
-    length = tf.groupBy("key", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    dots = (tf.join(weights, "term").groupBy("key", "unit", "template", "licence")
-            .agg(F.sum(F.col("w") * F.col("weight")).alias("dot")))
-    best = (dots.join(length, ["key", "unit"]).withColumn("cosine", F.col("dot") / F.col("length"))
-            .where(F.col("cosine") >= threshold))
+    w = F.col("tf") * F.col("idf")
+    length = held.join(known, "term").groupBy("unit").agg(F.sqrt(F.sum(w * w)).alias("length"))
+    dots = (held.join(weights, "term").groupBy("unit", "template", "licence")
+            .agg(F.sum(F.col("tf") * F.col("weight")).alias("dot")))
+    near = staged(dots.join(length, "unit").withColumn("cosine", F.col("dot") / F.col("length"))
+                  .where(F.col("cosine") >= threshold).groupBy("unit", "licence").agg(F.max("cosine").alias("cosine")), "near")
     found = F.struct("cosine", "licence", "unit")
     longer = {name: F.max(F.when(F.col("licence") == name, found)).alias(f"longer{n}") for n, name in enumerate(EXTENDS)}
-    best = best.groupBy("key").agg(F.max(found).alias("best"), *longer.values())
+    best = units.select("key", "unit").join(near, "unit").groupBy("key").agg(F.max(found).alias("best"), *longer.values())
     for n, (name, shorter) in enumerate(EXTENDS.items()):
         best = best.withColumn("best", F.when((F.col("best.licence") == shorter) & F.col(f"longer{n}").isNotNull(), F.col(f"longer{n}")).otherwise(F.col("best")))
     return best.select("key", "best.licence", "best.cosine", "best.unit")

@@ -164,6 +164,51 @@ def test_equal_cosines_and_inheritance_against_brute_force(spark):
     assert tie.first()["licence"] == "B"
 
 
+def test_copied_notices_are_weighed_once_and_cosines_equal_brute_force(spark, monkeypatch):
+    """A notice in many files and long texts with an anchor among everyday words: rows are made for
+    distinct units near a template only, and the cosines are those of all units weighed in full."""
+    import math
+    import random
+    import re
+    from collections import Counter
+
+    from linebeam.llm import licences
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(300)]
+    filler = lambda n: " ".join(rnd.choices(words, [1 / (i + 1) for i in range(300)], k=n))
+    notice = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", licences.TEMPLATES[17][1]]
+    texts = [f"{filler(5)}\n\n{notice[i % 2]}\n\n{filler(5)}" for i in range(200)]
+    texts += [f"the work released to the public {filler(150)}" for _ in range(100)]
+    texts += [f"{notice[rnd.randrange(3)]} {filler(rnd.randrange(12))}" for _ in range(60)]
+    texts += [" ".join(rnd.sample(notice[2].split(), 14)) + " " + filler(rnd.randrange(5)) for _ in range(40)]
+
+    made, stage = {}, licences.staged
+    monkeypatch.setattr(licences, "staged", lambda df, name, *a: made.setdefault(name, stage(df, name, *a)))
+    df = spark.createDataFrame([(f"p/{i}", t) for i, t in enumerate(texts)], "path string, text string")
+    got = {r["path"]: r for r in licences.licence_scan(df, "path", "text").collect()}
+
+    seen = Counter(t for x in texts for t in set(licences._template_terms(x)))
+    idf = lambda t: math.log((1 + len(texts)) / (1 + seen.get(t, 0))) + 1
+    vector = lambda x: {t: n * idf(t) for t, n in Counter(licences._template_terms(x)).items()}
+    size = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    templates = [(n, v, size(v)) for n, v in ((n, vector(x)) for n, x in licences.TEMPLATES)]
+    found = 0
+    for i, text in enumerate(texts):
+        cosines = [0.0]
+        for unit in {*text.split("\n"), *re.split(r"\n\s*\n", text)}:
+            v = vector(unit)
+            cosines += [sum(w * a.get(t, 0.0) for t, w in v.items()) / (size(v) * s) for _, a, s in templates if v]
+        r = got[f"p/{i}"]
+        if max(cosines) < licences.THRESHOLD:
+            assert r["via"] != "notice"
+        else:
+            found += 1
+            assert r["via"] == "notice" and abs(r["cosine"] - max(cosines)) < 1e-9
+    assert 230 < found < 300
+    # a row per notice of a file and few others, and a row per distinct notice
+    assert made["units"].count() < 320 and made["near"].count() < 120
+
+
 def test_ftrl_rounds_equal_a_plain_version(spark):
     """Shards, passes in key order and mean steps by dictionaries, one coordinate at a time."""
     import math
