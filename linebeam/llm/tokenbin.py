@@ -12,6 +12,8 @@ bytes each: 2 where the vocabulary allows, else 4).
 
 The tokenizer encodes words apart from each other, so each distinct word is
 encoded by the library once per Python worker and found again by its 64-bit hash.
+Words of lower-case Latin-1 letters alone reach it with spaces between, as they
+are; all others are normalised and split by it, with a separator between.
 
 Cases: null or empty text: the end id alone. Null ids come first, equal ids
 follow each other in the order of a text hash, then of the text. A text longer
@@ -20,6 +22,7 @@ than a segment makes a segment of its own. An empty table gives no rows.
 
 from __future__ import annotations
 
+import string
 import zlib
 
 import numpy as np
@@ -126,6 +129,10 @@ _CLASS[48:58] = _DIGIT
 _CLASS[128:] = _OTHER
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+# lower-case letters of Latin-1, which stay as they are in lower-casing and composition, and their two bytes in UTF-8
+LATIN = "".join(map(chr, [0xdf, *range(0xe0, 0xf7), *range(0xf8, 0x100)]))
+_LATIN_LEAD, _LATIN_NEXT = 0xc3, np.zeros(256, bool)
+_LATIN_NEXT[[c.encode("utf-8")[1] for c in LATIN]] = True
 # where the tokenizer always starts anew: after white space, between ASCII
 # letters and marks, and at ASCII digits; never beside an apostrophe (it may
 # begin a contraction) or a non-ASCII byte (it may combine with its neighbour)
@@ -148,6 +155,17 @@ def words_of(texts):
     return block, first, last, text
 
 
+def _merged(*parts):
+    """(flat ids, ids per word) of words that were encoded in parts: their places, flat ids and ids per word."""
+    counts = np.empty(sum(len(at) for at, _, _ in parts), np.int64)
+    for at, _, n in parts:
+        counts[at] = n
+    starts, flat = np.cumsum(counts) - counts, np.empty(int(counts.sum()), np.int32)
+    for at, ids, n in parts:
+        flat[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
+    return flat, counts
+
+
 class WordTable:
     """Ids of distinct words by their hash; each is encoded by the library once."""
 
@@ -155,10 +173,27 @@ class WordTable:
         self.tokenizer, self.powers = tokenizer, Powers()
         self.bare = type(tokenizer).from_str(tokenizer.to_str())
         self.bare.normalizer = None                     # for words of ASCII: they are lower-cased, and composed as they are
+        self.apart = self._told_apart()
         self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         (self.separator,) = tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
         self.empty()
 
+    def _told_apart(self):
+        """(tokenizer for words of ASCII letters, by id whether it ends a word); None where the given tokenizer
+        changes or splits a word of ``LATIN`` letters, or its ids don't show where words end."""
+        split, normal = self.bare.pre_tokenizer, self.tokenizer.normalizer
+        pieces = [split.pre_tokenize_str(w) if split else [] for w in (string.ascii_lowercase, LATIN)]
+        suffix = getattr(self.bare.model, "end_of_word_suffix", None)
+        if not suffix or any(len(p) != 1 for p in pieces) or pieces[0][0][0] != string.ascii_lowercase or normal and normal.normalize_str(LATIN) != LATIN:
+            return None
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+        plain = type(self.bare).from_str(self.bare.to_str())
+        plain.pre_tokenizer = WhitespaceSplit()
+        vocabulary = plain.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        return plain, ends
+
     def empty(self):
         # sorted hashes with their words' rows: the table, and the words met since it was last sorted
         self.levels = [(np.empty(0, np.uint64), np.empty(0, np.int32))] * 2
@@ -188,13 +223,7 @@ class WordTable:
         kinds = [self._joined(self.bare, [words[i] for i in groups[0]]), self._joined(self.tokenizer, [words[i] for i in groups[1]])]
         odd = [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast([words[i] for i in groups[2]], add_special_tokens=False)]
         kinds.append((np.concatenate(odd) if odd else np.empty(0, np.int32), np.fromiter(map(len, odd), np.int64, len(odd))))
-        counts = np.empty(len(words), np.int64)
-        for at, (_, n) in zip(groups, kinds):
-            counts[at] = n
-        starts, flat = np.cumsum(counts) - counts, np.empty(int(counts.sum()), np.int32)
-        for at, (ids, n) in zip(groups, kinds):
-            flat[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(len(ids))] = ids
-        return flat, counts
+        return _merged(*[(np.array(at, np.int64), *kind) for at, kind in zip(groups, kinds)])
 
     def _joined(self, tokenizer, words):
         if not words:
@@ -205,15 +234,49 @@ class WordTable:
             raise ValueError("the separator's id occurs in other words")
         return ids[ids != self.separator], np.diff(np.concatenate([[-1], cuts, [len(ids)]])) - 1
 
-    def add(self, hashes, words):
-        """Rows of new words, given by sorted hashes."""
-        flat, counts = self.encode(words)
-        self._room(len(words), len(flat))
-        rows = np.arange(self.n, self.n + len(words), dtype=np.int32)
+    def encode_apart(self, tokenizer, block, first, last):
+        """``encode`` for words of letters that are as the normaliser leaves them, given by their places in ``block``."""
+        if not len(first):
+            return np.empty(0, np.int32), np.empty(0, np.int64)
+        n = last - first + 2                             # with a space behind
+        ends = np.cumsum(n)
+        at = np.repeat(first - (ends - n), n)
+        at += np.arange(len(at))
+        at[ends - 1] -= 1                                # stays inside the block
+        joined = block[at]
+        joined[ends - 1] = 32
+        text = joined.tobytes().decode("utf-8")
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+        cuts = np.flatnonzero(self.apart[1][ids])
+        if len(cuts) != len(first):                      # a word whose end has no id
+            return self.encode(text.split())
+        return ids, np.diff(cuts, prepend=-1)
+
+    def encode_new(self, block, first, last):
+        """``encode`` for words given by their places in ``block``."""
+        kinds = np.full(len(first), 2)
+        if self.apart:
+            letter = _CLASS[block] == _LETTER
+            lead = np.flatnonzero(block[:-1] == _LATIN_LEAD)
+            lead = lead[_LATIN_NEXT[block[lead + 1]]]
+            latin = letter.copy()
+            latin[lead] = latin[lead + 1] = True
+            for kind, good in ((1, latin), (0, letter)):
+                bad = np.concatenate([[0], np.cumsum(~good)])
+                kinds[bad[last + 1] == bad[first]] = kind
+        at = [np.flatnonzero(kinds == k) for k in range(3)]
+        parts = [self.encode_apart(t, block, first[i], last[i]) for t, i in zip((self.apart[0], self.bare), at)] if self.apart else []
+        odd = [block[a:b + 1].tobytes().decode("utf-8", "surrogatepass") for a, b in zip(first[at[2]].tolist(), last[at[2]].tolist())]
+        return _merged(*[(i, *part) for i, part in zip(at if parts else at[2:], [*parts, self.encode(odd)])])
+
+    def add(self, hashes, flat, counts):
+        """Rows of new words, given by sorted hashes with their ids and how many each has."""
+        self._room(len(hashes), len(flat))
+        rows = np.arange(self.n, self.n + len(hashes), dtype=np.int32)
         self.starts[rows] = self.m + np.cumsum(counts) - counts
         self.lens[rows] = counts
         self.flat[self.m:self.m + len(flat)] = flat
-        self.n, self.m = self.n + len(words), self.m + len(flat)
+        self.n, self.m = self.n + len(hashes), self.m + len(flat)
         (table, table_rows), (recent, recent_rows) = self.levels
         at = np.searchsorted(recent, hashes)
         recent, recent_rows = np.insert(recent, at, hashes), np.insert(recent_rows, at, rows)
@@ -251,7 +314,8 @@ class WordTable:
         if new.any():
             sample = np.empty(len(found), np.int64)
             sample[back] = np.arange(len(h))
-            rows[new] = self.add(found[new], [word(i).decode("utf-8", "surrogatepass") for i in sample[new].tolist()])
+            at = sample[new]
+            rows[new] = self.add(found[new], *self.encode_new(block, first[at], last[at]))
         rows = rows[back]
         n = self.lens[rows]
         ends = np.cumsum(n)

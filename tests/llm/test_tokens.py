@@ -127,3 +127,16 @@ def test_elias_fano(gaps):
     code = tokenbin.EliasFano.from_bytes(tokenbin.EliasFano.build(v).to_bytes())
     assert code.values().tolist() == v.tolist()
     assert [code[i] for i in range(len(code))] == v.tolist()
+
+
+def test_latin_words_skip_normaliser_and_separators(monkeypatch):
+    """Words of lower-case Latin-1 letters reach the library with spaces between, with the ids of whole texts."""
+    model = Tokenizer.from_file(P.path(queries.WORD_BPE))
+    texts = ["The año garçon straße, naïve x÷y Éclair éclair it's a1b", "ÿß œuvre é ñé façade", "", "ends in öl", "über", "漢字 mañana×3"]
+    table, others, encode = tokenbin.WordTable(model), [], tokenbin.WordTable.encode
+    monkeypatch.setattr(tokenbin.WordTable, "encode", lambda self, words: others.extend(words) or encode(self, words))
+    flat, counts = table.ids(texts)
+    ends = np.cumsum(counts)
+    for t, hi, n in zip(texts, ends, counts):
+        assert flat[hi - n:hi].tolist() == model.encode(t, add_special_tokens=False).ids
+    assert others and not [w for w in others if w and not set(w) - set(tokenbin.LATIN + "abcdefghijklmnopqrstuvwxyz")]
